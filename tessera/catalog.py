@@ -6,11 +6,14 @@ are repeatable; each is chosen inside the fixture's date range.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.plans import clinical
+from tessera.operators import sinks
+from tessera.plans import clinical, product, staging
 from tessera.sources import bindings as b
 from tessera.sources.tables import Tables
 
@@ -69,3 +72,65 @@ def q_provider_cost_report(spark, root):
     t = Tables(spark, root)
     return clinical.provider_cost_report(b.fact_encounter(t), b.dim_provider(t), CLINICAL_YEAR,
                                          COST_REPORT_MIN_ENCOUNTERS)
+
+
+# ── product staging and marts (M11-M14, S11) ─────────────────────────────
+PRODUCT_AS_OF = _dt.datetime(2024, 1, 30, 0, 0, 0)
+INCREMENTAL_FIRST_RUN_THROUGH = _dt.date(2024, 1, 20)
+
+
+def _stg_events(t: Tables) -> DataFrame:
+    return staging.stg_events(b.raw_events(t))
+
+
+def _stg_users(t: Tables) -> DataFrame:
+    return staging.stg_users(b.raw_users(t), PRODUCT_AS_OF)
+
+
+def _user_activity(t: Tables) -> DataFrame:
+    return product.user_activity(_stg_events(t), _stg_users(t), PRODUCT_AS_OF)
+
+
+@register("stg_events")
+def q_stg_events(spark, root):
+    return _stg_events(Tables(spark, root))
+
+
+@register("stg_users_dedup")
+def q_stg_users(spark, root):
+    return _stg_users(Tables(spark, root))
+
+
+@register("stg_sessions")
+def q_stg_sessions(spark, root):
+    return staging.stg_sessions(b.raw_sessions(Tables(spark, root)), PRODUCT_AS_OF)
+
+
+@register("user_activity")
+def q_user_activity(spark, root):
+    return _user_activity(Tables(spark, root))
+
+
+@register("user_activity_incremental")
+def q_user_activity_incremental(spark, root):
+    """First run on events through a cut-off day, then an incremental run
+    with the 3-day lookback over the full stream; must equal a rebuild."""
+    t = Tables(spark, root)
+    ev, users = _stg_events(t), _stg_users(t)
+    first = product.user_activity_incremental(
+        ev.where(F.col("event_date") <= F.lit(INCREMENTAL_FIRST_RUN_THROUGH)), users, None,
+        PRODUCT_AS_OF)
+    first = sinks.materialize(first, "user_activity_v1")
+    second = product.user_activity_incremental(ev, users, first, PRODUCT_AS_OF)
+    return second.drop("_updated_at")
+
+
+@register("dau_wau_mau")
+def q_dau_wau_mau(spark, root):
+    return product.dau_wau_mau(_user_activity(Tables(spark, root)), PRODUCT_AS_OF)
+
+
+@register("funnel")
+def q_funnel(spark, root):
+    t = Tables(spark, root)
+    return product.funnel(_stg_events(t), _stg_users(t), PRODUCT_AS_OF)

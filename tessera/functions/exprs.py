@@ -149,3 +149,10 @@ def avg_int_round(c: ColumnOrName, scale: int = 4) -> Column:
 def avg_dec_round(c: ColumnOrName, scale: int = 4) -> Column:
     col = _c(c)
     return F.round(F.sum(col) / F.count(col), scale).cast("double")
+
+
+def ts_lit(value) -> Column:
+    """Zone-less timestamp literal.  Built from its text, so the Python
+    process time zone never shifts it."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
