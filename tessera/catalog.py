@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import sinks
-from tessera.plans import clinical, product, staging
+from tessera.plans import clinical, product, quality, staging
 from tessera.sources import bindings as b
 from tessera.sources.tables import Tables
 
@@ -134,3 +134,50 @@ def q_dau_wau_mau(spark, root):
 def q_funnel(spark, root):
     t = Tables(spark, root)
     return product.funnel(_stg_events(t), _stg_users(t), PRODUCT_AS_OF)
+
+
+# ── data quality (Q1-Q12) ─────────────────────────────────────────────────
+DQ_AS_OF = _dt.datetime(1998, 6, 30, 6, 0, 0)
+DQ_HISTORY_DAYS = 9
+
+
+def _suite_runner(t: Tables, stored: bool = False):
+    """The suite reads warehouse tables; with ``stored`` the bound tables are
+    written once to the shared scratch space first, as a loaded warehouse
+    would hold them, so repeated runs scan Parquet instead of re-deriving."""
+    dims = (b.dim_patient(t), b.dim_diagnosis(t), b.dim_provider(t), b.fact_encounter(t),
+            b.fact_claim(t))
+    if stored:
+        names = ("dim_patient", "dim_diagnosis", "dim_provider", "fact_encounter", "fact_claim")
+        dims = tuple(sinks.materialize(d, n) for d, n in zip(dims, names))
+
+    def run(run_id, at):
+        return quality.run_suite(*dims, run_id=run_id, as_of=at)
+    return run
+
+
+def _dq_history(t: Tables) -> DataFrame:
+    return quality.suite_history(_suite_runner(t, stored=True), DQ_AS_OF, DQ_HISTORY_DAYS)
+
+
+@register("dq_results")
+def q_dq_results(spark, root):
+    run = _suite_runner(Tables(spark, root))
+    return run(f"run-{DQ_AS_OF:%Y%m%d}", DQ_AS_OF).drop("check_id")
+
+
+@register("dq_latest_status")
+def q_dq_latest_status(spark, root):
+    return quality.latest_status(_dq_history(Tables(spark, root)))
+
+
+@register("dq_failure_trend")
+def q_dq_failure_trend(spark, root):
+    return quality.failure_trend(_dq_history(Tables(spark, root)))
+
+
+@register("dq_run_status")
+def q_dq_run_status(spark, root):
+    run_id = f"run-{DQ_AS_OF:%Y%m%d}"
+    results = _suite_runner(Tables(spark, root))(run_id, DQ_AS_OF)
+    return quality.run_status_counts(results, run_id)
