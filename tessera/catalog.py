@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import sinks
-from tessera.plans import clinical, product, quality, staging
+from tessera.plans import assertions, clinical, product, quality, staging
 from tessera.sources import bindings as b
 from tessera.sources.tables import Tables
 
@@ -181,3 +181,58 @@ def q_dq_run_status(spark, root):
     run_id = f"run-{DQ_AS_OF:%Y%m%d}"
     results = _suite_runner(Tables(spark, root))(run_id, DQ_AS_OF)
     return quality.run_status_counts(results, run_id)
+
+
+# ── declarative tests (G1-G8) ─────────────────────────────────────────────
+FRESHNESS_AS_OF = _dt.datetime(2024, 1, 31, 3, 0, 0)
+
+
+def _models(t: Tables) -> dict[str, DataFrame]:
+    ev, users = _stg_events(t), _stg_users(t)
+    ua = product.user_activity(ev, users, PRODUCT_AS_OF)
+    return {
+        "raw_events": b.raw_events(t), "raw_users": b.raw_users(t),
+        "raw_sessions": b.raw_sessions(t), "stg_events": ev, "stg_users": users,
+        "stg_sessions": staging.stg_sessions(b.raw_sessions(t), PRODUCT_AS_OF),
+        "user_activity": ua, "dau_wau_mau": product.dau_wau_mau(ua, PRODUCT_AS_OF),
+        "funnel": product.funnel(ev, users, PRODUCT_AS_OF),
+    }
+
+
+@register("test_unique")
+def q_test_unique(spark, root):
+    return assertions.declared_unique(_models(Tables(spark, root)))
+
+
+@register("test_not_null")
+def q_test_not_null(spark, root):
+    return assertions.declared_not_null(_models(Tables(spark, root)))
+
+
+@register("test_accepted_values")
+def q_test_accepted_values(spark, root):
+    return assertions.declared_accepted_values(_models(Tables(spark, root)))
+
+
+@register("test_accepted_range")
+def q_test_accepted_range(spark, root):
+    return assertions.declared_accepted_range(_models(Tables(spark, root)))
+
+
+@register("test_no_future_events")
+def q_test_no_future_events(spark, root):
+    return assertions.no_future_events(_stg_events(Tables(spark, root)), PRODUCT_AS_OF)
+
+
+@register("test_funnel_order")
+def q_test_funnel_order(spark, root):
+    t = Tables(spark, root)
+    return assertions.funnel_order(product.funnel(_stg_events(t), _stg_users(t), PRODUCT_AS_OF))
+
+
+@register("source_freshness")
+def q_source_freshness(spark, root):
+    t = Tables(spark, root)
+    return assertions.source_freshness(
+        {"events": b.raw_events(t), "users": b.raw_users(t), "sessions": b.raw_sessions(t)},
+        FRESHNESS_AS_OF)
