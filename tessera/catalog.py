@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import sinks
-from tessera.plans import assertions, clinical, product, quality, staging
+from tessera.plans import assertions, clinical, loads, product, quality, staging
+from tessera.session import scratch_path
+from tessera.sources import scenarios as sc
 from tessera.sources import bindings as b
 from tessera.sources.tables import Tables
 
@@ -236,3 +238,66 @@ def q_source_freshness(spark, root):
     return assertions.source_freshness(
         {"events": b.raw_events(t), "users": b.raw_users(t), "sessions": b.raw_sessions(t)},
         FRESHNESS_AS_OF)
+
+
+# ── loads: SCD2, claims upsert, encounter append (M8-M10, S7-S10) ────────
+SCD2_OUTPUT = ["patient_id", "first_name", "last_name", "date_of_birth", "gender", "zip_code",
+               "state_code", "payer_type", "effective_date", "expiration_date",
+               "is_current_record", "row_hash", "updated_at"]
+
+
+def _scd2(t: Tables, stats: dict | None = None) -> DataFrame:
+    return loads.load_dim_patient(sc.scd2_target(t), sc.scd2_staging(t), sc.SCD2_EFFECTIVE,
+                                  sc.SCD2_NOW, stats=stats)
+
+
+@register("scd2_final_state")
+def q_scd2_final_state(spark, root):
+    return _scd2(Tables(spark, root)).select(*SCD2_OUTPUT)
+
+
+@register("scd2_run_log")
+def q_scd2_run_log(spark, root):
+    stats: dict = {}
+    _scd2(Tables(spark, root), stats)
+    return loads.etl_run_log_row(spark, "sp_load_dim_patient", stats, sc.SCD2_NOW)
+
+
+@register("claim_merge_final_state")
+def q_claim_merge_final_state(spark, root):
+    c = sc.claims(Tables(spark, root))
+    return loads.merge_claims(sc.claim_target(c), sc.claim_batch(c))
+
+
+@register("encounter_append_final_state")
+def q_encounter_append_final_state(spark, root):
+    t = Tables(spark, root)
+    target = sc.encounter_target(t)
+    appended = loads.append_encounters(sc.encounters_raw(t), b.dim_patient(t), b.dim_provider(t),
+                                       b.dim_diagnosis(t), target, sc.ENCOUNTER_LOAD_AT)
+    # Commit the new rows to the partitioned, clustered layout (S14), then
+    # read the table back.
+    path = scratch_path(spark, "fact_encounter")
+    layout = ["admit_year", "admit_month"]
+    cluster = ["encounter_type", "attending_provider_key", "primary_diagnosis_key"]
+    for rows in (target, appended):
+        sinks.write_clustered(rows.withColumn("admit_year", F.year("admit_date"))
+                              .withColumn("admit_month", F.month("admit_date")),
+                              path, layout, cluster)
+    table = spark.read.parquet(path)
+    return table.select(*ENCOUNTER_OUTPUT)
+
+
+ENCOUNTER_OUTPUT = ["encounter_id", "patient_key", "attending_provider_key", "admit_date",
+                    "discharge_date", "admit_date_key", "discharge_date_key",
+                    "primary_diagnosis_key", "encounter_type", "length_of_stay_days",
+                    "total_charges", "total_payments", "readmission_30d_flag", "mortality_flag"]
+
+ENCOUNTER_VIEW_AS_OF = _dt.date(2001, 6, 30)
+
+
+@register("encounters_last_365d")
+def q_encounters_last_365d(spark, root):
+    fe = b.fact_encounter(Tables(spark, root))
+    return loads.encounters_last_n_days(fe, ENCOUNTER_VIEW_AS_OF, 365).select(
+        "encounter_id", "patient_key", "admit_date", "encounter_type", "total_charges")

@@ -734,3 +734,139 @@ SELECT source_name, max_loaded_at, {round_div(secs, '3600', 2)} AS age_hours,
             ELSE 'pass' END AS status
 FROM ({fresh})""", "raw_events", "raw_users", "raw_sessions"),
     }
+
+
+# ── loads ────────────────────────────────────────────────────────────────
+SCD2_NOW_SQL = "TIMESTAMP '2024-01-01 02:00:00'"
+
+shape("scd2_target", ["dim_patient"])("""
+SELECT dp.*, TIMESTAMP '1995-01-01 00:00:00' AS updated_at FROM dim_patient dp
+WHERE dp.patient_key IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")
+
+shape("scd2_staging", ["patient_attrs"])(f"""
+SELECT * REPLACE (CASE WHEN patient_key % 10 = 0 THEN 'MEDICAID' ELSE payer_type END AS payer_type)
+FROM patient_attrs""")
+
+ORACLE["scd2_final_state"] = with_shapes(f"""
+WITH s AS (SELECT *, {ROW_HASH} AS new_hash FROM scd2_staging),
+expired AS (
+  SELECT t.* REPLACE (DATE '2023-12-31' AS expiration_date, FALSE AS is_current_record,
+                      {SCD2_NOW_SQL} AS updated_at)
+  FROM scd2_target t JOIN s ON s.patient_id = t.patient_id WHERE t.row_hash <> s.new_hash),
+kept AS (
+  SELECT t.* FROM scd2_target t
+  WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.patient_id = t.patient_id AND t.row_hash <> s.new_hash)),
+ins AS (
+  SELECT s.patient_id, s.first_name, s.last_name, s.date_of_birth, s.gender, s.zip_code, s.state_code,
+         s.payer_type, DATE '2024-01-01' AS effective_date, DATE '9999-12-31' AS expiration_date,
+         TRUE AS is_current_record, s.new_hash AS row_hash, {SCD2_NOW_SQL} AS updated_at
+  FROM s WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.patient_id = s.patient_id)),
+cols AS (
+  SELECT patient_id, first_name, last_name, date_of_birth, gender, zip_code, state_code, payer_type,
+         effective_date, expiration_date, is_current_record, row_hash, updated_at FROM expired
+  UNION ALL
+  SELECT patient_id, first_name, last_name, date_of_birth, gender, zip_code, state_code, payer_type,
+         effective_date, expiration_date, is_current_record, row_hash, updated_at FROM kept)
+SELECT * FROM cols UNION ALL SELECT * FROM ins""", "scd2_target", "scd2_staging")
+
+ORACLE["scd2_run_log"] = with_shapes(f"""
+WITH s AS (SELECT *, {ROW_HASH} AS new_hash FROM scd2_staging),
+kept AS (SELECT t.patient_id FROM scd2_target t
+         WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.patient_id = t.patient_id AND t.row_hash <> s.new_hash))
+SELECT 'sp_load_dim_patient' AS procedure_name,
+       (SELECT COUNT(*) FROM s WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.patient_id = s.patient_id))
+         AS rows_inserted,
+       (SELECT COUNT(*) FROM scd2_target t JOIN s ON s.patient_id = t.patient_id WHERE t.row_hash <> s.new_hash)
+         AS rows_updated,
+       {SCD2_NOW_SQL} AS run_at""", "scd2_target", "scd2_staging")
+
+_CLAIM_ORDER = ("service_date, encounter_key, patient_key, rendering_provider_key, service_date_key, "
+                "paid_date_key, procedure_key, primary_diagnosis_key, billed_amount, allowed_amount, "
+                "paid_amount, patient_responsibility, units_of_service, claim_status, denial_reason_code")
+_CLAIM_COLS = ("claim_id, claim_line_number, encounter_key, patient_key, rendering_provider_key, "
+               "service_date, service_date_key, paid_date_key, procedure_key, primary_diagnosis_key, "
+               "billed_amount, allowed_amount, paid_amount, patient_responsibility, units_of_service, "
+               "claim_status, denial_reason_code")
+
+shape("claims")(f"""
+SELECT {_CLAIM_COLS} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY claim_id, claim_line_number
+                               ORDER BY {', '.join(c.strip() + ' DESC NULLS LAST' for c in _CLAIM_ORDER.split(','))}) AS rn
+  FROM (
+    SELECT 'C' || CAST(l_orderkey AS VARCHAR) AS claim_id, l_linenumber AS claim_line_number,
+           l_orderkey AS encounter_key, o_custkey AS patient_key, l_suppkey AS rendering_provider_key,
+           CAST(l_shipdate AS DATE) AS service_date,
+           {date_key('CAST(l_shipdate AS DATE)')} AS service_date_key,
+           CASE WHEN l_returnflag <> 'R' THEN {date_key('(CAST(l_shipdate AS DATE) + 30)')} END AS paid_date_key,
+           l_partkey AS procedure_key, l_partkey AS primary_diagnosis_key,
+           CAST(l_extendedprice AS DECIMAL(14,2)) AS billed_amount,
+           CAST(round(CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2)
+                AS DECIMAL(14,2)) AS allowed_amount,
+           CAST(round(CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+                      * (1 + CAST(l_tax AS DECIMAL(4,2))), 2) AS DECIMAL(14,2)) AS paid_amount,
+           CAST(round(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_discount AS DECIMAL(4,2)), 2)
+                AS DECIMAL(14,2)) AS patient_responsibility,
+           CAST(l_quantity AS INTEGER) AS units_of_service,
+           CASE l_returnflag WHEN 'R' THEN 'Denied' WHEN 'A' THEN 'Adjusted'
+                WHEN 'N' THEN 'Paid' ELSE 'Pending' END AS claim_status,
+           CASE WHEN l_returnflag = 'R' THEN 'CO-' || l_linestatus END AS denial_reason_code
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey))
+WHERE rn = 1""")
+
+shape("claim_target", ["claims"])("SELECT * FROM claims WHERE service_date < DATE '1999-01-01'")
+shape("claim_batch", ["claims"])(f"""
+SELECT {_CLAIM_COLS.replace('paid_amount, patient_responsibility', 'new_paid AS paid_amount, patient_responsibility').replace('claim_status, denial_reason_code', 'new_status AS claim_status, new_denial AS denial_reason_code')}
+FROM (
+  SELECT *,
+         CASE WHEN claim_line_number = 1 AND claim_status = 'Paid'
+              THEN CAST(paid_amount - 10 AS DECIMAL(14,2)) ELSE paid_amount END AS new_paid,
+         CASE WHEN claim_line_number = 1 AND claim_status = 'Paid' THEN 'Adjusted'
+              ELSE claim_status END AS new_status,
+         CASE WHEN claim_line_number = 2 AND claim_status = 'Denied' THEN 'CO-97'
+              WHEN claim_line_number = 2 AND claim_status = 'Paid' THEN 'N1'
+              ELSE denial_reason_code END AS new_denial
+  FROM claims WHERE service_date >= DATE '1998-10-01')""")
+
+shape("claim_merge_final", ["claim_target", "claim_batch"])(f"""
+SELECT t.claim_id, t.claim_line_number, t.encounter_key, t.patient_key, t.rendering_provider_key,
+       t.service_date, t.service_date_key, t.paid_date_key, t.procedure_key, t.primary_diagnosis_key,
+       t.billed_amount,
+       CASE WHEN chg THEN s.allowed_amount ELSE t.allowed_amount END AS allowed_amount,
+       CASE WHEN chg THEN s.paid_amount ELSE t.paid_amount END AS paid_amount,
+       CASE WHEN chg THEN s.patient_responsibility ELSE t.patient_responsibility END AS patient_responsibility,
+       t.units_of_service,
+       CASE WHEN chg THEN s.claim_status ELSE t.claim_status END AS claim_status,
+       CASE WHEN chg THEN s.denial_reason_code ELSE t.denial_reason_code END AS denial_reason_code
+FROM (SELECT t.*, s.claim_id AS s_id,
+             COALESCE(t.claim_status <> s.claim_status OR t.paid_amount <> s.paid_amount
+                      OR t.denial_reason_code <> s.denial_reason_code, FALSE) AS chg
+      FROM claim_target t LEFT JOIN claim_batch s
+        ON s.claim_id = t.claim_id AND s.claim_line_number = t.claim_line_number) t
+LEFT JOIN claim_batch s ON s.claim_id = t.claim_id AND s.claim_line_number = t.claim_line_number
+UNION ALL
+SELECT {_CLAIM_COLS} FROM claim_batch s
+WHERE NOT EXISTS (SELECT 1 FROM claim_target t
+                  WHERE t.claim_id = s.claim_id AND t.claim_line_number = s.claim_line_number)""")
+
+ORACLE["claim_merge_final_state"] = with_shapes("SELECT * FROM claim_merge_final", "claim_merge_final")
+ORACLE["claims_stream_final_state"] = ORACLE["claim_merge_final_state"]
+
+ENC_OUT = ("encounter_id, patient_key, attending_provider_key, admit_date, discharge_date, "
+           "admit_date_key, discharge_date_key, primary_diagnosis_key, encounter_type, "
+           "length_of_stay_days, total_charges, total_payments, readmission_30d_flag, mortality_flag")
+
+ORACLE["encounter_append_final_state"] = with_shapes(f"""
+WITH fe AS (SELECT *, {date_key('admit_date')} AS admit_date_key,
+                   {date_key('discharge_date')} AS discharge_date_key FROM fact_encounter),
+tgt AS (SELECT * FROM fe WHERE admit_date < DATE '2001-01-01'),
+raw AS (SELECT * FROM fe WHERE admit_date >= DATE '2000-12-25'
+          AND TIMESTAMP '2001-09-01 02:00:00' - to_hours(CAST(encounter_key % 48 AS INTEGER))
+              >= TIMESTAMP '2001-08-31 02:00:00')
+SELECT {ENC_OUT} FROM tgt
+UNION ALL
+SELECT {ENC_OUT} FROM raw r
+WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.encounter_id = r.encounter_id)""", "fact_encounter")
+
+ORACLE["encounters_last_365d"] = with_shapes("""
+SELECT encounter_id, patient_key, admit_date, encounter_type, total_charges FROM fact_encounter
+WHERE admit_date >= DATE '2001-06-30' - 365""", "fact_encounter")
