@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from tessera.operators import sinks
 from tessera.plans import assertions, clinical, loads, product, quality, staging
 from tessera.session import scratch_path
+from tessera.sources import ingest
 from tessera.sources import scenarios as sc
+from tessera.streaming import claims as claims_stream
 from tessera.sources import bindings as b
 from tessera.sources.tables import Tables
 
@@ -301,3 +303,36 @@ def q_encounters_last_365d(spark, root):
     fe = b.fact_encounter(Tables(spark, root))
     return loads.encounters_last_n_days(fe, ENCOUNTER_VIEW_AS_OF, 365).select(
         "encounter_id", "patient_key", "admit_date", "encounter_type", "total_charges")
+
+
+# ── streaming claims load (T1-T5) and JSON projection (S1-S4) ─────────────
+@register("claims_stream_final_state")
+def q_claims_stream_final_state(spark, root):
+    """Target + landed batch files -> file stream -> foreachBatch merge;
+    the final table must equal the batch MERGE."""
+    t = Tables(spark, root)
+    c = sinks.materialize(sc.claims(t), "claims")
+    landing = scratch_path(spark, "claims_landing")
+    (sc.claim_payloads(sc.claim_batch(c), t).repartition(4, "service_year")
+     .select("claim_json").write.text(landing))
+    dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
+            "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
+            "fact_encounter": b.fact_encounter(t)}
+    dims = {k: sinks.materialize(v, k) for k, v in dims.items()}
+    target = sinks.versioned_table(spark, "fact_claim")
+    target.commit(sc.claim_target(c))
+    q = claims_stream.run_claims_stream(
+        spark, landing, scratch_path(spark, "claims_ckpt"), target, dims,
+        rejects_path=scratch_path(spark, "claims_rejects"),
+        ledger_path=scratch_path(spark, "claims_ledger"))
+    q.awaitTermination()
+    return target.read().select(*sc.CLAIM_COLUMNS)
+
+
+@register("claim_json_projection")
+def q_claim_json_projection(spark, root):
+    """Claim lines -> JSON landing payload -> VARIANT -> 16 typed columns."""
+    t = Tables(spark, root)
+    payloads = sc.claim_payloads(sc.claims(t), t)
+    landing = payloads.select(F.parse_json("claim_json").alias("claim_json"))
+    return ingest.project_claims(landing).drop("_bad_fields")

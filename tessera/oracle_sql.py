@@ -870,3 +870,15 @@ WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.encounter_id = r.encounter_id)""",
 ORACLE["encounters_last_365d"] = with_shapes("""
 SELECT encounter_id, patient_key, admit_date, encounter_type, total_charges FROM fact_encounter
 WHERE admit_date >= DATE '2001-06-30' - 365""", "fact_encounter")
+
+ORACLE["claim_json_projection"] = with_shapes("""
+SELECT c.claim_id, c.claim_line_number, 'E' || CAST(c.encounter_key AS VARCHAR) AS encounter_id,
+       'P' || CAST(c.patient_key AS VARCHAR) AS patient_id,
+       CASE WHEN c.rendering_provider_key % 25 = 0 THEN lpad(CAST(c.rendering_provider_key AS VARCHAR), 9, '0')
+            ELSE lpad(CAST(c.rendering_provider_key AS VARCHAR), 10, '0') END AS rendering_npi,
+       c.service_date, CASE WHEN c.paid_date_key IS NOT NULL THEN c.service_date + 30 END AS paid_date,
+       'CPT' || CAST(c.procedure_key AS VARCHAR) AS procedure_code, d.icd10_code AS primary_icd10,
+       c.billed_amount, c.allowed_amount, c.paid_amount, c.patient_responsibility, c.units_of_service,
+       c.claim_status, c.denial_reason_code
+FROM claims c JOIN dim_diagnosis d ON d.diagnosis_key = c.primary_diagnosis_key""", "claims",
+                                               "dim_diagnosis")
