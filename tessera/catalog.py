@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import sinks
+from tessera.functions import calendar, exprs
 from tessera.plans import assertions, clinical, loads, product, quality, staging
 from tessera.session import scratch_path
 from tessera.sources import ingest
@@ -336,3 +337,75 @@ def q_claim_json_projection(spark, root):
     payloads = sc.claim_payloads(sc.claims(t), t)
     landing = payloads.select(F.parse_json("claim_json").alias("claim_json"))
     return ingest.project_claims(landing).drop("_bad_fields")
+
+
+# ── calendar, keys, hashes, column values, partition pruning ──────────────
+@register("date_dimension")
+def q_date_dimension(spark, root):
+    """S12 over the span the facts cover (first order .. last shipment)."""
+    t = Tables(spark, root)
+    lo = t.orders.agg(F.min(F.to_date("o_orderdate")).alias("min_date"))
+    hi = t.lineitem.agg(F.max(F.to_date("l_shipdate")).alias("max_date"))
+    bounds = (lo.unionByName(hi, allowMissingColumns=True)
+              .agg(F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date")))
+    return calendar.date_dimension_for(bounds)
+
+
+@register("date_spine")
+def q_date_spine(spark, root):
+    """S13 from the first event day to the run date, capped at 3650 days."""
+    ev = Tables(spark, root).events
+    bounds = ev.agg(F.min(F.to_date("ts")).alias("start_date")).select(
+        "start_date", F.lit(PRODUCT_AS_OF.date()).alias("end_date"))
+    return calendar.date_spine_for(bounds)
+
+
+@register("surrogate_key_md5")
+def q_surrogate_key_md5(spark, root):
+    ua = _user_activity(Tables(spark, root))
+    return ua.select("user_id", "activity_date", "plan_name",
+                     exprs.surrogate_key(["user_id", "activity_date", "plan_name"])
+                     .alias("surrogate_key"))
+
+
+@register("patient_row_hash")
+def q_patient_row_hash(spark, root):
+    stg = sc.scd2_staging(Tables(spark, root))
+    return stg.select("patient_id", exprs.patient_row_hash(
+        *[F.col(c) for c in loads.PATIENT_TRACKED]).alias("row_hash"))
+
+
+@register("column_values")
+def q_column_values(spark, root):
+    """Distinct non-NULL plan names, sorted, at most 50."""
+    return (_stg_users(Tables(spark, root)).select("plan_name")
+            .where(F.col("plan_name").isNotNull()).distinct()
+            .orderBy("plan_name").limit(50))
+
+
+@register("plan_pivot")
+def q_plan_pivot(spark, root):
+    """Dynamic pivot fed by A18: daily events per plan.  The value list is
+    one small driver-side read (<= 50 values) that fixes the output columns."""
+    t = Tables(spark, root)
+    plans = [r[0] for r in q_column_values(spark, root).collect()]
+    ua = _user_activity(t)
+    return (ua.groupBy("activity_date").pivot("plan_name", plans)
+            .agg(F.sum("total_events")))
+
+
+CLAIM_YEAR = 1998
+
+
+@register("claims_by_year_pruned")
+def q_claims_by_year_pruned(spark, root):
+    """Claims stored partitioned by service year; a year predicate is
+    a partition filter, so only that year's directory is listed and read."""
+    path = scratch_path(spark, "fact_claim_by_year")
+    c = b.fact_claim(Tables(spark, root)).withColumn("service_year", F.year("service_date"))
+    sinks.write_clustered(c, path, ["service_year"], ["claim_status", "service_date"],
+                          mode="errorifexists")
+    stored = spark.read.parquet(path)
+    return (stored.where(F.col("service_year") == CLAIM_YEAR)
+            .select("claim_id", "claim_line_number", "service_date", "billed_amount",
+                    "paid_amount", "claim_status", "service_year"))

@@ -882,3 +882,73 @@ SELECT c.claim_id, c.claim_line_number, 'E' || CAST(c.encounter_key AS VARCHAR)
        c.claim_status, c.denial_reason_code
 FROM claims c JOIN dim_diagnosis d ON d.diagnosis_key = c.primary_diagnosis_key""", "claims",
                                                "dim_diagnosis")
+
+
+# ── calendar, keys, hashes, pivots, pruning ──────────────────────────────
+def _holiday_sql(d: str) -> str:
+    from tessera.functions import calendar as cal
+    conds = []
+    for m, day in cal.FIXED_DATE_HOLIDAYS:
+        c = f"(month({d}) = {m} AND day({d}) = {day})"
+        if (m, day) == (6, 19):
+            c = f"({c} AND year({d}) >= {cal.JUNETEENTH_FIRST_YEAR})"
+        conds.append(c)
+    for m, wd, n in cal.NTH_WEEKDAY_HOLIDAYS:
+        which = (f"day(last_day({d})) - day({d}) < 7" if n == -1
+                 else f"(day({d}) - 1) // 7 + 1 = {n}")
+        conds.append(f"(month({d}) = {m} AND dayofweek({d}) + 1 = {wd} AND {which})")
+    return "(" + " OR ".join(conds) + ")"
+
+
+ORACLE["date_dimension"] = f"""
+WITH b AS (SELECT (SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders) AS lo,
+                  (SELECT MAX(CAST(l_shipdate AS DATE)) FROM lineitem) AS hi),
+d AS (SELECT CAST(g AS DATE) AS full_date FROM b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(g))
+SELECT {date_key('full_date')} AS date_key, full_date,
+       CAST(dayofweek(full_date) + 1 AS TINYINT) AS day_of_week,
+       strftime(full_date, '%A') AS day_name,
+       CAST(day(full_date) AS TINYINT) AS day_of_month,
+       CAST(dayofyear(full_date) AS SMALLINT) AS day_of_year,
+       CAST(weekofyear(full_date) AS TINYINT) AS week_of_year,
+       CAST(weekofyear(full_date) AS TINYINT) AS iso_week,
+       CAST(month(full_date) AS TINYINT) AS month_number,
+       strftime(full_date, '%B') AS month_name,
+       CAST(quarter(full_date) AS TINYINT) AS quarter_number,
+       CAST(year(full_date) AS SMALLINT) AS year_number,
+       printf('FY%d-P%02d', year(full_date + INTERVAL 3 MONTH), ((month(full_date) - 10 + 12) % 12) + 1)
+         AS fiscal_period,
+       dayofweek(full_date) NOT IN (0, 6) AS is_weekday,
+       {_holiday_sql('full_date')} AS is_federal_holiday
+FROM d"""
+
+ORACLE["date_spine"] = """
+WITH b AS (SELECT MIN(CAST(ts AS DATE)) AS s, DATE '2024-01-30' AS e FROM events)
+SELECT CAST(g AS DATE) AS spine_date
+FROM b, generate_series(b.s, least(b.e, b.s + 3649), INTERVAL 1 DAY) t(g) WHERE b.s <= b.e"""
+
+ORACLE["surrogate_key_md5"] = with_shapes("""
+SELECT user_id, activity_date, plan_name,
+       md5(concat_ws('|', COALESCE(CAST(user_id AS VARCHAR), '_null_'),
+                          COALESCE(CAST(activity_date AS VARCHAR), '_null_'),
+                          COALESCE(CAST(plan_name AS VARCHAR), '_null_'))) AS surrogate_key
+FROM user_activity""", "user_activity")
+
+ORACLE["patient_row_hash"] = with_shapes(f"SELECT patient_id, {ROW_HASH} AS row_hash FROM scd2_staging",
+                                         "scd2_staging")
+
+ORACLE["column_values"] = with_shapes("""
+SELECT DISTINCT plan_name FROM stg_users WHERE plan_name IS NOT NULL ORDER BY plan_name LIMIT 50""",
+                                      "stg_users")
+
+ORACLE["plan_pivot"] = with_shapes("""
+SELECT activity_date,
+       CAST(SUM(CASE WHEN plan_name = 'enterprise' THEN total_events END) AS BIGINT) AS enterprise,
+       CAST(SUM(CASE WHEN plan_name = 'free' THEN total_events END) AS BIGINT) AS free,
+       CAST(SUM(CASE WHEN plan_name = 'growth' THEN total_events END) AS BIGINT) AS growth,
+       CAST(SUM(CASE WHEN plan_name = 'starter' THEN total_events END) AS BIGINT) AS starter
+FROM user_activity GROUP BY activity_date""", "user_activity")
+
+ORACLE["claims_by_year_pruned"] = with_shapes("""
+SELECT claim_id, claim_line_number, service_date, billed_amount, paid_amount, claim_status,
+       CAST(year(service_date) AS INTEGER) AS service_year
+FROM fact_claim WHERE year(service_date) = 1998""", "fact_claim")
