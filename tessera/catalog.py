@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import sinks
 from tessera.functions import calendar, exprs
-from tessera.plans import assertions, clinical, loads, product, quality, staging
+from tessera.operators import vault
+from tessera.plans import assertions, clinical, loads, population, product, quality, staging
+from tessera.streaming import aggregates as agg_stream
 from tessera.session import scratch_path
 from tessera.sources import ingest
 from tessera.sources import scenarios as sc
@@ -409,3 +411,90 @@ def q_claims_by_year_pruned(spark, root):
     return (stored.where(F.col("service_year") == CLAIM_YEAR)
             .select("claim_id", "claim_line_number", "service_date", "billed_amount",
                     "paid_amount", "claim_status", "service_year"))
+
+
+# ── README-documented capabilities (X1-X13) ──────────────────────────────
+@register("encounter_journey")
+def q_encounter_journey(spark, root):
+    return population.encounter_journey(b.fact_encounter(Tables(spark, root)))
+
+
+@register("lace_scores")
+def q_lace_scores(spark, root):
+    t = Tables(spark, root)
+    return population.lace_scores(b.fact_encounter(t), b.bridge_encounter_diagnosis(t),
+                                  b.dim_diagnosis(t))
+
+
+@register("facility_census")
+def q_facility_census(spark, root):
+    t = Tables(spark, root)
+    return population.facility_census(b.fact_encounter(t), b.dim_provider(t))
+
+
+@register("provider_charge_rank")
+def q_provider_charge_rank(spark, root):
+    t = Tables(spark, root)
+    return population.provider_charge_rank(b.fact_encounter(t), b.dim_provider(t), CLINICAL_YEAR)
+
+
+@register("cohort_retention")
+def q_cohort_retention(spark, root):
+    return product.cohort_retention(_user_activity(Tables(spark, root)))
+
+
+@register("time_to_convert")
+def q_time_to_convert(spark, root):
+    t = Tables(spark, root)
+    return product.time_to_convert(product.funnel(_stg_events(t), _stg_users(t), PRODUCT_AS_OF))
+
+
+@register("dau_rolling_avg")
+def q_dau_rolling_avg(spark, root):
+    ua = _user_activity(Tables(spark, root))
+    return product.dau_rolling_avg(product.dau_wau_mau(ua, PRODUCT_AS_OF))
+
+
+@register("approx_activity_stats")
+def q_approx_activity_stats(spark, root):
+    return product.approx_activity_stats(_user_activity(Tables(spark, root)))
+
+
+VAULT_LOAD_1 = _dt.date(2023, 12, 31)
+VAULT_LOAD_2 = _dt.date(2024, 1, 1)
+VAULT_ATTRS = ["first_name", "last_name", "date_of_birth", "gender", "zip_code", "state_code",
+               "payer_type"]
+
+
+def _vault(t: Tables):
+    first = sc.scd2_target(t)
+    second = sc.scd2_staging(t)
+    hub1 = vault.load_hub(None, first, "patient_id", "hk_patient", VAULT_LOAD_1, "crm")
+    sat1 = vault.load_satellite(None, first, "patient_id", "hk_patient", VAULT_ATTRS,
+                                VAULT_LOAD_1, "crm")
+    hub2 = vault.load_hub(hub1, second, "patient_id", "hk_patient", VAULT_LOAD_2, "crm")
+    sat2 = vault.load_satellite(sat1, second, "patient_id", "hk_patient", VAULT_ATTRS,
+                                VAULT_LOAD_2, "crm")
+    return hub1.unionByName(hub2), sat1.unionByName(sat2)
+
+
+@register("vault_satellite")
+def q_vault_satellite(spark, root):
+    hub, sat = _vault(Tables(spark, root))
+    return sat.select("hk_patient", "load_date", "hash_diff", "payer_type")
+
+
+@register("vault_pit")
+def q_vault_pit(spark, root):
+    hub, sat = _vault(Tables(spark, root))
+    return vault.point_in_time(sat, "hk_patient", VAULT_LOAD_1, VAULT_LOAD_2 + _dt.timedelta(days=1))
+
+
+@register("events_continuous_agg")
+def q_events_continuous_agg(spark, root):
+    """Streaming aggregate over the event files, upserted per micro-batch."""
+    target = sinks.versioned_table(spark, "event_counts")
+    q = agg_stream.run_event_counts(spark, root, scratch_path(spark, "event_counts_ckpt"), target,
+                                    file_glob="events.parquet")
+    q.awaitTermination()
+    return target.read()

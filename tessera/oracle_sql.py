@@ -307,6 +307,7 @@ def oracle_for_registry() -> dict[str, str]:
     out["provider_cost_report"] = provider_cost_report_sql(c.CLINICAL_YEAR,
                                                            c.COST_REPORT_MIN_ENCOUNTERS)
     out.update(dq_oracles(c.DQ_AS_OF, c.DQ_HISTORY_DAYS))
+    out["provider_charge_rank"] = provider_charge_rank_sql(c.CLINICAL_YEAR)
     out.update(test_oracles(PRODUCT_AS_OF_SQL,
                             f"TIMESTAMP '{c.FRESHNESS_AS_OF:%Y-%m-%d %H:%M:%S}'"))
     return {k: v for k, v in out.items() if k in c.REGISTRY}
@@ -952,3 +953,141 @@ ORACLE["claims_by_year_pruned"] = with_shapes("""
 SELECT claim_id, claim_line_number, service_date, billed_amount, paid_amount, claim_status,
        CAST(year(service_date) AS INTEGER) AS service_year
 FROM fact_claim WHERE year(service_date) = 1998""", "fact_claim")
+
+
+# ── README-documented capabilities ───────────────────────────────────────
+ORACLE["encounter_journey"] = with_shapes(f"""
+SELECT encounter_id, patient_key, admit_date, total_charges,
+       COUNT(*) OVER (PARTITION BY patient_key ORDER BY admit_date, encounter_id
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS encounter_seq,
+       COUNT(*) OVER w AS encounters_90d,
+       {round_div('SUM(total_charges * 100) OVER w', 'COUNT(total_charges) OVER w * 100', 4)}
+         AS avg_charges_90d
+FROM fact_encounter
+WINDOW w AS (PARTITION BY patient_key ORDER BY admit_date
+             RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW)""", "fact_encounter")
+
+ORACLE["lace_scores"] = with_shapes("""
+WITH e AS (
+  SELECT fe.*, COALESCE(SUM(CASE WHEN encounter_type = 'ED' THEN 1 ELSE 0 END) OVER (
+           PARTITION BY patient_key ORDER BY admit_date
+           RANGE BETWEEN INTERVAL 182 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING), 0) AS ed_visits
+  FROM fact_encounter fe),
+c AS (SELECT b.encounter_key, COUNT(DISTINCT b.diagnosis_key) AS comorbidities
+      FROM bridge b JOIN dim_diagnosis d ON d.diagnosis_key = b.diagnosis_key AND d.is_chronic
+      GROUP BY 1),
+s AS (
+  SELECT e.encounter_id, e.patient_key, e.admit_date,
+         CASE WHEN length_of_stay_days >= 14 THEN 7 WHEN length_of_stay_days >= 7 THEN 5
+              WHEN length_of_stay_days >= 4 THEN 4 WHEN length_of_stay_days >= 3 THEN 3
+              WHEN length_of_stay_days >= 2 THEN 2 WHEN length_of_stay_days >= 1 THEN 1 ELSE 0 END AS l_points,
+         CASE WHEN admit_source IN ('1-URGENT', '2-HIGH') THEN 3 ELSE 0 END AS a_points,
+         CASE WHEN COALESCE(comorbidities, 0) >= 4 THEN 5 ELSE COALESCE(comorbidities, 0) END AS c_points,
+         CAST(least(ed_visits, 4) AS INTEGER) AS e_points
+  FROM e LEFT JOIN c ON c.encounter_key = e.encounter_key
+  WHERE e.encounter_type = 'IP'),
+t AS (SELECT *, l_points + a_points + c_points + e_points AS lace_score FROM s)
+SELECT t.*, round(CAST((SELECT COUNT(*) FROM t t2 WHERE t2.lace_score < t.lace_score) AS DOUBLE)
+                  / greatest((SELECT COUNT(*) FROM t) - 1, 1), 6) AS lace_percentile
+FROM t""", "fact_encounter", "bridge", "dim_diagnosis")
+
+ORACLE["facility_census"] = with_shapes(f"""
+WITH stays AS (
+  SELECT p.sub_specialty || ' General' AS facility_name, fe.admit_date, fe.discharge_date
+  FROM fact_encounter fe JOIN dim_provider p ON p.provider_key = fe.attending_provider_key
+  WHERE fe.encounter_type = 'IP' AND fe.discharge_date > fe.admit_date),
+days AS (SELECT facility_name, CAST(g AS DATE) AS census_date
+         FROM stays, generate_series(admit_date, discharge_date - 1, INTERVAL 1 DAY) t(g)),
+census AS (SELECT facility_name, census_date, COUNT(*) AS census FROM days GROUP BY 1, 2),
+spans AS (SELECT facility_name, MIN(census_date) AS lo, MAX(census_date) AS hi FROM census GROUP BY 1),
+spine AS (SELECT facility_name, CAST(g AS DATE) AS census_date
+          FROM spans, generate_series(lo, hi, INTERVAL 1 DAY) t(g)),
+full_ AS (SELECT s.facility_name, s.census_date, COALESCE(c.census, 0) AS census
+          FROM spine s LEFT JOIN census c USING (facility_name, census_date))
+SELECT facility_name, census_date, census,
+       {round_div('SUM(census) OVER w7', 'COUNT(census) OVER w7', 4)} AS avg_7d,
+       MAX(census) OVER w7 AS max_7d,
+       {round_div('SUM(census) OVER w30', 'COUNT(census) OVER w30', 4)} AS avg_30d,
+       MAX(census) OVER w30 AS max_30d,
+       census - LAG(census) OVER (PARTITION BY facility_name ORDER BY census_date) AS dod_delta
+FROM full_
+WINDOW w7 AS (PARTITION BY facility_name ORDER BY census_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+       w30 AS (PARTITION BY facility_name ORDER BY census_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
+                                        "fact_encounter", "dim_provider")
+
+
+def provider_charge_rank_sql(year: int) -> str:
+    return with_shapes(f"""
+WITH per AS (SELECT fe.attending_provider_key AS provider_key, p.specialty,
+                    CAST(SUM(fe.total_charges) AS DECIMAL(18,2)) AS total_charges
+             FROM fact_encounter fe JOIN dim_provider p ON p.provider_key = fe.attending_provider_key
+             WHERE year(fe.admit_date) = {year} GROUP BY 1, 2),
+a AS (SELECT *, CAST({round_div('SUM(total_charges * 100) OVER (PARTITION BY specialty)',
+                                'COUNT(*) OVER (PARTITION BY specialty) * 100', 2)} AS DECIMAL(18,2)) AS avg2
+      FROM per)
+SELECT provider_key, specialty, total_charges,
+       DENSE_RANK() OVER (PARTITION BY specialty ORDER BY total_charges DESC) AS charge_dense_rank,
+       avg2 AS specialty_avg_charges,
+       CAST(total_charges - avg2 AS DECIMAL(18,2)) AS diff_from_specialty_avg
+FROM a""", "fact_encounter", "dim_provider")
+
+
+ORACLE["cohort_retention"] = with_shapes(f"""
+WITH ua AS (SELECT user_id, CAST(date_trunc('week', activity_date) AS DATE) AS activity_week
+            FROM user_activity),
+f AS (SELECT user_id, MIN(activity_week) AS cohort_week FROM ua GROUP BY 1),
+a AS (SELECT DISTINCT f.cohort_week, ua.user_id,
+             CAST(date_diff('day', f.cohort_week, ua.activity_week) / 7 AS INTEGER) AS week_offset
+      FROM ua JOIN f USING (user_id)),
+sz AS (SELECT cohort_week, COUNT(*) AS cohort_size FROM f GROUP BY 1),
+ct AS (SELECT cohort_week, week_offset, COUNT(*) AS active_users FROM a GROUP BY 1, 2)
+SELECT ct.cohort_week, week_offset, cohort_size, active_users,
+       {round_div('active_users', 'cohort_size', 4)} AS retention_rate
+FROM ct JOIN sz USING (cohort_week)""", "user_activity")
+
+ORACLE["time_to_convert"] = with_shapes("""
+WITH l AS (SELECT 'first_login' AS stage, hours_to_first_login AS hours FROM funnel
+           UNION ALL SELECT 'activation', hours_to_activation FROM funnel
+           UNION ALL SELECT 'conversion', hours_to_conversion FROM funnel)
+SELECT stage, COUNT(*) AS users,
+       quantile_cont(hours, 0.25) AS p25_hours, quantile_cont(hours, 0.5) AS p50_hours,
+       quantile_cont(hours, 0.75) AS p75_hours
+FROM l WHERE hours IS NOT NULL GROUP BY 1""", "funnel")
+
+ORACLE["dau_rolling_avg"] = with_shapes(f"""
+SELECT activity_date, plan_name, country_code, dau,
+       {round_div('SUM(dau) OVER w', 'COUNT(dau) OVER w', 4)} AS dau_7d_avg
+FROM dau_wau_mau
+WINDOW w AS (PARTITION BY plan_name, country_code ORDER BY activity_date
+             RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""", "dau_wau_mau")
+
+_VAULT_HK = "md5(upper(trim(patient_id)))"
+_VAULT_HD = ("md5(concat_ws('|', COALESCE(first_name, ''), COALESCE(last_name, ''), "
+             "COALESCE(CAST(date_of_birth AS VARCHAR), ''), COALESCE(gender, ''), COALESCE(zip_code, ''), "
+             "COALESCE(state_code, ''), COALESCE(payer_type, '')))")
+
+shape("vault_sat", ["scd2_target", "scd2_staging"])(f"""
+WITH s1 AS (SELECT {_VAULT_HK} AS hk_patient, DATE '2023-12-31' AS load_date, {_VAULT_HD} AS hash_diff,
+                   payer_type FROM scd2_target),
+st AS (SELECT {_VAULT_HK} AS hk_patient, {_VAULT_HD} AS hash_diff, payer_type FROM scd2_staging),
+s2 AS (SELECT st.hk_patient, DATE '2024-01-01' AS load_date, st.hash_diff, st.payer_type
+       FROM st LEFT JOIN s1 ON s1.hk_patient = st.hk_patient
+       WHERE s1.hash_diff IS NULL OR s1.hash_diff <> st.hash_diff)
+SELECT * FROM s1 UNION ALL SELECT * FROM s2""")
+
+ORACLE["vault_satellite"] = with_shapes("SELECT * FROM vault_sat", "vault_sat")
+ORACLE["vault_pit"] = with_shapes("""
+WITH snaps AS (SELECT CAST(g AS DATE) AS snapshot_date
+               FROM generate_series(DATE '2023-12-31', DATE '2024-01-02', INTERVAL 1 DAY) t(g)),
+keys AS (SELECT DISTINCT hk_patient FROM vault_sat)
+SELECT k.hk_patient, s.snapshot_date,
+       (SELECT MAX(load_date) FROM vault_sat v
+        WHERE v.hk_patient = k.hk_patient AND v.load_date <= s.snapshot_date) AS sat_load_date
+FROM keys k, snaps s
+WHERE EXISTS (SELECT 1 FROM vault_sat v WHERE v.hk_patient = k.hk_patient AND v.load_date <= s.snapshot_date)""",
+                                "vault_sat")
+
+ORACLE["events_continuous_agg"] = """
+SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS events,
+       CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DECIMAL(18,2)) AS value_sum
+FROM events GROUP BY 1, 2"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import ts_lit, avg_int_round, diff_boundaries, ratio
@@ -178,3 +178,60 @@ def funnel(stg_events: DataFrame, stg_users: DataFrame, as_of: _dt.datetime,
         .alias("activated_within_7d"),
         ts_lit(as_of).alias("_updated_at"),
     )
+
+
+# ── X2: weekly cohort retention ──────────────────────────────────────────
+def cohort_retention(user_activity_df: DataFrame) -> DataFrame:
+    """Cohort = week of a user's first activity; retention = share of the
+    cohort active in each later week."""
+    ua = user_activity_df.select("user_id", F.date_trunc("week", "activity_date").cast("date")
+                                 .alias("activity_week"))
+    first = ua.groupBy("user_id").agg(F.min("activity_week").alias("cohort_week"))
+    active = (ua.join(first, "user_id")
+              .select("cohort_week", "user_id",
+                      (F.datediff("activity_week", "cohort_week") / 7).cast("int")
+                      .alias("week_offset"))
+              .distinct())
+    sizes = first.groupBy("cohort_week").agg(F.count("*").alias("cohort_size"))
+    counts = active.groupBy("cohort_week", "week_offset").agg(F.count("*").alias("active_users"))
+    return (counts.join(sizes, "cohort_week")
+            .select("cohort_week", "week_offset", "cohort_size", "active_users",
+                    ratio("active_users", "cohort_size").alias("retention_rate")))
+
+
+# ── X12: time-to-convert percentiles ─────────────────────────────────────
+def time_to_convert(funnel_df: DataFrame) -> DataFrame:
+    """Exact P25 / P50 / P75 (linear interpolation) of hours from signup to
+    each later stage.  ``percentile`` keeps a value -> count map per group,
+    so memory follows the number of distinct hour values, not of users."""
+    stages = [("first_login", "hours_to_first_login"), ("activation", "hours_to_activation"),
+              ("conversion", "hours_to_conversion")]
+    pairs = ", ".join(f"'{s}', `{c}`" for s, c in stages)
+    long = (funnel_df.select(F.expr(f"stack({len(stages)}, {pairs}) as (stage, hours)"))
+            .where(F.col("hours").isNotNull()))
+    q = F.percentile(F.col("hours"), [0.25, 0.5, 0.75])
+    return (long.groupBy("stage").agg(F.count("*").alias("users"), q.alias("_q"))
+            .select("stage", "users", F.col("_q")[0].alias("p25_hours"),
+                    F.col("_q")[1].alias("p50_hours"), F.col("_q")[2].alias("p75_hours")))
+
+
+# ── X13: rolling 7-day DAU average ───────────────────────────────────────
+def dau_rolling_avg(dau_df: DataFrame, days: int = 7) -> DataFrame:
+    """Mean DAU over the trailing ``days`` calendar days per plan/country."""
+    w = (Window.partitionBy("plan_name", "country_code")
+         .orderBy(F.datediff("activity_date", F.lit("1970-01-01").cast("date")))
+         .rangeBetween(-(days - 1), 0))
+    return dau_df.select(
+        "activity_date", "plan_name", "country_code", "dau",
+        F.round(F.sum("dau").over(w).cast("decimal(20,0)") / F.count("dau").over(w), 4)
+        .cast("double").alias("dau_7d_avg"))
+
+
+# ── X9: approximate distinct counts and quantiles ────────────────────────
+def approx_activity_stats(user_activity_df: DataFrame, rsd: float = 0.02) -> DataFrame:
+    """Per plan: HLL distinct users and approximate active-minute quartiles,
+    both with bounded per-group state."""
+    return user_activity_df.groupBy("plan_name").agg(
+        F.approx_count_distinct("user_id", rsd).alias("approx_users"),
+        F.percentile_approx("active_minutes", [0.25, 0.5, 0.75], 10000).alias("minutes_quartiles"),
+        F.count("*").alias("user_days"))
