@@ -270,14 +270,16 @@ def q_scd2_run_log(spark, root):
 
 @register("claim_merge_final_state")
 def q_claim_merge_final_state(spark, root):
-    c = sc.claims(Tables(spark, root))
+    # The claim table is stored once (as the warehouse holds it); target and
+    # batch are read from it instead of re-deriving it per use.
+    c = sinks.materialize(sc.claims(Tables(spark, root)), "claims")
     return loads.merge_claims(sc.claim_target(c), sc.claim_batch(c))
 
 
 @register("encounter_append_final_state")
 def q_encounter_append_final_state(spark, root):
     t = Tables(spark, root)
-    target = sc.encounter_target(t)
+    target = sinks.materialize(sc.encounter_target(t), "fact_encounter_target")
     appended = loads.append_encounters(sc.encounters_raw(t), b.dim_patient(t), b.dim_provider(t),
                                        b.dim_diagnosis(t), target, sc.ENCOUNTER_LOAD_AT)
     # Commit the new rows to the partitioned, clustered layout (S14), then
@@ -326,6 +328,7 @@ def q_claims_stream_final_state(spark, root):
     target.commit(sc.claim_target(c))
     q = claims_stream.run_claims_stream(
         spark, landing, scratch_path(spark, "claims_ckpt"), target, dims,
+        max_files_per_trigger=None,
         rejects_path=scratch_path(spark, "claims_rejects"),
         ledger_path=scratch_path(spark, "claims_ledger"))
     q.awaitTermination()

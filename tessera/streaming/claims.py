@@ -52,14 +52,16 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
 def run_claims_stream(spark: SparkSession, landing_dir: str, checkpoint: str,
                       target: VersionedTable, dims: dict[str, DataFrame],
                       available_now: bool = True, processing_time: str = "15 minutes",
-                      max_files_per_trigger: int = 1, rejects_path: str | None = None,
+                      max_files_per_trigger: int | None = None,
+                      rejects_path: str | None = None,
                       ledger_path: str | None = None):
     """Start the stream.  ``available_now`` drains what has landed and stops
     (batch-style scheduling); otherwise it triggers every
     ``processing_time`` and skips empty intervals."""
-    raw = (spark.readStream.format("text")
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .load(landing_dir)
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = (reader.load(landing_dir)
            .select("value",
                    F.col("_metadata.file_path").alias("file_name"),
                    F.col("_metadata.file_modification_time").cast("timestamp_ntz")
