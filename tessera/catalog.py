@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tessera.operators import sinks
 from tessera.functions import calendar, exprs
 from tessera.operators import vault
-from tessera.plans import assertions, clinical, loads, population, product, quality, staging
+from tessera.plans import (assertions, clinical, loads, pipeline, population, product, quality,
+                           staging)
 from tessera.streaming import aggregates as agg_stream
 from tessera.session import scratch_path
 from tessera.sources import ingest
@@ -270,16 +271,14 @@ def q_scd2_run_log(spark, root):
 
 @register("claim_merge_final_state")
 def q_claim_merge_final_state(spark, root):
-    # The claim table is stored once (as the warehouse holds it); target and
-    # batch are read from it instead of re-deriving it per use.
-    c = sinks.materialize(sc.claims(Tables(spark, root)), "claims")
+    c = sc.claims(Tables(spark, root))
     return loads.merge_claims(sc.claim_target(c), sc.claim_batch(c))
 
 
 @register("encounter_append_final_state")
 def q_encounter_append_final_state(spark, root):
     t = Tables(spark, root)
-    target = sinks.materialize(sc.encounter_target(t), "fact_encounter_target")
+    target = sc.encounter_target(t)
     appended = loads.append_encounters(sc.encounters_raw(t), b.dim_patient(t), b.dim_provider(t),
                                        b.dim_diagnosis(t), target, sc.ENCOUNTER_LOAD_AT)
     # Commit the new rows to the partitioned, clustered layout (S14), then
@@ -501,3 +500,45 @@ def q_events_continuous_agg(spark, root):
                                     file_glob="events.parquet")
     q.awaitTermination()
     return target.read()
+
+
+# ── pipeline run (M16) ───────────────────────────────────────────────────
+PIPELINE_RUN_AT = _dt.datetime(1999, 1, 2, 2, 0, 0)
+
+
+@register("pipeline_run_ledger")
+def q_pipeline_run_ledger(spark, root):
+    """Land the claim batch, run stage -> merge -> quality gate, return the
+    run's ledger row (wall-clock columns left out)."""
+    t = Tables(spark, root)
+    c = sc.claims(t)
+    landing = scratch_path(spark, "pipeline_landing")
+    sc.claim_payloads(sc.claim_batch(c), t).select("claim_json").write.text(landing)
+    dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
+            "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
+            "fact_encounter": b.fact_encounter(t)}
+    fact = sinks.versioned_table(spark, "fact_claim")
+    fact.commit(sc.claim_target(c))
+    run_id = f"claims-{PIPELINE_RUN_AT:%Y%m%d}"
+    ledger = pipeline.run_claims_pipeline(
+        spark, landing, fact, dims, run_id, PIPELINE_RUN_AT,
+        results_path=scratch_path(spark, "dq_results"),
+        ledger_path=scratch_path(spark, "pipeline_runs"))
+    return ledger.drop("started_at", "finished_at", "duration_sec")
+
+
+@register("encounter_append_watermarked")
+def q_encounter_append_watermarked(spark, root):
+    """Two runs of the watermark-driven load: the first takes the last day,
+    the second (a day later, nothing new extracted) adds nothing."""
+    t = Tables(spark, root)
+    dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
+            "dim_diagnosis": b.dim_diagnosis(t)}
+    raw = sc.encounters_raw(t)
+    fact = sinks.versioned_table(spark, "fact_encounter")
+    fact.commit(sc.encounter_target(t))
+    mark = sinks.versioned_table(spark, "encounter_watermark")
+    loads.watermarked_encounter_load(raw, dims, fact, mark, sc.ENCOUNTER_LOAD_AT)
+    loads.watermarked_encounter_load(raw, dims, fact, mark,
+                                     sc.ENCOUNTER_LOAD_AT + _dt.timedelta(days=1))
+    return fact.read().select(*ENCOUNTER_OUTPUT)

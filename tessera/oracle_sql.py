@@ -1091,3 +1091,29 @@ ORACLE["events_continuous_agg"] = """
 SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS events,
        CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DECIMAL(18,2)) AS value_sum
 FROM events GROUP BY 1, 2"""
+
+ORACLE["pipeline_run_ledger"] = with_shapes(f"""
+WITH m AS (
+  SELECT (SELECT COUNT(*) FROM claim_batch) AS landed,
+         (SELECT COUNT(*) FROM claim_batch s JOIN claim_target t USING (claim_id, claim_line_number)
+          WHERE COALESCE(t.claim_status <> s.claim_status OR t.paid_amount <> s.paid_amount
+                         OR t.denial_reason_code <> s.denial_reason_code, FALSE))
+         + (SELECT COUNT(*) FROM claim_batch s WHERE NOT EXISTS (
+              SELECT 1 FROM claim_target t WHERE t.claim_id = s.claim_id
+                                            AND t.claim_line_number = s.claim_line_number)) AS merged,
+         (SELECT COUNT(*) FROM claim_merge_final WHERE paid_amount > billed_amount) AS bad,
+         (SELECT COUNT(*) FROM claim_merge_final) AS total)
+SELECT 'claims-19990102' AS run_id, 'claims_daily' AS pipeline_name,
+       CASE WHEN status = 'FAIL' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+       CAST(landed + merged + 1 AS BIGINT) AS total_rows,
+       '[{{"step":"stage_load","status":"SUCCESS","rows":' || landed || '}},'
+       || '{{"step":"transform","status":"SUCCESS","rows":' || merged || '}},'
+       || '{{"step":"quality_gate","status":"' || CASE WHEN status = 'FAIL' THEN 'FAILED' ELSE 'SUCCESS' END
+       || '","rows":1}}]' AS run_summary,
+       CASE WHEN status = 'FAIL' THEN 'quality_gate' END AS failed_step,
+       CASE WHEN status = 'FAIL' THEN 'Run claims-19990102 complete. FAILs: 1' END AS error_message
+FROM (SELECT *, CASE WHEN bad = 0 THEN 'PASS'
+                     WHEN {round_div('bad * 100', 'total', 4)} <= 0.1 THEN 'WARN' ELSE 'FAIL' END AS status
+      FROM m)""", "claim_target", "claim_batch", "claim_merge_final")
+
+ORACLE["encounter_append_watermarked"] = ORACLE["encounter_append_final_state"]
