@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import avg_dec_round, avg_int_round, pct
+from tessera.operators.sequence import neighbors
 
 
 def _year_bounds(year: int):
@@ -33,17 +34,25 @@ def _round_double(c, scale: int = 4):
 
 
 # ── M1: 30-day readmission ────────────────────────────────────────────────
-def readmission_30d(fact_encounter: DataFrame) -> DataFrame:
+def readmission_30d(fact_encounter: DataFrame, skew_safe: bool = True) -> DataFrame:
     """Flag each inpatient stay followed by another inpatient admission of
     the same patient within 30 days of discharge (flag sits on the index
-    stay).  Ties on admit date are broken by encounter_id."""
+    stay).  Ties on admit date are broken by encounter_id.
+
+    ``skew_safe`` computes the LEAD over range partitions (a patient with a
+    huge history is split across tasks); otherwise a plain window by
+    patient is used."""
     ip = (fact_encounter.where(F.col("encounter_type") == "IP")
           .select("encounter_id", "patient_key", "admit_date", "discharge_date",
                   "encounter_type"))
-    w = Window.partitionBy("patient_key").orderBy("admit_date", "encounter_id")
-    nxt = ip.select("*",
-                    F.lead("admit_date").over(w).alias("next_admit_date"),
-                    F.lead("encounter_type").over(w).alias("next_encounter_type"))
+    if skew_safe:
+        nxt = neighbors(ip, "patient_key", ["admit_date", "encounter_id"],
+                        ["admit_date", "encounter_type"])
+    else:
+        w = Window.partitionBy("patient_key").orderBy("admit_date", "encounter_id")
+        nxt = ip.select("*",
+                        F.lead("admit_date").over(w).alias("next_admit_date"),
+                        F.lead("encounter_type").over(w).alias("next_encounter_type"))
     days = F.datediff(F.col("next_admit_date"), F.col("discharge_date"))
     flag = (F.col("next_admit_date").isNotNull()
             & (F.col("next_encounter_type") == "IP") & (days <= 30))

@@ -51,9 +51,12 @@ def scratch_root(spark: SparkSession) -> str:
     none (local tests) is a private temporary folder created and registered.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if conf_dir:
+        if not jdir.isDefined():
+            # DataFrame.checkpoint() writes to the context's folder.
+            spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get().rstrip("/")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
