@@ -17,6 +17,7 @@ from tessera.functions import calendar, exprs
 from tessera.operators import vault
 from tessera.plans import (assertions, clinical, loads, pipeline, population, product, quality,
                            staging)
+from tessera.streaming import activity as activity_stream
 from tessera.streaming import aggregates as agg_stream
 from tessera.session import scratch_path
 from tessera.sources import ingest
@@ -542,3 +543,17 @@ def q_encounter_append_watermarked(spark, root):
     loads.watermarked_encounter_load(raw, dims, fact, mark,
                                      sc.ENCOUNTER_LOAD_AT + _dt.timedelta(days=1))
     return fact.read().select(*ENCOUNTER_OUTPUT)
+
+
+@register("user_activity_stream")
+def q_user_activity_stream(spark, root):
+    """Event files -> stream -> per batch: history append, touched dates
+    recomputed, merged into the date-partitioned mart (T6, S16)."""
+    t = Tables(spark, root)
+    mart = sinks.versioned_table(spark, "mart_user_activity")
+    q = activity_stream.run_activity_stream(
+        spark, root, "events.parquet", scratch_path(spark, "activity_ckpt"),
+        scratch_path(spark, "stg_events_history"), mart, _stg_users(t), PRODUCT_AS_OF,
+        b.raw_events_from)
+    q.awaitTermination()
+    return mart.read()

@@ -1117,3 +1117,5 @@ FROM (SELECT *, CASE WHEN bad = 0 THEN 'PASS'
       FROM m)""", "claim_target", "claim_batch", "claim_merge_final")
 
 ORACLE["encounter_append_watermarked"] = ORACLE["encounter_append_final_state"]
+
+ORACLE["user_activity_stream"] = ORACLE["user_activity"]

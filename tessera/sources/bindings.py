@@ -243,7 +243,11 @@ def _raw_event_type(event_type: Column, user_id: Column, event_id: Column) -> Co
 
 
 def raw_events(t: Tables) -> DataFrame:
-    e = t.events
+    return raw_events_from(t.events)
+
+
+def raw_events_from(e: DataFrame) -> DataFrame:
+    """Raw product events from rows of the driver ``events`` table."""
     eid, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     raw_type = _raw_event_type(F.col("event_type"), uid, eid)
     return e.select(
