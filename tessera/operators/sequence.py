@@ -1,5 +1,5 @@
-"""Previous / next row within an entity's ordered history (LEAD / LAG),
-without pinning a hot entity to one task.
+"""Per-entity sequence functions (LEAD, LAG, ROW_NUMBER, first value) without
+pinning a hot entity to one task.
 
 ``Window.partitionBy(entity)`` sends every row of an entity to one task; an
 entity holding a third of the table (an "unknown patient" key, a bot user)
@@ -9,12 +9,17 @@ hot entity across several partitions:
 
 1. range-partition and sort; tag each row with its partition id and a
    position that is increasing in sort order;
-2. LEAD / LAG inside each (partition, entity) group (a window whose groups
-   are at most one range partition big);
-3. the last row of a partition's last entity takes its successor from the
-   first row of the next non-empty partition (and symmetrically for LAG):
-   one head and one tail row per partition, a table bounded by the
-   partition count, broadcast back.
+2. compute the functions inside each (partition, entity) group (a window
+   whose groups are at most one range partition big);
+3. fix the groups that continue across a partition boundary.  Only a
+   partition's first entity can continue from the previous partition, and
+   only its last entity into the next one, so a table with one row per
+   partition (head row, tail row, rows and first row of the tail entity)
+   holds everything needed: the successor of a partition's last row is the
+   next partition's head, the predecessor of its first row is the previous
+   tail, and row numbers and first values carry along a chain of partitions
+   of one entity.  That table is bounded by the partition count; it is
+   resolved on the driver and broadcast back.
 
 Range bounds come from sampling and are drawn again whenever the exchange is
 re-executed, so the tagged rows are checkpointed once (reliable checkpoint
@@ -31,52 +36,105 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import scratch_root
 
 
-def neighbors(df: DataFrame, entity: str, order_cols: Sequence[str], values: Sequence[str],
-              lead: bool = True, lag: bool = False, num_partitions: int | None = None,
-              prefix_next: str = "next_", prefix_prev: str = "prev_") -> DataFrame:
-    """``df`` plus ``next_<v>`` / ``prev_<v>`` for each value column: the value
-    in the following / preceding row of the same entity ordered by
-    ``order_cols`` (which must make the order total)."""
+def _entity_list(entity: str | Sequence[str]) -> list[str]:
+    return [entity] if isinstance(entity, str) else list(entity)
+
+
+def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[str],
+              values: Sequence[str] = (), lead: bool = True, lag: bool = False,
+              row_number: str | None = None, first: Sequence[str] = (),
+              num_partitions: int | None = None, prefix_next: str = "next_",
+              prefix_prev: str = "prev_", prefix_first: str = "first_") -> DataFrame:
+    """``df`` plus, per entity ordered by ``order_cols`` (a total order):
+    ``next_<v>`` / ``prev_<v>`` for each value column, an optional 1-based
+    ``row_number`` column, and ``first_<v>`` (value at the entity's first
+    row) for each column in ``first``."""
     spark = df.sparkSession
     scratch_root(spark)  # makes sure a checkpoint folder is configured
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ents = _entity_list(entity)
     cols = df.columns
-    r = (df.repartitionByRange(n, F.col(entity), *[F.col(c) for c in order_cols])
-         .sortWithinPartitions(entity, *order_cols)
+    carry = list(dict.fromkeys(list(values) + list(first)))
+    r = (df.repartitionByRange(n, *[F.col(c) for c in ents + list(order_cols)])
+         .sortWithinPartitions(*ents, *order_cols)
          .select("*", F.spark_partition_id().alias("_pid"),
                  F.monotonically_increasing_id().alias("_pos"))
          .checkpoint(eager=True))
-    w = Window.partitionBy("_pid", entity).orderBy("_pos")
-    extra = []
-    if lead:
-        extra += [F.lead(v).over(w).alias(f"_n_{v}") for v in values]
-        extra.append(F.lead("_pos").over(w).alias("_n_pos"))
-    if lag:
-        extra += [F.lag(v).over(w).alias(f"_p_{v}") for v in values]
-        extra.append(F.lag("_pos").over(w).alias("_p_pos"))
-    x = r.select("*", *extra)
-
-    # One head and one tail per non-empty partition (<= n rows).
-    packed = F.struct("_pos", F.col(entity).alias("_e"), *[F.col(v) for v in values])
-    edges = r.groupBy("_pid").agg(F.min(packed).alias("_head"), F.max(packed).alias("_tail"))
-    by_pid = Window.orderBy("_pid")
-    edges = edges.select("_pid", F.lead("_head").over(by_pid).alias("_next_head"),
-                         F.lag("_tail").over(by_pid).alias("_prev_tail"))
-    x = x.join(F.broadcast(edges), "_pid", "left")
+    key = F.struct(*[F.col(c) for c in ents])
+    packed = F.struct("_pos", key.alias("_e"), *[F.col(v) for v in carry])
+    edge_type = r.select(packed.alias("s")).schema[0].dataType
+
+    # Within (partition, entity) groups.
+    w = Window.partitionBy("_pid", *ents).orderBy("_pos")
+    extra = [F.lead("_pos").over(w).alias("_n_pos"), F.lag("_pos").over(w).alias("_p_pos")]
+    extra += [F.lead(v).over(w).alias(f"_n_{v}") for v in values if lead]
+    extra += [F.lag(v).over(w).alias(f"_p_{v}") for v in values if lag]
+    if row_number:
+        extra.append(F.row_number().over(w).alias("_rn"))
+    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    extra += [F.first(v).over(full).alias(f"_f_{v}") for v in first]
+    x = r.select("*", key.alias("_key"), *extra)
+
+    # One row per partition: head, tail; then rows and first row of the
+    # tail entity (a second, filtered pass over the stored rows).
+    edges = sorted(r.groupBy("_pid").agg(F.min(packed).alias("head"),
+                                         F.max(packed).alias("tail")).collect(),
+                   key=lambda e: e["_pid"])
+    tails = {}
+    if (row_number or first) and edges:
+        last = spark.createDataFrame(
+            [(e["_pid"], e["tail"]) for e in edges],
+            T.StructType([T.StructField("_pid", T.IntegerType()),
+                          T.StructField("_last", edge_type)]))
+        tails = {row["_pid"]: (row["rows"], row["first"]) for row in
+                 r.join(F.broadcast(last), "_pid")
+                 .where(key.eqNullSafe(F.col("_last._e")))
+                 .groupBy("_pid").agg(F.count("*").alias("rows"), F.min(packed).alias("first"))
+                 .collect()}
+
+    fixes = []
+    carry_rows, carry_first, prev = 0, None, None
+    for i, e in enumerate(edges):
+        continues = prev is not None and prev["tail"]["_e"] == e["head"]["_e"]
+        offset, chain_first = (carry_rows, carry_first) if continues else (0, None)
+        nxt = edges[i + 1]["head"] if i + 1 < len(edges) else None
+        fixes.append((e["_pid"], prev["tail"] if prev is not None else None, nxt, offset,
+                      chain_first))
+        if tails:
+            rows, first_row = tails[e["_pid"]]
+            if e["head"]["_e"] == e["tail"]["_e"] and continues:
+                carry_rows, carry_first = offset + rows, chain_first
+            else:
+                carry_rows, carry_first = rows, first_row
+        prev = e
+
+    schema = T.StructType([T.StructField("_pid", T.IntegerType()),
+                           T.StructField("_prev_tail", edge_type),
+                           T.StructField("_next_head", edge_type),
+                           T.StructField("_offset", T.LongType()),
+                           T.StructField("_chain_first", edge_type)])
+    y = x.join(F.broadcast(spark.createDataFrame(fixes, schema)), "_pid", "left")
 
+    # Rows of the group that continues from the previous partition.
+    continued = F.coalesce(F.col("_prev_tail._e").eqNullSafe(F.col("_key")), F.lit(False))
     out = [F.col(c) for c in cols]
     if lead:
-        cont = (F.col("_n_pos").isNull() & F.col("_next_head").isNotNull()
-                & F.col("_next_head._e").eqNullSafe(F.col(entity)))
+        cont = (F.col("_n_pos").isNull()
+                & F.coalesce(F.col("_next_head._e").eqNullSafe(F.col("_key")), F.lit(False)))
         out += [F.when(cont, F.col(f"_next_head.{v}")).otherwise(F.col(f"_n_{v}"))
                 .alias(f"{prefix_next}{v}") for v in values]
     if lag:
-        cont = (F.col("_p_pos").isNull() & F.col("_prev_tail").isNotNull()
-                & F.col("_prev_tail._e").eqNullSafe(F.col(entity)))
+        cont = F.col("_p_pos").isNull() & continued
         out += [F.when(cont, F.col(f"_prev_tail.{v}")).otherwise(F.col(f"_p_{v}"))
                 .alias(f"{prefix_prev}{v}") for v in values]
-    return x.select(*out)
+    if row_number:
+        out.append((F.col("_rn") + F.when(continued, F.col("_offset")).otherwise(F.lit(0)))
+                   .alias(row_number))
+    out += [F.when(continued, F.col(f"_chain_first.{v}")).otherwise(F.col(f"_f_{v}"))
+            .alias(f"{prefix_first}{v}") for v in first]
+    return y.select(*out)

@@ -117,22 +117,35 @@ def provider_scorecard(fact_encounter: DataFrame, dim_provider: DataFrame, year:
 
 # ── M3: chronic condition progression ────────────────────────────────────
 def chronic_progression(fact_encounter: DataFrame, bridge: DataFrame,
-                        dim_diagnosis: DataFrame, gap_days: int = 365) -> DataFrame:
+                        dim_diagnosis: DataFrame, gap_days: int = 365,
+                        skew_safe: bool = True) -> DataFrame:
     chronic = (dim_diagnosis.where(F.col("is_chronic"))
                .select("diagnosis_key", "icd10_code", "icd10_description", "cms_hcc_category"))
     x = (fact_encounter.select("encounter_key", "patient_key",
                                F.col("admit_date").alias("encounter_date"))
          .join(bridge.select("encounter_key", "diagnosis_key"), "encounter_key")
          .join(chronic, "diagnosis_key"))
-    part = Window.partitionBy("patient_key", "icd10_code")
-    ordered = part.orderBy("encounter_date", "encounter_key", "diagnosis_key")
-    timeline = x.select(
-        "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",
-        F.min("encounter_date").over(part).alias("first_diagnosis_date"),
-        "encounter_date",
-        F.lag("encounter_date").over(ordered).alias("prev_diagnosis_date"),
-        F.row_number().over(ordered).alias("diagnosis_occurrence_num"),
-    )
+    entity = ["patient_key", "icd10_code"]
+    order = ["encounter_date", "encounter_key", "diagnosis_key"]
+    if skew_safe:
+        # MIN over the entity is the first row's date (the order starts with it).
+        seq = neighbors(x, entity, order, ["encounter_date"], lead=False, lag=True,
+                        row_number="diagnosis_occurrence_num", first=["encounter_date"])
+        timeline = seq.select(
+            "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",
+            F.col("first_encounter_date").alias("first_diagnosis_date"), "encounter_date",
+            F.col("prev_encounter_date").alias("prev_diagnosis_date"),
+            "diagnosis_occurrence_num")
+    else:
+        part = Window.partitionBy(*entity)
+        ordered = part.orderBy(*order)
+        timeline = x.select(
+            "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",
+            F.min("encounter_date").over(part).alias("first_diagnosis_date"),
+            "encounter_date",
+            F.lag("encounter_date").over(ordered).alias("prev_diagnosis_date"),
+            F.row_number().over(ordered).alias("diagnosis_occurrence_num"),
+        )
     since_last = F.datediff("encounter_date", "prev_diagnosis_date")
     timeline = timeline.select(
         "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",

@@ -1,5 +1,6 @@
-"""The range-partitioned LEAD/LAG equals a plain window, including a hot
-entity that spans many partitions, NULL entities and single-row entities."""
+"""The range-partitioned sequence functions equal plain windows, including a
+hot entity that spans many partitions, NULL entities, composite entities and
+single-row entities."""
 
 import random
 
@@ -11,34 +12,41 @@ from pyspark.sql import functions as F
 from tessera.operators.sequence import neighbors
 
 
-def _reference(df):
-    w = Window.partitionBy("e").orderBy("t", "id")
-    return df.select("*", F.lead("v").over(w).alias("next_v"), F.lag("v").over(w).alias("prev_v"))
+def _reference(df, ents):
+    w = Window.partitionBy(*ents).orderBy("t", "id")
+    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.select("*", F.lead("v").over(w).alias("next_v"), F.lag("v").over(w).alias("prev_v"),
+                     F.row_number().over(w).alias("rn"), F.first("t").over(full).alias("first_t"))
 
 
-def _compare(spark, rows, parts):
-    df = spark.createDataFrame(rows, "e long, t long, id long, v string")
-    key = repr
-    got = sorted(neighbors(df, "e", ["t", "id"], ["v"], lead=True, lag=True,
-                           num_partitions=parts).collect(), key=key)
-    want = sorted(_reference(df).collect(), key=key)
-    assert got == want
+def _compare(spark, rows, parts, ents=("e",)):
+    schema = "e long, g string, t long, id long, v string"
+    df = spark.createDataFrame(rows, schema)
+    got = neighbors(df, list(ents), ["t", "id"], ["v"], lead=True, lag=True, row_number="rn",
+                    first=["t"], num_partitions=parts)
+    assert sorted(got.collect(), key=repr) == sorted(_reference(df, list(ents)).collect(), key=repr)
 
 
 def test_hot_entity_spans_partitions(spark):
     rng = random.Random(7)
-    rows = [(0, rng.randrange(1000), i, f"h{i}") for i in range(3000)]          # hot entity
-    rows += [(rng.randrange(1, 300), rng.randrange(1000), 10_000 + i, f"c{i}") for i in range(1500)]
-    rows += [(None, rng.randrange(50), 20_000 + i, f"n{i}") for i in range(40)]  # NULL entity
+    rows = [(0, "x", rng.randrange(1000), i, f"h{i}") for i in range(3000)]            # hot
+    rows += [(rng.randrange(1, 300), "x", rng.randrange(1000), 10_000 + i, f"c{i}")
+             for i in range(1500)]
+    rows += [(None, "x", rng.randrange(50), 20_000 + i, f"n{i}") for i in range(40)]   # NULL
     _compare(spark, rows, parts=16)
 
 
+def test_composite_entity(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([1, 1, 1, 2]), rng.choice(["a", "b", None]), rng.randrange(100), i, f"v{i}")
+            for i in range(800)]
+    _compare(spark, rows, parts=9, ents=("e", "g"))
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, 3, None]), st.integers(0, 20)),
-                min_size=0, max_size=60),
+                min_size=1, max_size=60),
        st.integers(1, 7))
 def test_matches_window_property(spark, pairs, parts):
-    rows = [(e, t, i, f"v{i}") for i, (e, t) in enumerate(pairs)]
-    if not rows:
-        return
+    rows = [(e, "x", t, i, f"v{i}") for i, (e, t) in enumerate(pairs)]
     _compare(spark, rows, parts)
