@@ -187,3 +187,24 @@ def append_new(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Rows of ``source`` whose ``key`` is not in ``target`` (NOT EXISTS).
     Only the key column of the target is scanned."""
     return source.join(target.select(key).distinct(), key, "left_anti")
+
+
+# ── partition-scoped upsert ───────────────────────────────────────────────
+def upsert_partitions(table, batch: DataFrame, keys: Sequence[str], **upsert_args) -> int:
+    """Upsert ``batch`` into a ``sinks.PartitionedTable``, rewriting only the
+    partitions the batch touches.
+
+    A key's partition value must be a function of the key (as for a claim
+    line and its service year), so matched target rows live in the
+    partitions the batch names.  The touched partition values are one small
+    distinct aggregate (bounded by the number of partitions), the target is
+    read with a partition filter, and untouched partitions are not read or
+    written.  Returns the number of partitions rewritten."""
+    pcols = table.partition_cols
+    touched = [tuple(r) for r in batch.select(*pcols).distinct().collect()]
+    if not touched:
+        return 0
+    current = table.read_partitions(touched)
+    merged = upsert(current, batch, keys, **upsert_args)
+    table.replace_partitions(merged)
+    return len(touched)

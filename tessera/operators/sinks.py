@@ -87,3 +87,61 @@ def append_log(df: DataFrame, path: str, partition_col: str | None = None) -> No
     if partition_col:
         w = w.partitionBy(partition_col)
     w.parquet(path)
+
+
+# ── partitioned table with partition-scoped rewrites ─────────────────────
+class PartitionedTable:
+    """A Parquet table partitioned by ``partition_cols`` whose updates
+    rewrite only the partitions they touch.
+
+    ``replace_partitions(rows)`` first materialises ``rows`` in the scratch
+    space (so the write never reads the files it replaces), then overwrites
+    with dynamic partition overwrite: partitions absent from ``rows`` keep
+    their files.  Each partition directory is swapped as a unit.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, partition_cols: list[str]):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.partition_cols = list(partition_cols)
+
+    def exists(self) -> bool:
+        try:
+            self.spark.read.parquet(self.path).schema  # noqa: B018 - probe
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def read_partitions(self, values: list[tuple]) -> DataFrame:
+        """Only the listed partitions (a partition filter: pruned listing)."""
+        df = self.read()
+        if not values:
+            return df.limit(0)
+        cond = None
+        for v in values:
+            c = None
+            for col, x in zip(self.partition_cols, v):
+                term = F.col(col) == F.lit(x)
+                c = term if c is None else (c & term)
+            cond = c if cond is None else (cond | c)
+        return df.where(cond)
+
+    def replace_partitions(self, rows: DataFrame) -> None:
+        # No repartition by the partition columns: a large partition would
+        # then be written by one task.  Rows stay spread over tasks (each
+        # writes its share of every partition it holds).
+        staged = materialize(rows, "partition_rewrite")
+        (staged.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*self.partition_cols).parquet(self.path))
+
+    def create(self, rows: DataFrame) -> None:
+        rows.write.mode("errorifexists").partitionBy(*self.partition_cols).parquet(self.path)
+
+
+def partitioned_table(spark: SparkSession, name: str, partition_cols: list[str]) -> PartitionedTable:
+    return PartitionedTable(spark, f"{scratch_root(spark)}/tables/{name}-{uuid.uuid4().hex[:8]}",
+                            partition_cols)

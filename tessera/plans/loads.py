@@ -63,6 +63,15 @@ def merge_claims(fact_claim: DataFrame, batch: DataFrame, null_safe: bool = Fals
                   update_cols=CLAIM_UPDATE_COLS, dedup_order=dedup_order, stats=stats)
 
 
+def merge_claims_partitions(table, batch: DataFrame, null_safe: bool = False) -> int:
+    """``merge_claims`` into a table partitioned by service year: only the
+    years present in the batch are read and rewritten."""
+    from tessera.operators.merge import upsert_partitions
+    return upsert_partitions(table, batch, CLAIM_KEYS,
+                             change_predicate=changed_any(CLAIM_CHANGE_COLS, null_safe=null_safe),
+                             update_cols=CLAIM_UPDATE_COLS, dedup_order=["loaded_at"])
+
+
 def resolve_claim_payload(parsed: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame,
                           dim_procedure: DataFrame, dim_diagnosis: DataFrame,
                           fact_encounter: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.sinks import VersionedTable, append_log, materialize
+from tessera.operators.sinks import PartitionedTable, VersionedTable, append_log, materialize
 from tessera.plans import loads
 from tessera.sources import ingest
 
@@ -32,9 +32,13 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
         resolved = loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
                                                dims["dim_procedure"], dims["dim_diagnosis"],
                                                dims["fact_encounter"])
-        current = target.read()
-        merged = loads.merge_claims(current, resolved, dedup_order=["loaded_at"])
-        target.commit(merged)
+        if isinstance(target, PartitionedTable):
+            # Only the service years this batch touches are read and rewritten.
+            dated = resolved.withColumn("service_year", F.year("service_date"))
+            loads.merge_claims_partitions(target, dated)
+        else:
+            merged = loads.merge_claims(target.read(), resolved, dedup_order=["loaded_at"])
+            target.commit(merged)
         if rejects_path:
             bad_values = parsed.where(F.col("_bad_fields") > 0).select(
                 F.to_json(F.struct(*[c for c, _ in ingest.CLAIM_FIELDS])).alias("raw_record"),
@@ -42,9 +46,9 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
             append_log(malformed.unionByName(bad_values)
                        .withColumn("batch_id", F.lit(batch_id)), rejects_path)
         if ledger_path:
+            version = target.current_version() if isinstance(target, VersionedTable) else None
             append_log(batch.sparkSession.createDataFrame(
-                [(batch_id, target.current_version())], "batch_id long, table_version long"),
-                ledger_path)
+                [(batch_id, version)], "batch_id long, table_version long"), ledger_path)
 
     return process
 
