@@ -21,14 +21,19 @@ AGG_KEYS = ["event_date", "event_type"]
 def event_counts_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:
     """Streaming (or batch) aggregate of an events frame with ``ts``.
 
-    Watermarks need a zone-aware timestamp; the stored wall-clock UTC value
-    is reinterpreted in the (UTC) session zone."""
-    return (events.withColumn("ts", F.col("ts").cast("timestamp"))
-            .withWatermark("ts", watermark)
-            .groupBy(F.window("ts", "1 day").alias("w"), "event_type")
+    Watermarks need a zone-aware timestamp: the stored UTC wall clock is
+    turned into an instant with an explicit UTC zone (independent of the
+    session zone); the output day comes from the wall clock itself."""
+    ts = F.col("ts")
+    instant = F.make_timestamp_ltz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                   F.minute(ts), F.second(ts), F.lit("UTC"))
+    return (events.withColumn("_event_time", instant)
+            .withWatermark("_event_time", watermark)
+            .groupBy(F.window("_event_time", "1 day").alias("w"),
+                     F.to_date(ts).alias("event_date"), "event_type")
             .agg(F.count("*").alias("events"),
                  F.sum(F.col("value").cast("decimal(14,2)")).alias("value_sum"))
-            .select(F.to_date(F.col("w.start")).alias("event_date"), "event_type", "events",
+            .select("event_date", "event_type", "events",
                     F.col("value_sum").cast("decimal(18,2)").alias("value_sum")))
 
 
