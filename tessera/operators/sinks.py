@@ -145,3 +145,26 @@ class PartitionedTable:
 def partitioned_table(spark: SparkSession, name: str, partition_cols: list[str]) -> PartitionedTable:
     return PartitionedTable(spark, f"{scratch_root(spark)}/tables/{name}-{uuid.uuid4().hex[:8]}",
                             partition_cols)
+
+
+# ── materialisation modes (S21) ──────────────────────────────────────────
+def materialize_model(df: DataFrame, mode: str, name: str, table: VersionedTable | None = None):
+    """Apply a model's materialisation:
+
+    * ``ephemeral`` - the lazy DataFrame itself (inlined into consumers);
+    * ``view`` - a temporary view over the lazy plan (Catalyst still
+      optimises across it);
+    * ``table`` - a full rebuild committed as a new version of ``table``.
+    Incremental models use ``plans.product.user_activity_incremental`` (or
+    ``operators.merge.upsert``) and then ``table`` to commit.
+    """
+    if mode == "ephemeral":
+        return df
+    if mode == "view":
+        df.createOrReplaceTempView(name)
+        return df.sparkSession.table(name)
+    if mode == "table":
+        target = table or versioned_table(df.sparkSession, name)
+        target.commit(df)
+        return target.read()
+    raise ValueError(f"unknown materialisation {mode!r}")

@@ -293,3 +293,24 @@ def suite_history(run, as_of: _dt.datetime, days: int) -> DataFrame:
         part = run(f"run-{at:%Y%m%d}", at)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def log_row(spark, run_id: str, check_name: str, category: str, target_table: str,
+            target_column: str | None, records_checked: int, records_failed: int,
+            threshold_pct: float, sample_failures: str | None,
+            checked_at: _dt.datetime) -> DataFrame:
+    """UD4: one dq_results row for a check computed elsewhere (rate, status)."""
+    row = spark.createDataFrame(
+        [(run_id, check_name, category, target_table, target_column, records_checked,
+          records_failed, sample_failures)],
+        "run_id string, check_name string, check_category string, target_table string, "
+        "target_column string, records_checked long, records_failed long, "
+        "sample_failures string")
+    rate = failure_rate_pct("records_checked", "records_failed")
+    threshold = F.lit(threshold_pct).cast("decimal(8,4)")
+    return row.select(
+        F.expr("uuid()").alias("check_id"), "run_id", "check_name", "check_category",
+        "target_table", "target_column", "records_checked", "records_failed",
+        rate.alias("failure_rate_pct"), threshold.alias("threshold_pct"),
+        check_status(rate, threshold).alias("status"), "sample_failures",
+        ts_lit(checked_at).alias("checked_at"))

@@ -264,3 +264,32 @@ def test_date_key_round_trip(spark):
 def test_least_strict(spark):
     df = spark.createDataFrame([(None, 5), (3, 5)], "a int, b int")
     assert [r[0] for r in df.select(exprs.least_strict("a", "b")).collect()] == [None, 3]
+
+
+def test_log_row_and_gate(spark):
+    import pytest
+
+    row = quality.log_row(spark, "r1", "c", "validity", "t", "col", 2000, 1, 0.1, None,
+                          TS(2024, 1, 1))
+    r = row.collect()[0]
+    assert (r.failure_rate_pct, r.status) == (Decimal("0.0500"), "WARN")
+    bad = quality.log_row(spark, "r1", "d", "validity", "t", "col", 10, 5, 0.0, None,
+                          TS(2024, 1, 1))
+    with pytest.raises(quality.QualityGateError, match="FAILs: 1"):
+        quality.gate(row.unionByName(bad), "r1")
+
+
+def test_materialization_modes(spark):
+    from tessera.operators import sinks
+
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    assert sinks.materialize_model(df, "ephemeral", "m") is df
+    assert sinks.materialize_model(df, "view", "m_view").count() == 2
+    assert spark.table("m_view").count() == 2
+    assert sorted(r.x for r in sinks.materialize_model(df, "table", "m_table").collect()) == [1, 2]
+
+
+def test_cents_to_dollars(spark):
+    df = spark.createDataFrame([(12345,), (5,), (None,)], "c long")
+    got = [r[0] for r in df.select(exprs.cents_to_dollars("c")).collect()]
+    assert got == [Decimal("123.45"), Decimal("0.05"), None]
