@@ -316,14 +316,13 @@ def q_claims_stream_final_state(spark, root):
     """Target + landed batch files -> file stream -> foreachBatch merge;
     the final table must equal the batch MERGE."""
     t = Tables(spark, root)
-    c = sinks.materialize(sc.claims(t), "claims")
+    c = sc.claims(t)
     landing = scratch_path(spark, "claims_landing")
     (sc.claim_payloads(sc.claim_batch(c), t).repartition(4, "service_year")
      .select("claim_json").write.text(landing))
     dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
             "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
             "fact_encounter": b.fact_encounter(t)}
-    dims = {k: sinks.materialize(v, k) for k, v in dims.items()}
     # The fact is partitioned by service year; each micro-batch rewrites
     # only the years it touches.
     target = sinks.partitioned_table(spark, "fact_claim", ["service_year"])

@@ -73,14 +73,17 @@ def changed_any(cols: Sequence[str], null_safe: bool = False) -> Callable[[Colum
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            change_predicate=None, update_cols: Sequence[str] | None = None,
            insert_cols: Sequence[str] | None = None, dedup_order: Sequence[str] | None = None,
-           allow_schema_sync: bool = False, stats: dict | None = None) -> DataFrame:
+           allow_schema_sync: bool = False, stats: dict | None = None,
+           action_col: str | None = None) -> DataFrame:
     """MERGE: matched rows update ``update_cols`` (all non-key columns by
     default) when ``change_predicate`` holds (always by default); unmatched
     source rows are inserted; other target rows are kept.
 
     ``dedup_order`` collapses duplicate source keys first (latest wins,
-    ruling R10).  ``stats``, if given, is filled with lazy count frames for
-    matched/updated/inserted rows.
+    ruling R10).  ``stats``, if given, is filled with lazy frames of the
+    updated and inserted rows.  ``action_col`` adds a column saying what
+    happened to each row (``updated`` / ``inserted`` / ``kept``), so counts
+    can be taken with ``DataFrame.observe`` during the write itself.
     """
     keys = list(keys)
     if allow_schema_sync:
@@ -101,7 +104,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         changed = hit & change_predicate(lambda c: F.col(c), lambda c: F.col(f"_s_{c}"))
     updated = j.select(*[
         (F.when(changed, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in upd else F.col(c))
-        for c in tcols])
+        for c in tcols], *([F.when(changed, "updated").otherwise("kept").alias(action_col)]
+                           if action_col else []))
     # Keys of the target that the batch touches: a key-only scan of the
     # target against the (small) batch keys.
     matched = target.select(*keys).join(broadcast_if_small(source.select(*keys)), keys, "left_semi")
@@ -110,7 +114,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     src_types = dict(target.dtypes)
     inserts = fresh.select(*[
         (F.col(c) if (c in ins and c in fresh.columns) else F.lit(None)).cast(src_types[c]).alias(c)
-        for c in tcols])
+        for c in tcols], *([F.lit("inserted").alias(action_col)] if action_col else []))
     if stats is not None:
         stats["updated"] = j.where(changed)
         stats["inserted"] = inserts

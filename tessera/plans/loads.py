@@ -54,13 +54,15 @@ CLAIM_UPDATE_COLS = ["claim_status", "allowed_amount", "paid_amount", "patient_r
 
 
 def merge_claims(fact_claim: DataFrame, batch: DataFrame, null_safe: bool = False,
-                 dedup_order: list[str] | None = None, stats: dict | None = None) -> DataFrame:
+                 dedup_order: list[str] | None = None, stats: dict | None = None,
+                 action_col: str | None = None) -> DataFrame:
     """Update five measures of matched claim lines when status, paid amount
     or denial code changed; insert new lines.  ``null_safe`` off by default
     (ruling R9)."""
     return upsert(fact_claim, batch, CLAIM_KEYS,
                   change_predicate=changed_any(CLAIM_CHANGE_COLS, null_safe=null_safe),
-                  update_cols=CLAIM_UPDATE_COLS, dedup_order=dedup_order, stats=stats)
+                  update_cols=CLAIM_UPDATE_COLS, dedup_order=dedup_order, stats=stats,
+                  action_col=action_col)
 
 
 def merge_claims_partitions(table, batch: DataFrame, null_safe: bool = False) -> int:

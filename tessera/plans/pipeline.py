@@ -14,7 +14,7 @@ import json
 import time
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.sinks import VersionedTable, append_log, materialize
@@ -62,9 +62,10 @@ def run_claims_pipeline(spark: SparkSession, landing_dir: str, fact_claim: Versi
     staged: dict[str, DataFrame] = {}
 
     def stage():
+        # Landing rows are counted here and persisted once, parsed, below.
         landing, rejects = ingest.read_stage(spark, landing_dir)
-        staged["landing"] = materialize(landing, "landing")
-        return staged["landing"].count()
+        staged["landing"] = landing
+        return landing.count()
 
     def transform():
         parsed = materialize(ingest.project_claims(staged["landing"]), "parsed")
@@ -72,12 +73,15 @@ def run_claims_pipeline(spark: SparkSession, landing_dir: str, fact_claim: Versi
         resolved = loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
                                                dims["dim_procedure"], dims["dim_diagnosis"],
                                                dims["fact_encounter"])
-        stats: dict = {}
         merged = loads.merge_claims(fact_claim.read(), resolved, dedup_order=["loaded_at"],
-                                    stats=stats)
-        n = stats["updated"].count() + stats["inserted"].count()
-        fact_claim.commit(merged)
-        return n
+                                    action_col="_action")
+        # Row counts ride along with the commit write (no extra job).
+        obs = Observation("merge")
+        observed = merged.observe(obs, F.count_if(F.col("_action") == "updated").alias("updated"),
+                                  F.count_if(F.col("_action") == "inserted").alias("inserted"))
+        fact_claim.commit(observed.drop("_action"))
+        m = obs.get
+        return m["updated"] + m["inserted"]
 
     def quality_gate():
         results = quality.run_suite_on({"fact_claim": fact_claim.read()}, run_id, as_of)
