@@ -1,5 +1,5 @@
-"""Per-entity sequence functions (LEAD, LAG, ROW_NUMBER, first value) without
-pinning a hot entity to one task.
+"""Per-entity sequence functions (LEAD, LAG, ROW_NUMBER, first value, running
+sums, trailing RANGE-frame sums) without pinning a hot entity to one task.
 
 ``Window.partitionBy(entity)`` sends every row of an entity to one task; an
 entity holding a third of the table (an "unknown patient" key, a bot user)
@@ -33,6 +33,7 @@ group, as in a window).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,12 +49,14 @@ def _entity_list(entity: str | Sequence[str]) -> list[str]:
 def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[str],
               values: Sequence[str] = (), lead: bool = True, lag: bool = False,
               row_number: str | None = None, first: Sequence[str] = (),
-              num_partitions: int | None = None, prefix_next: str = "next_",
-              prefix_prev: str = "prev_", prefix_first: str = "first_") -> DataFrame:
+              running_sums: Sequence[str] = (), num_partitions: int | None = None,
+              prefix_next: str = "next_", prefix_prev: str = "prev_",
+              prefix_first: str = "first_", prefix_cum: str = "cum_") -> DataFrame:
     """``df`` plus, per entity ordered by ``order_cols`` (a total order):
     ``next_<v>`` / ``prev_<v>`` for each value column, an optional 1-based
-    ``row_number`` column, and ``first_<v>`` (value at the entity's first
-    row) for each column in ``first``."""
+    ``row_number`` column, ``first_<v>`` (value at the entity's first row)
+    for each column in ``first`` and ``cum_<c>`` (running sum up to and
+    including the row) for each column in ``running_sums``."""
     spark = df.sparkSession
     scratch_root(spark)  # makes sure a checkpoint folder is configured
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -78,7 +81,12 @@ def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[s
         extra.append(F.row_number().over(w).alias("_rn"))
     full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     extra += [F.first(v).over(full).alias(f"_f_{v}") for v in first]
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    extra += [F.sum(c).over(upto).alias(f"_c_{c}") for c in running_sums]
     x = r.select("*", key.alias("_key"), *extra)
+    # Typed zeros for the running-sum carries (decimal sums need Decimal).
+    zero = [Decimal(0) if isinstance(x.schema[f"_c_{c}"].dataType, T.DecimalType) else 0
+            for c in running_sums]
 
     # One row per partition: head, tail; then rows and first row of the
     # tail entity (a second, filtered pass over the stored rows).
@@ -86,38 +94,45 @@ def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[s
                                          F.max(packed).alias("tail")).collect(),
                    key=lambda e: e["_pid"])
     tails = {}
-    if (row_number or first) and edges:
+    if (row_number or first or running_sums) and edges:
         last = spark.createDataFrame(
             [(e["_pid"], e["tail"]) for e in edges],
             T.StructType([T.StructField("_pid", T.IntegerType()),
                           T.StructField("_last", edge_type)]))
-        tails = {row["_pid"]: (row["rows"], row["first"]) for row in
+        tails = {row["_pid"]: (row["rows"], row["first"],
+                               [row[f"s_{c}"] if row[f"s_{c}"] is not None else z
+                                for c, z in zip(running_sums, zero)]) for row in
                  r.join(F.broadcast(last), "_pid")
                  .where(key.eqNullSafe(F.col("_last._e")))
-                 .groupBy("_pid").agg(F.count("*").alias("rows"), F.min(packed).alias("first"))
+                 .groupBy("_pid").agg(F.count("*").alias("rows"), F.min(packed).alias("first"),
+                                      *[F.sum(c).alias(f"s_{c}") for c in running_sums])
                  .collect()}
 
     fixes = []
-    carry_rows, carry_first, prev = 0, None, None
+    carry_rows, carry_first, carry_sums, prev = 0, None, zero, None
     for i, e in enumerate(edges):
         continues = prev is not None and prev["tail"]["_e"] == e["head"]["_e"]
-        offset, chain_first = (carry_rows, carry_first) if continues else (0, None)
+        offset, chain_first, sums = ((carry_rows, carry_first, carry_sums) if continues
+                                     else (0, None, zero))
         nxt = edges[i + 1]["head"] if i + 1 < len(edges) else None
         fixes.append((e["_pid"], prev["tail"] if prev is not None else None, nxt, offset,
-                      chain_first))
+                      chain_first, *sums))
         if tails:
-            rows, first_row = tails[e["_pid"]]
+            rows, first_row, part_sums = tails[e["_pid"]]
             if e["head"]["_e"] == e["tail"]["_e"] and continues:
                 carry_rows, carry_first = offset + rows, chain_first
+                carry_sums = [a + b for a, b in zip(sums, part_sums)]
             else:
-                carry_rows, carry_first = rows, first_row
+                carry_rows, carry_first, carry_sums = rows, first_row, part_sums
         prev = e
 
     schema = T.StructType([T.StructField("_pid", T.IntegerType()),
                            T.StructField("_prev_tail", edge_type),
                            T.StructField("_next_head", edge_type),
                            T.StructField("_offset", T.LongType()),
-                           T.StructField("_chain_first", edge_type)])
+                           T.StructField("_chain_first", edge_type)]
+                          + [T.StructField(f"_o_{c}", x.schema[f"_c_{c}"].dataType)
+                             for c in running_sums])
     y = x.join(F.broadcast(spark.createDataFrame(fixes, schema)), "_pid", "left")
 
     # Rows of the group that continues from the previous partition.
@@ -137,4 +152,48 @@ def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[s
                    .alias(row_number))
     out += [F.when(continued, F.col(f"_chain_first.{v}")).otherwise(F.col(f"_f_{v}"))
             .alias(f"{prefix_first}{v}") for v in first]
+    out += [(F.col(f"_c_{c}") + F.when(continued, F.col(f"_o_{c}")).otherwise(F.lit(0)))
+            .alias(f"{prefix_cum}{c}") for c in running_sums]
     return y.select(*out)
+
+
+def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_col: str,
+                  value_cols: Sequence[str], lo_days: int, hi_days: int = 0,
+                  prefix: str = "w_", num_partitions: int | None = None) -> DataFrame:
+    """Per row: count and sums of ``value_cols`` over the entity's rows whose
+    day lies in [day - lo_days, day - hi_days] (a RANGE frame on days, peers
+    on the same day included), without a per-entity window.
+
+    With S(x) = running total of the entity's rows up to day x (all rows of
+    day x included), the frame is S(day - hi) - S(day - lo - 1).  Each row
+    contributes two zero-weight probe rows placed after all real rows of
+    those days; running sums (carried across range partitions by
+    ``neighbors``) read S at the probes, and one aggregate per row id pairs
+    them up (``<prefix>seq`` is the row's running position, ROWS UNBOUNDED
+    PRECEDING in (day, id) order).  ``id_col`` must be unique."""
+    ents = _entity_list(entity)
+    days = F.datediff(F.col(day_col), F.lit("1970-01-01").cast("date"))
+    base = df.select(*ents, id_col, days.alias("_d"), *value_cols)
+    real = base.select(*ents, F.col("_d"), F.lit(0).alias("_kind"), id_col,
+                       F.lit(0).alias("_probe"), F.lit(1).cast("long").alias("_one"),
+                       *[F.col(v) for v in value_cols])
+    zeros = [F.lit(0).cast(df.schema[v].dataType).alias(v) for v in value_cols]
+    upper = base.select(*ents, (F.col("_d") - hi_days).alias("_d"), F.lit(1).alias("_kind"),
+                        id_col, F.lit(1).alias("_probe"), F.lit(0).cast("long").alias("_one"),
+                        *zeros)
+    lower = base.select(*ents, (F.col("_d") - lo_days - 1).alias("_d"), F.lit(1).alias("_kind"),
+                        id_col, F.lit(2).alias("_probe"), F.lit(0).cast("long").alias("_one"),
+                        *zeros)
+    stacked = real.unionByName(upper).unionByName(lower)
+    cums = ["_one", *value_cols]
+    seq = neighbors(stacked, ents, ["_d", "_kind", id_col, "_probe"], lead=False,
+                    running_sums=cums, num_partitions=num_partitions)
+
+    def at(p: int, c: str):
+        return F.max(F.when(F.col("_probe") == p, F.col(f"cum_{c}")))
+
+    framed = seq.groupBy(id_col).agg(
+        at(0, "_one").alias(f"{prefix}seq"),
+        (at(1, "_one") - at(2, "_one")).alias(f"{prefix}count"),
+        *[(at(1, v) - at(2, v)).alias(f"{prefix}{v}") for v in value_cols])
+    return df.join(framed, id_col, "left")

@@ -50,3 +50,28 @@ def test_composite_entity(spark):
 def test_matches_window_property(spark, pairs, parts):
     rows = [(e, "x", t, i, f"v{i}") for i, (e, t) in enumerate(pairs)]
     _compare(spark, rows, parts)
+
+
+def test_trailing_sums_match_range_window(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from tessera.operators.sequence import trailing_sums
+
+    rng = random.Random(11)
+    base = dt.date(2020, 1, 1)
+    rows = []
+    for i in range(2500):
+        e = 0 if i < 1200 else rng.randrange(1, 60)                      # one hot entity
+        rows.append((e, f"r{i}", base + dt.timedelta(days=rng.randrange(400)),
+                     Decimal(rng.randrange(0, 10000)) / 100))
+    df = spark.createDataFrame(rows, "e long, id string, d date, amt decimal(14,2)")
+    for lo, hi in ((90, 0), (182, 1)):
+        got = trailing_sums(df, "e", "d", "id", ["amt"], lo, hi, num_partitions=12)
+        day = F.datediff("d", F.lit("1970-01-01").cast("date"))
+        w = Window.partitionBy("e").orderBy(day).rangeBetween(-lo, -hi)
+        want = df.select("*", F.count("*").over(w).alias("w_count"),
+                         F.sum("amt").over(w).alias("w_amt"))
+        g = {r.id: (r.w_count, r.w_amt or 0) for r in got.collect()}
+        x = {r.id: (r.w_count, r.w_amt or 0) for r in want.collect()}
+        assert g == x, (lo, hi)
