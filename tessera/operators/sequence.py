@@ -28,6 +28,12 @@ branch reads the same stored partition ids and positions.
 
 Results equal the plain window for any partitioning (NULL entities form one
 group, as in a window).
+
+The split costs a checkpoint and two small passes, so it is taken only when
+needed: ``hot_entity_share`` estimates the largest entity's share of rows
+from a small sample, and when that entity would fill less than half of one
+partition the same outputs come from plain windows (``skew_check=False``
+forces the split path).
 """
 
 from __future__ import annotations
@@ -46,21 +52,61 @@ def _entity_list(entity: str | Sequence[str]) -> list[str]:
     return [entity] if isinstance(entity, str) else list(entity)
 
 
+SAMPLE_FRACTION = 0.02
+
+
+def hot_entity_share(df: DataFrame, ents: Sequence[str],
+                     fraction: float = SAMPLE_FRACTION) -> float:
+    """Estimated share of rows held by the most frequent entity, from a
+    Bernoulli sample (one small aggregate; nothing data-sized is collected)."""
+    sample = df.select(*ents).sample(fraction=fraction, seed=17)
+    row = (sample.groupBy(*ents).agg(F.count("*").alias("n"))
+           .agg(F.max("n").alias("top"), F.sum("n").alias("total")).first())
+    if not row or not row["total"]:
+        return 0.0
+    return row["top"] / row["total"]
+
+
+def _needs_split(df: DataFrame, ents: Sequence[str], n: int, skew_check: bool) -> bool:
+    if not skew_check:
+        return True
+    return hot_entity_share(df, ents) * n >= 0.5
+
+
+def _plain(df, ents, order_cols, values, lead, lag, row_number, first, running_sums,
+           prefix_next, prefix_prev, prefix_first, prefix_cum):
+    w = Window.partitionBy(*ents).orderBy(*order_cols)
+    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = [F.col(c) for c in df.columns]
+    out += [F.lead(v).over(w).alias(f"{prefix_next}{v}") for v in values if lead]
+    out += [F.lag(v).over(w).alias(f"{prefix_prev}{v}") for v in values if lag]
+    if row_number:
+        out.append(F.row_number().over(w).alias(row_number))
+    out += [F.first(v).over(full).alias(f"{prefix_first}{v}") for v in first]
+    out += [F.sum(c).over(upto).alias(f"{prefix_cum}{c}") for c in running_sums]
+    return df.select(*out)
+
+
 def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[str],
               values: Sequence[str] = (), lead: bool = True, lag: bool = False,
               row_number: str | None = None, first: Sequence[str] = (),
               running_sums: Sequence[str] = (), num_partitions: int | None = None,
               prefix_next: str = "next_", prefix_prev: str = "prev_",
-              prefix_first: str = "first_", prefix_cum: str = "cum_") -> DataFrame:
+              prefix_first: str = "first_", prefix_cum: str = "cum_",
+              skew_check: bool = True) -> DataFrame:
     """``df`` plus, per entity ordered by ``order_cols`` (a total order):
     ``next_<v>`` / ``prev_<v>`` for each value column, an optional 1-based
     ``row_number`` column, ``first_<v>`` (value at the entity's first row)
     for each column in ``first`` and ``cum_<c>`` (running sum up to and
     including the row) for each column in ``running_sums``."""
     spark = df.sparkSession
-    scratch_root(spark)  # makes sure a checkpoint folder is configured
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ents = _entity_list(entity)
+    if not _needs_split(df, ents, n, skew_check):
+        return _plain(df, ents, order_cols, values, lead, lag, row_number, first, running_sums,
+                      prefix_next, prefix_prev, prefix_first, prefix_cum)
+    scratch_root(spark)  # makes sure a checkpoint folder is configured
     cols = df.columns
     carry = list(dict.fromkeys(list(values) + list(first)))
     r = (df.repartitionByRange(n, *[F.col(c) for c in ents + list(order_cols)])
@@ -159,7 +205,8 @@ def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[s
 
 def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_col: str,
                   value_cols: Sequence[str], lo_days: int, hi_days: int = 0,
-                  prefix: str = "w_", num_partitions: int | None = None) -> DataFrame:
+                  prefix: str = "w_", num_partitions: int | None = None,
+                  skew_check: bool = True) -> DataFrame:
     """Per row: count and sums of ``value_cols`` over the entity's rows whose
     day lies in [day - lo_days, day - hi_days] (a RANGE frame on days, peers
     on the same day included), without a per-entity window.
@@ -173,6 +220,15 @@ def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_c
     PRECEDING in (day, id) order).  ``id_col`` must be unique."""
     ents = _entity_list(entity)
     days = F.datediff(F.col(day_col), F.lit("1970-01-01").cast("date"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not _needs_split(df, ents, n, skew_check):
+        frame = Window.partitionBy(*ents).orderBy(days).rangeBetween(-lo_days, -hi_days)
+        pos = Window.partitionBy(*ents).orderBy(days, F.col(id_col))
+        return df.select(
+            "*", F.row_number().over(pos).cast("long").alias(f"{prefix}seq"),
+            F.count("*").over(frame).alias(f"{prefix}count"),
+            *[F.coalesce(F.sum(v).over(frame), F.lit(0).cast(df.schema[v].dataType))
+              .alias(f"{prefix}{v}") for v in value_cols])
     base = df.select(*ents, id_col, days.alias("_d"), *value_cols)
     real = base.select(*ents, F.col("_d"), F.lit(0).alias("_kind"), id_col,
                        F.lit(0).alias("_probe"), F.lit(1).cast("long").alias("_one"),
@@ -187,7 +243,7 @@ def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_c
     stacked = real.unionByName(upper).unionByName(lower)
     cums = ["_one", *value_cols]
     seq = neighbors(stacked, ents, ["_d", "_kind", id_col, "_probe"], lead=False,
-                    running_sums=cums, num_partitions=num_partitions)
+                    running_sums=cums, num_partitions=num_partitions, skew_check=False)
 
     def at(p: int, c: str):
         return F.max(F.when(F.col("_probe") == p, F.col(f"cum_{c}")))

@@ -23,7 +23,7 @@ def _compare(spark, rows, parts, ents=("e",)):
     schema = "e long, g string, t long, id long, v string"
     df = spark.createDataFrame(rows, schema)
     got = neighbors(df, list(ents), ["t", "id"], ["v"], lead=True, lag=True, row_number="rn",
-                    first=["t"], num_partitions=parts)
+                    first=["t"], num_partitions=parts, skew_check=False)
     assert sorted(got.collect(), key=repr) == sorted(_reference(df, list(ents)).collect(), key=repr)
 
 
@@ -67,7 +67,8 @@ def test_trailing_sums_match_range_window(spark):
                      Decimal(rng.randrange(0, 10000)) / 100))
     df = spark.createDataFrame(rows, "e long, id string, d date, amt decimal(14,2)")
     for lo, hi in ((90, 0), (182, 1)):
-        got = trailing_sums(df, "e", "d", "id", ["amt"], lo, hi, num_partitions=12)
+        got = trailing_sums(df, "e", "d", "id", ["amt"], lo, hi, num_partitions=12,
+                            skew_check=False)
         day = F.datediff("d", F.lit("1970-01-01").cast("date"))
         w = Window.partitionBy("e").orderBy(day).rangeBetween(-lo, -hi)
         want = df.select("*", F.count("*").over(w).alias("w_count"),
@@ -75,3 +76,23 @@ def test_trailing_sums_match_range_window(spark):
         g = {r.id: (r.w_count, r.w_amt or 0) for r in got.collect()}
         x = {r.id: (r.w_count, r.w_amt or 0) for r in want.collect()}
         assert g == x, (lo, hi)
+
+
+def test_skew_check_picks_split_only_for_hot_entities(spark):
+    from tessera.operators.sequence import _needs_split, hot_entity_share
+
+    hot = spark.range(0, 20000).select((F.col("id") % 3 == 0).cast("long").alias("e"))
+    flat = spark.range(0, 20000).select((F.col("id") % 5000).alias("e"))
+    assert hot_entity_share(hot, ["e"]) > 0.5
+    assert _needs_split(hot, ["e"], 8, True)
+    assert not _needs_split(flat, ["e"], 8, True)
+
+
+def test_plain_path_matches_split_path(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(0, 400), "x", rng.randrange(100), i, f"v{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "e long, g string, t long, id long, v string")
+    args = dict(lead=True, lag=True, row_number="rn", first=["t"], num_partitions=8)
+    a = neighbors(df, ["e"], ["t", "id"], ["v"], skew_check=True, **args).collect()
+    b = neighbors(df, ["e"], ["t", "id"], ["v"], skew_check=False, **args).collect()
+    assert sorted(a, key=repr) == sorted(b, key=repr)
