@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import sinks
@@ -166,7 +166,8 @@ def _suite_runner(t: Tables, stored: bool = False):
 
 
 def _dq_history(t: Tables) -> DataFrame:
-    return quality.suite_history(_suite_runner(t, stored=True), DQ_AS_OF, DQ_HISTORY_DAYS)
+    return quality.suite_history(_suite_runner(t, stored=True), DQ_AS_OF, DQ_HISTORY_DAYS,
+                                 log_path=scratch_path(t.spark, "dq_results_log"))
 
 
 @register("dq_results")
@@ -558,3 +559,24 @@ def q_user_activity_stream(spark, root):
         b.raw_events_from)
     q.awaitTermination()
     return mart.read()
+
+
+@register("encounter_readmit_flag")
+def q_encounter_readmit_flag(spark, root):
+    fe = b.fact_encounter(Tables(spark, root))
+    return (clinical.with_readmit_flag(fe, clinical.readmission_30d(fe))
+            .select("encounter_id", "encounter_type", "admit_date", "is_30day_readmit"))
+
+
+@register("facility_dimension")
+def q_facility_dimension(spark, root):
+    from tessera.operators.merge import assign_keys
+    dim = clinical.facility_dimension(b.dim_provider(Tables(spark, root)))
+    keyed = assign_keys(dim, "facility_key")
+    # Keys are dense and unique but their order follows partitioning, so the
+    # compared output carries the key range instead of individual keys (the
+    # window runs over the facility dimension: one row per facility).
+    return keyed.select("facility_name", "facility_type", "address_city", "address_state",
+                        "provider_count",
+                        (F.count("*").over(Window.partitionBy()) ==
+                         F.max("facility_key").over(Window.partitionBy())).alias("keys_dense"))

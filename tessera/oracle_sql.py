@@ -1119,3 +1119,20 @@ FROM (SELECT *, CASE WHEN bad = 0 THEN 'PASS'
 ORACLE["encounter_append_watermarked"] = ORACLE["encounter_append_final_state"]
 
 ORACLE["user_activity_stream"] = ORACLE["user_activity"]
+
+ORACLE["encounter_readmit_flag"] = with_shapes("""
+WITH ranked AS (
+  SELECT encounter_id, discharge_date, LEAD(admit_date) OVER w AS next_admit_date,
+         LEAD(encounter_type) OVER w AS next_encounter_type
+  FROM fact_encounter WHERE encounter_type = 'IP'
+  WINDOW w AS (PARTITION BY patient_key ORDER BY admit_date, encounter_id)),
+flags AS (SELECT encounter_id, next_admit_date IS NOT NULL AND next_encounter_type = 'IP'
+                 AND date_diff('day', discharge_date, next_admit_date) <= 30 AS f FROM ranked)
+SELECT fe.encounter_id, fe.encounter_type, fe.admit_date, COALESCE(flags.f, FALSE) AS is_30day_readmit
+FROM fact_encounter fe LEFT JOIN flags USING (encounter_id)""", "fact_encounter")
+
+ORACLE["facility_dimension"] = """
+SELECT n_name || ' General' AS facility_name, 'Hospital' AS facility_type, n_name AS address_city,
+       r_name AS address_state, COUNT(*) AS provider_count, TRUE AS keys_dense
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY 1, 2, 3, 4"""

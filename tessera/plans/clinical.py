@@ -241,3 +241,23 @@ def provider_cost_report(fact_encounter: DataFrame, dim_provider: DataFrame,
                     _round_double(F.col("avg_los")).alias("avg_los"),
                     _round_double(F.col("avg_charges")).alias("avg_charges"))
             .orderBy(F.col("avg_charges").desc()))
+
+
+# ── X15: generated readmission column on the fact ────────────────────────
+def with_readmit_flag(fact_encounter: DataFrame, readmissions: DataFrame) -> DataFrame:
+    """The fact with ``is_30day_readmit`` derived from the readmission
+    detection (M1); non-inpatient stays are FALSE.  Joined on the unique
+    encounter id."""
+    flags = readmissions.select("encounter_id", F.col("is_30d_readmission").alias("_flag"))
+    return (fact_encounter.join(flags, "encounter_id", "left")
+            .withColumn("is_30day_readmit", F.coalesce(F.col("_flag"), F.lit(False)))
+            .drop("_flag"))
+
+
+# ── X14: facility dimension ───────────────────────────────────────────────
+def facility_dimension(dim_provider: DataFrame) -> DataFrame:
+    """One row per facility (from the current provider rows) with its
+    provider count; ``operators.merge.assign_keys`` adds surrogate keys."""
+    return (dim_provider.where(F.col("is_current_record"))
+            .groupBy("facility_name", "facility_type", "address_city", "address_state")
+            .agg(F.count("*").alias("provider_count")))

@@ -285,14 +285,35 @@ def gate(results: DataFrame, run_id: str) -> int:
     return fails
 
 
-def suite_history(run, as_of: _dt.datetime, days: int) -> DataFrame:
-    """Results of daily runs at ``as_of - days + 1 .. as_of`` (one run each)."""
-    out = None
+def suite_history(run, as_of: _dt.datetime, days: int, log_path: str | None = None) -> DataFrame:
+    """Results of daily runs at ``as_of - days + 1 .. as_of`` (one run each).
+
+    With ``log_path`` every run is its own job appending to the results log
+    (partitioned by check date), as scheduled runs would, and the log is
+    returned; without it the runs are unioned lazily."""
+    if log_path is None:
+        out = None
+        for d in range(days - 1, -1, -1):
+            at = as_of - _dt.timedelta(days=d)
+            part = run(f"run-{at:%Y%m%d}", at)
+            out = part if out is None else out.unionByName(part)
+        return out
     for d in range(days - 1, -1, -1):
         at = as_of - _dt.timedelta(days=d)
-        part = run(f"run-{at:%Y%m%d}", at)
-        out = part if out is None else out.unionByName(part)
-    return out
+        write_results(run(f"run-{at:%Y%m%d}", at), log_path)
+    return read_results(log_path)
+
+
+def write_results(results: DataFrame, log_path: str) -> None:
+    """Append a run's rows to the results log, by check date."""
+    (results.withColumn("check_date", F.to_date("checked_at")).coalesce(1)
+     .write.mode("append").partitionBy("check_date").parquet(log_path))
+
+
+def read_results(log_path: str) -> DataFrame:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark.read.parquet(log_path).drop("check_date")
 
 
 def log_row(spark, run_id: str, check_name: str, category: str, target_table: str,
