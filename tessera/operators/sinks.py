@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path, scratch_root
+from tessera.session import path_exists, scratch_path, scratch_root
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -41,10 +41,9 @@ class VersionedTable:
         return f"{self.root}/_current"
 
     def current_version(self) -> int | None:
-        try:
-            row = self.spark.read.text(self.pointer).first()
-        except Exception:  # noqa: BLE001 - no pointer yet
+        if not path_exists(self.spark, self.pointer):
             return None
+        row = self.spark.read.text(self.pointer).first()
         return int(row[0]) if row else None
 
     def read(self) -> DataFrame | None:
@@ -106,11 +105,7 @@ class PartitionedTable:
         self.partition_cols = list(partition_cols)
 
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path).schema  # noqa: B018 - probe
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+        return path_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)

@@ -77,3 +77,11 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster file system (no failed reads)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))

@@ -26,6 +26,7 @@ from tessera.operators.merge import upsert
 from tessera.operators.sinks import VersionedTable
 from tessera.plans import product, staging
 from tessera.plans.product import ACTIVITY_KEYS
+from tessera.session import path_exists
 
 
 def activity_batch_processor(history_path: str, mart: VersionedTable, users: DataFrame,
@@ -51,10 +52,9 @@ def activity_batch_processor(history_path: str, mart: VersionedTable, users: Dat
 def _batch_landed(spark: SparkSession, path: str, batch_id: int) -> bool:
     """Whether the history already holds ``batch_id`` (a partition-pruned
     probe: only directory listing, no data scan)."""
-    try:
-        hist = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no history yet
+    if not path_exists(spark, path):
         return False
+    hist = spark.read.parquet(path)
     return hist.where(F.col("_batch_id") == batch_id).limit(1).count() > 0
 
 
