@@ -70,9 +70,10 @@ def run_claims_pipeline(spark: SparkSession, landing_dir: str, fact_claim: Versi
     def transform():
         parsed = materialize(ingest.project_claims(staged["landing"]), "parsed")
         good = parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields")
-        resolved = loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
-                                               dims["dim_procedure"], dims["dim_diagnosis"],
-                                               dims["fact_encounter"])
+        resolved = materialize(
+            loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
+                                        dims["dim_procedure"], dims["dim_diagnosis"],
+                                        dims["fact_encounter"]), "resolved")
         merged = loads.merge_claims(fact_claim.read(), resolved, dedup_order=["loaded_at"],
                                     action_col="_action")
         # Row counts ride along with the commit write (no extra job).

@@ -29,9 +29,12 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
         # and a stored column keeps the validity filter a plain predicate.
         parsed = materialize(ingest.project_claims(landing), f"claims_batch_{batch_id}")
         good = parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields")
-        resolved = loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
-                                               dims["dim_procedure"], dims["dim_diagnosis"],
-                                               dims["fact_encounter"])
+        # The resolved batch feeds three branches of the merge (touched
+        # partitions, update join, insert anti-join): resolve it once.
+        resolved = materialize(
+            loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
+                                        dims["dim_procedure"], dims["dim_diagnosis"],
+                                        dims["fact_encounter"]), f"claims_resolved_{batch_id}")
         if isinstance(target, PartitionedTable):
             # Only the service years this batch touches are read and rewritten.
             dated = resolved.withColumn("service_year", F.year("service_date"))
