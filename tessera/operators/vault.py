@@ -15,10 +15,11 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.dedup import latest_per_key
+from tessera.operators.sequence import neighbors
 
 
 def hash_key(*cols) -> F.Column:
@@ -67,9 +68,12 @@ def point_in_time(sat: DataFrame, hub_key: str, first_snapshot: _dt.date,
                   last_snapshot: _dt.date) -> DataFrame:
     """One row per (hub key, snapshot date) with the load date of the
     satellite row current at that snapshot (daily snapshots)."""
-    w = Window.partitionBy(hub_key).orderBy("load_date")
-    valid = sat.select(hub_key, "load_date",
-                       F.date_sub(F.lead("load_date").over(w), 1).alias("valid_to"))
+    # Next load of the same key: a checked per-key LEAD (split over range
+    # partitions only when one key's history would fill half a partition).
+    loads = sat.select(hub_key, "load_date").distinct()
+    nxt = neighbors(loads, hub_key, ["load_date"], ["load_date"], lead=True)
+    valid = nxt.select(hub_key, "load_date",
+                       F.date_sub(F.col("next_load_date"), 1).alias("valid_to"))
     lo, hi = F.lit(first_snapshot), F.lit(last_snapshot)
     start = F.greatest(F.col("load_date"), lo)
     end = F.least(F.coalesce(F.col("valid_to"), hi), hi)
