@@ -4,8 +4,9 @@ status / failure-trend views and the load gate.
 Each check is one aggregate pass over its table (total and failing counts
 in the same ``agg``), plus a bounded sample: the failing rows are ordered by
 their natural key and cut to five with ``orderBy().limit()`` (a per-task
-top-k merged on the driver side of the plan), never by collecting a whole
-group.  All check rows of a run are unioned and written once.
+top-k), never by collecting a whole group.  A suite run computes all counts
+in one job first and samples only the checks that failed, so a passing
+check costs one scan.  All check rows of a run are written once.
 """
 
 from __future__ import annotations
@@ -85,7 +86,7 @@ def _result(spec: CheckSpec, counts: DataFrame, samples: DataFrame) -> DataFrame
 
 
 # ── the seven checks ──────────────────────────────────────────────────────
-def check_patient_completeness(dim_patient: DataFrame) -> DataFrame:
+def _parts_completeness(dim_patient: DataFrame):
     cur = dim_patient.where(F.col("is_current_record"))
     rule = (F.col("date_of_birth").isNull() | F.col("gender").isNull()
             | ~F.col("gender").isin(VALID_GENDERS))
@@ -96,7 +97,7 @@ def check_patient_completeness(dim_patient: DataFrame) -> DataFrame:
                .when(F.col("gender").isNull(), "gender").otherwise("invalid_gender"))
     failing = cur.where(rule).select("patient_id", missing.alias("missing_field"))
     samples = _samples_simple(failing, "patient_id", ["patient_id", "missing_field"])
-    return _result(CHECKS["completeness"], counts, samples)
+    return counts, samples
 
 
 def _samples_simple(failing: DataFrame, key: str, fields: list[str],
@@ -110,48 +111,45 @@ def _samples_simple(failing: DataFrame, key: str, fields: list[str],
     return top.agg(F.when(F.size(arr) > 0, F.to_json(arr, {"ignoreNullFields": "false"})).alias("sample_failures"))
 
 
-def check_icd10_format(dim_diagnosis: DataFrame) -> DataFrame:
+def _parts_icd10(dim_diagnosis: DataFrame):
     bad = ~F.col("icd10_code").rlike(ICD10_PATTERN)
     counts = dim_diagnosis.agg(F.count("*").alias("records_checked"),
                                F.count_if(bad).alias("records_failed"))
     failing = dim_diagnosis.where(bad).select("icd10_code")
-    return _result(CHECKS["icd10"], counts, _samples_simple(failing, "icd10_code", ["icd10_code"]))
+    return counts, _samples_simple(failing, "icd10_code", ["icd10_code"])
 
 
-def check_npi_format(dim_provider: DataFrame) -> DataFrame:
+def _parts_npi(dim_provider: DataFrame):
     cur = dim_provider.where(F.col("is_current_record"))
     bad = ~F.col("npi").rlike(NPI_PATTERN)
     counts = cur.agg(F.count("*").alias("records_checked"), F.count_if(bad).alias("records_failed"))
     failing = cur.where(bad).select("npi", "provider_name")
-    return _result(CHECKS["npi"], counts,
-                   _samples_simple(failing, "npi", ["npi", "provider_name"]))
+    return counts, _samples_simple(failing, "npi", ["npi", "provider_name"])
 
 
-def check_encounter_dates(fact_encounter: DataFrame) -> DataFrame:
+def _parts_dates(fact_encounter: DataFrame):
     bad = F.col("discharge_date") < F.col("admit_date")
     counts = fact_encounter.agg(F.count("*").alias("records_checked"),
                                 F.count_if(bad).alias("records_failed"))
     failing = fact_encounter.where(bad).select(
         "encounter_id", F.col("admit_date").cast("string").alias("admit_date"),
         F.col("discharge_date").cast("string").alias("discharge_date"))
-    return _result(CHECKS["dates"], counts,
-                   _samples_simple(failing, "encounter_id",
-                                   ["encounter_id", "admit_date", "discharge_date"]))
+    return counts, _samples_simple(failing, "encounter_id",
+                                   ["encounter_id", "admit_date", "discharge_date"])
 
 
-def check_claim_amounts(fact_claim: DataFrame) -> DataFrame:
+def _parts_amounts(fact_claim: DataFrame):
     bad = F.coalesce(F.col("paid_amount") > F.col("billed_amount"), F.lit(False))
     counts = fact_claim.agg(F.count("*").alias("records_checked"),
                             F.count_if(bad).alias("records_failed"))
     failing = fact_claim.where(bad).select(
         "claim_id", F.col("billed_amount").cast("string").alias("billed_amount"),
         F.col("paid_amount").cast("string").alias("paid_amount"))
-    return _result(CHECKS["amounts"], counts,
-                   _samples_simple(failing, "claim_id", ["claim_id", "billed_amount",
-                                                         "paid_amount"]))
+    return counts, _samples_simple(failing, "claim_id",
+                                   ["claim_id", "billed_amount", "paid_amount"])
 
 
-def check_encounter_timeliness(fact_encounter: DataFrame, as_of: _dt.date) -> DataFrame:
+def _parts_timeliness(fact_encounter: DataFrame, as_of: _dt.date):
     """Yesterday's volume below half the mean daily volume of days -8..-2
     (days without encounters are absent, not zero; no baseline -> pass,
     ruling R16).  Reads only the eight days involved (pushed-down filter)."""
@@ -171,18 +169,13 @@ def check_encounter_timeliness(fact_encounter: DataFrame, as_of: _dt.date) -> Da
         F.lit("encounter_volume_drop").alias("check"),
         F.col("yesterday_count").cast("string").alias("yesterday_count"),
         F.col("avg7").cast("string").alias("7day_avg"))), {"ignoreNullFields": "false"})
+    # The sample (the two volumes) is part of the statistics: always shown.
     row = stats.select(F.lit(1).alias("records_checked"), failed.alias("records_failed"),
                        sample.alias("sample_failures"))
-    spec = CHECKS["timeliness"]
-    return row.select(
-        F.lit(spec.name).alias("check_name"), F.lit(spec.category).alias("check_category"),
-        F.lit(spec.table).alias("target_table"), F.lit(spec.column).alias("target_column"),
-        F.col("records_checked").cast("long"), F.col("records_failed").cast("long"),
-        F.lit(spec.threshold_pct).cast("decimal(8,4)").alias("threshold_pct"),
-        "sample_failures")
+    return row, None
 
 
-def check_encounter_uniqueness(fact_encounter: DataFrame) -> DataFrame:
+def _parts_uniqueness(fact_encounter: DataFrame):
     """Number of duplicated keys (not surplus rows); NULL keys form a group."""
     per_key = fact_encounter.groupBy("encounter_id").agg(F.count("*").alias("cnt"))
     dups = per_key.where(F.col("cnt") > 1)
@@ -197,7 +190,51 @@ def check_encounter_uniqueness(fact_encounter: DataFrame) -> DataFrame:
                        .when(a["_k2"] < b["_k2"], -1).when(a["_k2"] > b["_k2"], 1).otherwise(0))
     arr = F.transform(arr, lambda x: x["_v"])
     samples = top.agg(F.when(F.size(arr) > 0, F.to_json(arr, {"ignoreNullFields": "false"})).alias("sample_failures"))
-    return _result(CHECKS["uniqueness"], counts, samples)
+    return counts, samples
+
+
+# Each check is a pair of one-row frames: counts, and samples (computed only
+# when something failed).  The public functions combine both.
+def check_patient_completeness(dim_patient: DataFrame) -> DataFrame:
+    return _combine("completeness", *_parts_completeness(dim_patient))
+
+
+def check_icd10_format(dim_diagnosis: DataFrame) -> DataFrame:
+    return _combine("icd10", *_parts_icd10(dim_diagnosis))
+
+
+def check_npi_format(dim_provider: DataFrame) -> DataFrame:
+    return _combine("npi", *_parts_npi(dim_provider))
+
+
+def check_encounter_dates(fact_encounter: DataFrame) -> DataFrame:
+    return _combine("dates", *_parts_dates(fact_encounter))
+
+
+def check_claim_amounts(fact_claim: DataFrame) -> DataFrame:
+    return _combine("amounts", *_parts_amounts(fact_claim))
+
+
+def check_encounter_timeliness(fact_encounter: DataFrame, as_of: _dt.date) -> DataFrame:
+    return _combine("timeliness", *_parts_timeliness(fact_encounter, as_of))
+
+
+def check_encounter_uniqueness(fact_encounter: DataFrame) -> DataFrame:
+    return _combine("uniqueness", *_parts_uniqueness(fact_encounter))
+
+
+def _combine(key: str, counts: DataFrame, samples: DataFrame | None) -> DataFrame:
+    return _result(CHECKS[key], counts, samples) if samples is not None else \
+        _result_row(CHECKS[key], counts)
+
+
+def _result_row(spec: CheckSpec, row: DataFrame) -> DataFrame:
+    return row.select(
+        F.lit(spec.name).alias("check_name"), F.lit(spec.category).alias("check_category"),
+        F.lit(spec.table).alias("target_table"), F.lit(spec.column).alias("target_column"),
+        F.col("records_checked").cast("long"), F.col("records_failed").cast("long"),
+        F.lit(spec.threshold_pct).cast("decimal(8,4)").alias("threshold_pct"),
+        "sample_failures")
 
 
 # ── suite, log rows, views, gate ─────────────────────────────────────────
@@ -211,28 +248,59 @@ def run_suite(dim_patient: DataFrame, dim_diagnosis: DataFrame, dim_provider: Da
 
 
 def run_suite_on(tables: dict[str, DataFrame], run_id: str, as_of: _dt.datetime) -> DataFrame:
-    """The checks whose tables are given (a load checks what it loaded, T8)."""
+    """The checks whose tables are given (a load checks what it loaded, T8).
+
+    Two phases: one job computes every check's counts (a handful of rows
+    reach the driver), then sample rows are computed only for the checks
+    that failed, so passing checks never pay for a second scan."""
     plan = [
-        ("dim_patient", check_patient_completeness),
-        ("dim_diagnosis", check_icd10_format),
-        ("dim_provider", check_npi_format),
-        ("fact_encounter", check_encounter_dates),
-        ("fact_claim", check_claim_amounts),
-        ("fact_encounter", lambda df: check_encounter_timeliness(df, as_of.date())),
-        ("fact_encounter", check_encounter_uniqueness),
+        ("completeness", "dim_patient", _parts_completeness),
+        ("icd10", "dim_diagnosis", _parts_icd10),
+        ("npi", "dim_provider", _parts_npi),
+        ("dates", "fact_encounter", _parts_dates),
+        ("amounts", "fact_claim", _parts_amounts),
+        ("timeliness", "fact_encounter", lambda df: _parts_timeliness(df, as_of.date())),
+        ("uniqueness", "fact_encounter", _parts_uniqueness),
     ]
-    parts = [fn(tables[name]) for name, fn in plan if name in tables]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    active = [(k, *fn(tables[t])) for k, t, fn in plan if t in tables]
+    spark = active[0][1].sparkSession
+    # Phase 1: counts of every check in one job.
+    counted = None
+    for k, cnt, smp in active:
+        part = cnt.select(F.lit(k).alias("_check"), F.col("records_checked").cast("long"),
+                          F.col("records_failed").cast("long"),
+                          (F.col("sample_failures") if smp is None
+                           else F.lit(None).cast("string")).alias("sample_failures"))
+        counted = part if counted is None else counted.unionByName(part)
+    counts = {r["_check"]: r for r in counted.collect()}
+    # Phase 2: samples for failing checks only.
+    failing = [(k, smp) for k, _, smp in active if smp is not None and counts[k]["records_failed"]]
+    samples = {}
+    if failing:
+        u = None
+        for k, smp in failing:
+            part = smp.select(F.lit(k).alias("_check"), "sample_failures")
+            u = part if u is None else u.unionByName(part)
+        samples = {r["_check"]: r["sample_failures"] for r in u.collect()}
+    rows = []
+    for k, _, smp in active:
+        spec, c = CHECKS[k], counts[k]
+        sample = c["sample_failures"] if smp is None else samples.get(k)
+        rows.append((spec.name, spec.category, spec.table, spec.column, c["records_checked"],
+                     c["records_failed"], float(spec.threshold_pct), sample))
+    results = spark.createDataFrame(rows, "check_name string, check_category string, "
+                                          "target_table string, target_column string, "
+                                          "records_checked long, records_failed long, "
+                                          "threshold double, sample_failures string")
     rate = failure_rate_pct("records_checked", "records_failed")
-    return rows.select(
+    threshold = F.col("threshold").cast("decimal(8,4)")
+    return results.select(
         F.expr("uuid()").alias("check_id"),
         F.lit(run_id).alias("run_id"),
         "check_name", "check_category", "target_table", "target_column",
         "records_checked", "records_failed",
-        rate.alias("failure_rate_pct"), "threshold_pct",
-        check_status(rate, F.col("threshold_pct")).alias("status"),
+        rate.alias("failure_rate_pct"), threshold.alias("threshold_pct"),
+        check_status(rate, threshold).alias("status"),
         "sample_failures",
         ts_lit(as_of).alias("checked_at"),
     )
