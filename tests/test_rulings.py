@@ -293,3 +293,27 @@ def test_cents_to_dollars(spark):
     df = spark.createDataFrame([(12345,), (5,), (None,)], "c long")
     got = [r[0] for r in df.select(exprs.cents_to_dollars("c")).collect()]
     assert got == [Decimal("123.45"), Decimal("0.05"), None]
+
+
+def test_schema_sync_adds_and_drops_columns(spark):
+    tgt = spark.createDataFrame([("k1", 1, "old")], "k string, v int, gone string")
+    src = spark.createDataFrame([("k1", 2, "x"), ("k2", 3, "y")], "k string, v int, added string")
+    out = {r.k: r for r in upsert(tgt, src, ["k"], allow_schema_sync=True).collect()}
+    assert set(out["k1"].asDict()) == {"k", "v", "added"}
+    assert (out["k1"].v, out["k1"].added, out["k2"].added) == (2, "x", "y")
+
+
+def test_date_dimension_attributes_and_holidays(spark):
+    from tessera.functions import calendar
+
+    dim = {r.full_date: r for r in calendar.date_dimension(spark, "2020-06-15", "2024-12-31").collect()}
+    r = dim[D(2024, 11, 28)]
+    assert r.is_federal_holiday and r.day_name == "Thursday" and r.day_of_week == 5
+    assert dim[D(2024, 5, 27)].is_federal_holiday          # last Monday of May
+    assert dim[D(2024, 1, 15)].is_federal_holiday          # third Monday of January
+    assert not dim[D(2020, 6, 19)].is_federal_holiday      # Juneteenth only from 2021
+    assert dim[D(2021, 6, 19)].is_federal_holiday
+    assert dim[D(2024, 10, 1)].fiscal_period == "FY2025-P01"
+    assert dim[D(2024, 9, 30)].fiscal_period == "FY2024-P12"
+    assert dim[D(2024, 12, 30)].iso_week == 1 and dim[D(2024, 12, 30)].date_key == 20241230
+    assert not dim[D(2024, 12, 28)].is_weekday
