@@ -25,7 +25,11 @@ from pyspark.sql.window import Window
 from tessera.functions.exprs import ts_lit
 from tessera.operators.dedup import latest_per_key
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# A broadcast side is held in every executor as a hash relation; plan
+# estimates for file sources are compressed on-disk sizes, so they are
+# scaled up before comparing with the limit.
+BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+IN_MEMORY_EXPANSION = 4
 
 
 def plan_size_bytes(df: DataFrame) -> int | None:
@@ -40,7 +44,8 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     """Broadcast hint only behind a size check; otherwise leave the join to
     the planner (shuffle join, or AQE's runtime broadcast)."""
     size = plan_size_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
+    fits = size is not None and size * IN_MEMORY_EXPANSION <= limit
+    return F.broadcast(df) if fits else df
 
 
 # ── S26: schema sync ──────────────────────────────────────────────────────
