@@ -12,19 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.operators import sinks
 from tessera.functions import calendar, exprs
-from tessera.operators import vault
+from tessera.operators import sinks, vault
 from tessera.plans import (assertions, clinical, loads, pipeline, population, product, quality,
                            staging)
-from tessera.streaming import activity as activity_stream
-from tessera.streaming import aggregates as agg_stream
 from tessera.session import scratch_path
+from tessera.sources import bindings as b
 from tessera.sources import ingest
 from tessera.sources import scenarios as sc
-from tessera.streaming import claims as claims_stream
-from tessera.sources import bindings as b
 from tessera.sources.tables import Tables
+from tessera.streaming import activity as activity_stream
+from tessera.streaming import aggregates as agg_stream
+from tessera.streaming import claims as claims_stream
 
 # Fixed run parameters (the source used CURRENT_DATE / CURRENT_TIMESTAMP).
 CLINICAL_YEAR = 1998

@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import ts_lit, avg_int_round, diff_boundaries, ratio
+from tessera.functions.exprs import avg_int_round, diff_boundaries, ratio, ts_lit
 from tessera.operators.merge import upsert
 from tessera.operators.rolling import rolling_distinct
 

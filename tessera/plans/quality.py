@@ -28,10 +28,6 @@ ICD10_PATTERN = r"^[A-Z][0-9]{2}(\..*)?$"
 NPI_PATTERN = r"^[0-9]{10}$"
 VALID_GENDERS = ["M", "F", "U"]
 
-RESULT_COLUMNS = ["check_id", "run_id", "check_name", "check_category", "target_table",
-                  "target_column", "records_checked", "records_failed", "failure_rate_pct",
-                  "threshold_pct", "status", "sample_failures", "checked_at"]
-
 
 @dataclass(frozen=True)
 class CheckSpec:

@@ -9,7 +9,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import ts_lit, diff_boundaries, least_strict, to_utc
+from tessera.functions.exprs import diff_boundaries, least_strict, to_utc, ts_lit
 from tessera.operators.dedup import latest_per_key
 
 SESSION_CAP_SECONDS = 14400
