@@ -551,7 +551,7 @@ def q_user_activity_stream(spark, root):
     """Event files -> stream -> per batch: history append, touched dates
     recomputed, merged into the date-partitioned mart (T6, S16)."""
     t = Tables(spark, root)
-    mart = sinks.versioned_table(spark, "mart_user_activity")
+    mart = sinks.partitioned_table(spark, "mart_user_activity", ["activity_date"])
     q = activity_stream.run_activity_stream(
         spark, root, "events.parquet", scratch_path(spark, "activity_ckpt"),
         scratch_path(spark, "stg_events_history"), mart, _stg_users(t), PRODUCT_AS_OF,

@@ -208,8 +208,12 @@ def upsert_partitions(table, batch: DataFrame, keys: Sequence[str], **upsert_arg
     partitions the batch names.  The touched partition values are one small
     distinct aggregate (bounded by the number of partitions), the target is
     read with a partition filter, and untouched partitions are not read or
-    written.  Returns the number of partitions rewritten."""
+    written.  Returns the number of partitions rewritten (-1 when the batch
+    created the table)."""
     pcols = table.partition_cols
+    if not table.exists():
+        table.create(batch)
+        return -1
     touched = [tuple(r) for r in batch.select(*pcols).distinct().collect()]
     if not touched:
         return 0

@@ -8,8 +8,9 @@ user-day, so each micro-batch instead:
 2. takes the event dates the batch touched (late events included);
 3. recomputes the activity mart for exactly those dates from the history
    (the date predicate prunes the history's partitions);
-4. merges the recomputed (user, date) rows into the mart and commits a new
-   version partitioned by activity date.
+4. merges the recomputed (user, date) rows into the mart: with a
+   ``PartitionedTable`` (by activity date) only the touched dates' partitions
+   are read and rewritten; a ``VersionedTable`` gets a new full version.
 
 Replaying a batch re-appends its events; the recompute then sees them twice,
 so the history append is keyed by batch id and skipped when present.
@@ -22,8 +23,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.merge import upsert
-from tessera.operators.sinks import VersionedTable
+from tessera.operators.merge import upsert, upsert_partitions
+from tessera.operators.sinks import PartitionedTable, VersionedTable
 from tessera.plans import product, staging
 from tessera.plans.product import ACTIVITY_KEYS
 from tessera.session import path_exists
@@ -42,10 +43,14 @@ def activity_batch_processor(history_path: str, mart: VersionedTable, users: Dat
         history = spark.read.parquet(history_path).drop("_batch_id")
         fresh = product.user_activity(history.where(F.col("event_date").isin(touched)), users,
                                       as_of)
-        current = mart.read()
-        merged = fresh if current is None else upsert(current, fresh, ACTIVITY_KEYS,
-                                                      allow_schema_sync=True)
-        mart.commit(merged, partition_by=["activity_date"])
+        if isinstance(mart, PartitionedTable):
+            # Only the activity dates this batch touched are read and rewritten.
+            upsert_partitions(mart, fresh, ACTIVITY_KEYS, allow_schema_sync=True)
+        else:
+            current = mart.read()
+            merged = fresh if current is None else upsert(current, fresh, ACTIVITY_KEYS,
+                                                          allow_schema_sync=True)
+            mart.commit(merged, partition_by=["activity_date"])
     return process
 
 
