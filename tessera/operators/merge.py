@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.exprs import ts_lit
 from tessera.operators.dedup import latest_per_key
+from tessera.session import scratch_root
 
 # A broadcast side is held in every executor as a hash relation; plan
 # estimates for file sources are compressed on-disk sizes, so they are
@@ -132,10 +133,14 @@ def assign_keys(df: DataFrame, key_col: str, start_after: int | Column = 0) -> D
 
     Per-partition row counts (one row per partition) give each partition an
     offset; the key is offset + position within the partition.  Only the
-    count table, bounded by the partition count, is broadcast.
+    count table, bounded by the partition count, is broadcast.  The tagged
+    rows are checkpointed (shared checkpoint folder) so the counting and the
+    assigning branch see the same partition ids and positions even if the
+    input would be re-executed differently.
     """
+    scratch_root(df.sparkSession)
     tagged = df.select("*", F.spark_partition_id().alias("_pid"),
-                       F.monotonically_increasing_id().alias("_mid"))
+                       F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
