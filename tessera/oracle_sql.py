@@ -365,7 +365,7 @@ shape("raw_users")(
                  WHEN 'MACHINERY' THEN 'growth' WHEN 'HOUSEHOLD' THEN 'ENTERPRISE' END""",
                      status="Active", lag=1, where="")
     + "\nUNION ALL\n"
-    + _RAW_USER.format(plan="'free'", status="trial", lag=0, where="WHERE c_custkey % 4 = 0"))
+    + _RAW_USER.format(plan="'free'", status="trial", lag=0, where=""))
 
 shape("raw_sessions")("""
 SELECT session_id, CAST(user_id AS VARCHAR) AS user_id, started_at,

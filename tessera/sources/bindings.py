@@ -283,8 +283,7 @@ def _raw_user_rows(customer: DataFrame, stale: bool) -> DataFrame:
         F.date_add(_lit_date("2023-12-01"), (k % 45).cast("int")).cast("timestamp_ntz"),
         (k % 24).cast("int"))
     updated = created if stale else F.timestamp_add("DAY", F.lit(1), created)
-    rows = customer.where(k % 4 == 0) if stale else customer
-    return rows.select(
+    return customer.select(
         k.cast("string").alias("user_id"),
         F.concat(F.lit(" "), F.col("c_name"), F.lit("@Example.com")).alias("email"),
         F.substring_index("c_name", "#", 1).alias("first_name"),
@@ -301,8 +300,8 @@ def _raw_user_rows(customer: DataFrame, stale: bool) -> DataFrame:
 
 
 def raw_users(t: Tables) -> DataFrame:
-    """Current user rows plus an older version for every fourth user, as a
-    change-capture source would deliver them."""
+    """Current user rows plus each user's previous version (signup-time
+    plan and status), as a change-capture source delivers them."""
     c = t.customer
     return _raw_user_rows(c, stale=False).unionByName(_raw_user_rows(c, stale=True))
 
