@@ -67,9 +67,12 @@ def hot_entity_share(df: DataFrame, ents: Sequence[str],
     return row["top"] / row["total"]
 
 
-def _needs_split(df: DataFrame, ents: Sequence[str], n: int, skew_check: bool) -> bool:
+def _needs_split(df: DataFrame, ents: Sequence[str], n: int, skew_check: bool,
+                 probe: tuple[DataFrame, Sequence[str]] | None = None) -> bool:
     if not skew_check:
         return True
+    if probe is not None:
+        df, ents = probe
     return hot_entity_share(df, ents) * n >= 0.5
 
 
@@ -94,16 +97,21 @@ def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[s
               running_sums: Sequence[str] = (), num_partitions: int | None = None,
               prefix_next: str = "next_", prefix_prev: str = "prev_",
               prefix_first: str = "first_", prefix_cum: str = "cum_",
-              skew_check: bool = True) -> DataFrame:
+              skew_check: bool = True,
+              probe: tuple[DataFrame, Sequence[str]] | None = None) -> DataFrame:
     """``df`` plus, per entity ordered by ``order_cols`` (a total order):
     ``next_<v>`` / ``prev_<v>`` for each value column, an optional 1-based
     ``row_number`` column, ``first_<v>`` (value at the entity's first row)
     for each column in ``first`` and ``cum_<c>`` (running sum up to and
-    including the row) for each column in ``running_sums``."""
+    including the row) for each column in ``running_sums``.
+
+    ``probe`` = (frame, columns) runs the hot-entity check on a cheaper
+    frame whose key is a prefix of the entity (an entity can only be hot if
+    its prefix is), e.g. the fact below a join."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ents = _entity_list(entity)
-    if not _needs_split(df, ents, n, skew_check):
+    if not _needs_split(df, ents, n, skew_check, probe):
         return _plain(df, ents, order_cols, values, lead, lag, row_number, first, running_sums,
                       prefix_next, prefix_prev, prefix_first, prefix_cum)
     scratch_root(spark)  # makes sure a checkpoint folder is configured

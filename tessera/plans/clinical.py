@@ -129,8 +129,10 @@ def chronic_progression(fact_encounter: DataFrame, bridge: DataFrame,
     order = ["encounter_date", "encounter_key", "diagnosis_key"]
     if skew_safe:
         # MIN over the entity is the first row's date (the order starts with it).
+        # Hot (patient, code) pairs need a hot patient: check on the fact.
         seq = neighbors(x, entity, order, ["encounter_date"], lead=False, lag=True,
-                        row_number="diagnosis_occurrence_num", first=["encounter_date"])
+                        row_number="diagnosis_occurrence_num", first=["encounter_date"],
+                        probe=(fact_encounter, ["patient_key"]))
         timeline = seq.select(
             "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",
             F.col("first_encounter_date").alias("first_diagnosis_date"), "encounter_date",
