@@ -42,7 +42,7 @@ CLAIM_FIELDS = [
 DATE_FIELDS = ("service_date", "paid_date")
 
 
-def landing_from_text(raw: DataFrame, mode: str = "lines") -> tuple[DataFrame, DataFrame]:
+def landing_from_text(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``raw``: rows with ``value`` (text) and ``file_name``/``loaded_at``.
 
     Returns (landing rows with a VARIANT ``claim_json``, rejected rows)."""
@@ -72,7 +72,7 @@ def read_stage(spark: SparkSession, path: str, mode: str = "lines") -> tuple[Dat
         "value",
         F.col("_metadata.file_path").alias("file_name"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("loaded_at"))
-    return landing_from_text(raw, mode)
+    return landing_from_text(raw)
 
 
 def project_claims(landing: DataFrame) -> DataFrame:
