@@ -235,3 +235,20 @@ def approx_activity_stats(user_activity_df: DataFrame, rsd: float = 0.02) -> Dat
         F.approx_count_distinct("user_id", rsd).alias("approx_users"),
         F.percentile_approx("active_minutes", [0.25, 0.5, 0.75], 10000).alias("minutes_quartiles"),
         F.count("*").alias("user_days"))
+
+
+def refresh_user_activity(table, stg_events: DataFrame, stg_users: DataFrame,
+                          as_of: _dt.datetime, lookback_days: int = 3) -> int:
+    """S11 against a ``sinks.PartitionedTable`` partitioned by activity date:
+    the first run writes everything; later runs recompute event dates from
+    max(activity_date) - lookback and rewrite only those date partitions.
+    The max date aggregates the partition column only (no data columns are
+    read).  Returns the number of partitions rewritten."""
+    from tessera.operators.merge import upsert_partitions
+    if not table.exists():
+        table.create(user_activity(stg_events, stg_users, as_of))
+        return -1
+    max_date = table.read().agg(F.max("activity_date")).first()[0]
+    cutoff = max_date - _dt.timedelta(days=lookback_days)
+    fresh = user_activity(stg_events, stg_users, as_of, from_date=F.lit(cutoff))
+    return upsert_partitions(table, fresh, ACTIVITY_KEYS, allow_schema_sync=True)
