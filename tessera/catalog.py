@@ -580,3 +580,12 @@ def q_facility_dimension(spark, root):
                         "provider_count",
                         (F.count("*").over(Window.partitionBy()) ==
                          F.max("facility_key").over(Window.partitionBy())).alias("keys_dense"))
+
+
+@register("dau_wau_mau_approx")
+def q_dau_wau_mau_approx(spark, root):
+    """HLL-sketch WAU/MAU per plan and country (approximate: no oracle)."""
+    from tessera.operators.rolling import rolling_distinct_approx
+    ua = _user_activity(Tables(spark, root))
+    return rolling_distinct_approx(ua, "activity_date", ["plan_name", "country_code"], "user_id",
+                                   {"wau_approx": 7, "mau_approx": 28})

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -51,3 +51,25 @@ def rolling_distinct(df: DataFrame, day_col: str, group_cols: Sequence[str], id_
     counts = present.groupBy("_t", *group_cols).agg(
         *[F.count_if(F.col("_k") < n).alias(name) for name, n in windows.items()])
     return counts.withColumnRenamed("_t", out_day)
+
+
+def rolling_distinct_approx(df: DataFrame, day_col: str, group_cols: Sequence[str], id_col: str,
+                            windows: dict[str, int], lg_config_k: int = 12,
+                            out_day: str | None = None) -> DataFrame:
+    """Approximate variant: one HLL sketch per (day, group), unioned over a
+    calendar RANGE window of days and estimated.  State per group is one
+    small sketch per day (a few KB), independent of the number of ids, so
+    it also suits continuously maintained aggregates.  Relative error is
+    about 1.6 % at ``lg_config_k=12``.  Rows are the (day, group) pairs with
+    activity."""
+    out_day = out_day or day_col
+    base = df.where(F.col(id_col).isNotNull())
+    for c in group_cols:
+        base = base.where(F.col(c).isNotNull())
+    daily = base.groupBy(day_col, *group_cols).agg(
+        F.hll_sketch_agg(F.col(id_col), lg_config_k).alias("_sk"))
+    epoch = F.datediff(F.col(day_col), F.lit("1970-01-01").cast("date"))
+    part = Window.partitionBy(*group_cols).orderBy(epoch)
+    cols = [F.hll_sketch_estimate(F.hll_union_agg("_sk").over(part.rangeBetween(-(n - 1), 0)))
+            .alias(name) for name, n in windows.items()]
+    return daily.select(F.col(day_col).alias(out_day), *group_cols, *cols)

@@ -65,3 +65,20 @@ def test_rolling_distinct_matches_range_join(spark, acts):
         F.countDistinct("a.user_id").alias("mau")).collect()}
     for k, v in want.items():
         assert got[k] == v
+
+
+def test_rolling_distinct_approx_close_to_exact(spark):
+    import random
+
+    rng = random.Random(1)
+    base = dt.date(2024, 1, 1)
+    rows = {(f"u{rng.randrange(3000)}", base + dt.timedelta(days=rng.randrange(40)), "g")
+            for _ in range(20000)}
+    ua = spark.createDataFrame(sorted(rows), "user_id string, activity_date date, g string")
+    from tessera.operators.rolling import rolling_distinct_approx
+    exact = {(r.activity_date, r.g): r.mau for r in
+             rolling_distinct(ua, "activity_date", ["g"], "user_id", {"mau": 28}).collect()}
+    approx = {(r.activity_date, r.g): r.mau for r in
+              rolling_distinct_approx(ua, "activity_date", ["g"], "user_id", {"mau": 28}).collect()}
+    for k, v in approx.items():
+        assert abs(v - exact[k]) <= 0.05 * exact[k]
