@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import calendar, exprs
 from tessera.operators import sinks, vault
-from tessera.plans import (assertions, clinical, loads, pipeline, population, product, quality,
-                           staging)
+from tessera.plans import (assertions, clinical, load_runs, loads, population, product,
+                           quality, staging)
 from tessera.session import scratch_path
 from tessera.sources import bindings as b
 from tessera.sources import ingest
@@ -505,12 +505,12 @@ def q_events_continuous_agg(spark, root):
     return target.read()
 
 
-# ── pipeline run (M16) ───────────────────────────────────────────────────
+# ── claims load run (M16) ───────────────────────────────────────────────────
 PIPELINE_RUN_AT = _dt.datetime(1999, 1, 2, 2, 0, 0)
 
 
-@register("pipeline_run_ledger")
-def q_pipeline_run_ledger(spark, root):
+@register("claims_run_ledger")
+def q_claims_run_ledger(spark, root):
     """Land the claim batch, run stage -> merge -> quality gate, return the
     run's ledger row (wall-clock columns left out)."""
     t = Tables(spark, root)
@@ -523,7 +523,7 @@ def q_pipeline_run_ledger(spark, root):
     fact = sinks.versioned_table(spark, "fact_claim")
     fact.commit(sc.claim_target(c))
     run_id = f"claims-{PIPELINE_RUN_AT:%Y%m%d}"
-    ledger = pipeline.run_claims_pipeline(
+    ledger = load_runs.run_claims_load(
         spark, landing, fact, dims, run_id, PIPELINE_RUN_AT,
         results_path=scratch_path(spark, "dq_results"),
         ledger_path=scratch_path(spark, "pipeline_runs"))

@@ -1092,7 +1092,7 @@ SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS events,
        CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DECIMAL(18,2)) AS value_sum
 FROM events GROUP BY 1, 2"""
 
-ORACLE["pipeline_run_ledger"] = with_shapes(f"""
+ORACLE["claims_run_ledger"] = with_shapes(f"""
 WITH m AS (
   SELECT (SELECT COUNT(*) FROM claim_batch) AS landed,
          (SELECT COUNT(*) FROM claim_batch s JOIN claim_target t USING (claim_id, claim_line_number)

@@ -37,7 +37,7 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def run_claims_pipeline(spark: SparkSession, landing_dir: str, fact_claim: VersionedTable,
+def run_claims_load(spark: SparkSession, landing_dir: str, fact_claim: VersionedTable,
                         dims: dict[str, DataFrame], run_id: str, as_of: _dt.datetime,
                         results_path: str | None = None, ledger_path: str | None = None,
                         pipeline_name: str = "claims_daily") -> DataFrame:
