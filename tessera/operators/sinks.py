@@ -6,10 +6,10 @@ Intermediates are written as Parquet under the session's shared
 loss of the executors that computed them (unlike caching or local
 checkpoints).
 
-Versioned tables: each new state goes to ``<table>/v=<n>`` and only then is
-the ``_current`` pointer rewritten, so readers never see a partial state and
-a job that dies mid-write leaves the previous version current.  A state is
-never written over the files it is being computed from.
+Versioned tables: each new state goes to ``<table>/v=<n>``; it becomes the
+current one when its write job commits (``_SUCCESS`` marker), so readers
+never see a partial state and a job that dies mid-write leaves the previous
+version current.  A state is never written over the files it reads.
 """
 
 from __future__ import annotations
@@ -32,19 +32,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 # ── versioned table ───────────────────────────────────────────────────────
 class VersionedTable:
+    """A table whose every state is a complete, immutable version directory
+    ``v=<n>``.  A version is current once Spark's job commit has written its
+    ``_SUCCESS`` marker; readers take the highest committed version.  There
+    is no pointer to update, so a job that dies mid-write leaves only an
+    uncommitted directory that readers ignore."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    @property
-    def pointer(self) -> str:
-        return f"{self.root}/_current"
+    def _committed_versions(self) -> list[int]:
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        out = []
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                    out.append(int(name[2:]))
+        return sorted(out)
 
     def current_version(self) -> int | None:
-        if not path_exists(self.spark, self.pointer):
-            return None
-        row = self.spark.read.text(self.pointer).first()
-        return int(row[0]) if row else None
+        versions = self._committed_versions()
+        return versions[-1] if versions else None
 
     def read(self) -> DataFrame | None:
         v = self.current_version()
@@ -56,8 +70,6 @@ class VersionedTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.root}/v={v}")
-        (self.spark.createDataFrame([(str(v),)], "value string").coalesce(1)
-         .write.mode("overwrite").text(self.pointer))
         return v
 
 
@@ -88,6 +100,14 @@ def append_log(df: DataFrame, path: str, partition_col: str | None = None) -> No
     w.parquet(path)
 
 
+def write_batch_log(df: DataFrame, path: str, batch_id: int) -> None:
+    """Per-micro-batch log rows, idempotent under replay: the batch's rows
+    live in their own ``batch_id`` partition, replaced when the batch runs
+    again."""
+    (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
 # ── partitioned table with partition-scoped rewrites ─────────────────────
 class PartitionedTable:
     """A Parquet table partitioned by ``partition_cols`` whose updates

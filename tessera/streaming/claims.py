@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.sinks import PartitionedTable, VersionedTable, append_log, materialize
+from tessera.operators.sinks import PartitionedTable, VersionedTable, materialize, write_batch_log
 from tessera.plans import loads
 from tessera.sources import ingest
 
@@ -46,12 +46,11 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
             bad_values = parsed.where(F.col("_bad_fields") > 0).select(
                 F.to_json(F.struct(*[c for c, _ in ingest.CLAIM_FIELDS])).alias("raw_record"),
                 "file_name", "loaded_at", F.lit("uncastable_field").alias("reason"))
-            append_log(malformed.unionByName(bad_values)
-                       .withColumn("batch_id", F.lit(batch_id)), rejects_path)
+            write_batch_log(malformed.unionByName(bad_values), rejects_path, batch_id)
         if ledger_path:
             version = target.current_version() if isinstance(target, VersionedTable) else None
-            append_log(batch.sparkSession.createDataFrame(
-                [(batch_id, version)], "batch_id long, table_version long"), ledger_path)
+            write_batch_log(batch.sparkSession.createDataFrame(
+                [(version,)], "table_version long"), ledger_path, batch_id)
 
     return process
 
