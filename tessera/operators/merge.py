@@ -80,7 +80,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            change_predicate=None, update_cols: Sequence[str] | None = None,
            insert_cols: Sequence[str] | None = None, dedup_order: Sequence[str] | None = None,
            allow_schema_sync: bool = False, stats: dict | None = None,
-           action_col: str | None = None) -> DataFrame:
+           action_col: str | None = None, strategy: str = "auto") -> DataFrame:
     """MERGE: matched rows update ``update_cols`` (all non-key columns by
     default) when ``change_predicate`` holds (always by default); unmatched
     source rows are inserted; other target rows are kept.
@@ -90,6 +90,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     updated and inserted rows.  ``action_col`` adds a column saying what
     happened to each row (``updated`` / ``inserted`` / ``kept``), so counts
     can be taken with ``DataFrame.observe`` during the write itself.
+
+    ``strategy``: ``broadcast`` streams the target past the broadcast batch
+    (no shuffle; a second, key-only pass finds the inserts); ``shuffle``
+    does everything in one full outer join (one shuffle of each side, one
+    pass over the target); ``auto`` picks ``broadcast`` when the batch
+    passes the size check.
     """
     keys = list(keys)
     if allow_schema_sync:
@@ -101,7 +107,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     src_cols = [c for c in source.columns if c not in keys]
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in src_cols],
                       F.lit(True).alias("_s_hit"))
-    s = broadcast_if_small(s)
+    small = plan_size_bytes(s)
+    small = small is not None and small * IN_MEMORY_EXPANSION <= BROADCAST_LIMIT_BYTES
+    if strategy == "shuffle" or (strategy == "auto" and not small):
+        return _upsert_full_outer(target, s, keys, tcols, upd, src_cols, change_predicate,
+                                  insert_cols, action_col, stats)
+    s = F.broadcast(s)
     j = target.join(s, keys, "left")
     hit = F.coalesce(F.col("_s_hit"), F.lit(False))
     if change_predicate is None:
@@ -127,6 +138,42 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return updated.unionByName(inserts)
 
 
+def _upsert_full_outer(target, s, keys, tcols, upd, src_cols, change_predicate, insert_cols,
+                       action_col, stats):
+    """One full outer join: matched rows update, target-only rows stay,
+    batch-only rows are inserted."""
+    t = target.select("*", F.lit(True).alias("_t_hit"))
+    j = t.join(s, keys, "full_outer")
+    t_hit = F.coalesce(F.col("_t_hit"), F.lit(False))
+    s_hit = F.coalesce(F.col("_s_hit"), F.lit(False))
+    changed = t_hit & s_hit
+    if change_predicate is not None:
+        changed = changed & change_predicate(lambda c: F.col(c), lambda c: F.col(f"_s_{c}"))
+    ins = list(insert_cols) if insert_cols is not None else tcols
+    types = dict(target.dtypes)
+
+    def insert_value(c):
+        if c in keys:
+            return F.col(c)
+        if c in ins and c in src_cols:
+            return F.col(f"_s_{c}").cast(types[c])
+        return F.lit(None).cast(types[c])
+
+    def kept_value(c):
+        if c in upd and c not in keys:
+            return F.when(changed, F.col(f"_s_{c}")).otherwise(F.col(c))
+        return F.col(c)
+
+    out = [F.when(t_hit, kept_value(c)).otherwise(insert_value(c)).alias(c) for c in tcols]
+    if action_col:
+        out.append(F.when(~t_hit, "inserted").when(changed, "updated").otherwise("kept")
+                   .alias(action_col))
+    if stats is not None:
+        stats["updated"] = j.where(changed)
+        stats["inserted"] = j.where(~t_hit)
+    return j.select(*out)
+
+
 # ── S23: distributed surrogate keys ──────────────────────────────────────
 def assign_keys(df: DataFrame, key_col: str, start_after: int | Column = 0) -> DataFrame:
     """Dense keys ``start_after + 1 ..`` without a global window.

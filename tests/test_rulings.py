@@ -331,3 +331,19 @@ def test_incremental_dataframe_form_equals_rebuild(spark, small_dir):
     second = product.user_activity_incremental(ev, users, first, as_of)
     full = product.user_activity(ev, users, as_of)
     assert sorted(second.collect(), key=repr) == sorted(full.collect(), key=repr)
+
+
+def test_upsert_strategies_agree(spark):
+    import random
+
+    rng = random.Random(4)
+    tgt = spark.createDataFrame([(f"k{i}", i, None if i % 7 == 0 else f"s{i}") for i in range(300)],
+                                "k string, v int, s string")
+    src = spark.createDataFrame([(f"k{rng.randrange(400)}", rng.randrange(5), rng.choice(["s1", None]))
+                                 for _ in range(150)], "k string, v int, s string")
+    pred = changed_any(["v", "s"])
+    a = upsert(tgt, src, ["k"], change_predicate=pred, update_cols=["v"], dedup_order=["v"],
+               strategy="broadcast", action_col="act")
+    b_ = upsert(tgt, src, ["k"], change_predicate=pred, update_cols=["v"], dedup_order=["v"],
+                strategy="shuffle", action_col="act")
+    assert sorted(a.collect(), key=repr) == sorted(b_.collect(), key=repr)
