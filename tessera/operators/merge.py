@@ -205,35 +205,47 @@ def scd2_merge(dim: DataFrame, staging: DataFrame, natural_key: str, hash_col: s
     (expiration = effective - 1 day), then insert a current row for every
     staged key without a current row (changed or new).
 
-    Kept as written (ruling R12): a NULL stored hash never expires; keys
-    absent from staging stay current; staged duplicates are collapsed first.
+    One full outer join of the current rows with the (deduplicated) staging
+    rows decides everything: current-only rows are kept, changed keys give
+    an expired old row plus a new current row, staging-only keys give a new
+    row.  Kept as written (ruling R12): a NULL stored hash never expires;
+    keys absent from staging stay current.
     """
     eff = F.lit(effective_date).cast("date")
     ts = ts_lit(now)
     stg = staging.select("*", staged_hash.alias("_new_hash"))
     stg = latest_per_key(stg, [natural_key], [c for c in ["extracted_at"] if c in stg.columns]
                          or ["_new_hash"])
-    cur = dim.where(F.col("is_current_record"))
-    old = dim.where(~F.col("is_current_record"))
-    probe = broadcast_if_small(stg.select(natural_key, "_new_hash"))
-    j = cur.join(probe, natural_key, "left")
-    expire = F.coalesce(F.col("_new_hash").isNotNull() & (F.col(hash_col) != F.col("_new_hash")),
-                        F.lit(False))
     cols = dim.columns
+    dtypes = dict(dim.dtypes)
+    cur = dim.where(F.col("is_current_record")).select("*", F.lit(True).alias("_cur"))
+    old = dim.where(~F.col("is_current_record"))
+    staged_cols = [c for c in stg.columns if c != natural_key]
+    s = stg.select(natural_key, *[F.col(c).alias(f"_n_{c}") for c in staged_cols],
+                   F.lit(True).alias("_stg"))
+    j = cur.join(s, natural_key, "full_outer")
+    has_cur = F.coalesce(F.col("_cur"), F.lit(False))
+    has_stg = F.coalesce(F.col("_stg"), F.lit(False))
+    expire = has_cur & has_stg & F.coalesce(F.col(hash_col) != F.col("_n__new_hash"), F.lit(False))
+    insert = (has_stg & ~has_cur) | expire
     settings = {"expiration_date": F.date_sub(eff, 1), "is_current_record": F.lit(False),
                 "updated_at": ts}
-    cur_out = j.select(*[
+    cur_out = j.where(has_cur).select(*[
         (F.when(expire, settings[c]).otherwise(F.col(c)).alias(c) if c in settings else F.col(c))
         for c in cols], expire.alias("_expired"))
-    still_current = cur_out.where(~F.col("_expired")).select(natural_key)
-    new_rows = stg.join(still_current, natural_key, "left_anti")
-    dtypes = dict(dim.dtypes)
     fixed = {"effective_date": eff, "expiration_date": F.lit("9999-12-31").cast("date"),
-             "is_current_record": F.lit(True), hash_col: F.col("_new_hash"),
+             "is_current_record": F.lit(True), hash_col: F.col("_n__new_hash"),
              "created_at": ts, "updated_at": ts}
-    ins = new_rows.select(*[
-        (fixed[c] if c in fixed else (F.col(c) if c in new_rows.columns else F.lit(None)))
-        .cast(dtypes[c]).alias(c) for c in cols if c != surrogate_key])
+
+    def new_value(c):
+        if c in fixed:
+            return fixed[c]
+        if c == natural_key:
+            return F.col(c)
+        return F.col(f"_n_{c}") if c in staged_cols else F.lit(None)
+
+    ins = j.where(insert).select(*[new_value(c).cast(dtypes[c]).alias(c)
+                                   for c in cols if c != surrogate_key])
     if surrogate_key:
         top = dim.agg(F.coalesce(F.max(surrogate_key), F.lit(0))).first()[0]
         ins = assign_keys(ins, surrogate_key, start_after=int(top)).select(*cols)
