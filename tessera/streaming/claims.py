@@ -20,8 +20,10 @@ from tessera.sources import ingest
 
 
 def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
-                           rejects_path: str | None = None, ledger_path: str | None = None):
-    """foreachBatch body: landing rows -> typed -> resolved -> merged."""
+                           rejects_path: str | None = None, ledger_path: str | None = None,
+                           checks_path: str | None = None):
+    """foreachBatch body: landing rows -> typed -> resolved -> merged; then
+    (T8) the claim checks on the new state, one result set per batch."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         landing, malformed = ingest.landing_from_text(batch)
@@ -47,6 +49,12 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
                 F.to_json(F.struct(*[c for c, _ in ingest.CLAIM_FIELDS])).alias("raw_record"),
                 "file_name", "loaded_at", F.lit("uncastable_field").alias("reason"))
             write_batch_log(malformed.unionByName(bad_values), rejects_path, batch_id)
+        if checks_path:
+            from tessera.plans import quality
+            state = target.read()
+            results = quality.run_suite_on({"fact_claim": state}, f"claims-batch-{batch_id}",
+                                           _batch_time(batch))
+            write_batch_log(results, checks_path, batch_id)
         if ledger_path:
             version = target.current_version() if isinstance(target, VersionedTable) else None
             write_batch_log(batch.sparkSession.createDataFrame(
@@ -55,12 +63,19 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
     return process
 
 
+def _batch_time(batch: DataFrame):
+    """Check time of a batch: its newest landing time (deterministic on replay)."""
+    import datetime as dt
+    t = batch.agg(F.max("loaded_at")).first()[0]
+    return t or dt.datetime(1970, 1, 1)
+
+
 def run_claims_stream(spark: SparkSession, landing_dir: str, checkpoint: str,
                       target: VersionedTable, dims: dict[str, DataFrame],
                       available_now: bool = True, processing_time: str = "15 minutes",
                       max_files_per_trigger: int | None = None,
                       rejects_path: str | None = None,
-                      ledger_path: str | None = None):
+                      ledger_path: str | None = None, checks_path: str | None = None):
     """Start the stream.  ``available_now`` drains what has landed and stops
     (batch-style scheduling); otherwise it triggers every
     ``processing_time`` and skips empty intervals."""
@@ -73,7 +88,8 @@ def run_claims_stream(spark: SparkSession, landing_dir: str, checkpoint: str,
                    F.col("_metadata.file_modification_time").cast("timestamp_ntz")
                    .alias("loaded_at")))
     writer = (raw.writeStream
-              .foreachBatch(claims_batch_processor(target, dims, rejects_path, ledger_path))
+              .foreachBatch(claims_batch_processor(target, dims, rejects_path, ledger_path,
+                                                   checks_path))
               .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))

@@ -31,16 +31,19 @@ def test_stream_equals_batch_and_replay_is_noop(spark, small_dir):
             "fact_encounter": b.fact_encounter(t)}
     target = sinks.versioned_table(spark, "fact_claim")
     target.commit(sc.claim_target(c))
-    ckpt, rejects, ledger = (scratch_path(spark, n) for n in ("ckpt", "rejects", "ledger"))
+    ckpt, rejects, ledger, checks = (scratch_path(spark, n)
+                                     for n in ("ckpt", "rejects", "ledger", "checks"))
     q = claims_stream.run_claims_stream(spark, landing, ckpt, target, dims,
                                         max_files_per_trigger=1, rejects_path=rejects,
-                                        ledger_path=ledger)
+                                        ledger_path=ledger, checks_path=checks)
     q.awaitTermination()
     got = sorted(target.read().select(*sc.CLAIM_COLUMNS).collect())
     assert got == expected
     batches = spark.read.parquet(ledger).count()
     assert batches >= 2
     assert spark.read.parquet(rejects).where(F.col("reason") == "malformed_json").count() == 1
+    # one claim-amount check result per micro-batch
+    assert spark.read.parquet(checks).count() == batches
 
     version = target.current_version()
     q2 = claims_stream.run_claims_stream(spark, landing, ckpt, target, dims,
