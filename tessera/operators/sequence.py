@@ -53,27 +53,48 @@ def _entity_list(entity: str | Sequence[str]) -> list[str]:
 
 
 SAMPLE_FRACTION = 0.02
+# A single task sorts a few million rows in seconds; below this an entity is
+# not worth splitting however large its share.
+MIN_SPLIT_ROWS = 5_000_000
 
 
-def hot_entity_share(df: DataFrame, ents: Sequence[str],
-                     fraction: float = SAMPLE_FRACTION) -> float:
-    """Estimated share of rows held by the most frequent entity, from a
-    Bernoulli sample (one small aggregate; nothing data-sized is collected)."""
+def hot_entity_stats(df: DataFrame, ents: Sequence[str],
+                     fraction: float = SAMPLE_FRACTION) -> tuple[float, float]:
+    """(share of rows held by the most frequent entity, estimated total rows)
+    from a Bernoulli sample (one small aggregate; nothing data-sized is
+    collected)."""
     sample = df.select(*ents).sample(fraction=fraction, seed=17)
     row = (sample.groupBy(*ents).agg(F.count("*").alias("n"))
            .agg(F.max("n").alias("top"), F.sum("n").alias("total")).first())
     if not row or not row["total"]:
-        return 0.0
-    return row["top"] / row["total"]
+        return 0.0, 0.0
+    return row["top"] / row["total"], row["total"] / fraction
+
+
+def hot_entity_share(df: DataFrame, ents: Sequence[str],
+                     fraction: float = SAMPLE_FRACTION) -> float:
+    return hot_entity_stats(df, ents, fraction)[0]
+
+
+def needs_split(df: DataFrame, ents: Sequence[str], num_partitions: int | None = None,
+                min_rows: int = MIN_SPLIT_ROWS) -> bool:
+    """Public form of the hot-entity check (decide once, reuse for several
+    sequence functions over the same frame)."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _needs_split(df, ents, n, True, min_rows=min_rows)
 
 
 def _needs_split(df: DataFrame, ents: Sequence[str], n: int, skew_check: bool,
-                 probe: tuple[DataFrame, Sequence[str]] | None = None) -> bool:
+                 probe: tuple[DataFrame, Sequence[str]] | None = None,
+                 min_rows: int = MIN_SPLIT_ROWS) -> bool:
+    """Split when the hottest entity would fill half a partition or more and
+    holds at least ``min_rows`` rows (estimated)."""
     if not skew_check:
         return True
     if probe is not None:
         df, ents = probe
-    return hot_entity_share(df, ents) * n >= 0.5
+    share, total = hot_entity_stats(df, ents)
+    return share * n >= 0.5 and share * total >= min_rows
 
 
 def _plain(df, ents, order_cols, values, lead, lag, row_number, first, running_sums,
@@ -261,3 +282,55 @@ def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_c
         (at(1, "_one") - at(2, "_one")).alias(f"{prefix}count"),
         *[(at(1, v) - at(2, v)).alias(f"{prefix}{v}") for v in value_cols])
     return df.join(framed, id_col, "left")
+
+
+def rank_within(df: DataFrame, group_cols: Sequence[str], order_col: str,
+                tiebreak_cols: Sequence[str], ntile: int = 4, prefix: str = "",
+                num_partitions: int | None = None, skew_check: bool = True) -> DataFrame:
+    """RANK, PERCENT_RANK and NTILE(``ntile``) of ``order_col`` (ascending,
+    NULLs last) within each group, without one task per group when a group
+    is large: row numbers come from ``neighbors`` over range partitions,
+    RANK is the smallest row number of each (group, value) tie set (an
+    aggregate joined back), group sizes are one aggregate, and NTILE follows
+    from row number and group size arithmetically.  NTILE uses the tie-break
+    columns for a total order, RANK and PERCENT_RANK do not."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = list(group_cols)
+    nulls_last = F.col(order_col).isNull().cast("int")
+    base = df.withColumn("_nl", nulls_last)
+    order = ["_nl", order_col, *tiebreak_cols]
+    if not _needs_split(base, groups, n, skew_check):
+        w = Window.partitionBy(*groups)
+        rk = w.orderBy(F.col(order_col).asc_nulls_last())
+        nt = w.orderBy(F.col(order_col).asc_nulls_last(), *tiebreak_cols)
+        return df.select("*", F.rank().over(rk).alias(f"{prefix}rank"),
+                         F.percent_rank().over(rk).alias(f"{prefix}percent_rank"),
+                         F.ntile(ntile).over(nt).alias(f"{prefix}ntile"))
+    seq = neighbors(base, groups, order, lead=False, row_number="_rn",
+                    num_partitions=num_partitions, skew_check=False)
+    # NULL groups and NULL values form their own sets (as in a window), so
+    # the joins back use null-safe equality.
+    tie_keys = [*groups, "_nl", order_col]
+    ties = seq.groupBy(*tie_keys).agg(F.min("_rn").alias(f"{prefix}rank"))
+    ties = ties.select(*[F.col(c).alias(f"_t_{c}") for c in tie_keys], f"{prefix}rank")
+    sizes = seq.groupBy(*groups).agg(F.count("*").alias("_n"))
+    sizes = sizes.select(*[F.col(c).alias(f"_z_{c}") for c in groups], "_n")
+    on_ties = None
+    for c in tie_keys:
+        t = F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+        on_ties = t if on_ties is None else on_ties & t
+    on_sizes = None
+    for c in groups:
+        t = F.col(c).eqNullSafe(F.col(f"_z_{c}"))
+        on_sizes = t if on_sizes is None else on_sizes & t
+    j = seq.join(ties, on_ties).join(sizes, on_sizes)
+    q = F.floor(F.col("_n") / ntile)
+    r = F.col("_n") % ntile
+    big = r * (q + 1)
+    tile = F.when(F.col("_rn") <= big, F.floor((F.col("_rn") - 1) / (q + 1)) + 1) \
+        .otherwise(r + F.floor((F.col("_rn") - big - 1) / q) + 1)
+    prank = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
+        (F.col(f"{prefix}rank") - 1).cast("double") / (F.col("_n") - 1))
+    return j.select(*df.columns, F.col(f"{prefix}rank").cast("int").alias(f"{prefix}rank"),
+                    prank.alias(f"{prefix}percent_rank"), tile.cast("int").alias(f"{prefix}ntile"))

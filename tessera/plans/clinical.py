@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import avg_dec_round, avg_int_round, pct
-from tessera.operators.sequence import neighbors
+from tessera.operators.sequence import needs_split, neighbors, rank_within
+from tessera.operators.sinks import materialize
 
 
 def _year_bounds(year: int):
@@ -90,8 +91,15 @@ def provider_metrics(fact_encounter: DataFrame, dim_provider: DataFrame, year: i
     )
 
 
-def provider_scorecard(fact_encounter: DataFrame, dim_provider: DataFrame, year: int) -> DataFrame:
+def provider_scorecard(fact_encounter: DataFrame, dim_provider: DataFrame, year: int,
+                       skew_safe: bool = True) -> DataFrame:
+    """Rankings within specialty.  Specialties are few, so each is a large
+    group; when the largest holds millions of providers (checked on a
+    sample) the rankings come from range-partitioned row numbers instead of
+    one window task per specialty."""
     pm = provider_metrics(fact_encounter, dim_provider, year)
+    if skew_safe and needs_split(pm, ["specialty"]):
+        return _provider_scorecard_split(pm)
     spec = Window.partitionBy("specialty")
     cost = spec.orderBy(F.col("avg_charges_raw").asc_nulls_last())
     quality = spec.orderBy(F.col("readmission_rate_pct").asc_nulls_last())
@@ -115,6 +123,27 @@ def provider_scorecard(fact_encounter: DataFrame, dim_provider: DataFrame, year:
             .orderBy("specialty", "composite_tier", F.col("total_encounters").desc()))
 
 
+def _provider_scorecard_split(pm: DataFrame) -> DataFrame:
+    pm = materialize(pm, "provider_metrics")
+    cost = rank_within(pm, ["specialty"], "avg_charges_raw", ["provider_key"], prefix="c_",
+                       skew_check=False)
+    ranked = rank_within(cost, ["specialty"], "readmission_rate_pct", ["provider_key"],
+                         prefix="q_", skew_check=False)
+    ranked = ranked.withColumn("_neg_enc", -F.col("total_encounters"))
+    running = neighbors(ranked, "specialty", ["_neg_enc", "provider_key"], lead=False,
+                        running_sums=["total_encounters"], skew_check=False)
+    tier = F.round((F.col("c_ntile") + F.col("q_ntile")) / 2.0, 1)
+    return (running.select(
+        "provider_key", "npi", "provider_name", "specialty", "total_encounters", "avg_los",
+        "avg_charges", "avg_payments", "readmissions", "readmission_rate_pct", "mortalities",
+        F.col("c_rank").alias("cost_rank"), F.col("q_rank").alias("quality_rank"),
+        F.col("q_percent_rank").alias("quality_percentile"),
+        F.col("c_ntile").alias("cost_quartile"), F.col("q_ntile").alias("quality_quartile"),
+        F.col("cum_total_encounters").alias("cumulative_encounters_in_specialty"),
+        tier.cast("double").alias("composite_tier"))
+        .orderBy("specialty", "composite_tier", F.col("total_encounters").desc()))
+
+
 # ── M3: chronic condition progression ────────────────────────────────────
 def chronic_progression(fact_encounter: DataFrame, bridge: DataFrame,
                         dim_diagnosis: DataFrame, gap_days: int = 365,

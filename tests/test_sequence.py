@@ -84,8 +84,9 @@ def test_skew_check_picks_split_only_for_hot_entities(spark):
     hot = spark.range(0, 20000).select((F.col("id") % 3 == 0).cast("long").alias("e"))
     flat = spark.range(0, 20000).select((F.col("id") % 5000).alias("e"))
     assert hot_entity_share(hot, ["e"]) > 0.5
-    assert _needs_split(hot, ["e"], 8, True)
-    assert not _needs_split(flat, ["e"], 8, True)
+    assert _needs_split(hot, ["e"], 8, True, min_rows=1000)
+    assert not _needs_split(hot, ["e"], 8, True)          # hot, but small in absolute terms
+    assert not _needs_split(flat, ["e"], 8, True, min_rows=1000)
 
 
 def test_plain_path_matches_split_path(spark):
@@ -96,3 +97,19 @@ def test_plain_path_matches_split_path(spark):
     a = neighbors(df, ["e"], ["t", "id"], ["v"], skew_check=True, **args).collect()
     b = neighbors(df, ["e"], ["t", "id"], ["v"], skew_check=False, **args).collect()
     assert sorted(a, key=repr) == sorted(b, key=repr)
+
+
+def test_rank_within_matches_windows(spark):
+    from tessera.operators.sequence import rank_within
+
+    rng = random.Random(9)
+    rows = [("big" if i < 700 else rng.choice(["a", "b", "c"]), i,
+             None if i % 50 == 0 else float(rng.randrange(60))) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g string, k long, v double")
+    got = rank_within(df, ["g"], "v", ["k"], num_partitions=8, skew_check=False)
+    w = Window.partitionBy("g")
+    want = df.select("*", F.rank().over(w.orderBy(F.col("v").asc_nulls_last())).alias("rank"),
+                     F.percent_rank().over(w.orderBy(F.col("v").asc_nulls_last())).alias("percent_rank"),
+                     F.ntile(4).over(w.orderBy(F.col("v").asc_nulls_last(), "k")).alias("ntile"))
+    norm = lambda r: (r.g, r.k, r.rank, round(r.percent_rank, 12), r.ntile)
+    assert sorted(map(norm, got.collect())) == sorted(map(norm, want.collect()))
