@@ -33,11 +33,11 @@ RECOMMENDED_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tessera") -> SparkSession:
+                  app: str = "tessera", extra_conf: dict[str, str] | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.driver.memory", "16g")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
