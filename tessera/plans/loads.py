@@ -69,9 +69,10 @@ def merge_claims_partitions(table, batch: DataFrame, null_safe: bool = False) ->
     """``merge_claims`` into a table partitioned by service year: only the
     years present in the batch are read and rewritten."""
     from tessera.operators.merge import upsert_partitions
+    order = ["loaded_at"] if "loaded_at" in batch.columns else None
     return upsert_partitions(table, batch, CLAIM_KEYS,
                              change_predicate=changed_any(CLAIM_CHANGE_COLS, null_safe=null_safe),
-                             update_cols=CLAIM_UPDATE_COLS, dedup_order=["loaded_at"])
+                             update_cols=CLAIM_UPDATE_COLS, dedup_order=order)
 
 
 def resolve_claim_payload(parsed: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame,
