@@ -104,12 +104,22 @@ def resolve_claim_payload(parsed: DataFrame, dim_patient: DataFrame, dim_provide
         "denial_reason_code", *[c for c in ("loaded_at",) if c in parsed.columns])
 
 
-def unresolved_claims(parsed: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame) -> DataFrame:
-    """Claims that the inner dimension joins would silently drop."""
-    pat = dim_patient.where(F.col("is_current_record")).select("patient_id")
-    prov = dim_provider.where(F.col("is_current_record")).select(F.col("npi").alias("rendering_npi"))
-    return (parsed.join(pat, "patient_id", "left_anti")
-            .unionByName(parsed.join(prov, "rendering_npi", "left_anti")))
+def unresolved_claims(parsed: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame,
+                      dim_procedure: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
+    """Claims that the inner dimension joins would silently drop, with the
+    first lookup that failed (patient, provider, procedure, diagnosis)."""
+    pat = dim_patient.where(F.col("is_current_record")).select("patient_id",
+                                                              F.lit(True).alias("_p"))
+    prov = (dim_provider.where(F.col("is_current_record"))
+            .select(F.col("npi").alias("rendering_npi"), F.lit(True).alias("_r")))
+    proc = dim_procedure.select("procedure_code", F.lit(True).alias("_c"))
+    dx = dim_diagnosis.select(F.col("icd10_code").alias("primary_icd10"), F.lit(True).alias("_d"))
+    j = (parsed.join(pat, "patient_id", "left").join(prov, "rendering_npi", "left")
+         .join(proc, "procedure_code", "left").join(dx, "primary_icd10", "left"))
+    missing = (F.when(F.col("_p").isNull(), "patient").when(F.col("_r").isNull(), "provider")
+               .when(F.col("_c").isNull(), "procedure").when(F.col("_d").isNull(), "diagnosis"))
+    return (j.select(*parsed.columns, missing.alias("missing_dimension"))
+            .where(F.col("missing_dimension").isNotNull()))
 
 
 # ── M9: incremental encounter append ──────────────────────────────────────

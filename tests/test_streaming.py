@@ -100,3 +100,18 @@ def test_late_events_recompute_touched_dates(spark, small_dir, kind):
     got = sorted(mart.read().select(*product.user_activity(
         staging.stg_events(b.raw_events(t)), users, as_of).columns).collect(), key=repr)
     assert got == expected
+
+
+def test_unresolved_claims_name_the_missing_dimension(spark, small_dir):
+    from tessera.plans import loads
+
+    t = Tables(spark, small_dir)
+    parsed = spark.createDataFrame(
+        [("C1", "P0", "0000000001", "CPT1", "E02.0"), ("C2", "P999999", "0000000001", "CPT1", "x"),
+         ("C3", "P0", "bad-npi", "CPT1", "x")],
+        "claim_id string, patient_id string, rendering_npi string, procedure_code string, "
+        "primary_icd10 string")
+    got = {r.claim_id: r.missing_dimension for r in loads.unresolved_claims(
+        parsed, b.dim_patient(t), b.dim_provider(t), b.dim_procedure(t), b.dim_diagnosis(t)).collect()}
+    assert got["C2"] == "patient" and got["C3"] == "provider"
+    assert "C1" not in got or got["C1"] == "diagnosis"
