@@ -391,3 +391,13 @@ def test_scd2_invariants_and_idempotency(spark, small_dir):
     cols = [c for c in first.columns if c != "patient_key"]
     assert sorted(second.select(*cols).collect(), key=repr) == \
         sorted(first.select(*cols).collect(), key=repr)
+
+
+def test_row_hash_null_shift_is_kept_as_written(spark):
+    """concat_ws skips NULLs, so a value moving from zip to state keeps
+    the same hash (the source's behaviour, kept and documented)."""
+    a = ("p", "A", "B", D(1980, 1, 1), "F", None, "NY", "HMO", TS(2024, 1, 1))
+    b_ = ("p", "A", "B", D(1980, 1, 1), "F", "NY", None, "HMO", TS(2024, 1, 1))
+    assert _hash_of(spark, a) == _hash_of(spark, b_)
+    c = ("p", "A", "B", D(1980, 1, 1), "F", "NY", "CA", "HMO", TS(2024, 1, 1))
+    assert _hash_of(spark, a) != _hash_of(spark, c)
