@@ -30,10 +30,10 @@ Results equal the plain window for any partitioning (NULL entities form one
 group, as in a window).
 
 The split costs a checkpoint and two small passes, so it is taken only when
-needed: ``hot_entity_share`` estimates the largest entity's share of rows
-from a small sample, and when that entity would fill less than half of one
-partition the same outputs come from plain windows (``skew_check=False``
-forces the split path).
+needed: ``hot_entity_stats`` estimates the largest entity's share of rows
+and the total from a small sample; unless that entity would fill half a
+partition or more *and* hold over ``MIN_SPLIT_ROWS`` rows, the same outputs
+come from plain windows (``skew_check=False`` forces the split path).
 """
 
 from __future__ import annotations
