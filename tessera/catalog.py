@@ -324,10 +324,11 @@ def q_claims_stream_final_state(spark, root):
     dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
             "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
             "fact_encounter": b.fact_encounter(t)}
-    # The fact is partitioned by service year; each micro-batch rewrites
-    # only the years it touches.
-    target = sinks.partitioned_table(spark, "fact_claim", ["service_year"])
-    target.create(sc.claim_target(c).withColumn("service_year", F.year("service_date")))
+    # The fact is partitioned by service month; each micro-batch rewrites
+    # only the months it touches.
+    parts = ["service_year", "service_month"]
+    target = sinks.partitioned_table(spark, "fact_claim", parts)
+    target.create(loads.with_service_partitions(sc.claim_target(c), parts))
     q = claims_stream.run_claims_stream(
         spark, landing, scratch_path(spark, "claims_ckpt"), target, dims,
         max_files_per_trigger=None,

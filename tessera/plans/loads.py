@@ -65,9 +65,24 @@ def merge_claims(fact_claim: DataFrame, batch: DataFrame, null_safe: bool = Fals
                   action_col=action_col)
 
 
+# Partition columns a claims fact may be laid out by, derived from the
+# service date (month partitions bound a rewrite to the months a batch
+# touches; a year of claims is far too large to rewrite per batch).
+SERVICE_PARTITIONS = {"service_year": lambda d: F.year(d), "service_month": lambda d: F.month(d)}
+
+
+def with_service_partitions(df: DataFrame, cols) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, SERVICE_PARTITIONS[c](F.col("service_date")))
+    return df
+
+
 def merge_claims_partitions(table, batch: DataFrame, null_safe: bool = False) -> int:
-    """``merge_claims`` into a table partitioned by service year: only the
-    years present in the batch are read and rewritten."""
+    """``merge_claims`` into a table partitioned by service period (see
+    ``SERVICE_PARTITIONS``): only the periods present in the batch are read
+    and rewritten.  The partition columns are added from the service date."""
+    batch = with_service_partitions(batch, [c for c in table.partition_cols
+                                            if c not in batch.columns])
     from tessera.operators.merge import upsert_partitions
     order = ["loaded_at"] if "loaded_at" in batch.columns else None
     return upsert_partitions(table, batch, CLAIM_KEYS,

@@ -38,9 +38,8 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
                                         dims["dim_procedure"], dims["dim_diagnosis"],
                                         dims["fact_encounter"]), f"claims_resolved_{batch_id}")
         if isinstance(target, PartitionedTable):
-            # Only the service years this batch touches are read and rewritten.
-            dated = resolved.withColumn("service_year", F.year("service_date"))
-            loads.merge_claims_partitions(target, dated)
+            # Only the service months this batch touches are read and rewritten.
+            loads.merge_claims_partitions(target, resolved)
         else:
             merged = loads.merge_claims(target.read(), resolved, dedup_order=["loaded_at"])
             target.commit(merged)
