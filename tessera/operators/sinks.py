@@ -183,3 +183,14 @@ def materialize_model(df: DataFrame, mode: str, name: str, table: VersionedTable
         target.commit(df)
         return target.read()
     raise ValueError(f"unknown materialisation {mode!r}")
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the cluster's parallelism when ``df`` has
+    fewer partitions than cores (a few large files / row groups), so CPU-
+    heavy per-row work is not confined to a handful of tasks.  Wide inputs
+    (the normal case at scale) are returned untouched: no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -789,11 +789,7 @@ _CLAIM_COLS = ("claim_id, claim_line_number, encounter_key, patient_key, renderi
                "billed_amount, allowed_amount, paid_amount, patient_responsibility, units_of_service, "
                "claim_status, denial_reason_code")
 
-shape("claims")(f"""
-SELECT {_CLAIM_COLS} FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY claim_id, claim_line_number
-                               ORDER BY {', '.join(c.strip() + ' DESC NULLS LAST' for c in _CLAIM_ORDER.split(','))}) AS rn
-  FROM (
+shape("claim_lines_all")(f"""
     SELECT 'C' || CAST(l_orderkey AS VARCHAR) AS claim_id, l_linenumber AS claim_line_number,
            l_orderkey AS encounter_key, o_custkey AS patient_key, l_suppkey AS rendering_provider_key,
            CAST(l_shipdate AS DATE) AS service_date,
@@ -811,7 +807,13 @@ SELECT {_CLAIM_COLS} FROM (
            CASE l_returnflag WHEN 'R' THEN 'Denied' WHEN 'A' THEN 'Adjusted'
                 WHEN 'N' THEN 'Paid' ELSE 'Pending' END AS claim_status,
            CASE WHEN l_returnflag = 'R' THEN 'CO-' || l_linestatus END AS denial_reason_code
-    FROM lineitem JOIN orders ON o_orderkey = l_orderkey))
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
+
+shape("claims", ["claim_lines_all"])(f"""
+SELECT {_CLAIM_COLS} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY claim_id, claim_line_number
+                               ORDER BY {', '.join(c.strip() + ' DESC NULLS LAST' for c in _CLAIM_ORDER.split(','))}) AS rn
+  FROM claim_lines_all)
 WHERE rn = 1""")
 
 shape("claim_target", ["claims"])("SELECT * FROM claims WHERE service_date < DATE '1999-01-01'")
@@ -881,8 +883,8 @@ SELECT c.claim_id, c.claim_line_number, 'E' || CAST(c.encounter_key AS VARCHAR)
        'CPT' || CAST(c.procedure_key AS VARCHAR) AS procedure_code, d.icd10_code AS primary_icd10,
        c.billed_amount, c.allowed_amount, c.paid_amount, c.patient_responsibility, c.units_of_service,
        c.claim_status, c.denial_reason_code
-FROM claims c JOIN dim_diagnosis d ON d.diagnosis_key = c.primary_diagnosis_key""", "claims",
-                                               "dim_diagnosis")
+FROM claim_lines_all c JOIN dim_diagnosis d ON d.diagnosis_key = c.primary_diagnosis_key""",
+                                               "claim_lines_all", "dim_diagnosis")
 
 
 # ── calendar, keys, hashes, pivots, pruning ──────────────────────────────

@@ -52,16 +52,22 @@ CLAIM_COLUMNS = ["claim_id", "claim_line_number", "encounter_key", "patient_key"
                  "denial_reason_code"]
 
 
+def claim_lines_with_patient(t: Tables) -> DataFrame:
+    """Every claim line with the patient key (duplicates of the driver's
+    non-unique (order, line) key included)."""
+    lines = b.claim_lines(t.lineitem)
+    o = t.orders.select(F.col("o_orderkey").alias("encounter_key"),
+                        F.col("o_custkey").alias("patient_key"))
+    return lines.join(o, "encounter_key").select(*CLAIM_COLUMNS)
+
+
 def claims(t: Tables) -> DataFrame:
     """Claim lines with the patient key, one row per (claim, line).
 
     The driver's (order, line) key is not unique; duplicates collapse to the
     row with the greatest (service date, payload) tuple."""
-    lines = b.claim_lines(t.lineitem)
-    o = t.orders.select(F.col("o_orderkey").alias("encounter_key"),
-                        F.col("o_custkey").alias("patient_key"))
-    full = lines.join(o, "encounter_key").select(*CLAIM_COLUMNS)
-    return latest_per_key(full, ["claim_id", "claim_line_number"], ["service_date"])
+    return latest_per_key(claim_lines_with_patient(t), ["claim_id", "claim_line_number"],
+                          ["service_date"])
 
 
 def claim_target(c: DataFrame) -> DataFrame:
