@@ -47,3 +47,11 @@ def test_batch_log_is_idempotent_under_replay(spark):
     sinks.write_batch_log(rows, path, 7)       # replay of batch 7
     sinks.write_batch_log(rows.limit(1), path, 8)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_spread_if_narrow_only_repartitions_narrow_inputs(spark):
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 1000, numPartitions=1)
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert sinks.spread_if_narrow(narrow).rdd.getNumPartitions() == cores
+    assert sinks.spread_if_narrow(wide) is wide
