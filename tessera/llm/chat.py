@@ -128,8 +128,9 @@ def format_conversations(conversations: DataFrame, id_col: str = "conv_id") -> D
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
         "conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, ASSISTANT, PROBE)],
-                                  "conv_id long, turn long, role string, text string")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise(ASSISTANT).alias("role"),
+                                  F.lit(PROBE).alias("text"))
     done = format_conversations(table.unionByName(probe))
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     masked = F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"]))
