@@ -13,9 +13,12 @@ random sequence reaches first.
    pass a size bound (no pair beyond it can reach the threshold), then the
    collision-corrected similarity estimate of the registers, then the exact
    comparison of the full sets.  Linked documents get their component.
-4. Rest: pairs that meet in a bucket but lie in different components are all
-   compared in the same way.  So no pair that a band brings together is lost,
-   while the members of a large group are not compared with each other.
+4. Rest: pairs that meet in a bucket but lie in different components go through
+   the same comparison, unless their own shingles rule it out: a shingle that no
+   other document of this step has is in no common part, so with u of them the
+   common part has at most min(n_a - u_a, n_b - u_b) shingles.  So no pair that a
+   band brings together is lost, while the members of a large group, and texts
+   that merely share a passage, are not compared with each other.
 
 With ``BANDS`` bands of ``ROWS`` registers a pair at similarity 0.8 shares no
 band with probability (1 - 0.8**ROWS)**BANDS, about 1e-7.
@@ -166,12 +169,34 @@ def estimated(pairs: DataFrame, sketch: DataFrame, threshold: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """doc_id and text of the documents listed in ``ids`` (a written table)."""
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    few = ids.count() <= BROADCAST_IDS
+    return given.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
+def own_shingles(ids: DataFrame, docs: DataFrame, words: int, id_col: str = "doc_id") -> DataFrame:
+    """doc_id, alone: how many shingles no other of the listed documents has."""
+    given = _texts_of(materialize(ids, "minhash-ids"), docs, id_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            sets = list(shingle_sets(part, words))
+            ids = np.repeat(part.column("doc_id").to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": pa.array(ids, pa.int64()),
+                "hash": pa.array(np.concatenate(sets).view(np.int64), pa.int64())})
+
+    held = given.mapInArrow(run, "doc_id long, hash long").groupBy("hash").agg(
+        F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
+    return held.filter("doc_id = last").groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, words: int, threshold: int, id_col: str = "doc_id") -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "minhash-ids")
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    few = ids.count() <= BROADCAST_IDS
-    given = given.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    given = _texts_of(ids, docs, id_col)
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -230,7 +255,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD,
                        .filter("doc_id = rep").select("doc_id", "n_shingles", "registers")
                        .dropDuplicates(["doc_id", "n_shingles", "registers"]), "minhash-representatives")
     width = 2 * ROWS
-    bands = reps.select("doc_id", "n_shingles", F.explode(F.transform(
+    bands = reps.select("doc_id", "n_shingles", F.explode_outer(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring("registers", i * width + 1, F.lit(width))))).alias("band"))
     meet = bands.groupBy("band").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("other"),
@@ -252,9 +277,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD,
     split = (labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low < high").select("band"))
     open_rows = materialize(labelled.join(split, "band"), "minhash-open")
-    one, two = open_rows.toDF("band", "a", "n_a", "c_a"), open_rows.toDF("band", "b", "n_b", "c_b")
-    rest = (one.join(two, "band").filter((F.col("c_a") < F.col("c_b")) & _near("n_a", "n_b", threshold))
-            .select("a", "b").distinct())
+    alone = own_shingles(open_rows.select("doc_id").distinct(), docs, words, id_col)
+    shared = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    open_rows = materialize(open_rows.join(alone, "doc_id", "left").withColumn("shared", shared).drop("alone")
+                            .filter(100 * F.col("shared") >= threshold * F.col("n_shingles")), "minhash-open")
+    one, two = (open_rows.select("band", *(F.col(c).alias(c[0] + side) for c in (
+        "doc_id", "n_shingles", "component", "shared"))) for side in ("_a", "_b"))
+    most = F.least("s_a", "s_b")
+    rest = (one.join(two, "band").filter((F.col("c_a") < F.col("c_b")) & _near("n_a", "n_b", threshold)
+                                         & (100 * most >= threshold * (F.col("n_a") + F.col("n_b") - most)))
+            .select(F.col("d_a").alias("a"), F.col("d_b").alias("b")).distinct())
     more = check(rest, "rest")
     if more.limit(1).count():
         found = components(links.union(more))
