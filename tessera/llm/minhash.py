@@ -4,7 +4,8 @@ A document's set holds the 64-bit hashes of its distinct word shingles.  Its
 sketch has one register per bucket (the top bits of a hash choose the bucket):
 the least of the bucket's remaining bits, stored as its leading-zero count and
 the mantissa bits after it.  An empty bucket copies the bucket that a fixed
-random sequence reaches first.
+random sequence reaches first; the register's sign tells own values (negative)
+from copies, and only own values count in estimates.
 
 1. Documents with the same set form a class (two 64-bit sums of the set); the
    class stands behind its smallest doc_id, so copies cost nothing further.
@@ -14,11 +15,11 @@ random sequence reaches first.
    collision-corrected similarity estimate of the registers, then the exact
    comparison of the full sets.  Linked documents get their component.
 4. Rest: pairs that meet in a bucket but lie in different components go through
-   the same comparison, unless their own shingles rule it out: a shingle that no
-   other document of this step has is in no common part, so with u of them the
-   common part has at most min(n_a - u_a, n_b - u_b) shingles.  So no pair that a
-   band brings together is lost, while the members of a large group, and texts
-   that merely share a passage, are not compared with each other.
+   the same comparison, unless their bitmaps rule it out: each set is also kept
+   as a bitmap of ``BITMAP`` bits by hash, and a bit that only one set has stands
+   for an element that the other lacks.  So no pair that a band brings together
+   is lost, while the members of a large group, and texts that merely share a
+   passage, are not compared with each other.
 
 With ``BANDS`` bands of ``ROWS`` registers a pair at similarity 0.8 shares no
 band with probability (1 - 0.8**ROWS)**BANDS, about 1e-7.
@@ -36,18 +37,21 @@ copy, or alone; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.arrow_text import LOWER, WORDS, Spans, TextSlice, mix64, slices
+from tessera.llm.text import total
 from tessera.operators.sinks import materialize
 
 BUCKET_BITS = 8
-MANTISSA_BITS = 10
+MANTISSA_BITS = 9
+BITMAP = 2048
 ROWS, BANDS = 5, 40
 THRESHOLD = 80
 #: The estimate may be so many standard deviations below the threshold.
@@ -101,7 +105,7 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     out[bucket[least]] = compress(flat[least] & np.uint64((1 << (64 - BUCKET_BITS)) - 1))
     filled[bucket[least]] = True
     out, filled = out.reshape(-1, size), filled.reshape(-1, size)
-    held, empty = out.copy(), ~filled
+    held, empty, own = out.copy(), ~filled, filled.copy()
     for source in _SEQUENCE:
         if not empty.any():
             break
@@ -113,20 +117,39 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
             take = empty & np.roll(filled, -k, 1)
             out[take] = np.roll(held, -k, 1)[take]
             empty &= ~take
-    return out
+    return out.view(np.int16) | np.where(own, np.int16(-0x8000), np.int16(0))
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Similarity of pairs of register rows, corrected for registers that are
-    equal by chance of compression: two different minima get the same code
-    with probability of about 2**-MANTISSA_BITS / 3 (both must have the same
-    leading-zero count, sum of 4**-z)."""
-    chance = 2.0 ** -MANTISSA_BITS / 3
-    return np.maximum((a == b).mean(1) - chance, 0) / (1 - chance)
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of ``BITMAP`` bits per set, as 64-bit words."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    out = np.zeros((len(sets), BITMAP), bool)
+    out[owner, (flat % np.uint64(BITMAP)).astype(np.int64)] = True
+    return np.packbits(out, axis=1).view(np.int64)
+
+
+#: Two different minima get the same code if their leading-zero counts agree
+#: (probability 1/3, the sum of 4**-z) and their mantissas do.
+CHANCE = 2.0 ** -MANTISSA_BITS / 3
+
+
+def estimate(equal, filled):
+    """Similarity from the number of buckets filled in either set and of those
+    with equal own values in both, corrected for equal codes by chance."""
+    share = equal / filled
+    return (share - CHANCE) / (1 - CHANCE)
+
+
+def allowance(filled, union, threshold: int):
+    """Variance of the estimate at the threshold: ``filled`` values drawn
+    without replacement out of a union of that size."""
+    t = threshold / 100
+    return t * (1 - t) / filled * (1 - (filled - 1) / union)
 
 
 def sketches(docs: DataFrame, words: int, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, the set's two sums, registers (null if empty)."""
+    """doc_id, n_shingles, the set's two sums, registers (null if empty), bitmap."""
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,15 +158,16 @@ def sketches(docs: DataFrame, words: int, id_col: str = "doc_id") -> DataFrame:
             rows = registers([s for s in sets if len(s)])
             coded, held = iter(rows), []
             for s in sets:
-                held.append(next(coded).tobytes() if len(s) else None)
+                held.append(next(coded) if len(s) else None)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part.column("doc_id"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "sum_a": pa.array([int(mix64(s).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
                 "sum_b": pa.array([int(mix64(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64).view(np.int64))
                                    for s in sets], pa.int64()),
-                "registers": pa.array(held, pa.binary())})
+                "registers": pa.array(held, pa.list_(pa.int16())),
+                "bits": pa.array(list(bitmaps(sets)), pa.list_(pa.int64()))})
 
-    return given.mapInArrow(run, "doc_id long, n_shingles long, sum_a long, sum_b long, registers binary")
+    return given.mapInArrow(run, "doc_id long, n_shingles long, sum_a long, sum_b long, registers array<short>, bits array<long>")
 
 
 def _near(n: str, m: str, threshold: int):
@@ -159,11 +183,11 @@ def estimated(pairs: DataFrame, sketch: DataFrame, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             col = dict(zip(batch.schema.names, batch.columns))
-            a, b = (np.frombuffer(b"".join(col[c].to_pylist()), np.uint16).reshape(-1, 1 << BUCKET_BITS)
-                    for c in ("r_a", "r_b"))
-            size = np.minimum(np.minimum(col["n_a"].to_numpy(), col["n_b"].to_numpy()), 1 << BUCKET_BITS)
-            t = threshold / 100
-            keep = pa.array(estimate(a, b) >= t - SLACK * np.sqrt(t * (1 - t) / size))
+            a, b = (col[c].flatten().to_numpy().reshape(-1, 1 << BUCKET_BITS) for c in ("r_a", "r_b"))
+            equal, filled = ((a == b) & (a < 0)).sum(1), ((a < 0) | (b < 0)).sum(1)
+            union = np.maximum((col["n_a"].to_numpy() + col["n_b"].to_numpy()) / (1 + threshold / 100), filled)
+            low = threshold / 100 - SLACK * np.sqrt(allowance(filled, union, threshold))
+            keep = pa.array(estimate(equal, filled) >= low)
             yield pa.RecordBatch.from_pydict({"a": col["a"].filter(keep), "b": col["b"].filter(keep)})
 
     return both.mapInArrow(run, "a long, b long")
@@ -176,26 +200,9 @@ def _texts_of(ids: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
     return given.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
-def own_shingles(ids: DataFrame, docs: DataFrame, words: int, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, alone: how many shingles no other of the listed documents has."""
-    given = _texts_of(materialize(ids, "minhash-ids"), docs, id_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            sets = list(shingle_sets(part, words))
-            ids = np.repeat(part.column("doc_id").to_numpy(), [len(s) for s in sets])
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids, pa.int64()),
-                "hash": pa.array(np.concatenate(sets).view(np.int64), pa.int64())})
-
-    held = given.mapInArrow(run, "doc_id long, hash long").groupBy("hash").agg(
-        F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
-    return held.filter("doc_id = last").groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
-
-
 def verified(pairs: DataFrame, docs: DataFrame, words: int, threshold: int, id_col: str = "doc_id") -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "minhash-ids")
+    ids = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "minhash-ids")
     given = _texts_of(ids, docs, id_col)
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,6 +250,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
+def _open_pair(threshold: int) -> Column:
+    """Of rows that meet in a band: pairs of different components whose common
+    part, as far as sizes and bitmaps bound it, can reach the threshold.
+
+    A set has at most as many elements in the common part as bits in common
+    and elements that share a bit with another one (``crowd``)."""
+    bits = functools.reduce(lambda x, y: x + y, (
+        F.bit_count(F.col(f"a{i}").bitwiseAND(F.col(f"b{i}"))) for i in range(BITMAP // 64)))
+    most = F.least("crowd_a", "crowd_b") + bits
+    return ((F.col("c_a") < F.col("c_b")) & _near("n_a", "n_b", threshold)
+            & ((100 + threshold) * most >= threshold * (F.col("n_a") + F.col("n_b"))))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD,
                     id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
@@ -252,12 +272,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD,
     classes = materialize(filled.groupBy(*key).agg(F.min("doc_id").alias("rep")), "minhash-classes")
     # The representatives' sketches (a repeated id has its sketch once).
     reps = materialize(filled.join(classes.filter("rep IS NOT NULL"), key)
-                       .filter("doc_id = rep").select("doc_id", "n_shingles", "registers")
+                       .filter("doc_id = rep").select("doc_id", "n_shingles", "registers", "bits")
                        .dropDuplicates(["doc_id", "n_shingles", "registers"]), "minhash-representatives")
-    width = 2 * ROWS
-    bands = reps.select("doc_id", "n_shingles", F.explode_outer(F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.xxhash64(i, F.substring("registers", i * width + 1, F.lit(width))))).alias("band"))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                       lambda i: F.xxhash64(i, F.slice("registers", i * ROWS + 1, ROWS)))
+    # Outer, or Spark would make the keys once more for a filter on their number.
+    bands = reps.select("doc_id", "n_shingles", F.explode_outer(keys).alias("band"))
     meet = bands.groupBy("band").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("other"),
                                      F.min(F.struct("doc_id", "n_shingles"))["n_shingles"].alias("leader_n"))
     members = materialize(bands.join(meet.filter("leader < other").drop("other"), "band"), "minhash-members")
@@ -276,17 +296,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD,
                 .select("band", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")))
     split = (labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low < high").select("band"))
-    open_rows = materialize(labelled.join(split, "band"), "minhash-open")
-    alone = own_shingles(open_rows.select("doc_id").distinct(), docs, words, id_col)
-    shared = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
-    open_rows = materialize(open_rows.join(alone, "doc_id", "left").withColumn("shared", shared).drop("alone")
-                            .filter(100 * F.col("shared") >= threshold * F.col("n_shingles")), "minhash-open")
-    one, two = (open_rows.select("band", *(F.col(c).alias(c[0] + side) for c in (
-        "doc_id", "n_shingles", "component", "shared"))) for side in ("_a", "_b"))
-    most = F.least("s_a", "s_b")
-    rest = (one.join(two, "band").filter((F.col("c_a") < F.col("c_b")) & _near("n_a", "n_b", threshold)
-                                         & (100 * most >= threshold * (F.col("n_a") + F.col("n_b") - most)))
-            .select(F.col("d_a").alias("a"), F.col("d_b").alias("b")).distinct())
+    filled_bits = total(F.transform("bits", lambda x: F.bit_count(x)))
+    open_rows = materialize(
+        labelled.join(split, "band").join(reps.select("doc_id", "n_shingles", "bits"), ["doc_id", "n_shingles"])
+        .select("band", "doc_id", "n_shingles", "component", (F.col("n_shingles") - filled_bits).alias("crowd"),
+                *(F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(BITMAP // 64))), "minhash-open")
+    one, two = (open_rows.toDF("band", side, f"n_{side}", f"c_{side}", f"crowd_{side}",
+                               *(f"{side}{i}" for i in range(BITMAP // 64))) for side in "ab")
+    rest = one.join(two, "band").filter(_open_pair(threshold)).select("a", "b").distinct()
     more = check(rest, "rest")
     if more.limit(1).count():
         found = components(links.union(more))
