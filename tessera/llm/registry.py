@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import (chat, decontamination, language_id, minhash, mixing, pii, quality_model, quality_rules,
+from tessera.llm import (chat, decontamination, html_extract, language_id, minhash, mixing, pii, quality_model, quality_rules,
                          token_counts)
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_source_mixing": mixing.query,
     "op5_quality_classifier": quality_model.query,
     "op6_language_id": language_id.query,
+    "op7_html_extraction": html_extract.query,
     "op8_chat_format": chat.query,
     "op9_personal_data": pii.query,
     "op10_token_counts": token_counts.query,
