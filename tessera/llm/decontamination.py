@@ -26,7 +26,8 @@ the same holds for the ids of documents that share a shingle.
 
 Defined cases: null and empty texts share nothing; items without words are
 ignored; null ids on either side are ignored; repeated rows and ids give one
-row per (doc_id, item_id), the most similar window, the first one of equals;
+row per (doc_id, item_id): the most similar of the windows that shared shingles
+place, the first one of equals;
 a window never leaves its text, one longer than the text is the whole text;
 empty tables give an empty result.  Only ids and texts are read.
 """

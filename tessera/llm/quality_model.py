@@ -122,11 +122,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     return model
 
 
-def score(docs: DataFrame, model: np.ndarray, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The ``keep`` columns and a score in [0, 1] per row."""
+def score(docs: DataFrame, model: np.ndarray, keep: list[str], text_col: str = "text",
+          name: str = "score") -> DataFrame:
+    """The ``keep`` columns and a score in [0, 1] per row, called ``name``."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     given = docs.select(*keep, F.col(text_col).cast("string").alias("\ntext"))
-    schema = docs.select(*keep).schema.add("score", "double")
+    schema = docs.select(*keep).schema.add(name, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shipped.value
@@ -135,9 +136,8 @@ def score(docs: DataFrame, model: np.ndarray, keep: list[str], text_col: str = "
             sums = np.concatenate([[0.0], np.cumsum(w[buckets])])
             n = np.diff(first)
             dot = (sums[first[1:]] - sums[first[:-1]]) / np.sqrt(np.maximum(n, 1)) + w[-1]
-            out = {c: part.column(c) for c in keep}
-            out["score"] = pa.array(1 / (1 + np.exp(-np.clip(dot, -30, 30))), pa.float64())
-            yield pa.RecordBatch.from_pydict(out)
+            out = [part.column(c) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(dot, -30, 30))), pa.float64())]
+            yield pa.RecordBatch.from_arrays(out, names=[*keep, name])
 
     return given.mapInArrow(run, schema)
 
