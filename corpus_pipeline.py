@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels of the rows at hand."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality_model.train(docs.select("doc_id", "text"), labels)
-    kept = quality_model.score(docs, model, docs.columns)
-    return kept.filter(F.col("score") >= quality_model.CUT).select(*docs.columns)
+    scored = quality_model.score(docs, model, docs.columns, name="\nscore")
+    return scored.filter(F.col("\nscore") >= quality_model.CUT).drop("\nscore")
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
