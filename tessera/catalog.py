@@ -343,9 +343,7 @@ def q_claim_json_projection(spark, root):
     """All claim lines -> JSON landing payload -> VARIANT -> 16 typed columns
     (a projection: no key dedup needed)."""
     t = Tables(spark, root)
-    # JSON serialisation and parsing are CPU-heavy per row: spread the lines
-    # over the cores when the scan yields fewer splits than that.
-    payloads = sc.claim_payloads(sinks.spread_if_narrow(sc.claim_lines_with_patient(t)), t)
+    payloads = sc.claim_payloads(sc.claim_lines_with_patient(t), t)
     landing = payloads.select(F.parse_json("claim_json").alias("claim_json"))
     return ingest.project_claims(landing).drop("_bad_fields")
 

@@ -8,10 +8,8 @@ state (or the rows to append).  Persisting it is the job of
 write never leaves a half-updated table, and a rerun of the same batch
 produces the same state (idempotent on the key match).
 
-Join strategy: a batch is usually small next to the target.  When the batch
-is provably small (plan statistics under the broadcast limit) it is
-broadcast, and the target is streamed through once without a shuffle;
-otherwise both sides are shuffled on the keys (sort-merge, AQE handles skew).
+The merge is one full outer join on the keys; the join strategy is left to the
+planner (AQE splits hot keys).
 """
 
 from __future__ import annotations
@@ -26,29 +24,6 @@ from tessera.functions.exprs import ts_lit
 from tessera.operators.dedup import latest_per_key
 from tessera.session import scratch_root
 
-# A broadcast side is held in every executor as a hash relation; plan
-# estimates for file sources are compressed on-disk sizes, so they are
-# scaled up before comparing with the limit.
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-IN_MEMORY_EXPANSION = 4
-
-
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate for ``df`` (no job is run)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the join to
-    the planner (shuffle join, or AQE's runtime broadcast)."""
-    size = plan_size_bytes(df)
-    fits = size is not None and size * IN_MEMORY_EXPANSION <= limit
-    return F.broadcast(df) if fits else df
-
-
 # ── S26: schema sync ──────────────────────────────────────────────────────
 def sync_schema(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``sync_all_columns``: new source columns are added to the target as
@@ -80,7 +55,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            change_predicate=None, update_cols: Sequence[str] | None = None,
            insert_cols: Sequence[str] | None = None, dedup_order: Sequence[str] | None = None,
            allow_schema_sync: bool = False, stats: dict | None = None,
-           action_col: str | None = None, strategy: str = "auto") -> DataFrame:
+           action_col: str | None = None) -> DataFrame:
     """MERGE: matched rows update ``update_cols`` (all non-key columns by
     default) when ``change_predicate`` holds (always by default); unmatched
     source rows are inserted; other target rows are kept.
@@ -90,12 +65,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     updated and inserted rows.  ``action_col`` adds a column saying what
     happened to each row (``updated`` / ``inserted`` / ``kept``), so counts
     can be taken with ``DataFrame.observe`` during the write itself.
-
-    ``strategy``: ``broadcast`` streams the target past the broadcast batch
-    (no shuffle; a second, key-only pass finds the inserts); ``shuffle``
-    does everything in one full outer join (one shuffle of each side, one
-    pass over the target); ``auto`` picks ``broadcast`` when the batch
-    passes the size check.
     """
     keys = list(keys)
     if allow_schema_sync:
@@ -107,41 +76,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     src_cols = [c for c in source.columns if c not in keys]
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in src_cols],
                       F.lit(True).alias("_s_hit"))
-    small = plan_size_bytes(s)
-    small = small is not None and small * IN_MEMORY_EXPANSION <= BROADCAST_LIMIT_BYTES
-    if strategy == "shuffle" or (strategy == "auto" and not small):
-        return _upsert_full_outer(target, s, keys, tcols, upd, src_cols, change_predicate,
-                                  insert_cols, action_col, stats)
-    s = F.broadcast(s)
-    j = target.join(s, keys, "left")
-    hit = F.coalesce(F.col("_s_hit"), F.lit(False))
-    if change_predicate is None:
-        changed = hit
-    else:
-        changed = hit & change_predicate(lambda c: F.col(c), lambda c: F.col(f"_s_{c}"))
-    updated = j.select(*[
-        (F.when(changed, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in upd else F.col(c))
-        for c in tcols], *([F.when(changed, "updated").otherwise("kept").alias(action_col)]
-                           if action_col else []))
-    # Keys of the target that the batch touches: a key-only scan of the
-    # target against the (small) batch keys.
-    matched = target.select(*keys).join(broadcast_if_small(source.select(*keys)), keys, "left_semi")
-    fresh = source.join(matched.distinct(), keys, "left_anti")
-    ins = list(insert_cols) if insert_cols is not None else tcols
-    src_types = dict(target.dtypes)
-    inserts = fresh.select(*[
-        (F.col(c) if (c in ins and c in fresh.columns) else F.lit(None)).cast(src_types[c]).alias(c)
-        for c in tcols], *([F.lit("inserted").alias(action_col)] if action_col else []))
-    if stats is not None:
-        stats["updated"] = j.where(changed)
-        stats["inserted"] = inserts
-    return updated.unionByName(inserts)
-
-
-def _upsert_full_outer(target, s, keys, tcols, upd, src_cols, change_predicate, insert_cols,
-                       action_col, stats):
-    """One full outer join: matched rows update, target-only rows stay,
-    batch-only rows are inserted."""
     t = target.select("*", F.lit(True).alias("_t_hit"))
     j = t.join(s, keys, "full_outer")
     t_hit = F.coalesce(F.col("_t_hit"), F.lit(False))
@@ -170,7 +104,7 @@ def _upsert_full_outer(target, s, keys, tcols, upd, src_cols, change_predicate,
                    .alias(action_col))
     if stats is not None:
         stats["updated"] = j.where(changed)
-        stats["inserted"] = j.where(~t_hit)
+        stats["inserted"] = j.where(~t_hit).select(*[insert_value(c).alias(c) for c in tcols])
     return j.select(*out)
 
 
@@ -263,25 +197,43 @@ def append_new(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 # ── partition-scoped upsert ───────────────────────────────────────────────
-def upsert_partitions(table, batch: DataFrame, keys: Sequence[str], **upsert_args) -> int:
+def upsert_partitions(table, batch: DataFrame, keys: Sequence[str],
+                      surrogate_key: str | None = None,
+                      update_cols: Sequence[str] | None = None, **upsert_args) -> int:
     """Upsert ``batch`` into a ``sinks.PartitionedTable``, rewriting only the
-    partitions the batch touches.
-
-    A key's partition value must be a function of the key (as for a claim
-    line and its service year), so matched target rows live in the
-    partitions the batch names.  The touched partition values are one small
-    distinct aggregate (bounded by the number of partitions), the target is
-    read with a partition filter, and untouched partitions are not read or
-    written.  Returns the number of partitions rewritten (-1 when the batch
-    created the table)."""
+    partitions the batch touches: those its rows name and those that hold its
+    keys (a key's partition value may differ from the batch's; a key-only
+    semi-join finds them).  A matched row stays in its partition: partition
+    columns are never updated.
+
+    The first batch goes through the same merge, against an empty table of its
+    own columns.  ``surrogate_key`` numbers inserted rows upwards from the
+    table's greatest key.  Returns the number of partitions rewritten."""
     pcols = table.partition_cols
+    dropped = [c for c in upsert_args.get("dedup_order") or [] if table.exists() and c not in table.read().columns]
     if not table.exists():
-        table.create(batch)
-        return -1
-    touched = [tuple(r) for r in batch.select(*pcols).distinct().collect()]
+        dropped = list(upsert_args.get("dedup_order") or [])
+        empty = batch.drop(*dropped).limit(0)
+        if surrogate_key and surrogate_key not in empty.columns:
+            empty = empty.withColumn(surrogate_key, F.lit(None).cast("long"))
+        table.create(empty)
+    target = table.read()
+    if upsert_args.get("allow_schema_sync"):
+        target, _ = sync_schema(target, batch.drop(*dropped))
+    named = batch.select(*pcols)
+    holding = target.select(*keys, *pcols).join(batch.select(*keys).distinct(), list(keys), "left_semi")
+    touched = [tuple(r) for r in named.union(holding.select(*pcols)).distinct().collect()]
     if not touched:
         return 0
-    current = table.read_partitions(touched)
-    merged = upsert(current, batch, keys, **upsert_args)
-    table.replace_partitions(merged)
+    if update_cols is None:
+        update_cols = [c for c in target.columns if c not in (*keys, *pcols, surrogate_key)]
+    current = table.in_partitions(target, touched)
+    merged = upsert(current, batch, keys, update_cols=[c for c in update_cols if c not in pcols],
+                    action_col="_action", **{k: v for k, v in upsert_args.items() if k != "allow_schema_sync"})
+    if surrogate_key:
+        top = target.agg(F.coalesce(F.max(surrogate_key), F.lit(0))).first()[0]
+        new = merged.where(F.col("_action") == "inserted").drop(surrogate_key)
+        merged = (merged.where(F.col("_action") != "inserted")
+                  .unionByName(assign_keys(new, surrogate_key, start_after=int(top))))
+    table.replace_partitions(merged.drop("_action"))
     return len(touched)

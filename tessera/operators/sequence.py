@@ -3,239 +3,108 @@ sums, trailing RANGE-frame sums) without pinning a hot entity to one task.
 
 ``Window.partitionBy(entity)`` sends every row of an entity to one task; an
 entity holding a third of the table (an "unknown patient" key, a bot user)
-then sorts a third of the data alone.  Here the rows are range-partitioned
-on (entity, order columns) instead, so Spark's sampled range bounds split a
-hot entity across several partitions:
-
-1. range-partition and sort; tag each row with its partition id and a
-   position that is increasing in sort order;
-2. compute the functions inside each (partition, entity) group (a window
-   whose groups are at most one range partition big);
-3. fix the groups that continue across a partition boundary.  Only a
-   partition's first entity can continue from the previous partition, and
-   only its last entity into the next one, so a table with one row per
-   partition (head row, tail row, rows and first row of the tail entity)
-   holds everything needed: the successor of a partition's last row is the
-   next partition's head, the predecessor of its first row is the previous
-   tail, and row numbers and first values carry along a chain of partitions
-   of one entity.  That table is bounded by the partition count; it is
-   resolved on the driver and broadcast back.
-
-Range bounds come from sampling and are drawn again whenever the exchange is
-re-executed, so the tagged rows are checkpointed once (reliable checkpoint
-in the shared ``spark.checkpoint.dir``, never a local one): every later
-branch reads the same stored partition ids and positions.
-
-Results equal the plain window for any partitioning (NULL entities form one
-group, as in a window).
-
-The split costs a checkpoint and two small passes, so it is taken only when
-needed: ``hot_entity_stats`` estimates the largest entity's share of rows
-and the total from a small sample; unless that entity would fill half a
-partition or more *and* hold over ``MIN_SPLIT_ROWS`` rows, the same outputs
-come from plain windows (``skew_check=False`` forces the split path).
+then sorts a third of the data alone.  Here the order column is cut into
+buckets (months of a date, about 16 steps per doubling of a number):
+
+1. the functions are computed inside each (entity, bucket), so a task gets one
+   bucket of an entity;
+2. one aggregate row per (entity, bucket) holds its first and last row, count
+   and sums; a window over these few rows gives each bucket the head of the
+   next one, the tail of the one before, and the totals of all before;
+3. both meet in an equi-join on (entity, bucket).
+
+All of it is one lazy plan: nothing is sampled, collected or run while the plan
+is built, and the result equals the plain window for any data (NULL entities
+form one group, NULL order values come first, running sums skip NULLs).
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
-from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import scratch_root
+STEPS_PER_DOUBLING = 16
 
 
 def _entity_list(entity: str | Sequence[str]) -> list[str]:
     return [entity] if isinstance(entity, str) else list(entity)
 
 
-SAMPLE_FRACTION = 0.02
-# A single task sorts a few million rows in seconds; below this an entity is
-# not worth splitting however large its share.
-MIN_SPLIT_ROWS = 5_000_000
-
-
-def hot_entity_stats(df: DataFrame, ents: Sequence[str],
-                     fraction: float = SAMPLE_FRACTION) -> tuple[float, float]:
-    """(share of rows held by the most frequent entity, estimated total rows)
-    from a Bernoulli sample (one small aggregate; nothing data-sized is
-    collected)."""
-    sample = df.select(*ents).sample(fraction=fraction, seed=17)
-    row = (sample.groupBy(*ents).agg(F.count("*").alias("n"))
-           .agg(F.max("n").alias("top"), F.sum("n").alias("total")).first())
-    if not row or not row["total"]:
-        return 0.0, 0.0
-    return row["top"] / row["total"], row["total"] / fraction
-
-
-def hot_entity_share(df: DataFrame, ents: Sequence[str],
-                     fraction: float = SAMPLE_FRACTION) -> float:
-    return hot_entity_stats(df, ents, fraction)[0]
-
-
-def needs_split(df: DataFrame, ents: Sequence[str], num_partitions: int | None = None,
-                min_rows: int = MIN_SPLIT_ROWS) -> bool:
-    """Public form of the hot-entity check (decide once, reuse for several
-    sequence functions over the same frame)."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _needs_split(df, ents, n, True, min_rows=min_rows)
-
-
-def _needs_split(df: DataFrame, ents: Sequence[str], n: int, skew_check: bool,
-                 probe: tuple[DataFrame, Sequence[str]] | None = None,
-                 min_rows: int = MIN_SPLIT_ROWS) -> bool:
-    """Split when the hottest entity would fill half a partition or more and
-    holds at least ``min_rows`` rows (estimated)."""
-    if not skew_check:
-        return True
-    if probe is not None:
-        df, ents = probe
-    share, total = hot_entity_stats(df, ents)
-    return share * n >= 0.5 and share * total >= min_rows
+def order_bucket(df: DataFrame, col: str) -> Column:
+    """A coarse value that never falls as ``col`` rises."""
+    kind, c = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.trunc(c.cast("date"), "month")
+    if isinstance(kind, T.NumericType):
+        x = c.cast("double")
+        size = F.abs(x) + 1
+        octave = F.floor(F.log2(size))
+        step = octave * STEPS_PER_DOUBLING + F.floor((size / F.pow(F.lit(2.0), octave) - 1) * STEPS_PER_DOUBLING)
+        return F.when(F.isnan(x), F.lit(1 << 40)).otherwise(F.when(x < 0, -step).otherwise(step))
+    return F.substring(c.cast("string"), 1, 2)
 
 
-def _plain(df, ents, order_cols, values, lead, lag, row_number, first, running_sums,
-           prefix_next, prefix_prev, prefix_first, prefix_cum):
-    w = Window.partitionBy(*ents).orderBy(*order_cols)
-    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = [F.col(c) for c in df.columns]
-    out += [F.lead(v).over(w).alias(f"{prefix_next}{v}") for v in values if lead]
-    out += [F.lag(v).over(w).alias(f"{prefix_prev}{v}") for v in values if lag]
-    if row_number:
-        out.append(F.row_number().over(w).alias(row_number))
-    out += [F.first(v).over(full).alias(f"{prefix_first}{v}") for v in first]
-    out += [F.sum(c).over(upto).alias(f"{prefix_cum}{c}") for c in running_sums]
-    return df.select(*out)
+def _sum_type(df: DataFrame, col: str) -> T.DataType:
+    return df.select(F.sum(col)).schema[0].dataType
 
 
 def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[str],
               values: Sequence[str] = (), lead: bool = True, lag: bool = False,
               row_number: str | None = None, first: Sequence[str] = (),
-              running_sums: Sequence[str] = (), num_partitions: int | None = None,
+              running_sums: Sequence[str] = (),
               prefix_next: str = "next_", prefix_prev: str = "prev_",
-              prefix_first: str = "first_", prefix_cum: str = "cum_",
-              skew_check: bool = True,
-              probe: tuple[DataFrame, Sequence[str]] | None = None) -> DataFrame:
+              prefix_first: str = "first_", prefix_cum: str = "cum_") -> DataFrame:
     """``df`` plus, per entity ordered by ``order_cols`` (a total order):
     ``next_<v>`` / ``prev_<v>`` for each value column, an optional 1-based
     ``row_number`` column, ``first_<v>`` (value at the entity's first row)
     for each column in ``first`` and ``cum_<c>`` (running sum up to and
-    including the row) for each column in ``running_sums``.
-
-    ``probe`` = (frame, columns) runs the hot-entity check on a cheaper
-    frame whose key is a prefix of the entity (an entity can only be hot if
-    its prefix is), e.g. the fact below a join."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ents = _entity_list(entity)
-    if not _needs_split(df, ents, n, skew_check, probe):
-        return _plain(df, ents, order_cols, values, lead, lag, row_number, first, running_sums,
-                      prefix_next, prefix_prev, prefix_first, prefix_cum)
-    scratch_root(spark)  # makes sure a checkpoint folder is configured
-    cols = df.columns
-    carry = list(dict.fromkeys(list(values) + list(first)))
-    r = (df.repartitionByRange(n, *[F.col(c) for c in ents + list(order_cols)])
-         .sortWithinPartitions(*ents, *order_cols)
-         .select("*", F.spark_partition_id().alias("_pid"),
-                 F.monotonically_increasing_id().alias("_pos"))
-         .checkpoint(eager=True))
-    key = F.struct(*[F.col(c) for c in ents])
-    packed = F.struct("_pos", key.alias("_e"), *[F.col(v) for v in carry])
-    edge_type = r.select(packed.alias("s")).schema[0].dataType
-
-    # Within (partition, entity) groups.
-    w = Window.partitionBy("_pid", *ents).orderBy("_pos")
-    extra = [F.lead("_pos").over(w).alias("_n_pos"), F.lag("_pos").over(w).alias("_p_pos")]
-    extra += [F.lead(v).over(w).alias(f"_n_{v}") for v in values if lead]
-    extra += [F.lag(v).over(w).alias(f"_p_{v}") for v in values if lag]
-    if row_number:
-        extra.append(F.row_number().over(w).alias("_rn"))
-    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    extra += [F.first(v).over(full).alias(f"_f_{v}") for v in first]
+    including the row) for each column in ``running_sums``."""
+    ents, cols = _entity_list(entity), df.columns
+    x = df.withColumn("_bucket", order_bucket(df, order_cols[0]))
+    w = Window.partitionBy(*ents, "_bucket").orderBy(*order_cols)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    extra += [F.sum(c).over(upto).alias(f"_c_{c}") for c in running_sums]
-    x = r.select("*", key.alias("_key"), *extra)
-    # Typed zeros for the running-sum carries (decimal sums need Decimal).
-    zero = [Decimal(0) if isinstance(x.schema[f"_c_{c}"].dataType, T.DecimalType) else 0
-            for c in running_sums]
-
-    # One row per partition: head, tail; then rows and first row of the
-    # tail entity (a second, filtered pass over the stored rows).
-    edges = sorted(r.groupBy("_pid").agg(F.min(packed).alias("head"),
-                                         F.max(packed).alias("tail")).collect(),
-                   key=lambda e: e["_pid"])
-    tails = {}
-    if (row_number or first or running_sums) and edges:
-        last = spark.createDataFrame(
-            [(e["_pid"], e["tail"]) for e in edges],
-            T.StructType([T.StructField("_pid", T.IntegerType()),
-                          T.StructField("_last", edge_type)]))
-        tails = {row["_pid"]: (row["rows"], row["first"],
-                               [row[f"s_{c}"] if row[f"s_{c}"] is not None else z
-                                for c, z in zip(running_sums, zero)]) for row in
-                 r.join(F.broadcast(last), "_pid")
-                 .where(key.eqNullSafe(F.col("_last._e")))
-                 .groupBy("_pid").agg(F.count("*").alias("rows"), F.min(packed).alias("first"),
-                                      *[F.sum(c).alias(f"s_{c}") for c in running_sums])
-                 .collect()}
-
-    fixes = []
-    carry_rows, carry_first, carry_sums, prev = 0, None, zero, None
-    for i, e in enumerate(edges):
-        continues = prev is not None and prev["tail"]["_e"] == e["head"]["_e"]
-        offset, chain_first, sums = ((carry_rows, carry_first, carry_sums) if continues
-                                     else (0, None, zero))
-        nxt = edges[i + 1]["head"] if i + 1 < len(edges) else None
-        fixes.append((e["_pid"], prev["tail"] if prev is not None else None, nxt, offset,
-                      chain_first, *sums))
-        if tails:
-            rows, first_row, part_sums = tails[e["_pid"]]
-            if e["head"]["_e"] == e["tail"]["_e"] and continues:
-                carry_rows, carry_first = offset + rows, chain_first
-                carry_sums = [a + b for a, b in zip(sums, part_sums)]
-            else:
-                carry_rows, carry_first, carry_sums = rows, first_row, part_sums
-        prev = e
-
-    schema = T.StructType([T.StructField("_pid", T.IntegerType()),
-                           T.StructField("_prev_tail", edge_type),
-                           T.StructField("_next_head", edge_type),
-                           T.StructField("_offset", T.LongType()),
-                           T.StructField("_chain_first", edge_type)]
-                          + [T.StructField(f"_o_{c}", x.schema[f"_c_{c}"].dataType)
-                             for c in running_sums])
-    y = x.join(F.broadcast(spark.createDataFrame(fixes, schema)), "_pid", "left")
-
-    # Rows of the group that continues from the previous partition.
-    continued = F.coalesce(F.col("_prev_tail._e").eqNullSafe(F.col("_key")), F.lit(False))
+    inner = [F.row_number().over(w).alias("_rn"), F.lead(F.lit(True)).over(w).alias("_has_next"),
+             *[F.lead(v).over(w).alias(f"_n_{v}") for v in values if lead],
+             *[F.lag(v).over(w).alias(f"_p_{v}") for v in values if lag],
+             *[F.sum(c).over(upto).alias(f"_c_{c}") for c in running_sums]]
+    carry = list(dict.fromkeys([*values, *first]))
+    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)],
+                      *[F.col(c).alias(f"v_{c}") for c in carry])
+    g = x.groupBy(*ents, "_bucket").agg(
+        F.min(packed).alias("_head"), F.max(packed).alias("_tail"), F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(c).alias(f"_s_{c}") for c in running_sums])
+    over = Window.partitionBy(*ents).orderBy("_bucket")
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    g = g.select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate([*ents, "_bucket"])],
+        F.lead("_head").over(over).alias("_next_head"), F.lag("_tail").over(over).alias("_prev_tail"),
+        F.first("_head").over(over.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_first_head"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
+        *[F.sum(f"_s_{c}").over(before).alias(f"_o_{c}") for c in running_sums])
+    same = functools.reduce(lambda p, q: p & q, (
+        F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*ents, "_bucket"])))
+    y = x.select("*", *inner).join(g, same)
     out = [F.col(c) for c in cols]
-    if lead:
-        cont = (F.col("_n_pos").isNull()
-                & F.coalesce(F.col("_next_head._e").eqNullSafe(F.col("_key")), F.lit(False)))
-        out += [F.when(cont, F.col(f"_next_head.{v}")).otherwise(F.col(f"_n_{v}"))
-                .alias(f"{prefix_next}{v}") for v in values]
-    if lag:
-        cont = F.col("_p_pos").isNull() & continued
-        out += [F.when(cont, F.col(f"_prev_tail.{v}")).otherwise(F.col(f"_p_{v}"))
-                .alias(f"{prefix_prev}{v}") for v in values]
+    out += [F.when(F.col("_has_next").isNull(), F.col(f"_next_head.v_{v}")).otherwise(F.col(f"_n_{v}"))
+            .alias(f"{prefix_next}{v}") for v in values if lead]
+    out += [F.when(F.col("_rn") == 1, F.col(f"_prev_tail.v_{v}")).otherwise(F.col(f"_p_{v}"))
+            .alias(f"{prefix_prev}{v}") for v in values if lag]
     if row_number:
-        out.append((F.col("_rn") + F.when(continued, F.col("_offset")).otherwise(F.lit(0)))
-                   .alias(row_number))
-    out += [F.when(continued, F.col(f"_chain_first.{v}")).otherwise(F.col(f"_f_{v}"))
-            .alias(f"{prefix_first}{v}") for v in first]
-    out += [(F.col(f"_c_{c}") + F.when(continued, F.col(f"_o_{c}")).otherwise(F.lit(0)))
-            .alias(f"{prefix_cum}{c}") for c in running_sums]
+        out.append((F.col("_rn") + F.col("_offset")).cast("int").alias(row_number))
+    out += [F.col(f"_first_head.v_{v}").alias(f"{prefix_first}{v}") for v in first]
+    for c in running_sums:
+        here, earlier = F.col(f"_c_{c}"), F.col(f"_o_{c}")
+        out.append(F.coalesce(here + earlier, here, earlier).cast(_sum_type(df, c)).alias(f"{prefix_cum}{c}"))
     return y.select(*out)
 
 
 def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_col: str,
                   value_cols: Sequence[str], lo_days: int, hi_days: int = 0,
-                  prefix: str = "w_", num_partitions: int | None = None,
-                  skew_check: bool = True) -> DataFrame:
+                  prefix: str = "w_") -> DataFrame:
     """Per row: count and sums of ``value_cols`` over the entity's rows whose
     day lies in [day - lo_days, day - hi_days] (a RANGE frame on days, peers
     on the same day included), without a per-entity window.
@@ -243,94 +112,38 @@ def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_c
     With S(x) = running total of the entity's rows up to day x (all rows of
     day x included), the frame is S(day - hi) - S(day - lo - 1).  Each row
     contributes two zero-weight probe rows placed after all real rows of
-    those days; running sums (carried across range partitions by
-    ``neighbors``) read S at the probes, and one aggregate per row id pairs
-    them up (``<prefix>seq`` is the row's running position, ROWS UNBOUNDED
-    PRECEDING in (day, id) order).  ``id_col`` must be unique."""
+    those days; running sums (``neighbors``) read S at the probes, and one
+    aggregate per (entity, day, row id) pairs them up (``<prefix>seq`` is the
+    row's running position, ROWS UNBOUNDED PRECEDING in (day, id) order).
+    Rows that repeat an entity, day and id share their frame, and get the
+    larger position."""
     ents = _entity_list(entity)
     days = F.datediff(F.col(day_col), F.lit("1970-01-01").cast("date"))
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if not _needs_split(df, ents, n, skew_check):
-        frame = Window.partitionBy(*ents).orderBy(days).rangeBetween(-lo_days, -hi_days)
-        pos = Window.partitionBy(*ents).orderBy(days, F.col(id_col))
-        return df.select(
-            "*", F.row_number().over(pos).cast("long").alias(f"{prefix}seq"),
-            F.count("*").over(frame).alias(f"{prefix}count"),
-            *[F.coalesce(F.sum(v).over(frame), F.lit(0).cast(df.schema[v].dataType))
-              .alias(f"{prefix}{v}") for v in value_cols])
     base = df.select(*ents, id_col, days.alias("_d"), *value_cols)
     real = base.select(*ents, F.col("_d"), F.lit(0).alias("_kind"), id_col,
                        F.lit(0).alias("_probe"), F.lit(1).cast("long").alias("_one"),
-                       *[F.col(v) for v in value_cols])
+                       *[F.col(v) for v in value_cols], F.col("_d").alias("_day"))
     zeros = [F.lit(0).cast(df.schema[v].dataType).alias(v) for v in value_cols]
     upper = base.select(*ents, (F.col("_d") - hi_days).alias("_d"), F.lit(1).alias("_kind"),
                         id_col, F.lit(1).alias("_probe"), F.lit(0).cast("long").alias("_one"),
-                        *zeros)
+                        *zeros, F.col("_d").alias("_day"))
     lower = base.select(*ents, (F.col("_d") - lo_days - 1).alias("_d"), F.lit(1).alias("_kind"),
                         id_col, F.lit(2).alias("_probe"), F.lit(0).cast("long").alias("_one"),
-                        *zeros)
+                        *zeros, F.col("_d").alias("_day"))
     stacked = real.unionByName(upper).unionByName(lower)
     cums = ["_one", *value_cols]
-    seq = neighbors(stacked, ents, ["_d", "_kind", id_col, "_probe"], lead=False,
-                    running_sums=cums, num_partitions=num_partitions, skew_check=False)
+    seq = neighbors(stacked, ents, ["_d", "_kind", id_col, "_probe"], lead=False, running_sums=cums)
 
     def at(p: int, c: str):
         return F.max(F.when(F.col("_probe") == p, F.col(f"cum_{c}")))
 
-    framed = seq.groupBy(id_col).agg(
+    keys = [*ents, "_day", id_col]
+    framed = seq.groupBy(*keys).agg(
         at(0, "_one").alias(f"{prefix}seq"),
         (at(1, "_one") - at(2, "_one")).alias(f"{prefix}count"),
-        *[(at(1, v) - at(2, v)).alias(f"{prefix}{v}") for v in value_cols])
-    return df.join(framed, id_col, "left")
-
-
-def rank_within(df: DataFrame, group_cols: Sequence[str], order_col: str,
-                tiebreak_cols: Sequence[str], ntile: int = 4, prefix: str = "",
-                num_partitions: int | None = None, skew_check: bool = True) -> DataFrame:
-    """RANK, PERCENT_RANK and NTILE(``ntile``) of ``order_col`` (ascending,
-    NULLs last) within each group, without one task per group when a group
-    is large: row numbers come from ``neighbors`` over range partitions,
-    RANK is the smallest row number of each (group, value) tie set (an
-    aggregate joined back), group sizes are one aggregate, and NTILE follows
-    from row number and group size arithmetically.  NTILE uses the tie-break
-    columns for a total order, RANK and PERCENT_RANK do not."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = list(group_cols)
-    nulls_last = F.col(order_col).isNull().cast("int")
-    base = df.withColumn("_nl", nulls_last)
-    order = ["_nl", order_col, *tiebreak_cols]
-    if not _needs_split(base, groups, n, skew_check):
-        w = Window.partitionBy(*groups)
-        rk = w.orderBy(F.col(order_col).asc_nulls_last())
-        nt = w.orderBy(F.col(order_col).asc_nulls_last(), *tiebreak_cols)
-        return df.select("*", F.rank().over(rk).alias(f"{prefix}rank"),
-                         F.percent_rank().over(rk).alias(f"{prefix}percent_rank"),
-                         F.ntile(ntile).over(nt).alias(f"{prefix}ntile"))
-    seq = neighbors(base, groups, order, lead=False, row_number="_rn",
-                    num_partitions=num_partitions, skew_check=False)
-    # NULL groups and NULL values form their own sets (as in a window), so
-    # the joins back use null-safe equality.
-    tie_keys = [*groups, "_nl", order_col]
-    ties = seq.groupBy(*tie_keys).agg(F.min("_rn").alias(f"{prefix}rank"))
-    ties = ties.select(*[F.col(c).alias(f"_t_{c}") for c in tie_keys], f"{prefix}rank")
-    sizes = seq.groupBy(*groups).agg(F.count("*").alias("_n"))
-    sizes = sizes.select(*[F.col(c).alias(f"_z_{c}") for c in groups], "_n")
-    on_ties = None
-    for c in tie_keys:
-        t = F.col(c).eqNullSafe(F.col(f"_t_{c}"))
-        on_ties = t if on_ties is None else on_ties & t
-    on_sizes = None
-    for c in groups:
-        t = F.col(c).eqNullSafe(F.col(f"_z_{c}"))
-        on_sizes = t if on_sizes is None else on_sizes & t
-    j = seq.join(ties, on_ties).join(sizes, on_sizes)
-    q = F.floor(F.col("_n") / ntile)
-    r = F.col("_n") % ntile
-    big = r * (q + 1)
-    tile = F.when(F.col("_rn") <= big, F.floor((F.col("_rn") - 1) / (q + 1)) + 1) \
-        .otherwise(r + F.floor((F.col("_rn") - big - 1) / q) + 1)
-    prank = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
-        (F.col(f"{prefix}rank") - 1).cast("double") / (F.col("_n") - 1))
-    return j.select(*df.columns, F.col(f"{prefix}rank").cast("int").alias(f"{prefix}rank"),
-                    prank.alias(f"{prefix}percent_rank"), tile.cast("int").alias(f"{prefix}ntile"))
+        *[(at(1, v) - at(2, v)).cast(_sum_type(df, v)).alias(f"{prefix}{v}") for v in value_cols])
+    right = framed.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
+                          *[c for c in framed.columns if c not in keys])
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*ents, "_day", id_col])]
+    return (df.withColumn("_day", days).join(right, functools.reduce(lambda x, y: x & y, same), "left")
+            .drop("_day", *[f"_k{i}" for i in range(len(keys))]))

@@ -42,7 +42,7 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _committed_versions(self) -> list[int]:
+    def _versions(self, committed: bool = True) -> list[int]:
         jvm = self.spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -52,12 +52,12 @@ class VersionedTable:
         for st in fs.listStatus(root):
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                     out.append(int(name[2:]))
         return sorted(out)
 
     def current_version(self) -> int | None:
-        versions = self._committed_versions()
+        versions = self._versions()
         return versions[-1] if versions else None
 
     def read(self) -> DataFrame | None:
@@ -65,7 +65,8 @@ class VersionedTable:
         return None if v is None else self.spark.read.parquet(f"{self.root}/v={v}")
 
     def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        v = (self.current_version() or 0) + 1
+        # Past every folder that exists: a dead writer's number is not reused.
+        v = max(self._versions(committed=False), default=0) + 1
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -84,10 +85,10 @@ def write_clustered(df: DataFrame, path: str, partition_cols: list[str],
     day, to avoid tiny files), rows sorted by ``cluster_cols`` inside each
     file so Parquet min/max statistics skip row groups on those filters.
 
-    Repartitioning by the partition columns gives one writer per partition
-    value; AQE splits oversized ones.
+    A rebalance by the partition columns gathers the rows of a partition value,
+    and AQE splits values that are larger than its target size.
     """
-    (df.repartition(*[F.col(c) for c in partition_cols])
+    (df.hint("rebalance", *partition_cols)
      .sortWithinPartitions(*partition_cols, *cluster_cols)
      .write.mode(mode).partitionBy(*partition_cols).parquet(path))
 
@@ -124,36 +125,50 @@ class PartitionedTable:
         self.path = path.rstrip("/")
         self.partition_cols = list(partition_cols)
 
+    # The schema lives in its own folder beside the data, one file per change:
+    # a new column then shows in partitions written before it, and an empty
+    # table has one.
+    @property
+    def _schemas(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.path}-schema")
+
     def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+        return self._schemas.current_version() is not None
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        schema = self._schemas.read().schema
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
+
+    def in_partitions(self, df: DataFrame, values: list[tuple]) -> DataFrame:
+        """The rows of ``df`` in the listed partitions, nulls being a value:
+        a broadcast semi-join on the partition columns, whose values also
+        prune the listing.  Its size is the number of partitions touched."""
+        schema = df.select(*self.partition_cols).schema
+        wanted = self.spark.createDataFrame(values, schema)
+        same = None
+        for c in self.partition_cols:
+            term = df[c].eqNullSafe(wanted[c])
+            same = term if same is None else same & term
+        return df.join(F.broadcast(wanted), same, "left_semi")
 
     def read_partitions(self, values: list[tuple]) -> DataFrame:
-        """Only the listed partitions (a partition filter: pruned listing)."""
-        df = self.read()
-        if not values:
-            return df.limit(0)
-        cond = None
-        for v in values:
-            c = None
-            for col, x in zip(self.partition_cols, v):
-                term = F.col(col) == F.lit(x)
-                c = term if c is None else (c & term)
-            cond = c if cond is None else (cond | c)
-        return df.where(cond)
+        return self.in_partitions(self.read(), values)
 
     def replace_partitions(self, rows: DataFrame) -> None:
         # No repartition by the partition columns: a large partition would
         # then be written by one task.  Rows stay spread over tasks (each
         # writes its share of every partition it holds).
         staged = materialize(rows, "partition_rewrite")
+        if self._schemas.read().schema != staged.schema:
+            self._schemas.commit(staged.limit(0))
         (staged.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
 
     def create(self, rows: DataFrame) -> None:
+        self._schemas.commit(rows.limit(0))
         rows.write.mode("errorifexists").partitionBy(*self.partition_cols).parquet(self.path)
 
 
@@ -184,13 +199,3 @@ def materialize_model(df: DataFrame, mode: str, name: str, table: VersionedTable
         return target.read()
     raise ValueError(f"unknown materialisation {mode!r}")
 
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the cluster's parallelism when ``df`` has
-    fewer partitions than cores (a few large files / row groups), so CPU-
-    heavy per-row work is not confined to a handful of tasks.  Wide inputs
-    (the normal case at scale) are returned untouched: no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -68,8 +68,7 @@ def point_in_time(sat: DataFrame, hub_key: str, first_snapshot: _dt.date,
                   last_snapshot: _dt.date) -> DataFrame:
     """One row per (hub key, snapshot date) with the load date of the
     satellite row current at that snapshot (daily snapshots)."""
-    # Next load of the same key: a checked per-key LEAD (split over range
-    # partitions only when one key's history would fill half a partition).
+    # Next load of the same key.
     loads = sat.select(hub_key, "load_date").distinct()
     nxt = neighbors(loads, hub_key, ["load_date"], ["load_date"], lead=True)
     valid = nxt.select(hub_key, "load_date",

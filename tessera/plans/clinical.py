@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import avg_dec_round, avg_int_round, pct
-from tessera.operators.sequence import needs_split, neighbors, rank_within
+from tessera.operators.sequence import neighbors
 from tessera.operators.sinks import materialize
 
 
@@ -35,25 +35,18 @@ def _round_double(c, scale: int = 4):
 
 
 # ── M1: 30-day readmission ────────────────────────────────────────────────
-def readmission_30d(fact_encounter: DataFrame, skew_safe: bool = True) -> DataFrame:
+def readmission_30d(fact_encounter: DataFrame) -> DataFrame:
     """Flag each inpatient stay followed by another inpatient admission of
     the same patient within 30 days of discharge (flag sits on the index
-    stay).  Ties on admit date are broken by encounter_id.
-
-    ``skew_safe`` computes the LEAD over range partitions (a patient with a
-    huge history is split across tasks); otherwise a plain window by
-    patient is used."""
-    ip = (fact_encounter.where(F.col("encounter_type") == "IP")
+    stay).  Ties on admit date are broken by encounter_id.  Stays without an
+    admit or discharge date have no row in the date dimension that both dates
+    join to, so they leave before the next admission is looked up (J1)."""
+    ip = (fact_encounter.where((F.col("encounter_type") == "IP") & F.col("admit_date").isNotNull()
+                               & F.col("discharge_date").isNotNull())
           .select("encounter_id", "patient_key", "admit_date", "discharge_date",
                   "encounter_type"))
-    if skew_safe:
-        nxt = neighbors(ip, "patient_key", ["admit_date", "encounter_id"],
-                        ["admit_date", "encounter_type"])
-    else:
-        w = Window.partitionBy("patient_key").orderBy("admit_date", "encounter_id")
-        nxt = ip.select("*",
-                        F.lead("admit_date").over(w).alias("next_admit_date"),
-                        F.lead("encounter_type").over(w).alias("next_encounter_type"))
+    nxt = neighbors(ip, "patient_key", ["admit_date", "encounter_id"],
+                    ["admit_date", "encounter_type"])
     days = F.datediff(F.col("next_admit_date"), F.col("discharge_date"))
     flag = (F.col("next_admit_date").isNotNull()
             & (F.col("next_encounter_type") == "IP") & (days <= 30))
@@ -91,15 +84,11 @@ def provider_metrics(fact_encounter: DataFrame, dim_provider: DataFrame, year: i
     )
 
 
-def provider_scorecard(fact_encounter: DataFrame, dim_provider: DataFrame, year: int,
-                       skew_safe: bool = True) -> DataFrame:
-    """Rankings within specialty.  Specialties are few, so each is a large
-    group; when the largest holds millions of providers (checked on a
-    sample) the rankings come from range-partitioned row numbers instead of
-    one window task per specialty."""
+def provider_scorecard(fact_encounter: DataFrame, dim_provider: DataFrame, year: int) -> DataFrame:
+    """Rankings within specialty.  Everything of the fact's size is aggregated
+    first: the windows get one row per provider of a specialty, three numbers
+    each, so a specialty's task grows with the providers, not with the facts."""
     pm = provider_metrics(fact_encounter, dim_provider, year)
-    if skew_safe and needs_split(pm, ["specialty"]):
-        return _provider_scorecard_split(pm)
     spec = Window.partitionBy("specialty")
     cost = spec.orderBy(F.col("avg_charges_raw").asc_nulls_last())
     quality = spec.orderBy(F.col("readmission_rate_pct").asc_nulls_last())
@@ -123,31 +112,9 @@ def provider_scorecard(fact_encounter: DataFrame, dim_provider: DataFrame, year:
             .orderBy("specialty", "composite_tier", F.col("total_encounters").desc()))
 
 
-def _provider_scorecard_split(pm: DataFrame) -> DataFrame:
-    pm = materialize(pm, "provider_metrics")
-    cost = rank_within(pm, ["specialty"], "avg_charges_raw", ["provider_key"], prefix="c_",
-                       skew_check=False)
-    ranked = rank_within(cost, ["specialty"], "readmission_rate_pct", ["provider_key"],
-                         prefix="q_", skew_check=False)
-    ranked = ranked.withColumn("_neg_enc", -F.col("total_encounters"))
-    running = neighbors(ranked, "specialty", ["_neg_enc", "provider_key"], lead=False,
-                        running_sums=["total_encounters"], skew_check=False)
-    tier = F.round((F.col("c_ntile") + F.col("q_ntile")) / 2.0, 1)
-    return (running.select(
-        "provider_key", "npi", "provider_name", "specialty", "total_encounters", "avg_los",
-        "avg_charges", "avg_payments", "readmissions", "readmission_rate_pct", "mortalities",
-        F.col("c_rank").alias("cost_rank"), F.col("q_rank").alias("quality_rank"),
-        F.col("q_percent_rank").alias("quality_percentile"),
-        F.col("c_ntile").alias("cost_quartile"), F.col("q_ntile").alias("quality_quartile"),
-        F.col("cum_total_encounters").alias("cumulative_encounters_in_specialty"),
-        tier.cast("double").alias("composite_tier"))
-        .orderBy("specialty", "composite_tier", F.col("total_encounters").desc()))
-
-
 # ── M3: chronic condition progression ────────────────────────────────────
 def chronic_progression(fact_encounter: DataFrame, bridge: DataFrame,
-                        dim_diagnosis: DataFrame, gap_days: int = 365,
-                        skew_safe: bool = True) -> DataFrame:
+                        dim_diagnosis: DataFrame, gap_days: int = 365) -> DataFrame:
     chronic = (dim_diagnosis.where(F.col("is_chronic"))
                .select("diagnosis_key", "icd10_code", "icd10_description", "cms_hcc_category"))
     x = (fact_encounter.select("encounter_key", "patient_key",
@@ -156,27 +123,14 @@ def chronic_progression(fact_encounter: DataFrame, bridge: DataFrame,
          .join(chronic, "diagnosis_key"))
     entity = ["patient_key", "icd10_code"]
     order = ["encounter_date", "encounter_key", "diagnosis_key"]
-    if skew_safe:
-        # MIN over the entity is the first row's date (the order starts with it).
-        # Hot (patient, code) pairs need a hot patient: check on the fact.
-        seq = neighbors(x, entity, order, ["encounter_date"], lead=False, lag=True,
-                        row_number="diagnosis_occurrence_num", first=["encounter_date"],
-                        probe=(fact_encounter, ["patient_key"]))
-        timeline = seq.select(
-            "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",
-            F.col("first_encounter_date").alias("first_diagnosis_date"), "encounter_date",
-            F.col("prev_encounter_date").alias("prev_diagnosis_date"),
-            "diagnosis_occurrence_num")
-    else:
-        part = Window.partitionBy(*entity)
-        ordered = part.orderBy(*order)
-        timeline = x.select(
-            "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",
-            F.min("encounter_date").over(part).alias("first_diagnosis_date"),
-            "encounter_date",
-            F.lag("encounter_date").over(ordered).alias("prev_diagnosis_date"),
-            F.row_number().over(ordered).alias("diagnosis_occurrence_num"),
-        )
+    # MIN over the entity is the first row's date (the order starts with it).
+    seq = neighbors(x, entity, order, ["encounter_date"], lead=False, lag=True,
+                    row_number="diagnosis_occurrence_num", first=["encounter_date"])
+    timeline = seq.select(
+        "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",
+        F.col("first_encounter_date").alias("first_diagnosis_date"), "encounter_date",
+        F.col("prev_encounter_date").alias("prev_diagnosis_date"),
+        "diagnosis_occurrence_num")
     since_last = F.datediff("encounter_date", "prev_diagnosis_date")
     timeline = timeline.select(
         "patient_key", "icd10_code", "icd10_description", "cms_hcc_category",

@@ -17,7 +17,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.sinks import VersionedTable, append_log, materialize, spread_if_narrow
+from tessera.operators.sinks import VersionedTable, append_log, materialize
 from tessera.plans import loads, quality
 from tessera.sources import ingest
 
@@ -68,7 +68,7 @@ def run_claims_load(spark: SparkSession, landing_dir: str, fact_claim: Versioned
         return landing.count()
 
     def transform():
-        parsed = materialize(ingest.project_claims(spread_if_narrow(staged["landing"])),
+        parsed = materialize(ingest.project_claims(staged["landing"]),
                              "parsed")
         good = parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields")
         resolved = materialize(

@@ -16,44 +16,19 @@ from pyspark.sql import functions as F
 from tessera.operators.sequence import trailing_sums
 
 
-def _epoch_day(c: str):
-    return F.datediff(F.col(c), F.lit("1970-01-01").cast("date"))
-
-
-def _window_avg(col: str, w, scale: int = 4):
-    """Exact windowed mean: decimal sum / count, rounded once."""
-    return F.round(F.sum(F.col(col)).over(w) / F.count(F.col(col)).over(w), scale).cast("double")
-
-
 # ── X1: encounter journey ────────────────────────────────────────────────
-def encounter_journey(fact_encounter: DataFrame, days: int = 90,
-                      skew_safe: bool = True) -> DataFrame:
+def encounter_journey(fact_encounter: DataFrame, days: int = 90) -> DataFrame:
     """Per patient: running encounter count, encounters and mean charges in
-    the trailing ``days`` calendar days (RANGE frame on the admit day).
-
-    ``skew_safe`` computes the frames from running sums over range
-    partitions (``operators.sequence.trailing_sums``), so a patient with a
-    huge history is not one task; otherwise plain windows by patient."""
-    if skew_safe:
-        base = fact_encounter.select("encounter_id", "patient_key", "admit_date",
-                                     "total_charges")
-        t = trailing_sums(base, "patient_key", "admit_date", "encounter_id",
-                          ["total_charges"], days, 0)
-        return t.select(
-            "encounter_id", "patient_key", "admit_date", "total_charges",
-            F.col("w_seq").alias("encounter_seq"),
-            F.col("w_count").alias("encounters_90d"),
-            F.round(F.col("w_total_charges") / F.col("w_count"), 4).cast("double")
-            .alias("avg_charges_90d"))
-    p = Window.partitionBy("patient_key")
-    running = (p.orderBy("admit_date", "encounter_id")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    trailing = p.orderBy(_epoch_day("admit_date")).rangeBetween(-days, 0)
-    return fact_encounter.select(
+    the trailing ``days`` calendar days (RANGE frame on the admit day), from
+    running sums, so a patient with a huge history is not one task."""
+    base = fact_encounter.select("encounter_id", "patient_key", "admit_date", "total_charges")
+    t = trailing_sums(base, "patient_key", "admit_date", "encounter_id", ["total_charges"], days, 0)
+    return t.select(
         "encounter_id", "patient_key", "admit_date", "total_charges",
-        F.count("*").over(running).alias("encounter_seq"),
-        F.count("*").over(trailing).alias("encounters_90d"),
-        _window_avg("total_charges", trailing).alias("avg_charges_90d"))
+        F.col("w_seq").alias("encounter_seq"),
+        F.col("w_count").alias("encounters_90d"),
+        F.round(F.col("w_total_charges") / F.col("w_count"), 4).cast("double")
+        .alias("avg_charges_90d"))
 
 
 # ── X3: LACE index ───────────────────────────────────────────────────────
@@ -74,8 +49,7 @@ def _points(value, table):
     return expr
 
 
-def lace_scores(fact_encounter: DataFrame, bridge: DataFrame, dim_diagnosis: DataFrame,
-                skew_safe: bool = True) -> DataFrame:
+def lace_scores(fact_encounter: DataFrame, bridge: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
     """LACE score per inpatient stay plus its exact percent rank.
 
     Comorbidity uses the number of distinct chronic diagnoses coded on the
@@ -84,14 +58,9 @@ def lace_scores(fact_encounter: DataFrame, bridge: DataFrame, dim_diagnosis: Dat
     enc = fact_encounter.select("encounter_key", "encounter_id", "patient_key", "admit_date",
                                 "encounter_type", "admit_source", "length_of_stay_days")
     is_ed = F.when(F.col("encounter_type") == "ED", 1).otherwise(0).cast("long")
-    if skew_safe:
-        ed = (trailing_sums(enc.withColumn("is_ed", is_ed), "patient_key", "admit_date",
-                            "encounter_id", ["is_ed"], LACE_ED_LOOKBACK_DAYS, 1)
-              .withColumnRenamed("w_is_ed", "ed_visits").drop("is_ed", "w_seq", "w_count"))
-    else:
-        prior = (Window.partitionBy("patient_key").orderBy(_epoch_day("admit_date"))
-                 .rangeBetween(-LACE_ED_LOOKBACK_DAYS, -1))
-        ed = enc.select("*", F.sum(is_ed).over(prior).alias("ed_visits"))
+    ed = (trailing_sums(enc.withColumn("is_ed", is_ed), "patient_key", "admit_date",
+                        "encounter_id", ["is_ed"], LACE_ED_LOOKBACK_DAYS, 1)
+          .withColumnRenamed("w_is_ed", "ed_visits").drop("is_ed", "w_seq", "w_count"))
     chronic = dim_diagnosis.where(F.col("is_chronic")).select("diagnosis_key")
     comorb = (bridge.select("encounter_key", "diagnosis_key").join(chronic, "diagnosis_key")
               .groupBy("encounter_key").agg(F.countDistinct("diagnosis_key").alias("comorbidities")))

@@ -48,7 +48,8 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and stream checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir``.  Only when the session has
-    none (local tests) is a private temporary folder created and registered.
+    none and runs in one process (local tests) is a private temporary folder
+    created and registered; on a cluster that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
@@ -59,6 +60,8 @@ def scratch_root(spark: SparkSession) -> str:
         return conf_dir.rstrip("/")
     if jdir.isDefined():
         return jdir.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

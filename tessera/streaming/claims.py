@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.sinks import (PartitionedTable, VersionedTable, materialize,
-                                     spread_if_narrow, write_batch_log)
+                                     write_batch_log)
 from tessera.plans import loads
 from tessera.sources import ingest
 
@@ -30,7 +30,7 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
         landing, malformed = ingest.landing_from_text(batch)
         # Persist the parsed batch once: the merge reads it several times,
         # and a stored column keeps the validity filter a plain predicate.
-        parsed = materialize(ingest.project_claims(spread_if_narrow(landing)),
+        parsed = materialize(ingest.project_claims(landing),
                              f"claims_batch_{batch_id}")
         good = parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields")
         # The resolved batch feeds three branches of the merge (touched

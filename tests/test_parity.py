@@ -11,7 +11,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from parity import digest, duck  # noqa: E402
 
-NAMES = sorted(E.queries())
+from tessera import catalog  # noqa: E402
+
+NAMES = sorted(catalog.REGISTRY)
 ORACLE = E.oracle_sql()
 
 

@@ -333,35 +333,24 @@ def test_incremental_dataframe_form_equals_rebuild(spark, small_dir):
     assert sorted(second.collect(), key=repr) == sorted(full.collect(), key=repr)
 
 
-def test_upsert_strategies_agree(spark):
+def test_upsert_equals_row_by_row_merge(spark):
     import random
 
     rng = random.Random(4)
-    tgt = spark.createDataFrame([(f"k{i}", i, None if i % 7 == 0 else f"s{i}") for i in range(300)],
-                                "k string, v int, s string")
-    src = spark.createDataFrame([(f"k{rng.randrange(400)}", rng.randrange(5), rng.choice(["s1", None]))
-                                 for _ in range(150)], "k string, v int, s string")
-    pred = changed_any(["v", "s"])
-    a = upsert(tgt, src, ["k"], change_predicate=pred, update_cols=["v"], dedup_order=["v"],
-               strategy="broadcast", action_col="act")
-    b_ = upsert(tgt, src, ["k"], change_predicate=pred, update_cols=["v"], dedup_order=["v"],
-                strategy="shuffle", action_col="act")
-    assert sorted(a.collect(), key=repr) == sorted(b_.collect(), key=repr)
-
-
-def test_scorecard_split_path_equals_windows(spark, small_dir):
-    from tessera.sources import bindings as b
-    from tessera.sources.tables import Tables
-
-    t = Tables(spark, small_dir)
-    pm = clinical.provider_metrics(b.fact_encounter(t), b.dim_provider(t), 1998)
-    plain = clinical.provider_scorecard(b.fact_encounter(t), b.dim_provider(t), 1998,
-                                        skew_safe=False)
-    split = clinical._provider_scorecard_split(pm)
-    cols = plain.columns
-    norm = lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r)
-    assert sorted(map(norm, split.select(*cols).collect()), key=repr) == \
-        sorted(map(norm, plain.collect()), key=repr)
+    target = {f"k{i}": (i, None if i % 7 == 0 else f"s{i}") for i in range(300)}
+    batch = {f"k{rng.randrange(400)}": (rng.randrange(5), rng.choice(["s1", None])) for _ in range(150)}
+    tgt = spark.createDataFrame([(k, *v) for k, v in target.items()], "k string, v int, s string")
+    src = spark.createDataFrame([(k, *v) for k, v in batch.items()], "k string, v int, s string")
+    got = upsert(tgt, src, ["k"], change_predicate=changed_any(["v", "s"]), update_cols=["v"],
+                 insert_cols=["v"], action_col="act")
+    want = {}
+    for k, (v, s) in target.items():
+        new = batch.get(k)
+        # A comparison with NULL is no change.
+        hit = new is not None and (new[0] != v or (None not in (new[1], s) and new[1] != s))
+        want[k] = (new[0] if hit else v, s, "updated" if hit else "kept")
+    want |= {k: (v, None, "inserted") for k, (v, _) in batch.items() if k not in target}
+    assert {r.k: (r.v, r.s, r.act) for r in got.collect()} == want
 
 
 def test_scd2_invariants_and_idempotency(spark, small_dir):
