@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import calendar, exprs
-from tessera.operators import sinks, vault
+from tessera.operators import merge, sinks, vault
 from tessera.plans import (assertions, clinical, load_runs, loads, population, product,
                            quality, staging)
 from tessera.session import scratch_path
@@ -532,23 +532,107 @@ def q_claims_run_ledger(spark, root):
     return ledger.drop("started_at", "finished_at", "duration_sec")
 
 
+def _encounter_dims(t, providers=None):
+    return {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t) if providers is None else providers,
+            "dim_diagnosis": b.dim_diagnosis(t)}
+
+
 @register("encounter_append_watermarked")
 def q_encounter_append_watermarked(spark, root):
-    """Two runs of the watermark-driven load: the first takes the last day,
-    the second (a day later, nothing new extracted) adds nothing."""
+    """Three runs of the watermark-driven load: the first takes all that is
+    there (rows older than a day included), the second what was extracted
+    since, the third nothing."""
     t = Tables(spark, root)
-    dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
-            "dim_diagnosis": b.dim_diagnosis(t)}
-    raw = sc.encounters_raw(t)
+    dims, raw = _encounter_dims(t), sc.encounters_raw(t)
     fact = sinks.versioned_table(spark, "fact_encounter")
     fact.commit(sc.encounter_target(t))
     mark = sinks.versioned_table(spark, "encounter_watermark")
+    at = sc.ENCOUNTER_LOAD_AT - _dt.timedelta(hours=12)
+    early = raw.where(F.col("extracted_at") <= exprs.ts_lit(at))
+    loads.watermarked_encounter_load(early, dims, fact, mark, at)
     loads.watermarked_encounter_load(raw, dims, fact, mark, sc.ENCOUNTER_LOAD_AT)
-    loads.watermarked_encounter_load(raw, dims, fact, mark,
-                                     sc.ENCOUNTER_LOAD_AT + _dt.timedelta(days=1))
+    loads.watermarked_encounter_load(raw, dims, fact, mark, sc.ENCOUNTER_LOAD_AT + _dt.timedelta(days=1))
     return fact.read().select(*ENCOUNTER_OUTPUT)
 
 
+@register("encounter_rejects")
+def q_encounter_rejects(spark, root):
+    """Every fifth provider has no current dimension row: their encounters go
+    to the rejects of the watermarked load, with the lookup that failed."""
+    t = Tables(spark, root)
+    known = b.dim_provider(t).where(F.col("provider_key") % 5 != 0)
+    fact = sinks.versioned_table(spark, "fact_encounter")
+    fact.commit(sc.encounter_target(t))
+    path = scratch_path(spark, "encounter_rejects")
+    loads.watermarked_encounter_load(sc.encounters_raw(t), _encounter_dims(t, known), fact,
+                                     sinks.versioned_table(spark, "encounter_watermark"),
+                                     sc.ENCOUNTER_LOAD_AT, rejects_path=path)
+    return spark.read.parquet(path).select("encounter_id", "attending_npi", "missing_dimension")
+
+
+# ── partition-scoped claims merge (S7, S23, T4, T5) ───────────────────────
+SERVICE_PARTS = ["service_year", "service_month"]
+
+
+def _claims_by_month(spark, rows, numbered=True):
+    table = sinks.partitioned_table(spark, "fact_claim", SERVICE_PARTS)
+    rows = loads.with_service_partitions(rows, SERVICE_PARTS)
+    table.create(merge.assign_keys(rows, "claim_line_key") if numbered else rows)
+    return table
+
+
+@register("claims_partition_moves")
+def q_claims_partition_moves(spark, root):
+    """A batch whose first lines name a later month than the stored line and
+    whose third lines have no service date: each key stays one row, the null
+    partition keeps its rows over two merges."""
+    c = sc.claims(Tables(spark, root))
+    table = _claims_by_month(spark, sc.claim_target(c))
+    line = F.col("claim_line_number")
+    batch = sc.claim_batch(c).withColumn("service_date", F.when(line == 1, F.date_add("service_date", 20))
+                                         .when(line != 3, F.col("service_date")))
+    batch = sinks.materialize(batch, "claim_batch_moved")
+    loads.merge_claims_partitions(table, batch.where(line % 2 == 1))
+    loads.merge_claims_partitions(table, batch)
+    return table.read().select(*sc.CLAIM_COLUMNS)
+
+
+@register("claims_first_load")
+def q_claims_first_load(spark, root):
+    """First load into an empty table, every line twice: the later version
+    stays, lines are numbered 1 to n, no load column is left."""
+    c = sc.claims(Tables(spark, root))
+    batch = sc.claim_batch(c).withColumn("loaded_at", exprs.ts_lit(sc.ENCOUNTER_LOAD_AT))
+    later = batch.withColumn("loaded_at", F.col("loaded_at") + F.expr("INTERVAL 1 HOUR")).withColumn(
+        "billed_amount", (F.col("billed_amount") + 1).cast("decimal(14,2)"))
+    table = sinks.partitioned_table(spark, "fact_claim", SERVICE_PARTS)
+    loads.merge_claims_partitions(table, batch.unionByName(later))
+    rows = table.read()
+    n = rows.agg(F.countDistinct("claim_line_key").alias("n_keys"), F.min("claim_line_key").alias("low_key"),
+                 F.max("claim_line_key").alias("high_key"))
+    return rows.drop("claim_line_key", *SERVICE_PARTS).join(F.broadcast(n), F.lit(True))  # one row
+
+
+@register("claims_stream_batches")
+def q_claims_stream_batches(spark, root):
+    """Three landings, one file per micro-batch: the batch, late adjustments
+    of its second lines, later ones of its first lines."""
+    t = Tables(spark, root)
+    c = sc.claims(t)
+    landing = scratch_path(spark, "claims_landing")
+    batch = sinks.materialize(sc.claim_batch(c), "claim_batch")
+    for step in sc.claim_adjustments(batch):
+        sc.claim_payloads(step, t).select("claim_json").coalesce(2).write.mode("append").text(landing)
+    dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
+            "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
+            "fact_encounter": b.fact_encounter(t)}
+    target = _claims_by_month(spark, sc.claim_target(c))
+    q = claims_stream.run_claims_stream(spark, landing, scratch_path(spark, "claims_ckpt"), target, dims,
+                                        max_files_per_trigger=1)
+    q.awaitTermination()
+    return target.read().select(*sc.CLAIM_COLUMNS)
+
+
 @register("user_activity_stream")
 def q_user_activity_stream(spark, root):
     """Event files -> stream -> per batch: history append, touched dates

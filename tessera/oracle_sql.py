@@ -830,27 +830,41 @@ FROM (
               ELSE denial_reason_code END AS new_denial
   FROM claims WHERE service_date >= DATE '1998-10-01')""")
 
-shape("claim_merge_final", ["claim_target", "claim_batch"])(f"""
-SELECT t.claim_id, t.claim_line_number, t.encounter_key, t.patient_key, t.rendering_provider_key,
-       t.service_date, t.service_date_key, t.paid_date_key, t.procedure_key, t.primary_diagnosis_key,
-       t.billed_amount,
-       CASE WHEN chg THEN s.allowed_amount ELSE t.allowed_amount END AS allowed_amount,
-       CASE WHEN chg THEN s.paid_amount ELSE t.paid_amount END AS paid_amount,
-       CASE WHEN chg THEN s.patient_responsibility ELSE t.patient_responsibility END AS patient_responsibility,
-       t.units_of_service,
-       CASE WHEN chg THEN s.claim_status ELSE t.claim_status END AS claim_status,
-       CASE WHEN chg THEN s.denial_reason_code ELSE t.denial_reason_code END AS denial_reason_code
-FROM (SELECT t.*, s.claim_id AS s_id,
-             COALESCE(t.claim_status <> s.claim_status OR t.paid_amount <> s.paid_amount
-                      OR t.denial_reason_code <> s.denial_reason_code, FALSE) AS chg
-      FROM claim_target t LEFT JOIN claim_batch s
-        ON s.claim_id = t.claim_id AND s.claim_line_number = t.claim_line_number) t
-LEFT JOIN claim_batch s ON s.claim_id = t.claim_id AND s.claim_line_number = t.claim_line_number
-UNION ALL
-SELECT {_CLAIM_COLS} FROM claim_batch s
-WHERE NOT EXISTS (SELECT 1 FROM claim_target t
-                  WHERE t.claim_id = s.claim_id AND t.claim_line_number = s.claim_line_number)""")
-
+def merged_claims_sql(target: str, batch: str) -> str:
+    """Stored lines with the batch's five measures where a compared one
+    differs (NULL never does), and the lines that are not stored."""
+    measures = ("allowed_amount", "paid_amount", "patient_responsibility", "claim_status", "denial_reason_code")
+    new = ", ".join(f"IF(differs, s.{m}, t.{m}) AS {m}" for m in measures)
+    return f"""
+SELECT t.* REPLACE ({new}) FROM {target} t
+LEFT JOIN (SELECT b.*, COALESCE(k.claim_status <> b.claim_status OR k.paid_amount <> b.paid_amount
+                                OR k.denial_reason_code <> b.denial_reason_code, FALSE) AS differs
+           FROM {batch} b JOIN {target} k USING (claim_id, claim_line_number)) s USING (claim_id, claim_line_number)
+UNION ALL BY NAME
+SELECT b.* FROM {batch} b ANTI JOIN {target} USING (claim_id, claim_line_number)"""
+
+
+shape("claim_merge_final", ["claim_target", "claim_batch"])(merged_claims_sql("claim_target", "claim_batch"))
+
+shape("claim_batch_moved", ["claim_batch"])("""
+SELECT * REPLACE (CASE claim_line_number WHEN 1 THEN service_date + 20 WHEN 3 THEN NULL ELSE service_date END
+                  AS service_date) FROM claim_batch""")
+shape("claim_adjust_2", ["claim_batch"])("""
+SELECT * REPLACE (CAST(paid_amount - 5 AS DECIMAL(14,2)) AS paid_amount, 'Adjusted' AS claim_status)
+FROM claim_batch WHERE claim_line_number = 2""")
+shape("claim_adjust_1", ["claim_batch"])("""
+SELECT * REPLACE (CAST(paid_amount + 2 AS DECIMAL(14,2)) AS paid_amount, 'Adjusted' AS claim_status)
+FROM claim_batch WHERE claim_line_number = 1""")
+shape("claims_after_2", ["claim_merge_final", "claim_adjust_2"])(merged_claims_sql("claim_merge_final", "claim_adjust_2"))
+
+ORACLE["claims_partition_moves"] = with_shapes(
+    merged_claims_sql("claim_target", "claim_batch_moved"), "claim_target", "claim_batch_moved")
+ORACLE["claims_stream_batches"] = with_shapes(
+    merged_claims_sql("claims_after_2", "claim_adjust_1"), "claims_after_2", "claim_adjust_1")
+ORACLE["claims_first_load"] = with_shapes("""
+SELECT * REPLACE (CAST(billed_amount + 1 AS DECIMAL(14,2)) AS billed_amount),
+       (SELECT COUNT(*) FROM claim_batch) AS n_keys, 1::BIGINT AS low_key, (SELECT COUNT(*) FROM claim_batch) AS high_key
+FROM claim_batch""", "claim_batch")
 ORACLE["claim_merge_final_state"] = with_shapes("SELECT * FROM claim_merge_final", "claim_merge_final")
 ORACLE["claims_stream_final_state"] = ORACLE["claim_merge_final_state"]
 
@@ -1118,7 +1132,16 @@ FROM (SELECT *, CASE WHEN bad = 0 THEN 'PASS'
                      WHEN {round_div('bad * 100', 'total', 4)} <= 0.1 THEN 'WARN' ELSE 'FAIL' END AS status
       FROM m)""", "claim_target", "claim_batch", "claim_merge_final")
 
-ORACLE["encounter_append_watermarked"] = ORACLE["encounter_append_final_state"]
+# Stored encounters and every extracted one that is not stored.
+ORACLE["encounter_append_watermarked"] = with_shapes(f"""
+WITH keyed AS (SELECT *, {date_key('admit_date')} AS admit_date_key, {date_key('discharge_date')} AS discharge_date_key
+               FROM fact_encounter)
+SELECT {ENC_OUT} FROM keyed WHERE admit_date < DATE '2001-01-01' OR admit_date >= DATE '2000-12-25'""", "fact_encounter")
+
+ORACLE["encounter_rejects"] = with_shapes("""
+SELECT encounter_id, npi AS attending_npi, 'provider' AS missing_dimension
+FROM fact_encounter JOIN dim_provider ON provider_key = attending_provider_key
+WHERE admit_date >= DATE '2000-12-25' AND provider_key % 5 = 0""", "fact_encounter", "dim_provider")
 
 ORACLE["user_activity_stream"] = ORACLE["user_activity"]
 

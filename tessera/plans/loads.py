@@ -79,13 +79,16 @@ def with_service_partitions(df: DataFrame, cols) -> DataFrame:
 
 def merge_claims_partitions(table, batch: DataFrame, null_safe: bool = False) -> int:
     """``merge_claims`` into a table partitioned by service period (see
-    ``SERVICE_PARTITIONS``): only the periods present in the batch are read
-    and rewritten.  The partition columns are added from the service date."""
+    ``SERVICE_PARTITIONS``): only the periods that the batch names or that hold
+    its lines are rewritten.  The partition columns are added from the service
+    date; inserted lines get a ``claim_line_key``."""
     batch = with_service_partitions(batch, [c for c in table.partition_cols
                                             if c not in batch.columns])
     from tessera.operators.merge import upsert_partitions
     order = ["loaded_at"] if "loaded_at" in batch.columns else None
+    numbered = not table.exists() or "claim_line_key" in table.read().columns
     return upsert_partitions(table, batch, CLAIM_KEYS,
+                             surrogate_key="claim_line_key" if numbered else None,
                              change_predicate=changed_any(CLAIM_CHANGE_COLS, null_safe=null_safe),
                              update_cols=CLAIM_UPDATE_COLS, dedup_order=order)
 
@@ -138,19 +141,43 @@ def unresolved_claims(parsed: DataFrame, dim_patient: DataFrame, dim_provider: D
 
 
 # ── M9: incremental encounter append ──────────────────────────────────────
+def _extracted(encounters_raw: DataFrame, as_of: _dt.datetime, window: _dt.timedelta | None,
+               after: _dt.datetime | None) -> DataFrame:
+    if after is not None:
+        return encounters_raw.where(F.col("extracted_at") > ts_lit(after))
+    if window is not None:
+        return encounters_raw.where(F.col("extracted_at") >= ts_lit(as_of - window))
+    return encounters_raw
+
+
+def unresolved_encounters(encounters: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame,
+                          dim_diagnosis: DataFrame) -> DataFrame:
+    """Rows that the dimension lookups of the append would drop (J7), with the
+    first lookup that failed."""
+    found = (encounters
+             .join(dim_patient.where(F.col("is_current_record")).select("patient_id", F.lit(True).alias("_p")),
+                   "patient_id", "left")
+             .join(dim_provider.where(F.col("is_current_record"))
+                   .select(F.col("npi").alias("attending_npi"), F.lit(True).alias("_r")), "attending_npi", "left")
+             .join(dim_diagnosis.select(F.col("icd10_code").alias("primary_icd10_code"), F.lit(True).alias("_d")),
+                   "primary_icd10_code", "left"))
+    missing = (F.when(F.col("_p").isNull(), "patient").when(F.col("_r").isNull(), "provider")
+               .when(F.col("_d").isNull(), "diagnosis"))
+    return (found.select(*encounters.columns, missing.alias("missing_dimension"))
+            .where(F.col("missing_dimension").isNotNull()))
+
+
 def append_encounters(encounters_raw: DataFrame, dim_patient: DataFrame,
                       dim_provider: DataFrame, dim_diagnosis: DataFrame,
                       fact_encounter: DataFrame, as_of: _dt.datetime,
-                      window: _dt.timedelta = _dt.timedelta(days=1),
+                      window: _dt.timedelta | None = _dt.timedelta(days=1),
                       after: _dt.datetime | None = None) -> DataFrame:
-    """Rows extracted within ``window`` before ``as_of`` (or strictly after a
-    stored watermark ``after``), resolved to surrogate keys, minus encounter
-    ids already loaded.  Batch duplicates collapse to the latest extract
-    (ruling R10)."""
-    if after is None:
-        src = encounters_raw.where(F.col("extracted_at") >= ts_lit(as_of - window))
-    else:
-        src = encounters_raw.where(F.col("extracted_at") > ts_lit(after))
+    """Rows extracted within ``window`` before ``as_of`` (None: all rows), or
+    strictly after a stored watermark ``after``, resolved to surrogate keys,
+    minus encounter ids already loaded.  Batch duplicates collapse to the
+    latest extract (ruling R10); rows without a dimension row are listed by
+    ``unresolved_encounters``."""
+    src = _extracted(encounters_raw, as_of, window, after)
     src = latest_per_key(src, ["encounter_id"], ["extracted_at"])
     pat = dim_patient.where(F.col("is_current_record")).select("patient_id", "patient_key")
     prov = (dim_provider.where(F.col("is_current_record"))
@@ -174,25 +201,29 @@ def append_encounters(encounters_raw: DataFrame, dim_patient: DataFrame,
 
 def watermarked_encounter_load(encounters_raw: DataFrame, dims: dict[str, DataFrame],
                                fact: "VersionedTable", watermark: "VersionedTable",
-                               as_of: _dt.datetime) -> int:
+                               as_of: _dt.datetime, rejects_path: str | None = None) -> int:
     """Incremental load driven by a stored high watermark instead
-    of an assumed one-day window.  The first run (no watermark yet) takes the
-    last day; every run appends new encounters to the fact as a new version
-    and stores max(extracted_at) of what it read.  Returns the rows added."""
+    of an assumed one-day window.  The first run (no watermark yet) takes
+    everything; every run appends new encounters to the fact as a new version,
+    writes the rows it could not resolve to ``rejects_path`` and stores
+    max(extracted_at) of what it read.  Returns the rows added."""
+    from tessera.operators.sinks import append_log, materialize
+
     mark = watermark.read()
     after = mark.first()[0] if mark is not None else None
+    # What this run reads, fixed once: the mark, the rows and the rejects agree.
+    source = materialize(_extracted(encounters_raw, as_of, None, after), "encounters_extracted")
     target = fact.read()
-    new = append_encounters(encounters_raw, dims["dim_patient"], dims["dim_provider"],
-                            dims["dim_diagnosis"], target, as_of, after=after)
-    read_max = (encounters_raw.where(F.col("extracted_at") > ts_lit(after)) if after else
-                encounters_raw.where(F.col("extracted_at") >= ts_lit(as_of - _dt.timedelta(days=1))))
-    high = read_max.agg(F.max("extracted_at").alias("high_watermark")).first()[0]
+    lookups = (dims["dim_patient"], dims["dim_provider"], dims["dim_diagnosis"])
+    new = materialize(append_encounters(source, *lookups, target, as_of, window=None), "encounters_new")
+    if rejects_path:
+        append_log(unresolved_encounters(source, *lookups), rejects_path)
     added = new.count()
     if added:
         fact.commit(target.unionByName(new.select(*target.columns)))
-    if high is not None:
-        spark = encounters_raw.sparkSession
-        watermark.commit(spark.createDataFrame([(high,)], "high_watermark timestamp_ntz"))
+    high = source.agg(F.max("extracted_at").alias("high_watermark"))
+    if high.first()[0] is not None:
+        watermark.commit(high)
     return added
 
 

@@ -94,6 +94,17 @@ def claim_batch(c: DataFrame) -> DataFrame:
     ).select(*CLAIM_COLUMNS)
 
 
+def claim_adjustments(batch: DataFrame) -> list[DataFrame]:
+    """The batch, then late adjustments: second lines are paid five less and
+    change status, then first lines two more."""
+    def paid(line: int, by: int) -> DataFrame:
+        return (batch.where(F.col("claim_line_number") == line)
+                .withColumn("paid_amount", (F.col("paid_amount") + by).cast("decimal(14,2)"))
+                .withColumn("claim_status", F.lit("Adjusted")).select(*CLAIM_COLUMNS))
+
+    return [batch, paid(2, -5), paid(1, 2)]
+
+
 def claim_payloads(batch: DataFrame, t: Tables) -> DataFrame:
     """The batch as landing payloads: natural keys instead of surrogate
     keys, dates as text, serialised as JSON (one object per claim line)."""
