@@ -532,6 +532,31 @@ def q_claims_run_ledger(spark, root):
     return ledger.drop("started_at", "finished_at", "duration_sec")
 
 
+@register("claims_run_rejects")
+def q_claims_run_rejects(spark, root):
+    """A landing in which fourth lines are cut off, fifth lines have a text
+    for an amount, sixth lines are arrays of numbers, and every seventh
+    provider has no dimension row: rejects per reason and what was merged
+    into an empty table."""
+    t = Tables(spark, root)
+    landing = scratch_path(spark, "pipeline_landing")
+    rows = sc.claim_payloads(sc.claim_batch(sc.claims(t)), t)
+    line = F.get_json_object("claim_json", "$.claim_line_number").cast("int")
+    text = (F.when(line == 4, F.substring("claim_json", 1, 30))
+            .when(line == 5, F.regexp_replace("claim_json", '"billed_amount":[0-9.]+', '"billed_amount":"n/a"'))
+            .when(line == 6, F.lit("[1, 2]")).otherwise(F.col("claim_json")))
+    rows.select(text.alias("value")).write.text(landing)
+    dims = {"dim_patient": b.dim_patient(t),
+            "dim_provider": b.dim_provider(t).where(F.col("provider_key") % 7 != 0),
+            "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
+            "fact_encounter": b.fact_encounter(t)}
+    fact, path = sinks.versioned_table(spark, "fact_claim"), scratch_path(spark, "claims_rejects")
+    load_runs.run_claims_load(spark, landing, fact, dims, "run", PIPELINE_RUN_AT, rejects_path=path)
+    merged = fact.read().select(F.lit("merged").alias("reason"))
+    return (spark.read.parquet(path).select("reason").unionByName(merged)
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
 def _encounter_dims(t, providers=None):
     return {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t) if providers is None else providers,
             "dim_diagnosis": b.dim_diagnosis(t)}

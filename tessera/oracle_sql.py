@@ -1132,6 +1132,13 @@ FROM (SELECT *, CASE WHEN bad = 0 THEN 'PASS'
                      WHEN {round_div('bad * 100', 'total', 4)} <= 0.1 THEN 'WARN' ELSE 'FAIL' END AS status
       FROM m)""", "claim_target", "claim_batch", "claim_merge_final")
 
+# An array line is two payloads that are no objects.
+ORACLE["claims_run_rejects"] = with_shapes("""
+SELECT CASE claim_line_number WHEN 4 THEN 'malformed_json' WHEN 5 THEN 'uncastable_field' WHEN 6 THEN 'uncastable_field'
+       ELSE IF(rendering_provider_key % 7 = 0, 'unresolved_provider', 'merged') END AS reason,
+       CAST(SUM(IF(claim_line_number = 6, 2, 1)) AS BIGINT) AS n
+FROM claim_batch GROUP BY 1""", "claim_batch")
+
 # Stored encounters and every extracted one that is not stored.
 ORACLE["encounter_append_watermarked"] = with_shapes(f"""
 WITH keyed AS (SELECT *, {date_key('admit_date')} AS admit_date_key, {date_key('discharge_date')} AS discharge_date_key

@@ -40,7 +40,7 @@ def _now() -> _dt.datetime:
 def run_claims_load(spark: SparkSession, landing_dir: str, fact_claim: VersionedTable,
                         dims: dict[str, DataFrame], run_id: str, as_of: _dt.datetime,
                         results_path: str | None = None, ledger_path: str | None = None,
-                        pipeline_name: str = "claims_daily") -> DataFrame:
+                        pipeline_name: str = "claims_daily", rejects_path: str | None = None) -> DataFrame:
     steps: list[StepResult] = []
     failed_step = error = None
     started, t0 = _now(), time.perf_counter()
@@ -54,7 +54,7 @@ def run_claims_load(spark: SparkSession, landing_dir: str, fact_claim: Versioned
             steps.append(StepResult(name, "SUCCESS", int(rows)))
             return rows
         except Exception as e:  # noqa: BLE001 - every failure ends the run
-            failed_step, error = name, str(e).split("\n")[0][:500]
+            failed_step, error = name, str(e)
             rows = getattr(e, "rows", 0)
             steps.append(StepResult(name, "FAILED", int(rows)))
             return None
@@ -62,20 +62,28 @@ def run_claims_load(spark: SparkSession, landing_dir: str, fact_claim: Versioned
     staged: dict[str, DataFrame] = {}
 
     def stage():
-        # Landing rows are counted here and persisted once, parsed, below.
-        landing, rejects = ingest.read_stage(spark, landing_dir)
-        staged["landing"] = landing
-        return landing.count()
+        # One pass over the landed files: parsed, stored and counted.
+        landing, malformed = ingest.read_stage(spark, landing_dir)
+        obs = Observation("stage")
+        parsed = ingest.project_claims(landing).observe(obs, F.count(F.lit(1)).alias("rows"))
+        staged["parsed"] = materialize(parsed, "parsed")
+        staged["malformed"] = malformed
+        return obs.get["rows"]
 
     def transform():
-        parsed = materialize(ingest.project_claims(staged["landing"]),
-                             "parsed")
+        parsed = staged["parsed"]
         good = parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields")
         resolved = materialize(
             loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
                                         dims["dim_procedure"], dims["dim_diagnosis"],
                                         dims["fact_encounter"]), "resolved")
-        merged = loads.merge_claims(fact_claim.read(), resolved, dedup_order=["loaded_at"],
+        if rejects_path:
+            append_log(loads.claim_rejects(staged["malformed"], parsed, dims)
+                       .withColumn("run_id", F.lit(run_id)), rejects_path)
+        target = fact_claim.read()
+        if target is None:  # first load: an empty table with the batch's columns
+            target = resolved.drop("loaded_at").limit(0)
+        merged = loads.merge_claims(target, resolved, dedup_order=["loaded_at"],
                                     action_col="_action")
         # Row counts ride along with the commit write (no extra job).
         obs = Observation("merge")

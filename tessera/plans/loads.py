@@ -140,6 +140,22 @@ def unresolved_claims(parsed: DataFrame, dim_patient: DataFrame, dim_provider: D
             .where(F.col("missing_dimension").isNotNull()))
 
 
+def claim_rejects(malformed: DataFrame, parsed: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Everything a claims load does not merge, with the reason: lines that
+    are no JSON, payloads with a bad or missing field, claims without a
+    dimension row (J5)."""
+    from tessera.sources import ingest
+
+    raw = F.to_json(F.struct(*[c for c, _ in ingest.CLAIM_FIELDS])).alias("raw_record")
+    bad = parsed.where(F.col("_bad_fields") > 0).select(
+        raw, "file_name", "loaded_at", F.lit("uncastable_field").alias("reason"))
+    lost = unresolved_claims(
+        parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields"), dims["dim_patient"], dims["dim_provider"],
+        dims["dim_procedure"], dims["dim_diagnosis"]).select(
+        raw, "file_name", "loaded_at", F.concat(F.lit("unresolved_"), F.col("missing_dimension")).alias("reason"))
+    return malformed.unionByName(bad).unionByName(lost)
+
+
 # ── M9: incremental encounter append ──────────────────────────────────────
 def _extracted(encounters_raw: DataFrame, as_of: _dt.datetime, window: _dt.timedelta | None,
                after: _dt.datetime | None) -> DataFrame:

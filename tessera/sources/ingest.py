@@ -77,7 +77,9 @@ def read_stage(spark: SparkSession, path: str, mode: str = "lines") -> tuple[Dat
 
 def project_claims(landing: DataFrame) -> DataFrame:
     """Typed columns from the VARIANT payload, plus ``_bad_fields`` (the
-    number of present-but-uncastable fields) for the reject path.
+    number of present-but-uncastable fields, one more without a claim id or
+    line number, as for a payload that is no object) for the reject path.
+    The status is normalised here (F2): later filters compare plain values.
 
     One extraction of the whole object as text fields, then one cast per
     field, each step a separate projection over plain column references so
@@ -95,4 +97,7 @@ def project_claims(landing: DataFrame) -> DataFrame:
     typed = raw.select(*[F.col(f"_raw_{n}") for n, _ in CLAIM_FIELDS], *typed_cols, *extra)
     bad = sum((F.when(F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull(), 1).otherwise(0)
                for n, _ in CLAIM_FIELDS), F.lit(0))
-    return typed.select(*[n for n, _ in CLAIM_FIELDS], *extra, bad.alias("_bad_fields"))
+    bad = bad + F.when(F.col("claim_id").isNull() | F.col("claim_line_number").isNull(), 1).otherwise(0)
+    status = F.initcap(F.trim("claim_status")).alias("claim_status")
+    return typed.select(*[status if n == "claim_status" else n for n, _ in CLAIM_FIELDS], *extra,
+                        bad.alias("_bad_fields"))

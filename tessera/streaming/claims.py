@@ -46,18 +46,7 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
             merged = loads.merge_claims(target.read(), resolved, dedup_order=["loaded_at"])
             target.commit(merged)
         if rejects_path:
-            fields = [c for c, _ in ingest.CLAIM_FIELDS]
-            bad_values = parsed.where(F.col("_bad_fields") > 0).select(
-                F.to_json(F.struct(*fields)).alias("raw_record"),
-                "file_name", "loaded_at", F.lit("uncastable_field").alias("reason"))
-            # Claims the inner dimension lookups drop are kept here.
-            unresolved = loads.unresolved_claims(
-                good, dims["dim_patient"], dims["dim_provider"], dims["dim_procedure"],
-                dims["dim_diagnosis"]).select(
-                F.to_json(F.struct(*fields)).alias("raw_record"), "file_name", "loaded_at",
-                F.concat(F.lit("unresolved_"), F.col("missing_dimension")).alias("reason"))
-            write_batch_log(malformed.unionByName(bad_values).unionByName(unresolved),
-                            rejects_path, batch_id)
+            write_batch_log(loads.claim_rejects(malformed, parsed, dims), rejects_path, batch_id)
         if checks_path:
             from tessera.plans import quality
             state = target.read()
