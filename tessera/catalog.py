@@ -268,7 +268,10 @@ def q_scd2_final_state(spark, root):
 def q_scd2_run_log(spark, root):
     stats: dict = {}
     _scd2(Tables(spark, root), stats)
-    return loads.etl_run_log_row(spark, "sp_load_dim_patient", stats, sc.SCD2_NOW)
+    # Appended to the run log (S19), which is read back.
+    log = scratch_path(spark, "etl_run_log")
+    sinks.append_log(loads.etl_run_log_row(spark, "sp_load_dim_patient", stats, sc.SCD2_NOW), log)
+    return spark.read.parquet(log)
 
 
 @register("claim_merge_final_state")
@@ -384,12 +387,16 @@ def q_patient_row_hash(spark, root):
         *[F.col(c) for c in loads.PATIENT_TRACKED]).alias("row_hash"))
 
 
+COLUMN_VALUES_LIMIT = 50
+
+
 @register("column_values")
 def q_column_values(spark, root):
-    """Distinct non-NULL plan names, sorted, at most 50."""
+    """Distinct non-NULL plan names, sorted; one more than the limit
+    tells its reader that there are too many."""
     return (_stg_users(Tables(spark, root)).select("plan_name")
             .where(F.col("plan_name").isNotNull()).distinct()
-            .orderBy("plan_name").limit(50))
+            .orderBy("plan_name").limit(COLUMN_VALUES_LIMIT + 1))
 
 
 @register("plan_pivot")
@@ -398,6 +405,8 @@ def q_plan_pivot(spark, root):
     one small driver-side read (<= 50 values) that fixes the output columns."""
     t = Tables(spark, root)
     plans = [r[0] for r in q_column_values(spark, root).collect()]
+    if len(plans) > COLUMN_VALUES_LIMIT:
+        raise ValueError(f"over {COLUMN_VALUES_LIMIT} values: the pivot would lose columns")
     ua = _user_activity(t)
     return (ua.groupBy("activity_date").pivot("plan_name", plans)
             .agg(F.sum("total_events")))
@@ -433,16 +442,27 @@ def q_lace_scores(spark, root):
                                   b.dim_diagnosis(t))
 
 
+CENSUS_AS_OF = _dt.date(2001, 12, 31)
+
+
+@register("encounter_sequence")
+def q_encounter_sequence(spark, root):
+    return population.encounter_sequence(b.fact_encounter(Tables(spark, root)))
+
+
 @register("facility_census")
 def q_facility_census(spark, root):
     t = Tables(spark, root)
-    return population.facility_census(b.fact_encounter(t), b.dim_provider(t))
+    # Every fiftieth stay is still open.
+    stays = b.fact_encounter(t).withColumn("discharge_date", F.when(F.col("encounter_key") % 50 != 0,
+                                                                    F.col("discharge_date")))
+    return population.facility_census(stays, b.dim_provider(t), CENSUS_AS_OF)
 
 
 @register("provider_charge_rank")
 def q_provider_charge_rank(spark, root):
     t = Tables(spark, root)
-    return population.provider_charge_rank(b.fact_encounter(t), b.dim_provider(t), CLINICAL_YEAR)
+    return population.provider_charge_rank(b.fact_encounter(t), b.dim_provider(t))
 
 
 @register("cohort_retention")
@@ -450,6 +470,11 @@ def q_cohort_retention(spark, root):
     return product.cohort_retention(_user_activity(Tables(spark, root)))
 
 
+@register("cohort_retention_monthly")
+def q_cohort_retention_monthly(spark, root):
+    return product.cohort_retention_monthly(_user_activity(Tables(spark, root)))
+
+
 @register("time_to_convert")
 def q_time_to_convert(spark, root):
     t = Tables(spark, root)
@@ -499,12 +524,28 @@ def q_vault_pit(spark, root):
 
 @register("events_continuous_agg")
 def q_events_continuous_agg(spark, root):
-    """Streaming aggregate over the event files, upserted per micro-batch."""
-    target = sinks.versioned_table(spark, "event_counts")
-    q = agg_stream.run_event_counts(spark, root, scratch_path(spark, "event_counts_ckpt"), target,
+    """Streaming aggregate over the event files, added up per micro-batch."""
+    partials = scratch_path(spark, "event_counts")
+    q = agg_stream.run_event_counts(spark, root, scratch_path(spark, "event_counts_ckpt"), partials,
                                     file_glob="events.parquet")
     q.awaitTermination()
-    return target.read()
+    return agg_stream.read_event_counts(spark, partials)
+
+
+@register("events_late_files")
+def q_events_late_files(spark, root):
+    """The events land in three files, the earliest days last; one file per
+    micro-batch."""
+    ev = Tables(spark, root).events
+    landing = scratch_path(spark, "event_landing")
+    day = F.dayofmonth("ts")
+    for part in (day.between(11, 20), day > 20, day < 11):
+        ev.where(part).coalesce(1).write.mode("append").parquet(landing)
+    partials = scratch_path(spark, "event_counts")
+    q = agg_stream.run_event_counts(spark, landing, scratch_path(spark, "event_counts_ckpt"), partials,
+                                    max_files_per_trigger=1)
+    q.awaitTermination()
+    return agg_stream.read_event_counts(spark, partials)
 
 
 # ── claims load run (M16) ───────────────────────────────────────────────────

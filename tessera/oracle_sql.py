@@ -311,7 +311,7 @@ def oracle_for_registry() -> dict[str, str]:
     out["provider_cost_report"] = provider_cost_report_sql(c.CLINICAL_YEAR,
                                                            c.COST_REPORT_MIN_ENCOUNTERS)
     out.update(dq_oracles(c.DQ_AS_OF, c.DQ_HISTORY_DAYS))
-    out["provider_charge_rank"] = provider_charge_rank_sql(c.CLINICAL_YEAR)
+    out["provider_charge_rank"] = provider_charge_rank_sql()
     out.update(test_oracles(PRODUCT_AS_OF_SQL,
                             f"TIMESTAMP '{c.FRESHNESS_AS_OF:%Y-%m-%d %H:%M:%S}'"))
     return {k: v for k, v in out.items() if k in c.REGISTRY}
@@ -683,7 +683,7 @@ def test_oracles(as_of_sql: str, fresh_as_of_sql: str) -> dict[str, str]:
           _unique_sql("stg_events", "event_id"), _unique_sql("stg_users", "user_id"),
           _unique_sql("stg_users", "email"), _unique_sql("stg_sessions", "session_id"),
           _unique_sql("mart_user_activity", "user_id_activity_date",
-                      "concat_ws('-', user_id, CAST(activity_date AS VARCHAR))"),
+                      "user_id || '-' || CAST(activity_date AS VARCHAR)"),
           _unique_sql("mart_funnel_analysis", "user_id")]
     nn = [_not_null_sql("events", ["event_id", "user_id", "event_type", "occurred_at"]),
           _not_null_sql("users", ["user_id", "email"]),
@@ -1007,37 +1007,53 @@ SELECT t.*, round(CAST((SELECT COUNT(*) FROM t t2 WHERE t2.lace_score < t.lace_s
                   / greatest((SELECT COUNT(*) FROM t) - 1, 1), 6) AS lace_percentile
 FROM t""", "fact_encounter", "bridge", "dim_diagnosis")
 
+ORACLE["encounter_sequence"] = with_shapes("""
+WITH h AS (SELECT encounter_id, patient_key, admit_date, encounter_type, total_charges,
+                  (admit_date, encounter_id) AS place FROM fact_encounter)
+SELECT me.encounter_id, me.patient_key, me.admit_date, COUNT(*) FILTER (o.place <= me.place) AS encounter_seq,
+       arg_max(o.admit_date, o.place) FILTER (o.place < me.place) AS prev_admit_date,
+       arg_max(o.encounter_type, o.place) FILTER (o.place < me.place) AS prev_encounter_type,
+       arg_min(o.admit_date, o.place) FILTER (o.place > me.place) AS next_admit_date,
+       arg_min(o.encounter_type, o.place) FILTER (o.place > me.place) AS next_encounter_type,
+       CAST(me.admit_date - arg_max(o.admit_date, o.place) FILTER (o.place < me.place) AS INTEGER) AS days_since_last,
+       CAST(SUM(o.total_charges) FILTER (o.place <= me.place) AS DECIMAL(18,2)) AS charges_to_date
+FROM h me JOIN h o ON o.patient_key IS NOT DISTINCT FROM me.patient_key
+GROUP BY me.encounter_id, me.patient_key, me.admit_date""", "fact_encounter")
+
+# Days counted one by one, stay by stay.
 ORACLE["facility_census"] = with_shapes(f"""
 WITH stays AS (
-  SELECT p.sub_specialty || ' General' AS facility_name, fe.admit_date, fe.discharge_date
-  FROM fact_encounter fe JOIN dim_provider p ON p.provider_key = fe.attending_provider_key
-  WHERE fe.encounter_type = 'IP' AND fe.discharge_date > fe.admit_date),
-days AS (SELECT facility_name, CAST(g AS DATE) AS census_date
-         FROM stays, generate_series(admit_date, discharge_date - 1, INTERVAL 1 DAY) t(g)),
-census AS (SELECT facility_name, census_date, COUNT(*) AS census FROM days GROUP BY 1, 2),
-spans AS (SELECT facility_name, MIN(census_date) AS lo, MAX(census_date) AS hi FROM census GROUP BY 1),
-spine AS (SELECT facility_name, CAST(g AS DATE) AS census_date
-          FROM spans, generate_series(lo, hi, INTERVAL 1 DAY) t(g)),
-full_ AS (SELECT s.facility_name, s.census_date, COALESCE(c.census, 0) AS census
-          FROM spine s LEFT JOIN census c USING (facility_name, census_date))
-SELECT facility_name, census_date, census,
-       {round_div('SUM(census) OVER w7', 'COUNT(census) OVER w7', 4)} AS avg_7d,
-       MAX(census) OVER w7 AS max_7d,
-       {round_div('SUM(census) OVER w30', 'COUNT(census) OVER w30', 4)} AS avg_30d,
-       MAX(census) OVER w30 AS max_30d,
-       census - LAG(census) OVER (PARTITION BY facility_name ORDER BY census_date) AS dod_delta
-FROM full_
-WINDOW w7 AS (PARTITION BY facility_name ORDER BY census_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
-       w30 AS (PARTITION BY facility_name ORDER BY census_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
+  SELECT sub_specialty || ' General' AS facility_name, admit_date,
+         least(IF(encounter_key % 50 = 0, DATE '2002-01-01', discharge_date), DATE '2002-01-01') - 1 AS last_day
+  FROM fact_encounter JOIN dim_provider ON provider_key = attending_provider_key
+  WHERE encounter_type = 'IP' AND admit_date <= DATE '2001-12-31'
+    AND (encounter_key % 50 = 0 OR discharge_date > admit_date)),
+here AS (SELECT facility_name, CAST(unnest(generate_series(admit_date, last_day, INTERVAL 1 DAY)) AS DATE) AS day FROM stays),
+counted AS (SELECT facility_name, day, COUNT(*) AS n FROM here GROUP BY ALL),
+daily AS (
+  SELECT f.facility_name, f.day AS census_date, COALESCE(n, 0) AS census
+  FROM (SELECT facility_name, CAST(unnest(generate_series((SELECT MIN(admit_date) FROM stays), DATE '2001-12-31',
+                                                          INTERVAL 1 DAY)) AS DATE) AS day
+        FROM (SELECT DISTINCT facility_name FROM stays)) f LEFT JOIN counted USING (facility_name, day)),
+near AS (SELECT a.facility_name, a.census_date, unnest([7, 30]) AS width, b.census, a.census_date - b.census_date AS age
+         FROM daily a JOIN daily b ON b.facility_name = a.facility_name
+          AND b.census_date BETWEEN a.census_date - 29 AND a.census_date),
+rolled AS (SELECT facility_name, census_date, width, SUM(census) AS total, COUNT(*) AS n, MAX(census) AS top
+           FROM near WHERE age < width GROUP BY ALL)
+SELECT d.*, {round_div('w.total', 'w.n', 4)} AS avg_7d, w.top AS max_7d, {round_div('m.total', 'm.n', 4)} AS avg_30d,
+       m.top AS max_30d, d.census - y.census AS dod_delta
+FROM daily d JOIN rolled w ON w.facility_name = d.facility_name AND w.census_date = d.census_date AND w.width = 7
+JOIN rolled m ON m.facility_name = d.facility_name AND m.census_date = d.census_date AND m.width = 30
+LEFT JOIN daily y ON y.facility_name = d.facility_name AND y.census_date = d.census_date - 1""",
                                         "fact_encounter", "dim_provider")
 
 
-def provider_charge_rank_sql(year: int) -> str:
+def provider_charge_rank_sql() -> str:
     return with_shapes(f"""
 WITH per AS (SELECT fe.attending_provider_key AS provider_key, p.specialty,
                     CAST(SUM(fe.total_charges) AS DECIMAL(18,2)) AS total_charges
              FROM fact_encounter fe JOIN dim_provider p ON p.provider_key = fe.attending_provider_key
-             WHERE year(fe.admit_date) = {year} GROUP BY 1, 2),
+             GROUP BY 1, 2),
 a AS (SELECT *, CAST({round_div('SUM(total_charges * 100) OVER (PARTITION BY specialty)',
                                 'COUNT(*) OVER (PARTITION BY specialty) * 100', 2)} AS DECIMAL(18,2)) AS avg2
       FROM per)
@@ -1061,6 +1077,18 @@ SELECT ct.cohort_week, week_offset, cohort_size, active_users,
        {round_div('active_users', 'cohort_size', 4)} AS retention_rate
 FROM ct JOIN sz USING (cohort_week)""", "user_activity")
 
+ORACLE["cohort_retention_monthly"] = with_shapes(f"""
+WITH seen AS (SELECT DISTINCT user_id, year(activity_date) * 12 + month(activity_date) - 1 AS m FROM user_activity
+              WHERE user_id IS NOT NULL),
+born AS (SELECT user_id, MIN(m) AS c FROM seen GROUP BY ALL),
+kept AS (SELECT c, m - c AS month_offset, COUNT(*) AS active_users FROM seen JOIN born USING (user_id) GROUP BY ALL)
+SELECT make_date(c // 12, c % 12 + 1, 1) AS cohort_month, CAST(month_offset AS INTEGER) AS month_offset,
+       (SELECT COUNT(*) FROM born WHERE born.c = kept.c) AS cohort_size, active_users,
+       {round_div('active_users', '(SELECT COUNT(*) FROM born WHERE born.c = kept.c)', 4)} AS retention_rate,
+       {round_div('active_users', '(SELECT MAX(b.active_users) FROM kept b WHERE b.c = kept.c AND b.month_offset = kept.month_offset - 1)', 4)}
+         AS month_over_month_rate
+FROM kept""", "user_activity")
+
 ORACLE["time_to_convert"] = with_shapes("""
 WITH l AS (SELECT 'first_login' AS stage, hours_to_first_login AS hours FROM funnel
            UNION ALL SELECT 'activation', hours_to_activation FROM funnel
@@ -1108,6 +1136,8 @@ SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS events,
        CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DECIMAL(18,2)) AS value_sum
 FROM events GROUP BY 1, 2"""
 
+ORACLE["events_late_files"] = ORACLE["events_continuous_agg"]
+
 ORACLE["claims_run_ledger"] = with_shapes(f"""
 WITH m AS (
   SELECT (SELECT COUNT(*) FROM claim_batch) AS landed,

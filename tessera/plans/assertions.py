@@ -135,7 +135,7 @@ def declared_unique(m: dict[str, DataFrame]) -> DataFrame:
         unique(m["stg_users"], "stg_users", "email"),
         unique(m["stg_sessions"], "stg_sessions", "session_id"),
         unique(m["user_activity"], "mart_user_activity", "user_id_activity_date",
-               F.concat_ws("-", F.col("user_id"), F.col("activity_date").cast("string"))),
+               F.concat(F.col("user_id"), F.lit("-"), F.col("activity_date").cast("string"))),
         unique(m["funnel"], "mart_funnel_analysis", "user_id"),
     ])
 

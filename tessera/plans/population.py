@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.sequence import trailing_sums
+from tessera.operators.sequence import neighbors, trailing_sums
 
 
 # ── X1: encounter journey ────────────────────────────────────────────────
@@ -87,29 +87,46 @@ def lace_scores(fact_encounter: DataFrame, bridge: DataFrame, dim_diagnosis: Dat
         "e_points", "lace_score", F.round("lace_percentile", 6).alias("lace_percentile"))
 
 
+# ── X1: encounter sequence ───────────────────────────────────────────────
+def encounter_sequence(fact_encounter: DataFrame) -> DataFrame:
+    """Per patient in order of admission: previous and next encounter, place
+    in the history and charges so far."""
+    base = fact_encounter.select("encounter_id", "patient_key", "admit_date", "encounter_type", "total_charges")
+    seq = neighbors(base, "patient_key", ["admit_date", "encounter_id"], ["admit_date", "encounter_type"],
+                    lag=True, row_number="encounter_seq", running_sums=["total_charges"])
+    return seq.select(
+        "encounter_id", "patient_key", "admit_date", "encounter_seq", "prev_admit_date", "prev_encounter_type",
+        "next_admit_date", "next_encounter_type", F.datediff("admit_date", "prev_admit_date").alias("days_since_last"),
+        F.col("cum_total_charges").cast("decimal(18,2)").alias("charges_to_date"))
+
+
 # ── X4: facility daily census ────────────────────────────────────────────
-def facility_census(fact_encounter: DataFrame, dim_provider: DataFrame) -> DataFrame:
-    """Midnight census per facility and day (admit <= day < discharge),
-    zero-filled over each facility's own date span, with 7/30-day rolling
-    mean and max and the day-over-day change."""
-    stays = (fact_encounter.where((F.col("encounter_type") == "IP")
-                                  & (F.col("discharge_date") > F.col("admit_date")))
+def facility_census(fact_encounter: DataFrame, dim_provider: DataFrame, as_of) -> DataFrame:
+    """Midnight census per facility and day (admit <= day < discharge; a stay
+    without a discharge counts up to ``as_of``), over the days from the first
+    admission of any facility to ``as_of``, with 7/30-day rolling mean and max
+    and the day-over-day change.
+
+    A stay is +1 on its first day and -1 on its last, however long it lasts;
+    the census is their running sum over the facility's days."""
+    stays = (fact_encounter.where((F.col("encounter_type") == "IP") & (F.col("admit_date") <= F.lit(as_of))
+                                  & (F.coalesce(F.col("discharge_date") > F.col("admit_date"), F.lit(True))))
              .select("attending_provider_key", "admit_date", "discharge_date"))
     fac = dim_provider.select(F.col("provider_key").alias("attending_provider_key"),
                               "facility_name")
-    days = (stays.join(fac, "attending_provider_key")
-            .select("facility_name",
-                    F.explode(F.sequence("admit_date", F.date_sub("discharge_date", 1)))
-                    .alias("census_date")))
-    census = days.groupBy("facility_name", "census_date").agg(F.count("*").alias("census"))
-    spans = census.groupBy("facility_name").agg(F.min("census_date").alias("lo"),
-                                                F.max("census_date").alias("hi"))
-    spine = spans.select("facility_name",
-                         F.explode(F.sequence("lo", "hi")).alias("census_date"))
-    full = (spine.join(census, ["facility_name", "census_date"], "left")
-            .select("facility_name", "census_date",
-                    F.coalesce(F.col("census"), F.lit(0)).alias("census")))
+    change = F.explode(F.array(F.struct(F.col("admit_date").alias("census_date"), F.lit(1).alias("step")),
+                               F.struct(F.col("discharge_date").alias("census_date"), F.lit(-1).alias("step"))))
+    steps = (stays.join(fac, "attending_provider_key").select("facility_name", change.alias("c"))
+             .where("c.census_date IS NOT NULL")
+             .groupBy("facility_name", "c.census_date").agg(F.sum("c.step").alias("step")))
+    # One row per facility; the first day is the least of all facilities.
+    spans = steps.groupBy("facility_name").agg(F.min("census_date").alias("lo"))
+    spine = (spans.withColumn("lo", F.min("lo").over(Window.partitionBy()))
+             .select("facility_name", F.explode(F.sequence("lo", F.lit(as_of))).alias("census_date")))
     w = Window.partitionBy("facility_name").orderBy("census_date")
+    full = (spine.join(steps, ["facility_name", "census_date"], "left")
+            .select("facility_name", "census_date", F.coalesce(F.sum("step").over(
+                w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)).alias("census")))
     w7, w30 = w.rowsBetween(-6, 0), w.rowsBetween(-29, 0)
     return full.select(
         "facility_name", "census_date", "census",
@@ -123,11 +140,9 @@ def facility_census(fact_encounter: DataFrame, dim_provider: DataFrame) -> DataF
 
 
 # ── X5: dense rank and comparison to the specialty mean ─────────────────
-def provider_charge_rank(fact_encounter: DataFrame, dim_provider: DataFrame, year: int) -> DataFrame:
-    import datetime as dt
-    f = fact_encounter.where(F.col("admit_date").between(F.lit(dt.date(year, 1, 1)),
-                                                          F.lit(dt.date(year, 12, 31))))
-    per = f.groupBy("attending_provider_key").agg(
+def provider_charge_rank(fact_encounter: DataFrame, dim_provider: DataFrame) -> DataFrame:
+    """Over all encounters.  The windows get one row per provider."""
+    per = fact_encounter.groupBy("attending_provider_key").agg(
         F.sum("total_charges").cast("decimal(18,2)").alias("total_charges"))
     dp = dim_provider.select(F.col("provider_key").alias("attending_provider_key"), "specialty")
     j = per.join(dp, "attending_provider_key")

@@ -199,6 +199,23 @@ def cohort_retention(user_activity_df: DataFrame) -> DataFrame:
                     ratio("active_users", "cohort_size").alias("retention_rate")))
 
 
+def cohort_retention_monthly(user_activity_df: DataFrame) -> DataFrame:
+    """Cohort = month of a user's first activity; per later month its active
+    users, their share of the cohort, and that share over the month before's."""
+    ua = user_activity_df.select("user_id", F.trunc("activity_date", "month").alias("activity_month")).distinct()
+    first = ua.groupBy("user_id").agg(F.min("activity_month").alias("cohort_month"))
+    sizes = first.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
+    offset = F.months_between("activity_month", "cohort_month").cast("int")
+    counts = (ua.join(first, "user_id").groupBy("cohort_month", offset.alias("month_offset"))
+              .agg(F.count(F.lit(1)).alias("active_users")))
+    before = counts.select("cohort_month", (F.col("month_offset") + 1).alias("month_offset"),
+                           F.col("active_users").alias("before"))
+    return (counts.join(sizes, "cohort_month").join(before, ["cohort_month", "month_offset"], "left")
+            .select("cohort_month", "month_offset", "cohort_size", "active_users",
+                    ratio("active_users", "cohort_size").alias("retention_rate"),
+                    ratio("active_users", "before").alias("month_over_month_rate")))
+
+
 # ── X12: time-to-convert percentiles ─────────────────────────────────────
 def time_to_convert(funnel_df: DataFrame) -> DataFrame:
     """Exact P25 / P50 / P75 (linear interpolation) of hours from signup to

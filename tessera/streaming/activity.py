@@ -66,11 +66,12 @@ def _batch_landed(spark: SparkSession, path: str, batch_id: int) -> bool:
 def run_activity_stream(spark: SparkSession, events_dir: str, file_glob: str, checkpoint: str,
                         history_path: str, mart: VersionedTable, users: DataFrame,
                         as_of: _dt.datetime, to_raw, available_now: bool = True,
-                        processing_time: str = "1 hour"):
+                        processing_time: str = "1 hour", max_files_per_trigger: int | None = None):
     schema = spark.read.option("pathGlobFilter", file_glob).parquet(events_dir).schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-              .option("maxFilesPerTrigger", 1).parquet(events_dir))
-    writer = (stream.writeStream
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    writer = (reader.parquet(events_dir).writeStream
               .foreachBatch(activity_batch_processor(history_path, mart, users, as_of, to_raw))
               .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now

@@ -1,10 +1,9 @@
-"""Continuously maintained aggregate (X10): event counts per day and type,
-kept current by a streaming aggregation.
+"""Continuously maintained aggregate (X10): event counts per day and type.
 
-The stream aggregates per (event day, type) with an event-time watermark,
-so state for days older than the watermark is dropped; ``update`` mode
-emits only the keys a micro-batch changed, and ``foreachBatch`` upserts them
-into the aggregate table (a new table version per batch).
+Counts and sums add up, so each micro-batch is aggregated on its own and its
+partial rows are kept in a partition of their own (replaced if the batch runs
+again); reading sums the partials.  There is no streaming state and no
+watermark: a file that lands late, for any day, counts like any other.
 """
 
 from __future__ import annotations
@@ -12,49 +11,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.merge import upsert
-from tessera.operators.sinks import VersionedTable
+from tessera.operators.sinks import write_batch_log
 
 AGG_KEYS = ["event_date", "event_type"]
 
 
-def event_counts_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Streaming (or batch) aggregate of an events frame with ``ts``.
-
-    Watermarks need a zone-aware timestamp: the stored UTC wall clock is
-    turned into an instant with an explicit UTC zone (independent of the
-    session zone); the output day comes from the wall clock itself."""
-    ts = F.col("ts")
-    instant = F.make_timestamp_ltz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
-                                   F.minute(ts), F.second(ts), F.lit("UTC"))
-    return (events.withColumn("_event_time", instant)
-            .withWatermark("_event_time", watermark)
-            .groupBy(F.window("_event_time", "1 day").alias("w"),
-                     F.to_date(ts).alias("event_date"), "event_type")
-            .agg(F.count("*").alias("events"),
-                 F.sum(F.col("value").cast("decimal(14,2)")).alias("value_sum"))
-            .select("event_date", "event_type", "events",
-                    F.col("value_sum").cast("decimal(18,2)").alias("value_sum")))
-
-
-def upsert_batches(target: VersionedTable):
-    def process(batch: DataFrame, batch_id: int) -> None:
-        current = target.read()
-        merged = batch if current is None else upsert(current, batch, AGG_KEYS)
-        target.commit(merged)
-    return process
-
-
-def run_event_counts(spark: SparkSession, events_dir: str, checkpoint: str,
-                     target: VersionedTable, file_glob: str = "*.parquet",
-                     available_now: bool = True, processing_time: str = "1 hour"):
+def event_counts(events: DataFrame) -> DataFrame:
+    return (events.groupBy(F.to_date("ts").alias("event_date"), "event_type")
+            .agg(F.count(F.lit(1)).alias("events"),
+                 F.sum(F.col("value").cast("decimal(14,2)")).cast("decimal(18,2)").alias("value_sum")))
+
+
+def read_event_counts(spark: SparkSession, partials: str) -> DataFrame:
+    return (spark.read.parquet(partials).groupBy(*AGG_KEYS)
+            .agg(F.sum("events").alias("events"), F.sum("value_sum").cast("decimal(18,2)").alias("value_sum")))
+
+
+def run_event_counts(spark: SparkSession, events_dir: str, checkpoint: str, partials: str,
+                     file_glob: str = "*.parquet", available_now: bool = True,
+                     processing_time: str = "1 hour", max_files_per_trigger: int | None = None):
     """Stream the Parquet files under ``events_dir`` matching ``file_glob``
     (new files are picked up as they land)."""
     schema = spark.read.option("pathGlobFilter", file_glob).parquet(events_dir).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", file_glob).parquet(events_dir))
-    writer = (event_counts_stream(stream).writeStream.outputMode("update")
-              .foreachBatch(upsert_batches(target))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    writer = (reader.parquet(events_dir).writeStream
+              .foreachBatch(lambda batch, batch_id: write_batch_log(event_counts(batch), partials, batch_id))
               .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))

@@ -55,11 +55,16 @@ def test_stream_equals_batch_and_replay_is_noop(spark, small_dir):
 def test_projection_flags_uncastable_fields(spark):
     rows = [('{"claim_id": "C1", "claim_line_number": 2, "billed_amount": 12.5, '
              '"service_date": "2024-01-02"}',),
-            ('{"claim_id": "C2", "claim_line_number": "two", "service_date": "2024-13-40"}',)]
+            ('{"claim_id": "C2", "claim_line_number": "two", "service_date": "2024-13-40"}',),
+            ('[1, 2]',), ('{"claim_line_number": 1}',),
+            ('{"claim_id": "C3", "claim_line_number": 1, "claim_status": " DENIED"}',)]
     landing = spark.createDataFrame(rows, "j string").select(F.parse_json("j").alias("claim_json"))
     out = {r.claim_id: r for r in ingest.project_claims(landing).collect()}
     assert out["C1"]._bad_fields == 0 and out["C1"].claim_line_number == 2
-    assert out["C2"]._bad_fields == 2 and out["C2"].service_date is None
+    # two values that don't cast, and no line number left
+    assert out["C2"]._bad_fields == 3 and out["C2"].service_date is None
+    # no object, no claim id: rejected; a status is normalised
+    assert out[None]._bad_fields == 1 and out["C3"].claim_status == "Denied" and out["C3"]._bad_fields == 0
 
 
 import pytest  # noqa: E402
@@ -93,7 +98,7 @@ def test_late_events_recompute_touched_dates(spark, small_dir, kind):
     spark.read.parquet(f"{land}/b").coalesce(1).write.mode("append").parquet(flat)
     q = activity.run_activity_stream(spark, flat, "*.parquet", scratch_path(spark, "ck"),
                                      scratch_path(spark, "hist"), mart, users, as_of,
-                                     b.raw_events_from)
+                                     b.raw_events_from, max_files_per_trigger=1)
     q.awaitTermination()
     if kind == "versioned":
         assert mart.current_version() == 2
