@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.exprs import ts_lit
 from tessera.operators.dedup import latest_per_key
+from tessera.operators.sinks import materialize
 from tessera.session import scratch_root
 
 # ── S26: schema sync ──────────────────────────────────────────────────────
@@ -157,7 +158,8 @@ def scd2_merge(dim: DataFrame, staging: DataFrame, natural_key: str, hash_col: s
     staged_cols = [c for c in stg.columns if c != natural_key]
     s = stg.select(natural_key, *[F.col(c).alias(f"_n_{c}") for c in staged_cols],
                    F.lit(True).alias("_stg"))
-    j = cur.join(s, natural_key, "full_outer")
+    # Both branches below read the join: run it once.
+    j = materialize(cur.join(s, natural_key, "full_outer"), "scd2_join")
     has_cur = F.coalesce(F.col("_cur"), F.lit(False))
     has_stg = F.coalesce(F.col("_stg"), F.lit(False))
     expire = has_cur & has_stg & F.coalesce(F.col(hash_col) != F.col("_n__new_hash"), F.lit(False))
