@@ -1,11 +1,14 @@
 """Operator 4 -- mixing sources to target weights by a low-discrepancy schedule.
 
-The mix is a sequence of slots of ``block_words`` words each.  Slot k gets the
-point frac((k + 1/2) * golden ratio); the point's place among the cumulative
-target weights names the slot's source, so every stretch of the mix holds each
-source in its proportion.  The slots of a source are ranked in slot order;
-rank r takes block r of the source's shuffled words, laid end to end as often
-as needed (block = an equal number of words, so a document may be cut).
+The mix is a sequence of slots.  Slot k gets the point
+frac((k + 1/2) * golden ratio); the point's place among the cumulative target
+weights names the slot's source, so every stretch of the mix holds each source
+in its proportion.  A source that no point names gets a slot of its own, put in
+at a golden-ratio place among the others.  The slots of a source are ranked in
+slot order and share its target, rounded to whole words: rank r takes block r
+of the source's shuffled words, laid end to end as often as needed (the blocks
+of a source differ by one word at most, so a document may be cut).  So each
+source's taken words are its target to half a word, however long a block is.
 
 Sources in code-point order, null last, weigh 5, 2, 1, 5, 2, 1, ... and share
 the total of all sizes by weight; a target stops at ``max_repeats`` times its
@@ -32,7 +35,7 @@ from tessera.operators.sinks import materialize
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-#: Slots of a schedule at least; a block holds total / SLOTS words, 1 at least.
+#: Points of a schedule at most; blocks hold about total / SLOTS words.
 SLOTS = 1 << 18
 BUCKETS = 1024
 GOLDEN = 0.6180339887498949
@@ -49,7 +52,7 @@ def sized(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per source: weight, size and target.
+    """One row per source: weight, size, target and the target in whole words.
 
     With the sources in order of cap / weight, a source is capped if and only
     if its cap is below its share of what the sources before it leave."""
@@ -69,10 +72,11 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_repeats: int = MAX_R
     free = F.when(~F.col("capped"), F.col("weight"))
     rest = (F.sum("source_size").over(everything)
             - F.coalesce(F.sum(F.when(F.col("capped"), F.col("cap"))).over(everything), F.lit(0.0)))
-    return per.select(
-        "source_key", "source", "weight", "source_size",
-        F.when(F.col("capped"), F.col("cap"))
-        .otherwise(rest * F.col("weight") / F.sum(free).over(everything)).alias("target"))
+    target = F.when(F.col("capped"), F.col("cap")).otherwise(
+        rest * F.col("weight") / F.sum(free).over(everything))
+    return (per.withColumn("target", target)
+            .select("source_key", "source", "weight", "source_size", "target",
+                    F.least(F.round("target"), F.col("cap")).cast("long").alias("target_words")))
 
 
 def _ranked(rows: DataFrame, key: str, bucket: Column, order: list, value: Column) -> DataFrame:
@@ -89,7 +93,8 @@ def _ranked(rows: DataFrame, key: str, bucket: Column, order: list, value: Colum
 
 
 def schedule(plan: DataFrame, slots: int, cells: int = CELLS, start: float = 0.5) -> DataFrame:
-    """slot, source_key and the slot's rank within its source.
+    """slot, source_key and the slot's rank within its source; ``slots`` points
+    and one more slot for each source without a point.
 
     Points find their interval of the cumulative weights by cell: an interval
     is listed in each cell it touches, a point only in its own."""
@@ -107,16 +112,24 @@ def schedule(plan: DataFrame, slots: int, cells: int = CELLS, start: float = 0.5
     point = (F.col("id") + F.lit(start)) * F.lit(GOLDEN)
     points = spark.range(slots).select(F.col("id").alias("slot"), (point - F.floor(point)).alias("x"))
     points = points.withColumn("cell", F.floor(F.col("x") * cells))
-    placed = (points.join(bounds, "cell").filter("low <= x AND x < high")
-              .select("source_key", "slot"))
-    return (_ranked(placed, "source_key", F.floor(F.col("slot") / F.lit(BUCKETS)), ["slot"],
-                    F.lit(1).cast("long"))
+    placed = materialize(points.join(bounds, "cell").filter("low <= x AND x < high")
+                         .select("source_key", "slot", F.lit(0).alias("late")), "mix-points")
+    # Sources with words to give and no point: one row each, ranked in one task.
+    missed = plan.filter("target_words > 0").join(placed.select("source_key").distinct(), "source_key", "left_anti")
+    place = F.row_number().over(W.orderBy("source_key")) * F.lit(GOLDEN)
+    missed = missed.select("source_key", F.floor((place - F.floor(place)) * slots).alias("slot"), F.lit(1).alias("late"))
+    together = placed.unionByName(missed).withColumn("all", F.lit(0))
+    one = F.lit(1).cast("long")
+    numbered = _ranked(together, "all", F.floor(F.col("slot") / F.lit(BUCKETS)), ["slot", "late", "source_key"], one)
+    numbered = numbered.select("source_key", F.col("total_before").alias("slot"))
+    return (_ranked(numbered, "source_key", F.floor(F.col("slot") / F.lit(BUCKETS)), ["slot"], one)
             .select("source_key", "slot", F.col("total_before").alias("rank")))
 
 
 class Mix:
     """The mix of ``docs``: per-document rows (``placed``), the ``plan`` of
-    sources, the ``slots`` and the ``pieces`` each slot takes."""
+    sources, the ``slots``, the ``blocks`` of each source (``block_words`` words
+    at most) and the ``pieces`` each slot takes."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", weights: tuple = WEIGHTS,
                  max_repeats: int = MAX_REPEATS, slots: int = SLOTS, seed: int = SEED):
@@ -126,8 +139,7 @@ class Mix:
         self.sizes = materialize(sized(docs, id_col), "mix-sizes")
         self.plan = materialize(targets(self.sizes, weights, max_repeats).coalesce(1), "mix-targets")
         total = self.plan.agg(F.sum("source_size")).first()[0] or 0
-        self.block_words = max(1, -(-total // slots))
-        self.n_slots = -(-total // self.block_words)
+        points = -(-total // max(1, -(-total // slots)))
         spread = F.xxhash64(F.col(id_col), F.lit(seed))
         shuffled = self.sizes.withColumn("spread", spread)
         placed = _ranked(shuffled, "source_key", F.pmod(F.col("spread"), F.lit(BUCKETS)),
@@ -137,24 +149,33 @@ class Mix:
         self.placed = placed.select(id_col, "source", "source_key", "bucket", "size",
                                     F.row_number().over(same).alias("row"),
                                     F.col("total_before").alias("start"))
-        self.slots = materialize(schedule(self.plan, self.n_slots) if self.n_slots else spark.createDataFrame(
+        self.slots = materialize(schedule(self.plan, points) if points else spark.createDataFrame(
             [], "source_key string, slot long, rank long"), "mix-slots")
+        # A source's first ``longer`` blocks hold one word more than ``block``.
+        per = self.slots.groupBy("source_key").agg(F.count("*").alias("blocks"))
+        self.blocks = materialize(self.plan.join(per, "source_key").select(
+            "source_key", "source_size", "target_words", "blocks", F.expr("target_words div blocks").alias("block"),
+            F.expr("target_words % blocks").alias("longer")).coalesce(1), "mix-blocks")
+        self.n_slots, self.block_words = self.blocks.agg(
+            F.coalesce(F.sum("blocks"), F.lit(0)),
+            F.coalesce(F.max(F.col("block") + F.sign("longer").cast("long")), F.lit(0))).first()
 
     def pieces(self) -> DataFrame:
         """One row per (slot, document) overlap: which words of the document,
         and in which repeat of its source, the slot takes."""
-        b = self.block_words
-        docs = self.placed.join(self.plan.select("source_key", "source_size", "target"), "source_key")
-        used = self.slots.groupBy("source_key").agg((F.max("rank") + 1).alias("blocks"))
-        docs = docs.join(used, "source_key").filter("size > 0")
+        docs = self.placed.filter("size > 0").join(self.blocks, "source_key")
         repeat = F.explode(F.sequence(F.lit(0), F.lit(self.max_repeats - 1)))
         laid = docs.withColumn("repeat", repeat).withColumn(
             "at", F.col("start") + F.col("repeat") * F.col("source_size"))
-        first, final = F.floor(F.col("at") / b), F.floor((F.col("at") + F.col("size") - 1) / b)
-        laid = laid.filter(F.floor(F.col("at") / b) < F.col("blocks")).withColumn(
-            "rank", F.explode(F.sequence(first, F.least(final, F.col("blocks") - 1))))
-        begin = F.greatest(F.col("at"), F.col("rank") * b)
-        end = F.least(F.col("at") + F.col("size"), (F.col("rank") + 1) * b)
+        laid = laid.filter("at < target_words").withColumn("end", F.least(F.expr("at + size"), F.col("target_words")))
+
+        def block(word: str) -> Column:
+            return F.expr(f"CASE WHEN {word} < longer * (block + 1) THEN {word} div (block + 1) "
+                          f"ELSE longer + ({word} - longer * (block + 1)) div greatest(block, 1) END")
+
+        laid = laid.withColumn("rank", F.explode(F.sequence(block("at"), block("(end - 1)"))))
+        begin = F.greatest(F.col("at"), F.expr("rank * block + least(rank, longer)"))
+        end = F.least(F.col("end"), F.expr("(rank + 1) * block + least(rank + 1, longer)"))
         return (laid.join(self.slots, ["source_key", "rank"])
                 .select(self.id_col, "source_key", "bucket", "row", "slot", "rank", "repeat",
                         (begin - F.col("at")).alias("first_word"), (end - begin).alias("n_words")))

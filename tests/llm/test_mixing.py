@@ -72,3 +72,20 @@ def test_odd_rows_and_empty_tables(odd_docs, no_docs, word):
     assert all(r.taken <= 3 * r["size"] for r in rows)
     assert mixing.Mix(no_docs).taken().collect() == []
     assert {r.taken for r in mixing.Mix(odd_docs.filter("text IS NULL")).taken().collect()} == {0}
+
+
+@pytest.mark.parametrize("slots", [8, 50])
+def test_tiny_sources_reach_their_targets_with_long_blocks(spark, slots):
+    """Blocks of thousands of words, sources below one block and of a few blocks."""
+    per = {"a": 1, "b": 3, "big": 20000, "c": 40, "d": 700, "e": 2, None: 5, "other": 9000}
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate((s, n) for s, n in per.items() for _ in range(10))]
+    mix = mixing.Mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), slots=slots)
+    assert mix.block_words > 2000
+    slot = sorted((r.slot, r.source_key) for r in mix.slots.collect())
+    assert [k for k, _ in slot] == list(range(mix.n_slots)) and slots <= mix.n_slots <= slots + len(per)
+    expected, taken = filled({s: 10 * n for s, n in per.items()}), defaultdict(int)
+    for r in mix.taken().collect():
+        assert r.taken <= 3 * r["size"]
+        taken[r.source] += r.taken
+    for s, target in expected.items():
+        assert abs(taken[s] - target) <= 0.5, s
