@@ -100,15 +100,21 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     # At most ``sample`` rows of three numbers.
     rows = docs.select(id_col, F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), id_col)
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             buckets, first = features(part)
-            spread, label = part.column("spread").to_pylist(), part.column("label").to_pylist()
-            for k in range(len(part)):
-                at, count = np.unique(buckets[first[k]:first[k + 1]], return_counts=True)
+            rows = [np.unique(buckets[first[k]:first[k + 1]], return_counts=True) for k in range(len(part))]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("spread"), part.column("label"), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
+                 pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["spread", "label", "at", "count"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            for spread, label, at, count in zip(*batch.columns):
+                at, count = at.values.to_numpy(), count.values.to_numpy()
                 x = np.append(count / np.sqrt(max(count.sum(), 1)), 1.0)
-                held.append((spread[k], label[k], np.append(at, 1 << BITS), x))
+                held.append((spread.as_py(), label.as_py(), np.append(at, 1 << BITS), x))
         if not held:
             return
         held.sort(key=lambda r: (r[0], r[1], len(r[2])))  # the same order in every run
@@ -116,7 +122,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int64()), "w": pa.array(w[at], pa.float64())})
 
-    found = rows.select("spread", "label", "text").coalesce(1).mapInArrow(fit, "at long, w double").toArrow()
+    # The scan and the features run in all tasks; the sample's counts meet in one.
+    counts = rows.select("spread", "label", "text").mapInArrow(
+        counted, "spread long, label int, at array<long>, count array<long>")
+    found = counts.repartition(1).mapInArrow(fit, "at long, w double").toArrow()
     model = np.zeros((1 << BITS) + 1)
     model[found["at"].to_numpy()] = found["w"].to_numpy()
     return model

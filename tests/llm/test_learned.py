@@ -34,6 +34,30 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     assert {r.score for r in quality_model.score(odd_docs, blank, ["doc_id"]).collect()} == {0.5}
 
 
+def test_quality_training_scans_documents_in_parallel(spark):
+    from pyspark import AccumulatorParam, TaskContext
+    from pyspark.sql import functions as F
+
+    class Tasks(AccumulatorParam):
+        def zero(self, value):
+            return set()
+
+        def addInPlace(self, a, b):
+            return a | b
+
+    tasks = spark.sparkContext.accumulator(set(), Tasks())
+
+    @F.udf("string")
+    def text(i):
+        tasks.add({TaskContext.get().partitionId()})
+        return f"word{i % 7} the"
+
+    docs = spark.range(0, 120, 1, 6).select(F.col("id").alias("doc_id"), text("id").alias("text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    quality_model.train(docs, labels)
+    assert len(tasks.value) >= 6
+
+
 def test_scoring_equals_a_plain_dot_product(spark):
     """The sliced, vectorised score against one text at a time."""
     texts = ["the the cat", "a!! b!! c", "", "Ünï çode tëxt 12,5"]
