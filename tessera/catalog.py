@@ -365,11 +365,11 @@ def q_date_dimension(spark, root):
 
 @register("date_spine")
 def q_date_spine(spark, root):
-    """S13 from the first event day to the run date, capped at 3650 days."""
+    """S13 from the first event day to the run date, however long."""
     ev = Tables(spark, root).events
     bounds = ev.agg(F.min(F.to_date("ts")).alias("start_date")).select(
         "start_date", F.lit(PRODUCT_AS_OF.date()).alias("end_date"))
-    return calendar.date_spine_for(bounds)
+    return calendar.date_spine_for(bounds, max_days=None)
 
 
 @register("surrogate_key_md5")
@@ -392,11 +392,10 @@ COLUMN_VALUES_LIMIT = 50
 
 @register("column_values")
 def q_column_values(spark, root):
-    """Distinct non-NULL plan names, sorted; one more than the limit
-    tells its reader that there are too many."""
+    """All distinct non-NULL plan names, sorted."""
     return (_stg_users(Tables(spark, root)).select("plan_name")
             .where(F.col("plan_name").isNotNull()).distinct()
-            .orderBy("plan_name").limit(COLUMN_VALUES_LIMIT + 1))
+            .orderBy("plan_name"))
 
 
 @register("plan_pivot")
@@ -404,7 +403,7 @@ def q_plan_pivot(spark, root):
     """Dynamic pivot fed by A18: daily events per plan.  The value list is
     one small driver-side read (<= 50 values) that fixes the output columns."""
     t = Tables(spark, root)
-    plans = [r[0] for r in q_column_values(spark, root).collect()]
+    plans = [r[0] for r in q_column_values(spark, root).limit(COLUMN_VALUES_LIMIT + 1).collect()]
     if len(plans) > COLUMN_VALUES_LIMIT:
         raise ValueError(f"over {COLUMN_VALUES_LIMIT} values: the pivot would lose columns")
     ua = _user_activity(t)

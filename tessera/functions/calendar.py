@@ -93,10 +93,13 @@ def date_dimension_for(bounds: DataFrame, fiscal_start_month: int = 10) -> DataF
 MAX_SPINE_DAYS = 3650
 
 
-def date_spine_for(bounds: DataFrame, max_days: int = MAX_SPINE_DAYS) -> DataFrame:
-    """Consecutive dates from ``start_date`` to ``end_date``, at most
-    ``max_days`` of them (the source generator's row count)."""
+def date_spine_for(bounds: DataFrame, max_days: int | None = MAX_SPINE_DAYS) -> DataFrame:
+    """Consecutive dates from ``start_date`` to ``end_date``; fails if there are
+    more than ``max_days`` (the source generator's row count; None: any number)."""
     s, e = F.col("start_date"), F.col("end_date")
-    capped = F.least(e, F.date_add(s, max_days - 1))
+    end = e
+    if max_days is not None:
+        too_many = F.raise_error(F.lit(f"over {max_days} days: the spine would lose dates")).cast("date")
+        end = F.when(F.datediff(e, s) >= max_days, too_many).otherwise(e)
     return bounds.where(s <= e).select(
-        F.explode(F.sequence(s, capped)).alias("spine_date"))
+        F.explode(F.sequence(s, end)).alias("spine_date"))

@@ -4,6 +4,7 @@ operators' edge cases: NULLs, ties, empty inputs, duplicates, boundaries."""
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs
@@ -390,3 +391,29 @@ def test_row_hash_null_shift_is_kept_as_written(spark):
     assert _hash_of(spark, a) == _hash_of(spark, b_)
     c = ("p", "A", "B", D(1980, 1, 1), "F", "NY", "CA", "HMO", TS(2024, 1, 1))
     assert _hash_of(spark, a) != _hash_of(spark, c)
+
+
+# ── S13 / A18: nothing is cut silently ────────────────────────────────────
+def test_date_spine_is_whole_or_fails(spark, tmp_path):
+    from tessera import catalog
+    from tessera.functions import calendar
+
+    bounds = spark.createDataFrame([(D(2010, 1, 1), D(2024, 1, 30))], "start_date date, end_date date")
+    with pytest.raises(Exception, match="over 3650 days"):
+        calendar.date_spine_for(bounds).collect()
+    edge = bounds.select("start_date", F.date_add("start_date", 3649).alias("end_date"))
+    assert calendar.date_spine_for(edge).count() == 3650
+    spark.createDataFrame([(TS(2010, 1, 1),)], "ts timestamp").write.parquet(f"{tmp_path}/events.parquet")
+    days = [r.spine_date for r in catalog.q_date_spine(spark, str(tmp_path)).collect()]
+    assert len(days) == 5143 and max(days) == D(2024, 1, 30)
+
+
+def test_column_values_are_whole(spark, monkeypatch):
+    from tessera import catalog
+
+    users = spark.createDataFrame([(f"plan{i:03d}",) for i in range(80)], "plan_name string")
+    monkeypatch.setattr(catalog, "Tables", lambda spark, root: None)
+    monkeypatch.setattr(catalog, "_stg_users", lambda tables: users)
+    assert catalog.q_column_values(spark, "").count() == 80
+    with pytest.raises(ValueError):
+        catalog.q_plan_pivot(spark, "")
