@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import (chat, decontamination, html_extract, language_id, minhash, mixing, pii, quality_model, quality_rules,
-                         token_counts)
+from tessera.llm import (alignment, chat, decontamination, html_extract, language_id, minhash, mixing, packing, pii,
+                         quality_model, quality_rules, token_counts)
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_chat_format": chat.query,
     "op9_personal_data": pii.query,
     "op10_token_counts": token_counts.query,
+    "op12_tokenizer_alignment": alignment.query,
+    "op13_bestfit_packing": packing.query,
 }
 
 #: The others are tested against brute force or by held-out accuracy.
