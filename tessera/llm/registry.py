@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import (alignment, chat, decontamination, html_extract, language_id, minhash, mixing, packing, pii,
-                         quality_model, quality_rules, token_counts)
+from tessera.llm import (alignment, chat, collocations, decontamination, html_extract, language_id, minhash, mixing, packing,
+                         pii, quality_model, quality_rules, token_counts)
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_chat_format": chat.query,
     "op9_personal_data": pii.query,
     "op10_token_counts": token_counts.query,
+    "op11_phrase_collocations": collocations.query,
     "op12_tokenizer_alignment": alignment.query,
     "op13_bestfit_packing": packing.query,
 }
@@ -26,4 +27,5 @@ ORACLES = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
     "op3_minhash_dedup": minhash.ORACLE_SQL,
     "op8_chat_format": chat.ORACLE_SQL,
+    "op11_phrase_collocations": collocations.ORACLE_SQL,
 }
