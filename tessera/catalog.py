@@ -533,17 +533,15 @@ def q_events_continuous_agg(spark, root):
 
 @register("events_late_files")
 def q_events_late_files(spark, root):
-    """The events land in three files, the earliest days last; one file per
-    micro-batch."""
+    """The events land in three parts, the earliest days last and events
+    without a time with them; the stream drains each part as it lands."""
     ev = Tables(spark, root).events
     landing = scratch_path(spark, "event_landing")
     day = F.dayofmonth("ts")
-    for part in (day.between(11, 20), day > 20, day < 11):
-        ev.where(part).coalesce(1).write.mode("append").parquet(landing)
-    partials = scratch_path(spark, "event_counts")
-    q = agg_stream.run_event_counts(spark, landing, scratch_path(spark, "event_counts_ckpt"), partials,
-                                    max_files_per_trigger=1)
-    q.awaitTermination()
+    partials, ckpt = scratch_path(spark, "event_counts"), scratch_path(spark, "event_counts_ckpt")
+    for part in (day.between(11, 20), day > 20, (day < 11) | F.col("ts").isNull()):
+        ev.where(part).write.mode("append").parquet(landing)
+        agg_stream.run_event_counts(spark, landing, ckpt, partials, fold_every=2).awaitTermination()
     return agg_stream.read_event_counts(spark, partials)
 
 
@@ -628,11 +626,49 @@ def q_encounter_rejects(spark, root):
     known = b.dim_provider(t).where(F.col("provider_key") % 5 != 0)
     fact = sinks.versioned_table(spark, "fact_encounter")
     fact.commit(sc.encounter_target(t))
-    path = scratch_path(spark, "encounter_rejects")
+    rejects = sinks.versioned_table(spark, "encounter_rejects")
     loads.watermarked_encounter_load(sc.encounters_raw(t), _encounter_dims(t, known), fact,
                                      sinks.versioned_table(spark, "encounter_watermark"),
-                                     sc.ENCOUNTER_LOAD_AT, rejects_path=path)
-    return spark.read.parquet(path).select("encounter_id", "attending_npi", "missing_dimension")
+                                     sc.ENCOUNTER_LOAD_AT, rejects=rejects)
+    return rejects.read().select("encounter_id", "attending_npi", "missing_dimension")
+
+
+def _watermarked_runs(spark, t, runs):
+    """(raw rows, dimensions, time) per run -> the fact and the rejects."""
+    fact, rejects, mark = (sinks.versioned_table(spark, n) for n in ("fact_encounter", "encounter_rejects",
+                                                                     "encounter_watermark"))
+    fact.commit(sc.encounter_target(t))
+    for raw, dims, at in runs:
+        loads.watermarked_encounter_load(raw, dims, fact, mark, at, rejects=rejects)
+    return fact.read(), rejects.read()
+
+
+@register("encounter_equal_extract_times")
+def q_encounter_equal_extract_times(spark, root):
+    """All rows carry one extract time and arrive in two runs, odd keys last."""
+    t = Tables(spark, root)
+    raw = sc.encounters_raw(t).withColumn("extracted_at", exprs.ts_lit(sc.ENCOUNTER_LOAD_AT))
+    even = F.substring("encounter_id", 2, 20).cast("long") % 2 == 0
+    dims, at = _encounter_dims(t), sc.ENCOUNTER_LOAD_AT
+    fact, _ = _watermarked_runs(spark, t, [(raw.where(even), dims, at), (raw, dims, at + _dt.timedelta(hours=1))])
+    return fact.select(*ENCOUNTER_OUTPUT, "created_at")
+
+
+@register("encounter_reject_replay")
+def q_encounter_reject_replay(spark, root):
+    """Every fifth provider's dimension row arrives after the first run, every
+    seventh's never: three runs, and what the reject store still holds."""
+    t = Tables(spark, root)
+    raw, at, hour = sc.encounters_raw(t), sc.ENCOUNTER_LOAD_AT, _dt.timedelta(hours=1)
+    some = b.dim_provider(t).where(F.col("provider_key") % 7 != 0)
+    fewer = some.where(F.col("provider_key") % 5 != 0)
+    none = raw.limit(0)
+    fact, rejects = _watermarked_runs(spark, t, [(raw, _encounter_dims(t, fewer), at), (none, _encounter_dims(t, fewer), at + hour),
+                                                 (none, _encounter_dims(t, some), at + 2 * hour)])
+    loaded = fact.where(F.col("admit_date") >= F.lit(sc.ENCOUNTER_RAW_FROM)).select(
+        "encounter_id", F.lit("loaded").alias("state"), F.col("created_at").alias("at"), F.lit(0).alias("runs"))
+    return loaded.unionByName(rejects.select("encounter_id", F.lit("waiting").alias("state"),
+                                             F.col("first_rejected_at").alias("at"), "runs"))
 
 
 # ── partition-scoped claims merge (S7, S23, T4, T5) ───────────────────────

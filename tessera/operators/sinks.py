@@ -109,6 +109,20 @@ def write_batch_log(df: DataFrame, path: str, batch_id: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
+def remove_partitions(spark: SparkSession, path: str, partition_col: str, upto: int) -> int:
+    """Remove the folders ``<partition_col>=<n>`` with n <= ``upto``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = 0
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        value = name.removeprefix(f"{partition_col}=")
+        if st.isDirectory() and value != name and value.isdigit() and int(value) <= upto:
+            gone += bool(fs.delete(st.getPath(), True))
+    return gone
+
+
 # ── partitioned table with partition-scoped rewrites ─────────────────────
 class PartitionedTable:
     """A Parquet table partitioned by ``partition_cols`` whose updates

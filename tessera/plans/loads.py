@@ -157,13 +157,10 @@ def claim_rejects(malformed: DataFrame, parsed: DataFrame, dims: dict[str, DataF
 
 
 # ── M9: incremental encounter append ──────────────────────────────────────
-def _extracted(encounters_raw: DataFrame, as_of: _dt.datetime, window: _dt.timedelta | None,
-               after: _dt.datetime | None) -> DataFrame:
-    if after is not None:
-        return encounters_raw.where(F.col("extracted_at") > ts_lit(after))
-    if window is not None:
-        return encounters_raw.where(F.col("extracted_at") >= ts_lit(as_of - window))
-    return encounters_raw
+def _extracted(encounters_raw: DataFrame, as_of: _dt.datetime, window: _dt.timedelta | None) -> DataFrame:
+    if window is None:
+        return encounters_raw
+    return encounters_raw.where(F.col("extracted_at") >= ts_lit(as_of - window))
 
 
 def unresolved_encounters(encounters: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame,
@@ -177,8 +174,8 @@ def unresolved_encounters(encounters: DataFrame, dim_patient: DataFrame, dim_pro
                    .select(F.col("npi").alias("attending_npi"), F.lit(True).alias("_r")), "attending_npi", "left")
              .join(dim_diagnosis.select(F.col("icd10_code").alias("primary_icd10_code"), F.lit(True).alias("_d")),
                    "primary_icd10_code", "left"))
-    missing = (F.when(F.col("_p").isNull(), "patient").when(F.col("_r").isNull(), "provider")
-               .when(F.col("_d").isNull(), "diagnosis"))
+    missing = (F.when(F.col("encounter_id").isNull(), "encounter_id").when(F.col("_p").isNull(), "patient")
+               .when(F.col("_r").isNull(), "provider").when(F.col("_d").isNull(), "diagnosis"))
     return (found.select(*encounters.columns, missing.alias("missing_dimension"))
             .where(F.col("missing_dimension").isNotNull()))
 
@@ -186,14 +183,12 @@ def unresolved_encounters(encounters: DataFrame, dim_patient: DataFrame, dim_pro
 def append_encounters(encounters_raw: DataFrame, dim_patient: DataFrame,
                       dim_provider: DataFrame, dim_diagnosis: DataFrame,
                       fact_encounter: DataFrame, as_of: _dt.datetime,
-                      window: _dt.timedelta | None = _dt.timedelta(days=1),
-                      after: _dt.datetime | None = None) -> DataFrame:
-    """Rows extracted within ``window`` before ``as_of`` (None: all rows), or
-    strictly after a stored watermark ``after``, resolved to surrogate keys,
-    minus encounter ids already loaded.  Batch duplicates collapse to the
-    latest extract (ruling R10); rows without a dimension row are listed by
-    ``unresolved_encounters``."""
-    src = _extracted(encounters_raw, as_of, window, after)
+                      window: _dt.timedelta | None = _dt.timedelta(days=1)) -> DataFrame:
+    """Rows extracted within ``window`` before ``as_of`` (None: all rows),
+    resolved to surrogate keys, minus encounter ids already loaded.  Batch
+    duplicates collapse to the latest extract (ruling R10); rows without a
+    dimension row are listed by ``unresolved_encounters``."""
+    src = _extracted(encounters_raw, as_of, window)
     src = latest_per_key(src, ["encounter_id"], ["extracted_at"])
     pat = dim_patient.where(F.col("is_current_record")).select("patient_id", "patient_key")
     prov = (dim_provider.where(F.col("is_current_record"))
@@ -217,28 +212,61 @@ def append_encounters(encounters_raw: DataFrame, dim_patient: DataFrame,
 
 def watermarked_encounter_load(encounters_raw: DataFrame, dims: dict[str, DataFrame],
                                fact: "VersionedTable", watermark: "VersionedTable",
-                               as_of: _dt.datetime, rejects_path: str | None = None) -> int:
-    """Incremental load driven by a stored high watermark instead
-    of an assumed one-day window.  The first run (no watermark yet) takes
-    everything; every run appends new encounters to the fact as a new version,
-    writes the rows it could not resolve to ``rejects_path`` and stores
-    max(extracted_at) of what it read.  Returns the rows added."""
-    from tessera.operators.sinks import append_log, materialize
+                               as_of: _dt.datetime, rejects: "VersionedTable | None" = None,
+                               lateness: _dt.timedelta | None = _dt.timedelta(0)) -> int:
+    """Incremental load driven by a stored high watermark instead of
+    an assumed one-day window.
+
+    A run reads what was extracted at or after the mark less ``lateness``
+    (rows without an extract time always, everything in the first run or with
+    ``lateness`` None); what the fact already holds is left out by its id, so
+    reading a row again costs nothing but the reading.  Rows that arrive late
+    with an older extract time need a ``lateness`` as long as they may be late.
+
+    ``rejects`` is the keyed store of rows that found no dimension row: one row
+    per encounter, the latest extract, with the lookup that failed, the time of
+    the first failure and the number of runs.  Each run reads it along with
+    the new rows and writes what is still unresolved, so an encounter whose
+    provider arrives later is loaded then, however far the mark has moved.
+    Rows without an encounter id are kept there, as they cannot be told apart.
+
+    Order of commits: fact, rejects, mark.  A run that dies in between is
+    repeated from the old mark and finds its rows loaded.  Returns the rows
+    added."""
+    from tessera.operators.sinks import materialize
 
     mark = watermark.read()
     after = mark.first()[0] if mark is not None else None
+    fresh = encounters_raw
+    if after is not None and lateness is not None:
+        seen = F.col("extracted_at")
+        fresh = fresh.where(seen.isNull() | (seen >= ts_lit(after - lateness)))
+    columns = encounters_raw.columns
+    waiting = rejects.read() if rejects is not None else None
+    source = fresh if waiting is None else fresh.unionByName(waiting.select(*columns))
     # What this run reads, fixed once: the mark, the rows and the rejects agree.
-    source = materialize(_extracted(encounters_raw, as_of, None, after), "encounters_extracted")
+    named = F.col("encounter_id").isNotNull()
+    source = materialize(latest_per_key(source.where(named), ["encounter_id"], ["extracted_at"])
+                         .unionByName(source.where(~named).distinct()), "encounters_extracted")
     target = fact.read()
     lookups = (dims["dim_patient"], dims["dim_provider"], dims["dim_diagnosis"])
-    new = materialize(append_encounters(source, *lookups, target, as_of, window=None), "encounters_new")
-    if rejects_path:
-        append_log(unresolved_encounters(source, *lookups), rejects_path)
+    none_yet = source.select("encounter_id").limit(0) if target is None else target
+    new = materialize(append_encounters(source.where(named), *lookups, none_yet, as_of, window=None), "encounters_new")
     added = new.count()
-    if added:
-        fact.commit(target.unionByName(new.select(*target.columns)))
+    if added or target is None:
+        fact.commit(new if target is None else target.unionByName(new.select(*target.columns)))
+    if rejects is not None:
+        lost = unresolved_encounters(source, *lookups)
+        first, runs = ts_lit(as_of), F.lit(1)
+        if waiting is not None:
+            known = waiting.select("encounter_id", "first_rejected_at", "runs")
+            known = known.where(named).toDF("_known_id", "_first", "_runs")
+            lost = lost.join(known, F.col("encounter_id") == F.col("_known_id"), "left")
+            first, runs = F.coalesce("_first", first), F.coalesce("_runs", F.lit(0)) + 1
+        rejects.commit(lost.select(*columns, "missing_dimension", first.alias("first_rejected_at"),
+                                   runs.cast("int").alias("runs")))
     high = source.agg(F.max("extracted_at").alias("high_watermark"))
-    if high.first()[0] is not None:
+    if high.first()[0] is not None and (after is None or high.first()[0] > after):
         watermark.commit(high)
     return added
 

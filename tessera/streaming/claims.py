@@ -43,8 +43,10 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
             # Only the service months this batch touches are read and rewritten.
             loads.merge_claims_partitions(target, resolved)
         else:
-            merged = loads.merge_claims(target.read(), resolved, dedup_order=["loaded_at"])
-            target.commit(merged)
+            stored = target.read()
+            if stored is None:  # first batch: an empty table of its columns
+                stored = resolved.drop("loaded_at").limit(0)
+            target.commit(loads.merge_claims(stored, resolved, dedup_order=["loaded_at"]))
         if rejects_path:
             write_batch_log(loads.claim_rejects(malformed, parsed, dims), rejects_path, batch_id)
         if checks_path:
