@@ -18,7 +18,7 @@ from tessera.plans import (assertions, clinical, load_runs, loads, population, p
                            quality, staging)
 from tessera.session import scratch_path
 from tessera.sources import bindings as b
-from tessera.sources import ingest
+from tessera.sources import fhir, ingest
 from tessera.sources import scenarios as sc
 from tessera.sources.tables import Tables
 from tessera.streaming import activity as activity_stream
@@ -545,6 +545,44 @@ def q_events_late_files(spark, root):
     return agg_stream.read_event_counts(spark, partials)
 
 
+# ── message bundles (X11) ───────────────────────────────────────────────────
+def _bundles(spark, root) -> fhir.Bundles:
+    """Bundles landed as text files, read with their file name."""
+    landing = scratch_path(spark, "bundle_landing")
+    sc.bundle_lines(Tables(spark, root)).write.text(landing)
+    lines = spark.read.text(landing).select("value", F.col("_metadata.file_name").alias("file_name"))
+    return fhir.Bundles.load(lines)
+
+
+@register("fhir_patients")
+def q_fhir_patients(spark, root):
+    return fhir.patients(_bundles(spark, root))
+
+
+@register("fhir_encounters")
+def q_fhir_encounters(spark, root):
+    return _bundles(spark, root).table("Encounter")
+
+
+@register("fhir_claims")
+def q_fhir_claims(spark, root):
+    return _bundles(spark, root).table("Claim")
+
+
+@register("fhir_claim_lines")
+def q_fhir_claim_lines(spark, root):
+    return _bundles(spark, root).claim_lines().drop("item_pos")
+
+
+@register("fhir_rejects")
+def q_fhir_rejects(spark, root):
+    """Rejected entries with their place in the bundle, rejected claim lines
+    with their claim."""
+    found = _bundles(spark, root)
+    entries = found.rejects().select("bundle_id", "pos", F.lit(None).cast("string").alias("claim_id"), "reason")
+    return entries.unionByName(found.rejected_lines().select("bundle_id", F.lit(None).cast("int").alias("pos"), "claim_id", "reason"))
+
+
 # ── claims load run (M16) ───────────────────────────────────────────────────
 PIPELINE_RUN_AT = _dt.datetime(1999, 1, 2, 2, 0, 0)
 

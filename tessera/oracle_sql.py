@@ -1207,6 +1207,46 @@ UNION ALL BY NAME
 SELECT encounter_id, 'waiting' AS state, 3 AS runs, TIMESTAMP '2001-09-01 02:00:00' AS at
 FROM extracted_encounters WHERE p % 7 = 0""", "extracted_encounters")
 
+# ── message bundles ──────────────────────────────────────────────────────
+shape("sent", ["fact_encounter", "patient_attrs"])("""
+SELECT e.*, p.* EXCLUDE (patient_key), 'B' || encounter_key AS bundle_id, encounter_key % 43 = 0 AS lost
+FROM fact_encounter e JOIN patient_attrs p USING (patient_key)""")
+
+ORACLE["fhir_patients"] = with_shapes("""
+SELECT patient_id, last_name AS family_name, first_name AS given_name, gender, date_of_birth AS birth_date,
+       zip_code AS postal_code, COUNT(*) AS times_sent
+FROM sent WHERE NOT lost AND encounter_key % 37 > 0 GROUP BY ALL""", "sent")
+
+ORACLE["fhir_encounters"] = with_shapes("""
+SELECT bundle_id, encounter_id, 'Patient/' || patient_id AS patient_ref, encounter_type AS class_code, admit_date,
+       discharge_date, npi AS provider_npi, IF(encounter_key % 50 = 0, 'Expired', 'Home') AS disposition
+FROM sent JOIN dim_provider ON provider_key = attending_provider_key WHERE NOT lost AND encounter_key % 41 > 0""",
+                                        "sent", "dim_provider")
+
+ORACLE["fhir_claims"] = with_shapes("""
+SELECT bundle_id, 'C' || encounter_key AS claim_id, 'Patient/' || patient_id AS patient_ref,
+       'Encounter/' || encounter_id AS encounter_ref,
+       CAST((SELECT SUM(billed_amount) FROM claim_lines_all c WHERE c.encounter_key = s.encounter_key) AS DECIMAL(14,2)) AS total_billed
+FROM sent s WHERE NOT lost""", "sent", "claim_lines_all")
+
+ORACLE["fhir_claim_lines"] = with_shapes("""
+SELECT 'B' || encounter_key AS bundle_id, claim_id, claim_line_number AS line_number, 'CPT' || procedure_key AS procedure_code,
+       service_date, units_of_service AS quantity, billed_amount AS net_amount
+FROM claim_lines_all WHERE encounter_key % 43 > 0 AND NOT (claim_line_number = 3 AND encounter_key % 11 = 0)""",
+                                         "claim_lines_all")
+
+ORACLE["fhir_rejects"] = with_shapes("""
+SELECT IF(lost, NULL, bundle_id) AS bundle_id, IF(lost, 0, r.pos) AS pos, NULL::VARCHAR AS claim_id, r.reason FROM (
+  SELECT *, unnest(IF(lost, [{'pos': 0, 'hit': TRUE, 'reason': 'malformed_json'}], [
+    {'pos': 0, 'hit': encounter_key % 37 = 0, 'reason': 'missing_id'},
+    {'pos': 1, 'hit': encounter_key % 41 = 0, 'reason': 'bad_field:admit_date'},
+    {'pos': 3, 'hit': encounter_key % 31 = 0, 'reason': 'unknown_type'},
+    {'pos': 3 + (encounter_key % 31 = 0)::INT, 'hit': encounter_key % 29 = 0, 'reason': 'no_resource'}])) AS r FROM sent)
+WHERE r.hit
+UNION ALL
+SELECT 'B' || encounter_key, NULL, claim_id, 'bad_field:quantity' FROM claim_lines_all
+WHERE encounter_key % 43 > 0 AND claim_line_number = 3 AND encounter_key % 11 = 0""", "sent", "claim_lines_all")
+
 ORACLE["user_activity_stream"] = ORACLE["user_activity"]
 
 ORACLE["encounter_readmit_flag"] = with_shapes("""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import ts_lit
@@ -155,3 +155,57 @@ def encounters_raw(t: Tables) -> DataFrame:
         "total_charges", "total_payments", "readmission_30d_flag", "mortality_flag",
         F.timestamp_add("HOUR", -(F.col("encounter_key") % 48).cast("int"),
                         ts_lit(ENCOUNTER_LOAD_AT)).alias("extracted_at"))
+
+
+# ── message bundles (X11) ────────────────────────────────────────────────
+def bundle_lines(t: Tables) -> DataFrame:
+    """One message bundle per encounter: its patient, the encounter and a claim
+    with its lines, as nested JSON.  By the encounter's key some are flawed:
+    cut off (43rd), a patient without id (37th), an admission that is no date
+    (41st), a resource of a type without a table (31st), an entry that is no
+    resource (29th), a quantity in words (third lines of every 11th)."""
+    def resource(kind: str, *fields) -> Column:
+        return F.to_json(F.struct(F.struct(F.lit(kind).alias("resourceType"), *fields).alias("resource")))
+
+    def ref(kind: str, id_col) -> Column:
+        return F.concat(F.lit(f"{kind}/"), id_col)
+
+    k = F.col("encounter_key")
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    patients = b.patient_attributes(t.customer).select(
+        F.col("patient_key").alias("_patient"), "patient_id", "first_name", "last_name", "date_of_birth", "gender", "zip_code")
+    item = F.struct(
+        F.col("claim_line_number").alias("sequence"),
+        F.struct(F.array(F.struct(F.concat(F.lit("CPT"), F.col("procedure_key").cast("string")).alias("code"))).alias("coding"))
+        .alias("productOrService"),
+        day("service_date").alias("servicedDate"),
+        F.struct(F.when((F.col("claim_line_number") == 3) & (k % 11 == 0), "many")
+                 .otherwise(F.col("units_of_service").cast("string")).alias("value")).alias("quantity"),
+        F.struct(F.col("billed_amount").alias("value")).alias("net"))
+    # Lines of one claim meet in their message, as they would when it is sent.
+    claims = b.claim_lines(t.lineitem).groupBy(k.alias("_encounter")).agg(
+        F.collect_list(item).alias("items"), F.sum("billed_amount").cast("decimal(14,2)").alias("billed"))
+    x = (b.fact_encounter(t).join(patients, F.col("patient_key") == F.col("_patient"))
+         .join(claims, k == F.col("_encounter")))
+    entries = F.concat_ws(
+        ",",
+        resource("Patient", F.when(k % 37 != 0, F.col("patient_id")).alias("id"),
+                 F.array(F.struct(F.col("last_name").alias("family"), F.array("first_name").alias("given"))).alias("name"),
+                 "gender", day("date_of_birth").alias("birthDate"),
+                 F.array(F.struct(F.col("zip_code").alias("postalCode"))).alias("address")),
+        resource("Encounter", F.col("encounter_id").alias("id"), F.struct(ref("Patient", F.col("patient_id")).alias("reference")).alias("subject"),
+                 F.struct(F.col("encounter_type").alias("code")).alias("class"),
+                 F.struct(F.when(k % 41 == 0, "n/a").otherwise(day("admit_date")).alias("start"), day("discharge_date").alias("end"))
+                 .alias("period"),
+                 F.array(F.struct(F.struct(F.struct(b.npi_for(F.col("attending_provider_key")).alias("value")).alias("identifier"))
+                                  .alias("individual"))).alias("participant"),
+                 F.struct(F.struct(F.col("discharge_disposition").alias("text")).alias("dischargeDisposition"))
+                 .alias("hospitalization")),
+        resource("Claim", F.concat(F.lit("C"), k.cast("string")).alias("id"),
+                 F.struct(ref("Patient", F.col("patient_id")).alias("reference")).alias("patient"),
+                 F.array(F.struct(ref("Encounter", F.col("encounter_id")).alias("reference"))).alias("encounter"),
+                 F.struct(F.col("billed").alias("value")).alias("total"), F.col("items").alias("item")),
+        F.when(k % 31 == 0, resource("Device", F.concat(F.lit("D"), k.cast("string")).alias("id"))),
+        F.when(k % 29 == 0, F.lit("7")))
+    text = F.concat(F.lit('{"resourceType":"Bundle","id":"B'), k.cast("string"), F.lit('","entry":['), entries, F.lit("]}"))
+    return x.select(F.when(k % 43 == 0, F.substring(text, 1, 60)).otherwise(text).alias("value"))
