@@ -34,7 +34,7 @@ def _entity_list(entity: str | Sequence[str]) -> list[str]:
     return [entity] if isinstance(entity, str) else list(entity)
 
 
-def order_bucket(df: DataFrame, col: str) -> Column:
+def order_bucket(df: DataFrame, col: str, steps: int = STEPS_PER_DOUBLING) -> Column:
     """A coarse value that never falls as ``col`` rises."""
     kind, c = df.schema[col].dataType, F.col(col)
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -43,7 +43,7 @@ def order_bucket(df: DataFrame, col: str) -> Column:
         x = c.cast("double")
         size = F.abs(x) + 1
         octave = F.floor(F.log2(size))
-        step = octave * STEPS_PER_DOUBLING + F.floor((size / F.pow(F.lit(2.0), octave) - 1) * STEPS_PER_DOUBLING)
+        step = octave * steps + F.floor((size / F.pow(F.lit(2.0), octave) - 1) * steps)
         return F.when(F.isnan(x), F.lit(1 << 40)).otherwise(F.when(x < 0, -step).otherwise(step))
     return F.substring(c.cast("string"), 1, 2)
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import avg_dec_round, avg_int_round, pct
+from tessera.operators.ranking import ranked
 from tessera.operators.sequence import neighbors
 from tessera.operators.sinks import materialize
 
@@ -85,29 +86,23 @@ def provider_metrics(fact_encounter: DataFrame, dim_provider: DataFrame, year: i
 
 
 def provider_scorecard(fact_encounter: DataFrame, dim_provider: DataFrame, year: int) -> DataFrame:
-    """Rankings within specialty.  Everything of the fact's size is aggregated
-    first: the windows get one row per provider of a specialty, three numbers
-    each, so a specialty's task grows with the providers, not with the facts."""
-    pm = provider_metrics(fact_encounter, dim_provider, year)
-    spec = Window.partitionBy("specialty")
-    cost = spec.orderBy(F.col("avg_charges_raw").asc_nulls_last())
-    quality = spec.orderBy(F.col("readmission_rate_pct").asc_nulls_last())
-    # NTILE and the running sum need a total order: provider_key breaks ties.
-    cost_t = spec.orderBy(F.col("avg_charges_raw").asc_nulls_last(), "provider_key")
-    quality_t = spec.orderBy(F.col("readmission_rate_pct").asc_nulls_last(), "provider_key")
-    running = (spec.orderBy(F.col("total_encounters").desc(), "provider_key")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = pm.select(
-        "*",
-        F.rank().over(cost).alias("cost_rank"),
-        F.rank().over(quality).alias("quality_rank"),
-        F.percent_rank().over(quality).alias("quality_percentile"),
-        F.ntile(4).over(cost_t).alias("cost_quartile"),
-        F.ntile(4).over(quality_t).alias("quality_quartile"),
-        F.sum("total_encounters").over(running).alias("cumulative_encounters_in_specialty"),
-    )
+    """Rankings within specialty, from counts per (specialty, value): no task
+    sorts the providers of a specialty.  Ties of NTILE and of the running sum
+    are in order of the provider key."""
+    pm = materialize(provider_metrics(fact_encounter, dim_provider, year), "provider_metrics")
+    by_cost = ranked(pm.select("provider_key", "specialty", "avg_charges_raw"), "specialty", "avg_charges_raw", "provider_key",
+                     rank="cost_rank", ntile={"cost_quartile": 4})
+    by_quality = ranked(pm.select("provider_key", "specialty", "readmission_rate_pct"), "specialty", "readmission_rate_pct",
+                        "provider_key", rank="quality_rank", percent_rank="quality_percentile", ntile={"quality_quartile": 4})
+    by_volume = ranked(pm.select("provider_key", "specialty", "total_encounters"), "specialty", "total_encounters", "provider_key",
+                       descending=True, running_sums={"cumulative_encounters_in_specialty": "total_encounters"})
+    places = (by_cost.drop("specialty", "avg_charges_raw").join(by_quality.drop("specialty", "readmission_rate_pct"), "provider_key")
+              .join(by_volume.drop("specialty", "total_encounters"), "provider_key"))
+    ranked_rows = pm.join(places, "provider_key").select(
+        *pm.columns, "cost_rank", "quality_rank", "quality_percentile", "cost_quartile", "quality_quartile",
+        "cumulative_encounters_in_specialty")
     tier = F.round((F.col("cost_quartile") + F.col("quality_quartile")) / 2.0, 1)
-    return (ranked.drop("avg_charges_raw")
+    return (ranked_rows.drop("avg_charges_raw")
             .withColumn("composite_tier", tier.cast("double"))
             .orderBy("specialty", "composite_tier", F.col("total_encounters").desc()))
 

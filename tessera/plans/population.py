@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ranking import ranked
 from tessera.operators.sequence import neighbors, trailing_sums
+from tessera.operators.sinks import materialize
 
 
 # ── X1: encounter journey ────────────────────────────────────────────────
@@ -141,16 +143,16 @@ def facility_census(fact_encounter: DataFrame, dim_provider: DataFrame, as_of) -
 
 # ── X5: dense rank and comparison to the specialty mean ─────────────────
 def provider_charge_rank(fact_encounter: DataFrame, dim_provider: DataFrame) -> DataFrame:
-    """Over all encounters.  The windows get one row per provider."""
+    """Over all encounters.  The rank comes from counts per (specialty, value),
+    the mean from an aggregate: no task holds a specialty's providers."""
     per = fact_encounter.groupBy("attending_provider_key").agg(
         F.sum("total_charges").cast("decimal(18,2)").alias("total_charges"))
     dp = dim_provider.select(F.col("provider_key").alias("attending_provider_key"), "specialty")
-    j = per.join(dp, "attending_provider_key")
-    spec = Window.partitionBy("specialty")
-    avg = F.sum("total_charges").over(spec) / F.count("total_charges").over(spec)
-    return j.select(
-        F.col("attending_provider_key").alias("provider_key"), "specialty", "total_charges",
-        F.dense_rank().over(spec.orderBy(F.col("total_charges").desc())).alias("charge_dense_rank"),
-        F.round(avg, 2).cast("decimal(18,2)").alias("specialty_avg_charges"),
-        (F.col("total_charges") - F.round(avg, 2)).cast("decimal(18,2)")
-        .alias("diff_from_specialty_avg"))
+    j = materialize(per.join(dp, "attending_provider_key"), "provider_charges")
+    mean = j.groupBy(F.col("specialty").alias("_specialty")).agg(
+        F.round(F.sum("total_charges") / F.count("total_charges"), 2).alias("_mean"))
+    places = ranked(j, "specialty", "total_charges", "attending_provider_key", descending=True, dense_rank="charge_dense_rank")
+    return places.join(mean, F.col("specialty").eqNullSafe(F.col("_specialty"))).select(
+        F.col("attending_provider_key").alias("provider_key"), "specialty", "total_charges", "charge_dense_rank",
+        F.col("_mean").cast("decimal(18,2)").alias("specialty_avg_charges"),
+        (F.col("total_charges") - F.col("_mean")).cast("decimal(18,2)").alias("diff_from_specialty_avg"))
