@@ -521,6 +521,66 @@ def q_vault_pit(spark, root):
     return vault.point_in_time(sat, "hk_patient", VAULT_LOAD_1, VAULT_LOAD_2 + _dt.timedelta(days=1))
 
 
+# Three extracts; demographics and coverage arrive in satellites of their own.
+VAULT_LOADS = (_dt.date(2023, 12, 29), _dt.date(2024, 1, 1), _dt.date(2024, 1, 3))
+VAULT_SATELLITES = {"demographics": ["first_name", "last_name", "gender", "zip_code"], "coverage": ["payer_type", "state_code"]}
+
+
+def _vault_extracts(t: Tables) -> list[DataFrame]:
+    """The first: patients known, coverage missing for every fourth; the
+    second: all, every third moved; the third: every fifth changed payer."""
+    people = b.patient_attributes(t.customer)
+    k = F.col("patient_key")
+    known = people.join(sc.scd2_target(t).select("patient_key"), "patient_key", "left_semi")
+    moved = people.withColumn("zip_code", F.when(k % 3 == 0, F.lit("00000")).otherwise(F.col("zip_code")))
+    paid = moved.withColumn("payer_type", F.when(k % 5 == 0, F.lit("SELF")).otherwise(F.col("payer_type")))
+    return [known, moved, paid]
+
+
+def _patient_vault(t: Tables) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Hub and satellites after the three loads, each load written before the next."""
+    hub, sats = None, dict.fromkeys(VAULT_SATELLITES)
+    for n, (day, rows) in enumerate(zip(VAULT_LOADS, _vault_extracts(t))):
+        new = vault.load_hub(hub, rows, "patient_id", "hk_patient", day, "crm")
+        hub = sinks.materialize(new if hub is None else hub.unionByName(new), "vault_hub")
+        for name, attributes in VAULT_SATELLITES.items():
+            part = rows.where(F.col("patient_key") % 4 != 0) if (n, name) == (0, "coverage") else rows
+            new = vault.load_satellite(sats[name], part, "patient_id", "hk_patient", attributes, day, "crm")
+            sats[name] = sinks.materialize(new if sats[name] is None else sats[name].unionByName(new), f"vault_{name}")
+    return hub, sats
+
+
+@register("vault_pit_satellites")
+def q_vault_pit_satellites(spark, root):
+    """Daily snapshots over both satellites of the patient hub, with an
+    attribute of each as it was."""
+    hub, sats = _patient_vault(Tables(spark, root))
+    pit = vault.point_in_time_all(sats, "hk_patient", VAULT_LOADS[0] - _dt.timedelta(days=1), VAULT_LOADS[-1] + _dt.timedelta(days=1))
+    out = vault.as_of_snapshot(pit, {"demographics": (sats["demographics"], ["zip_code"]),
+                                     "coverage": (sats["coverage"], ["payer_type"])}, "hk_patient")
+    return out.join(hub.select("hk_patient", "patient_id"), "hk_patient").drop("hk_patient")
+
+
+@register("vault_link")
+def q_vault_link(spark, root):
+    """Patient-provider link in two loads (encounters before a date, then all)
+    with an effectivity satellite: last seen, rows only where it changed."""
+    t = Tables(spark, root)
+    fe = b.fact_encounter(t).select(
+        F.concat(F.lit("P"), F.col("patient_key").cast("string")).alias("patient_id"),
+        b.npi_for(F.col("attending_provider_key")).alias("npi"), "admit_date")
+    link = sat = None
+    for day in (_dt.date(2000, 1, 1), _dt.date(2002, 1, 1)):
+        seen = sinks.materialize(fe.where(F.col("admit_date") < F.lit(day)).groupBy("patient_id", "npi")
+                                 .agg(F.max("admit_date").alias("last_seen")), "vault_seen")
+        new = vault.load_link(link, seen, ["patient_id", "npi"], "hk_link", day, "emr")
+        link = sinks.materialize(new if link is None else link.unionByName(new), "vault_link")
+        new = vault.load_satellite(sat, seen, ["patient_id", "npi"], "hk_link", ["last_seen"], day, "emr")
+        sat = sinks.materialize(new if sat is None else sat.unionByName(new), "vault_link_sat")
+    return link.select("hk_link", "hk_patient_id", "hk_npi", F.col("load_date").alias("linked_on")).join(
+        sat.select("hk_link", F.col("load_date").alias("sat_load_date"), "last_seen"), "hk_link")
+
+
 @register("events_continuous_agg")
 def q_events_continuous_agg(spark, root):
     """Streaming aggregate over the event files, added up per micro-batch."""

@@ -102,6 +102,28 @@ def neighbors(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[s
     return y.select(*out)
 
 
+def carried_forward(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[str],
+                    values: Sequence[str]) -> DataFrame:
+    """``df`` with each null in ``values`` replaced by the entity's last known
+    value before it in ``order_cols`` (a total order).  Values known in earlier
+    buckets come from one row per (entity, bucket)."""
+    ents, cols = _entity_list(entity), df.columns
+    x = df.withColumn("_bucket", order_bucket(df, order_cols[0]))
+    upto = (Window.partitionBy(*ents, "_bucket").orderBy(*order_cols)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    place = F.struct(*order_cols)
+    g = x.groupBy(*ents, "_bucket").agg(*[
+        F.max_by(F.struct(v), F.when(F.col(v).isNotNull(), place)).alias(f"_l_{v}") for v in values])
+    before = Window.partitionBy(*ents).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    g = g.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*ents, "_bucket"])],
+                 *[F.last(f"_l_{v}.{v}", ignorenulls=True).over(before).alias(f"_e_{v}") for v in values])
+    same = functools.reduce(lambda p, q: p & q, (
+        F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*ents, "_bucket"])))
+    known = {v: F.last(v, ignorenulls=True).over(upto).alias(f"_h_{v}") for v in values}
+    y = x.select("*", *known.values()).join(g, same)
+    return y.select(*[F.coalesce(f"_h_{c}", f"_e_{c}").alias(c) if c in known else F.col(c) for c in cols])
+
+
 def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_col: str,
                   value_cols: Sequence[str], lo_days: int, hi_days: int = 0,
                   prefix: str = "w_") -> DataFrame:

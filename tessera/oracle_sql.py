@@ -1135,6 +1135,39 @@ FROM keys k, snaps s
 WHERE EXISTS (SELECT 1 FROM vault_sat v WHERE v.hk_patient = k.hk_patient AND v.load_date <= s.snapshot_date)""",
                                 "vault_sat")
 
+# Every patient's attributes on each of the three load days, if sent.
+shape("vault_sent", ["scd2_target", "patient_attrs"])("""
+WITH days AS (SELECT * FROM (VALUES (0, DATE '2023-12-29'), (1, DATE '2024-01-01'), (2, DATE '2024-01-03')) v(n, day))
+SELECT n, day, patient_id, md5(upper(trim(patient_id))) AS hk, first_name, last_name, gender,
+       IF(n > 0 AND patient_key % 3 = 0, '00000', zip_code) AS zip_code,
+       IF(n = 2 AND patient_key % 5 = 0, 'SELF', payer_type) AS payer_type, state_code,
+       n > 0 OR patient_key % 4 <> 0 AS covered
+FROM patient_attrs CROSS JOIN days WHERE n > 0 OR patient_key IN (SELECT patient_key FROM scd2_target)""")
+
+# The current load of a satellite on a day: the newest load whose values
+# differ from the load before.
+ORACLE["vault_pit_satellites"] = with_shapes("""
+WITH d AS (SELECT *, zip_code IS DISTINCT FROM LAG(zip_code) OVER w OR LAG(n) OVER w IS NULL AS new FROM vault_sent
+           WINDOW w AS (PARTITION BY patient_id ORDER BY n)),
+c AS (SELECT *, payer_type IS DISTINCT FROM LAG(payer_type) OVER w OR LAG(n) OVER w IS NULL AS new
+      FROM vault_sent WHERE covered WINDOW w AS (PARTITION BY patient_id ORDER BY n)),
+snaps AS (SELECT CAST(unnest(generate_series(DATE '2023-12-28', DATE '2024-01-04', INTERVAL 1 DAY)) AS DATE) AS snapshot_date),
+x AS (SELECT DISTINCT patient_id, snapshot_date FROM vault_sent, snaps WHERE day <= snapshot_date),
+pd AS (SELECT x.*, MAX(day) AS demographics_load_date, arg_max(zip_code, day) AS zip_code
+       FROM x LEFT JOIN d ON d.patient_id = x.patient_id AND d.new AND d.day <= x.snapshot_date GROUP BY ALL),
+pc AS (SELECT x.*, MAX(day) AS coverage_load_date, arg_max(payer_type, day) AS payer_type
+       FROM x LEFT JOIN c ON c.patient_id = x.patient_id AND c.new AND c.day <= x.snapshot_date GROUP BY ALL)
+SELECT * FROM pd JOIN pc USING (patient_id, snapshot_date)""", "vault_sent")
+
+ORACLE["vault_link"] = with_shapes("""
+WITH seen AS (
+  SELECT 'P' || patient_key AS p, npi, unnest([DATE '2000-01-01', DATE '2002-01-01']) AS day, admit_date
+  FROM fact_encounter JOIN dim_provider ON provider_key = attending_provider_key),
+m AS (SELECT p, npi, day, MAX(admit_date) AS last_seen FROM seen WHERE admit_date < day GROUP BY ALL),
+first AS (SELECT p, npi, MIN(day) AS linked_on FROM m GROUP BY ALL)
+SELECT md5(p || '|' || npi) AS hk_link, md5(p) AS hk_patient_id, md5(npi) AS hk_npi, linked_on, MIN(day) AS sat_load_date, last_seen
+FROM m JOIN first USING (p, npi) GROUP BY ALL""", "fact_encounter", "dim_provider")
+
 ORACLE["events_continuous_agg"] = """
 SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS events,
        CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DECIMAL(18,2)) AS value_sum
