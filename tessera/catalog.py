@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import calendar, exprs
-from tessera.operators import merge, sinks, vault
-from tessera.plans import (assertions, clinical, load_runs, loads, population, product,
-                           quality, staging)
+from tessera.operators import merge, quantiles, sinks, vault
+from tessera.plans import (assertions, clinical, load_runs, loads, nested_claims, population,
+                           product, quality, staging)
 from tessera.session import scratch_path
 from tessera.sources import bindings as b
 from tessera.sources import fhir, ingest
@@ -491,6 +491,62 @@ def q_approx_activity_stats(spark, root):
     return product.approx_activity_stats(_user_activity(Tables(spark, root)))
 
 
+# ── approximate answers with their error (A22, A6, X9) ─────────────────────
+QUANTILE_SHARES = (0.01, 0.25, 0.5, 0.75, 0.9, 0.99)
+
+
+@register("value_quantile_sketches")
+def q_value_quantile_sketches(spark, root):
+    """Stored daily sketches of event values, merged for the whole period and
+    for its second half: is each quantile's rank within the sketch's error?"""
+    ev = Tables(spark, root).events.select("event_type", F.to_date("ts").alias("day"), "value").where("day IS NOT NULL")
+    daily = sinks.materialize(quantiles.daily_sketches(ev, ["event_type"], "day", "value"), "daily_sketches")
+    out = None
+    for name, where in (("all", F.lit(True)), ("late", F.dayofmonth("day") > 15)):
+        found = quantiles.quantiles(quantiles.period_sketches(daily.where(where), ["event_type"]), ["event_type"], QUANTILE_SHARES)
+        checked = quantiles.rank_bounds(ev.where(where), found, ["event_type"], "value")
+        error = quantiles.rank_error()
+        rows = checked.select(F.lit(name).alias("period"), "event_type", "share", "n",
+                              ((F.col("share_below") <= F.col("share") + error)
+                               & (F.col("share_upto") >= F.col("share") - error)).alias("within_error"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("rolling_distinct_error")
+def q_rolling_distinct_error(spark, root):
+    """Sketched weekly and monthly users against the exact ones, per day, plan
+    and country: is the error within 5 % or two users?"""
+    from tessera.operators.rolling import rolling_distinct_approx
+    ua = _user_activity(Tables(spark, root))
+    keys = ["activity_date", "plan_name", "country_code"]
+    approx = rolling_distinct_approx(ua, "activity_date", keys[1:], "user_id", {"wau_approx": 7, "mau_approx": 28})
+    exact = product.dau_wau_mau(ua, PRODUCT_AS_OF).select(*keys, "wau", "mau")
+
+    def close(a: str, e: str):
+        return F.abs(F.col(a) - F.col(e)) <= F.greatest(0.05 * F.col(e), F.lit(2.0))
+
+    both = exact.where("plan_name IS NOT NULL AND country_code IS NOT NULL").join(approx, keys)
+    return both.select(*keys, "wau", "mau", close("wau_approx", "wau").alias("wau_close"), close("mau_approx", "mau").alias("mau_close"))
+
+
+# ── nested claims (X9) ──────────────────────────────────────────────────────
+def _nested_claims(spark, root):
+    path = scratch_path(spark, "nested_claims")
+    nested_claims.store(b.fact_claim(Tables(spark, root)), path)
+    return nested_claims.read(spark, path)
+
+
+@register("nested_claim_totals")
+def q_nested_claim_totals(spark, root):
+    return nested_claims.claim_totals(_nested_claims(spark, root))
+
+
+@register("nested_status_mix")
+def q_nested_status_mix(spark, root):
+    return nested_claims.status_mix(_nested_claims(spark, root))
+
+
 VAULT_LOAD_1 = _dt.date(2023, 12, 31)
 VAULT_LOAD_2 = _dt.date(2024, 1, 1)
 VAULT_ATTRS = ["first_name", "last_name", "date_of_birth", "gender", "zip_code", "state_code",

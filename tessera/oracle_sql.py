@@ -1109,6 +1109,28 @@ FROM dau_wau_mau
 WINDOW w AS (PARTITION BY plan_name, country_code ORDER BY activity_date
              RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""", "dau_wau_mau")
 
+ORACLE["value_quantile_sketches"] = """
+WITH e AS (SELECT event_type, day(ts) AS d FROM events WHERE ts IS NOT NULL AND value IS NOT NULL),
+p AS (SELECT 'all' AS period, event_type FROM e UNION ALL SELECT 'late', event_type FROM e WHERE d > 15),
+n AS (SELECT period, event_type, COUNT(*) AS n FROM p GROUP BY ALL)
+SELECT *, CAST(unnest([0.01, 0.25, 0.5, 0.75, 0.9, 0.99]) AS DOUBLE) AS share, TRUE AS within_error FROM n"""
+
+ORACLE["rolling_distinct_error"] = with_shapes("""
+SELECT activity_date, plan_name, country_code, wau, mau, TRUE AS wau_close, TRUE AS mau_close FROM dau_wau_mau
+WHERE plan_name IS NOT NULL AND country_code IS NOT NULL""", "dau_wau_mau")
+
+ORACLE["nested_claim_totals"] = with_shapes("""
+SELECT claim_id, COUNT(*) AS n_lines, CAST(SUM(billed_amount) AS DECIMAL(18,2)) AS billed,
+       CAST(SUM(paid_amount) AS DECIMAL(18,2)) AS paid,
+       CAST(SUM(IF(claim_status = 'Adjusted', paid_amount, 0)) AS DECIMAL(18,2)) AS adjusted_paid,
+       COUNT(*) FILTER (claim_status = 'Denied') > 0 AS any_denied,
+       COALESCE(string_agg(DISTINCT denial_reason_code, ',' ORDER BY denial_reason_code), '') AS denial_codes
+FROM fact_claim GROUP BY claim_id""", "fact_claim")
+
+ORACLE["nested_status_mix"] = with_shapes("""
+SELECT claim_status, COUNT(*) AS n_lines, CAST(SUM(paid_amount) AS DECIMAL(18,2)) AS paid FROM fact_claim GROUP BY 1""",
+                                          "fact_claim")
+
 _VAULT_HK = "md5(upper(trim(patient_id)))"
 _VAULT_HD = ("md5(concat_ws('|', COALESCE(first_name, ''), COALESCE(last_name, ''), "
              "COALESCE(CAST(date_of_birth AS VARCHAR), ''), COALESCE(gender, ''), COALESCE(zip_code, ''), "
