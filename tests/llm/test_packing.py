@@ -4,8 +4,8 @@ import zlib
 import numpy as np
 import pytest
 
-from tessera.llm import packing
-from tessera.llm.vocabulary import BYTE_BPE, TOKENIZERS, byte_bpe, file_bytes, parts
+from tessera.llm import packing, vocabulary
+from tessera.llm.vocabulary import BYTE_BPE, PIECE_BPE, TOKENIZERS, byte_bpe, file_bytes, parts, piece_bpe
 from tessera.operators.sinks import materialize
 
 
@@ -96,7 +96,21 @@ def test_ranks_do_not_depend_on_tasks(spark):
 
 def test_empty_table_and_long_text(spark, no_docs):
     assert packing.pack(materialize(packing.pieces(no_docs), "test-none")).collect() == []
-    text = "many words and more " * 40000 + " " * 1_200_000 + "end"
-    assert len(parts(text)) > 2 and "".join(parts(text)) == text
     coder, encode = byte_bpe(file_bytes(TOKENIZERS, BYTE_BPE))
+    text = "many words and more " * 40000 + " " * 1_200_000 + "end"
     assert encode([text])[0] == coder.encode(text, add_special_tokens=False).ids
+
+
+def test_encoders_agree_with_their_libraries(monkeypatch):
+    monkeypatch.setattr(vocabulary, "PART", 5)
+    coder, encode = byte_bpe(file_bytes(TOKENIZERS, BYTE_BPE))
+    pieces, encode_pieces = piece_bpe(file_bytes(TOKENIZERS, PIECE_BPE))
+    rng = random.Random(8)
+    bits = ["the", " ", " ", "  ", "\n", "\t", "é", "don't", "'s", "12", "!", "<|endoftext|>", "\x00", "\xa0", "\u3000", "\x1c", "日本",
+            "🙂", "a", "\r\n", "a b c", "</s>", "ß"]
+    for _ in range(3000):
+        text = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+        assert "".join(parts(text, 3)) == text
+        assert encode([text])[0] == coder.encode(text, add_special_tokens=False).ids, repr(text)
+        if text:
+            assert encode_pieces([" " + text])[0] == pieces.encode(text), repr(text)
