@@ -39,55 +39,76 @@ from tessera.llm.arrow_text import mix64, slices
 from tessera.operators.sinks import materialize
 
 #: Windows kept in a task's memory, and tokens of a window that is kept.
-MEMO, REMEMBERED = 1 << 18, 64
+MEMO, REMEMBERED = 1 << 19, 64
 PAIRS_IN_MEMORY = 8_000_000
-
-
-def align(lengths_a: list[int], lengths_b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Links (place in a, place in b) and group ends (tokens of a and b up to
-    the group's end) of two sequences of token lengths with equal sums."""
-    links, ends = [], []
-    i = j = 0
-    end_a, end_b = lengths_a[0], lengths_b[0]
-    while True:
-        links.append((i, j))
-        both = end_a == end_b
-        if both:
-            ends.append((i + 1, j + 1))
-            if i + 1 == len(lengths_a):
-                return links, ends
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        if step_a:
-            i += 1
-            end_a += lengths_a[i]
-        if step_b:
-            j += 1
-            end_b += lengths_b[j]
+#: Texts aligned at a time: a window that comes again costs nothing in the same slice.
+SLICE_BYTES = 1 << 21
 
 
 class Memo:
-    """Aligned windows by id tuples: pair keys, how many groups, groups' text."""
+    """Aligned windows by their id tuples (packed as bytes): where the window's
+    linked pairs lie in ``pairs``, how many links and groups, the groups' text."""
 
     def __init__(self, tokens_a: list[bytes], tokens_b: list[bytes]):
-        self.a, self.b = [len(t) for t in tokens_a], [len(t) for t in tokens_b]
+        self.a, self.b = (np.array([len(t) for t in own], np.int64) for own in (tokens_a, tokens_b))
         self.width = len(tokens_b)
-        self.known: dict[tuple, tuple[np.ndarray, int, str]] = {}
-
-    def __call__(self, a: tuple, b: tuple) -> tuple[np.ndarray, int, str]:
-        found = self.known.get((a, b))
-        if found is None:
-            links, ends = align([self.a[x] for x in a], [self.b[x] for x in b])
-            pairs = np.array([a[i] * self.width + b[j] for i, j in links], np.int64)
-            starts = [(0, 0), *ends]
-            text = ";".join(",".join(map(str, a[p:r])) + "|" + ",".join(map(str, b[q:s]))
-                            for (p, q), (r, s) in zip(starts, ends))
-            found = pairs, len(ends), text
-            if len(a) + len(b) <= REMEMBERED:
-                if len(self.known) >= MEMO:
-                    self.known.clear()
-                self.known[a, b] = found
+        # What is written for an id: followed by , | ; or nothing.
+        self.written = [f"{i}{end}" for i in range(max(len(tokens_a), len(tokens_b))) for end in ",|;"]
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[tuple[bytes, bytes], tuple[int, int, int, str]] = {}
+        self.pairs, self.filled = np.zeros(1 << 16, np.int64), 0
+
+    def __call__(self, ids_a: np.ndarray, ids_b: np.ndarray, a, b) -> list[tuple[int, int, int, str]]:
+        """The entries of windows (starts and stops in a and b)."""
+        if len(self.known) > MEMO:
+            self.clear()
+        packed_a, packed_b = ids_a.astype("<i4").tobytes(), ids_b.astype("<i4").tobytes()
+        keys = [(packed_a[p:q], packed_b[r:s]) for p, q, r, s in zip(*((4 * x).tolist() for x in (*a, *b)))]
+        found = list(map(self.known.get, keys))
+        new = [k for k, entry in enumerate(found) if entry is None]
+        if new:
+            at = np.array(new)
+            for k, entry in zip(new, self.align(_picked(ids_a, a[0][at], a[1][at]), _picked(ids_b, b[0][at], b[1][at]),
+                                                (a[1] - a[0])[at], (b[1] - b[0])[at])):
+                found[k] = entry
+                if len(keys[k][0]) + len(keys[k][1]) <= 4 * REMEMBERED:
+                    self.known[keys[k]] = entry
         return found
 
+    def align(self, ids_a, ids_b, n_a, n_b) -> list[tuple[int, int, int, str]]:
+        """Align windows laid end to end (``n_a``, ``n_b`` tokens each).  Tokens
+        overlap where the union of all ends cuts the bytes; groups end where
+        both have an end."""
+        end_a, end_b = np.cumsum(self.a[ids_a]), np.cumsum(self.b[ids_b])
+        ends = np.union1d(end_a, end_b)
+        pairs = ids_a[np.searchsorted(end_a, ends)] * self.width + ids_b[np.searchsorted(end_b, ends)]
+        window_end = end_a[np.cumsum(n_a) - 1]
+        links = np.diff(np.searchsorted(ends, window_end, "right"), prepend=0)
+        shared = np.intersect1d(end_a, end_b, assume_unique=True)
+        groups = np.diff(np.searchsorted(shared, window_end, "right"), prepend=0)
+        # Written form: a group's tokens of a, then those of b, each with what follows it.
+        group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+        last_a, last_b = shared[group_a] == end_a, shared[group_b] == end_b
+        follows = np.concatenate([last_a.astype(np.int64), 2 * last_b])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        written = list(map(self.written.__getitem__, (3 * np.concatenate([ids_a, ids_b]) + follows)[order].tolist()))
+        stops = np.cumsum(n_a + n_b).tolist()
+        first = self.filled + np.cumsum(links) - links
+        while self.filled + len(pairs) > len(self.pairs):
+            self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
+        self.pairs[self.filled:self.filled + len(pairs)] = pairs
+        self.filled += len(pairs)
+        return [(f, n, g, "".join(written[p:q])) for f, n, g, p, q in
+                zip(first.tolist(), links.tolist(), groups.tolist(), [0, *stops[:-1]], stops)]
+
+
+def _picked(ids: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The ids of the given stretches, end to end."""
+    n = stop - start
+    return ids[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
 
 def _windows(ids_a, ids_b, tokens, document_ends):
     """Cuts the laid-out tokens of a slice at its anchors: where each window's
@@ -150,11 +171,11 @@ def aligned(docs: DataFrame, tokenizers: str = V.TOKENIZERS, id_col: str = "doc_
                   for own in (bytes_a, bytes_b)]
         memo = Memo(bytes_a, bytes_b)
         row = TaskContext.get().partitionId() << 33
-        for part in slices(batches, text_col):
+        for part in slices(batches, text_col, SLICE_BYTES):
             texts = part.texts()
-            a_ids = ids_of_a([" " + t if t else "" for t in texts])
-            b_ids = ids_of_b(texts)
-            whole = [" ".encode() + t.encode() for t in texts]
+            spaced = [" " + t if t else "" for t in texts]
+            a_ids, b_ids = ids_of_a(spaced), ids_of_b(spaced)
+            whole = [t.encode() for t in spaced]
             valid = [k for k, t in enumerate(texts) if t and b"".join(map(bytes_a.__getitem__, a_ids[k])) == whole[k]
                      and b"".join(map(bytes_b.__getitem__, b_ids[k])) == whole[k]]
             n = len(texts)
@@ -168,21 +189,20 @@ def aligned(docs: DataFrame, tokenizers: str = V.TOKENIZERS, id_col: str = "doc_
                 ends = np.cumsum([len(whole[k]) for k in valid])
                 a, b, window_ends = _windows(ids_a, ids_b, tables, ends)
                 first, kind = _distinct(ids_a, ids_b, a, b)
-                known = [memo(tuple(ids_a[a[0][w]:a[1][w]].tolist()), tuple(ids_b[b[0][w]:b[1][w]].tolist()))
-                         for w in first]
-                text = [x[2] for x in known]
+                where, links, n_of, text = zip(*memo(ids_a, ids_b, *((x[0][first], x[1][first]) for x in (a, b))))
+                where, links, n_of = map(np.array, (where, links, n_of))
                 stops = np.searchsorted(window_ends, ends) + 1
                 for k, p, q in zip(valid, [0, *stops[:-1]], stops):
-                    whole_text = ";".join([text[w] for w in kind[p:q].tolist()])
+                    whole_text = "".join(map(text.__getitem__, kind[p:q].tolist()))[:-1]
                     digests[k] = hashlib.sha256(whole_text.encode()).hexdigest()
                     if keep_groups:
                         groups[k] = whole_text
                 document = np.repeat(np.arange(len(valid)), np.diff([0, *stops]))
-                links = np.array([len(x[0]) for x in known])
-                n_groups[valid] = np.bincount(document, np.array([x[1] for x in known])[kind]).astype(np.int64)
+                n_groups[valid] = np.bincount(document, n_of[kind]).astype(np.int64)
                 n_links[valid] = np.bincount(document, links[kind]).astype(np.int64)
-                # All links of the slice: the pairs of each window's kind.
-                pool, begin = np.concatenate([x[0] for x in known]), np.cumsum(links) - links
+                # All links of the slice: the pairs of each window's kind, in
+                # a pool of the kinds' pairs.
+                pool, begin = _picked(memo.pairs, where, where + links), np.cumsum(links) - links
                 per = links[kind]
                 at = np.repeat(begin[kind] - (np.cumsum(per) - per), per) + np.arange(per.sum())
                 # Sort pairs inside documents: numbered pairs keep the key small.

@@ -89,11 +89,14 @@ def test_alignment_matches_whole_text_comparison(spark, coders):
 
 def test_windows_are_found_again_by_their_ids(coders):
     memo = alignment.Memo(coders[2], coders[3])
-    text = "some words and some words again"
-    a, b = tuple(coders[0].encode(" " + text).ids), tuple(coders[1].encode(text))
-    assert memo(a, b) is memo(a, b) and len(memo.known) == 1
-    long = " ".join(["word"] * 200)
-    memo(tuple(coders[0].encode(" " + long).ids), tuple(coders[1].encode(long)))
+
+    def entry(text):
+        a, b = (alignment.np.array(x) for x in (coders[0].encode(" " + text).ids, coders[1].encode(text)))
+        whole = ((alignment.np.array([0]), alignment.np.array([len(x)])) for x in (a, b))
+        return memo(a, b, *whole)[0]
+
+    assert entry("unbelievable") is entry("unbelievable") and len(memo.known) == 1
+    entry(" ".join(["word"] * 200))
     assert len(memo.known) == 1
 
 
