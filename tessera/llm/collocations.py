@@ -14,7 +14,7 @@ reached the threshold go at the end.  What survives sets a bit in a bitmap of
 fixed size (another n-gram may share the bit: one more to count, none lost).
 
 Second pass.  The texts are read again; n-grams with a set bit are counted
-exactly, by their words, summed in the task and then by language and phrase.
+exactly: added up in the task, then per hash partition by language and phrase.
 
 A phrase is scored by its weakest cut: floor(1000 * a * n / (l * r)) with a, l, r
 the counts of the phrase and the parts and n the words of its language, in
@@ -40,6 +40,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,11 +51,13 @@ from tessera.operators.sinks import materialize
 THRESHOLD = 100
 MAX_WORDS = 5
 #: Hashes that a task holds before it adds them up; n-grams of a hash partition.
-HELD, PARTITION_MASS = 1 << 23, 1 << 23
+HELD, PARTITION_MASS = 1 << 22, 1 << 23
 BITMAP_BITS = 28
 #: Phrases that a task adds up before it hands them on.
 PHRASES = 1 << 18
 KEY_BITS = 32
+#: Up to so many languages their totals are broadcast.
+LANGUAGES = 100_000
 
 #: Spaces and tabs separate words; the others end a piece.
 _CLASSES = byte_classes(c0=" \t.,;:!?\n\x0b\x0c\r")
@@ -170,11 +173,11 @@ def summaries(texts: DataFrame, bits: int, max_words: int = MAX_WORDS) -> DataFr
     return texts.mapInArrow(summarise, "part int, keys binary, counts binary")
 
 
-def survivor_bits(texts: DataFrame, mass: int, threshold: int = THRESHOLD, max_words: int = MAX_WORDS,
-                  bitmap_bits: int = BITMAP_BITS, partition_mass: int = PARTITION_MASS) -> bytes:
+def survivor_bits(texts: DataFrame, mass: int, bits: int, threshold: int = THRESHOLD, max_words: int = MAX_WORDS,
+                  bitmap_bits: int = BITMAP_BITS) -> bytes:
     """The bitmap of the n-grams that may occur ``threshold`` times.  ``mass``:
-    about how many n-grams there are (it sets how many hash partitions)."""
-    bits = min(max(6, (mass // partition_mass).bit_length()), bitmap_bits - 3)
+    about how many n-grams there are (it sets the first capacity);
+    2 ** ``bits`` hash partitions."""
     budget = (threshold - 1) // 2
     capacity = (mass >> bits) // max(1, budget) + 1
     width = 1 << (bitmap_bits - bits)
@@ -215,28 +218,44 @@ def survivor_bits(texts: DataFrame, mass: int, threshold: int = THRESHOLD, max_w
     return out.tobytes()
 
 
-def exact_counts(texts: DataFrame, bitmap: bytes, max_words: int = MAX_WORDS, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
-    """lang, phrase, words, f of all n-grams with a set bit; the row without a
-    phrase has the number of all words of the language."""
+def exact_counts(texts: DataFrame, bitmap: bytes, bits: int, threshold: int = THRESHOLD, max_words: int = MAX_WORDS,
+                 bitmap_bits: int = BITMAP_BITS) -> DataFrame:
+    """lang, phrase, words, f of the n-grams with a set bit that occur
+    ``threshold`` times; the row without a phrase has the number of all words
+    of its language.  Like the summaries, a task's counts travel packed, one
+    Arrow table per hash partition; a partition is added up by the texts of its
+    phrases."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
+    def packed(part: int, table: pa.Table) -> tuple[int, bytes]:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+            out.write_table(table)
+        return part, sink.getvalue().to_pybytes()
+
     def count(batches):
         table = np.frombuffer(shared.value, np.uint8)
         names: dict[int, tuple[str, int, str]] = {}  # of each hash
         held: list[tuple[np.ndarray, np.ndarray]] = []
         totals: Counter = Counter()
 
-        def rows(lang, phrase, words, f):
-            return pa.RecordBatch.from_pydict({
-                "lang": pa.array(lang, pa.string()), "phrase": pa.array(phrase, pa.string()),
-                "words": pa.array(words, pa.int32()), "f": pa.array(f, pa.int64())})
+        def rows(lang, phrase, words, f) -> pa.Table:
+            return pa.table({"lang": pa.array(lang, pa.string()), "phrase": pa.array(phrase, pa.string()),
+                             "words": pa.array(words, pa.int32()), "f": pa.array(f, pa.int64())})
+
+        def batch(found: list[tuple[int, bytes]]):
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), (pa.int32(), pa.binary()))],
+                                              names=["part", "rows"])
 
         def flush():
-            kinds, times = _added_up(*(np.concatenate(x) for x in zip(*held)))
+            kinds, times = _added_up(*(np.concatenate(x) for x in zip(*held)))  # in order of the hash
             lang, words, phrase = zip(*(names[k] for k in kinds.tolist()))
+            whole = rows(lang, phrase, words, times)
+            part = (kinds >> np.uint64(64 - bits)).astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             held.clear()
             names.clear()
-            return rows(lang, phrase, words, times)
+            return batch([packed(int(part[i]), whole.slice(i, j - i)) for i, j in zip(first, [*first[1:], len(part)])])
 
         for part in slices(batches):
             langs = part.column("lang").to_pylist()
@@ -247,6 +266,8 @@ def exact_counts(texts: DataFrame, bitmap: bytes, max_words: int = MAX_WORDS, bi
                 place = (h >> np.uint64(64 - bitmap_bits)).astype(np.int64)
                 hit = np.flatnonzero((table[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1)
                 kinds, first, times = np.unique(h[hit], return_index=True, return_counts=True)
+                if not len(kinds):
+                    continue
                 held.append((kinds, times))
                 start = at[hit[first]]
                 for i, kind in enumerate(kinds.tolist()):
@@ -257,10 +278,34 @@ def exact_counts(texts: DataFrame, bitmap: bytes, max_words: int = MAX_WORDS, bi
                 yield flush()
         if held:
             yield flush()
-        yield rows(list(totals), [None] * len(totals), [0] * len(totals), list(totals.values()))
+        # The languages' totals are a partition of their own.
+        if totals:
+            yield batch([packed(-1, rows(list(totals), [None] * len(totals), [0] * len(totals), list(totals.values())))])
+
+    def add_up(batches):
+        current, tables = None, []
+
+        def done():
+            found = pa.concat_tables(tables).group_by(["lang", "phrase", "words"]).aggregate([("f", "sum")])
+            found = found.rename_columns(["lang", "phrase", "words", "f"])
+            kept = pc.or_(pc.greater_equal(found["f"], threshold), pc.equal(found["words"], 0))
+            return found.filter(kept).combine_chunks().to_batches()
+
+        for rows in batches:
+            for part, data in zip(rows.column(0).to_pylist(), rows.column(1)):
+                if part != current:
+                    if current is not None:
+                        yield from done()
+                    current, tables = part, []
+                tables.append(pa.ipc.open_stream(data.as_buffer()).read_all())
+                if len(tables) > 64:
+                    tables = [pa.concat_tables(tables).group_by(["lang", "phrase", "words"]).aggregate([("f", "sum")])
+                              .rename_columns(["lang", "phrase", "words", "f"])]
+        if current is not None:
+            yield from done()
 
-    partial = texts.mapInArrow(count, "lang string, phrase string, words int, f long")
-    return partial.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+    partial = texts.mapInArrow(count, "part int, rows binary").repartition("part").sortWithinPartitions("part")
+    return partial.mapInArrow(add_up, "lang string, phrase string, words int, f long")
 
 
 def frequent(docs: DataFrame, threshold: int = THRESHOLD, max_words: int = MAX_WORDS, text_col: str = "text",
@@ -268,10 +313,11 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, max_words: int = MAX_W
     """lang, phrase, words, f: all n-grams found ``threshold`` times in their
     language; words 0 (phrase null) has the language's number of words."""
     texts = _prepared(docs, text_col, lang_col)
-    # A word has at least one byte and a separator.
+    # About five bytes a word.
     mass = max_words * ((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 5)
-    bitmap = survivor_bits(texts, mass, threshold, max_words, bitmap_bits, partition_mass)
-    return exact_counts(texts, bitmap, max_words, bitmap_bits).filter((F.col("f") >= threshold) | (F.col("words") == 0))
+    bits = min(max(6, (mass // partition_mass).bit_length()), bitmap_bits - 3)
+    bitmap = survivor_bits(texts, mass, bits, threshold, max_words, bitmap_bits)
+    return exact_counts(texts, bitmap, bits, threshold, max_words, bitmap_bits)
 
 
 def _part(first: int | Column, n: int | Column) -> Column:
@@ -290,6 +336,8 @@ def collocations(counts: DataFrame, share: int = 100) -> DataFrame:
     cuts = cuts.select("*", _part(F.lit(1), F.col("k")).alias("head"),
                        _part(F.col("k") + 1, F.col("words") - F.col("k")).alias("tail"))
     totals = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
+    if totals.count() <= LANGUAGES:  # or a hot language's cuts would meet in one task
+        totals = F.broadcast(totals)
     cuts = (cuts.join(parts.toDF("lang", "head", "l"), ["lang", "head"])
             .join(parts.toDF("lang", "tail", "r"), ["lang", "tail"]).join(totals, "lang"))
     exact = F.expr("cast(1000 * cast(cast(a AS decimal(17,0)) * cast(n AS decimal(17,0)) AS decimal(35,0)) "
