@@ -749,6 +749,44 @@ def q_claims_run_rejects(spark, root):
             .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _encounter_runs(spark, root):
+    """Two runs over one fact and patient dimension: every tenth landed stay
+    ends before it begins, so the first is stopped by its checks; the second
+    lands the corrected rows.  Ledgers, and the state after each run."""
+    t = Tables(spark, root)
+    fact, dim, rejects = (sinks.versioned_table(spark, n) for n in ("fact_encounter", "dim_patient", "encounter_rejects"))
+    dim.commit(sc.scd2_target(t))
+    fact.commit(sc.sound_encounters(sc.encounter_target(t)).join(dim.read().select("patient_key"), "patient_key", "left_semi"))
+    raw = sinks.materialize(sc.sound_encounters(sc.encounters_raw(t)), "encounters_raw")
+    tenth = F.substring("encounter_id", 2, 20).cast("long") % 10 == 0
+    flawed = raw.withColumn("discharge_date", F.when(tenth, F.date_sub("admit_date", 1)).otherwise(F.col("discharge_date")))
+    dims = {"dim_provider": b.dim_provider(t), "dim_diagnosis": b.dim_diagnosis(t)}
+    ledgers, states = None, None
+    for n, rows in enumerate((flawed, raw)):
+        landing = scratch_path(spark, "encounter_landing")
+        sc.encounter_lines(rows).write.text(landing)
+        ledger = load_runs.run_encounters_load(spark, landing, sc.scd2_staging(t), fact, dim, dims, f"encounters-{n}",
+                                               sc.ENCOUNTER_RUN_AT, rejects, scratch_path(spark, "dq_results"))
+        ledgers = ledger if ledgers is None else ledgers.unionByName(ledger)
+        for name, table in (("fact_encounter", fact), ("dim_patient", dim), ("encounter_rejects", rejects)):
+            rows_now = table.read()
+            if rows_now is not None:
+                state = rows_now.agg(F.lit(n).alias("run"), F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
+                states = state if states is None else states.unionByName(state)
+    return ledgers, states
+
+
+@register("encounters_run_ledger")
+def q_encounters_run_ledger(spark, root):
+    return _encounter_runs(spark, root)[0].drop("started_at", "finished_at", "duration_sec")
+
+
+@register("encounters_run_tables")
+def q_encounters_run_tables(spark, root):
+    """Rows of the published tables after each run."""
+    return _encounter_runs(spark, root)[1]
+
+
 def _encounter_dims(t, providers=None):
     return {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t) if providers is None else providers,
             "dim_diagnosis": b.dim_diagnosis(t)}

@@ -65,14 +65,31 @@ class VersionedTable:
         return None if v is None else self.spark.read.parquet(f"{self.root}/v={v}")
 
     def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        return self._write(df, partition_by, True)
+
+    def _write(self, df: DataFrame, partition_by: list[str] | None, mark: bool) -> int:
         # Past every folder that exists: a dead writer's number is not reused.
         v = max(self._versions(committed=False), default=0) + 1
-        w = df.write.mode("errorifexists")
+        w = df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(mark).lower())
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.root}/v={v}")
         return v
 
+    # Write, audit, publish: a staged version is whole but has no marker, so
+    # it is nobody's current state until ``publish`` puts the marker there.
+    def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        return self._write(df, partition_by, False)
+
+    def read_version(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/v={version}")
+
+    def publish(self, version: int) -> None:
+        jvm = self.spark.sparkContext._jvm
+        marker = jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={version}/_SUCCESS")
+        fs = marker.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.create(marker, True).close()
+
 
 def versioned_table(spark: SparkSession, name: str) -> VersionedTable:
     return VersionedTable(spark, f"{scratch_root(spark)}/tables/{name}-{uuid.uuid4().hex[:8]}")

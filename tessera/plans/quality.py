@@ -306,6 +306,11 @@ def run_suite_on(tables: dict[str, DataFrame], run_id: str, as_of: _dt.datetime)
     if fused:
         part = _encounter_checks(tables["fact_encounter"])
         rows = part if rows is None else rows.unionByName(part)
+    return as_results(rows, run_id, as_of)
+
+
+def as_results(rows: DataFrame, run_id: str, as_of: _dt.datetime) -> DataFrame:
+    """Checks' rows as dq_results rows of a run."""
     rate = failure_rate_pct("records_checked", "records_failed")
     return rows.select(
         F.expr("uuid()").alias("check_id"),
@@ -319,6 +324,33 @@ def run_suite_on(tables: dict[str, DataFrame], run_id: str, as_of: _dt.datetime)
     )
 
 
+# ── checks of two tables that change together ────────────────────────────
+PAIR_CHECKS = (
+    CheckSpec("encounter_patient_key_resolves", "consistency", "edw.fact_encounter", "patient_key", 0.0),
+    CheckSpec("patient_current_record_unique", "uniqueness", "edw.dim_patient", "patient_id", 0.0),
+    CheckSpec("patient_key_kept", "consistency", "edw.dim_patient", "patient_key", 0.0),
+)
+
+
+def check_pair(fact_encounter: DataFrame, dim_patient: DataFrame, published_dim: DataFrame | None) -> DataFrame:
+    """Keys resolve both ways: every fact row has its patient row, every
+    patient has one current row, and no key that was published is gone (older
+    facts and other tables point at it)."""
+    keys = dim_patient.select("patient_key")
+    failed = [fact_encounter.select("patient_key").join(keys.distinct(), "patient_key", "left_anti"),
+              dim_patient.where(F.col("is_current_record")).groupBy("patient_id").count().where("count > 1")]
+    checked = [fact_encounter, dim_patient.where(F.col("is_current_record"))]
+    if published_dim is not None:
+        failed.append(published_dim.select("patient_key").join(keys, "patient_key", "left_anti"))
+        checked.append(published_dim)
+    rows = None
+    for spec, all_rows, bad in zip(PAIR_CHECKS, checked, failed):
+        counts = _one_row(all_rows.agg(F.count(F.lit(1)).alias("records_checked")), bad.agg(F.count(F.lit(1)).alias("records_failed")))
+        part = _result_row(spec, counts.withColumn("sample_failures", F.lit(None).cast("string")))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 def latest_status(results: DataFrame, history: int = 7) -> DataFrame:
     """Latest row per check with its last ``history`` statuses, newest first
     (Q10; includes sample_failures, ruling R15)."""

@@ -41,6 +41,14 @@ CLAIM_FIELDS = [
 ]
 DATE_FIELDS = ("service_date", "paid_date")
 
+#: Fields of an encounter extract and their SQL types.
+ENCOUNTER_FIELDS = [
+    ("encounter_id", "string"), ("patient_id", "string"), ("attending_npi", "string"), ("primary_icd10_code", "string"),
+    ("encounter_type", "string"), ("admit_source", "string"), ("discharge_disposition", "string"), ("admit_date", "date"),
+    ("discharge_date", "date"), ("icu_days", "long"), ("total_charges", "decimal(14,2)"), ("total_payments", "decimal(14,2)"),
+    ("readmission_30d_flag", "boolean"), ("mortality_flag", "boolean"), ("extracted_at", "timestamp_ntz"),
+]
+
 
 def landing_from_text(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``raw``: rows with ``value`` (text) and ``file_name``/``loaded_at``.
@@ -101,3 +109,15 @@ def project_claims(landing: DataFrame) -> DataFrame:
     status = F.initcap(F.trim("claim_status")).alias("claim_status")
     return typed.select(*[status if n == "claim_status" else n for n, _ in CLAIM_FIELDS], *extra,
                         bad.alias("_bad_fields"))
+
+
+def project_encounters(landing: DataFrame) -> DataFrame:
+    """Typed columns of an encounter extract, plus ``_bad_fields`` as for
+    claims (the encounter id must be there)."""
+    text = ", ".join(f"`{n}` string" for n, _ in ENCOUNTER_FIELDS)
+    raw = landing.select(F.try_variant_get(F.col("claim_json"), "$", f"struct<{text}>").alias("_t"), "file_name", "loaded_at")
+    raw = raw.select(*[F.col(f"_t.{n}").alias(f"_raw_{n}") for n, _ in ENCOUNTER_FIELDS], "file_name", "loaded_at")
+    typed = raw.select("*", *[F.col(f"_raw_{n}").try_cast(kind).alias(n) for n, kind in ENCOUNTER_FIELDS])
+    bad = sum((F.when(F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull(), 1).otherwise(0) for n, _ in ENCOUNTER_FIELDS),
+              F.when(F.col("encounter_id").isNull(), 1).otherwise(0))
+    return typed.select(*[n for n, _ in ENCOUNTER_FIELDS], "file_name", "loaded_at", bad.alias("_bad_fields"))

@@ -157,6 +157,20 @@ def encounters_raw(t: Tables) -> DataFrame:
                         ts_lit(ENCOUNTER_LOAD_AT)).alias("extracted_at"))
 
 
+# ── encounter run (M16) ──────────────────────────────────────────────────
+ENCOUNTER_RUN_AT = _dt.datetime(2002, 1, 2, 2, 0, 0)
+
+
+def sound_encounters(rows: DataFrame) -> DataFrame:
+    """No discharge before its admission."""
+    return rows.withColumn("discharge_date", F.greatest("discharge_date", "admit_date"))
+
+
+def encounter_lines(rows: DataFrame) -> DataFrame:
+    """Encounter extracts as landing lines."""
+    return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
+
+
 # ── message bundles (X11) ────────────────────────────────────────────────
 def bundle_lines(t: Tables) -> DataFrame:
     """One message bundle per encounter: its patient, the encounter and a claim
