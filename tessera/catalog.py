@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import calendar, exprs
-from tessera.operators import merge, quantiles, sinks, vault
+from tessera.operators import incremental, merge, quantiles, sinks, vault
 from tessera.plans import (assertions, clinical, load_runs, loads, nested_claims, population,
                            product, quality, staging)
+from tessera.plans.product import ACTIVITY_KEYS
 from tessera.session import scratch_path
 from tessera.sources import bindings as b
 from tessera.sources import fhir, ingest
@@ -661,6 +662,52 @@ def q_events_late_files(spark, root):
     return agg_stream.read_event_counts(spark, partials)
 
 
+# ── incremental models (S21) ────────────────────────────────────────────────
+FIRST_RUN_UPTO = _dt.date(2024, 1, 15)
+
+
+def _activity_model(t: Tables, upto=None, without=()):
+    ev, users = _stg_events(t), _stg_users(t)
+    if upto is not None:
+        ev = ev.where(F.col("event_date") <= F.lit(upto))
+    return lambda since: product.user_activity(ev, users, PRODUCT_AS_OF, None if since is None else F.lit(since)).drop(*without)
+
+
+def _dau_model(activity: DataFrame):
+    """Days from the start on, from the activity of the 28 days that they look back on."""
+    def model(since):
+        if since is None:
+            return product.dau_wau_mau(activity, PRODUCT_AS_OF)
+        seen = activity.where(F.col("activity_date") > F.lit(since - _dt.timedelta(days=28)))
+        return product.dau_wau_mau(seen, PRODUCT_AS_OF).where(F.col("activity_date") >= F.lit(since))
+    return model
+
+
+@register("incremental_activity_model")
+def q_incremental_activity_model(spark, root):
+    """Two runs into a table partitioned by day; the second brings a column
+    that older days then have as null."""
+    t = Tables(spark, root)
+    table = sinks.partitioned_table(spark, "mart_activity", ["activity_date"])
+    spec = incremental.Incremental(ACTIVITY_KEYS, "activity_date", _dt.timedelta(days=3), on_schema_change="append_new_columns")
+    incremental.refresh(table, _activity_model(t, FIRST_RUN_UPTO, ["engagement_tier"]), spec)
+    incremental.refresh(table, _activity_model(t), spec)
+    return table.read().drop("_updated_at")
+
+
+@register("incremental_dau_model")
+def q_incremental_dau_model(spark, root):
+    """Two runs into a versioned table, the window replaced; groups without a
+    plan or country are kept once."""
+    t = Tables(spark, root)
+    table = sinks.versioned_table(spark, "mart_dau")
+    spec = incremental.Incremental(["activity_date", "plan_name", "country_code"], "activity_date", _dt.timedelta(days=3))
+    for upto in (FIRST_RUN_UPTO, None):
+        activity = sinks.materialize(_activity_model(t, upto)(None), "activity")
+        incremental.refresh(table, _dau_model(activity), spec)
+    return table.read().drop("_updated_at")
+
+
 # ── message bundles (X11) ───────────────────────────────────────────────────
 def _bundles(spark, root) -> fhir.Bundles:
     """Bundles landed as text files, read with their file name."""

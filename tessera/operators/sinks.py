@@ -198,6 +198,12 @@ class PartitionedTable:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
 
+    def replace_all(self, rows: DataFrame) -> None:
+        staged = materialize(rows, "partition_rewrite")
+        self._schemas.commit(staged.limit(0))
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*self.partition_cols).parquet(self.path))
+
     def create(self, rows: DataFrame) -> None:
         self._schemas.commit(rows.limit(0))
         rows.write.mode("errorifexists").partitionBy(*self.partition_cols).parquet(self.path)
@@ -216,8 +222,7 @@ def materialize_model(df: DataFrame, mode: str, name: str, table: VersionedTable
     * ``view`` - a temporary view over the lazy plan (Catalyst still
       optimises across it);
     * ``table`` - a full rebuild committed as a new version of ``table``.
-    Incremental models use ``plans.product.user_activity_incremental`` (or
-    ``operators.merge.upsert``) and then ``table`` to commit.
+    Incremental models go through ``operators.incremental.refresh``.
     """
     if mode == "ephemeral":
         return df
