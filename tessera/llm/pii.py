@@ -13,8 +13,9 @@ Training checks that a plain word among plain words is labelled O whatever
 stands around it; so the best path passes through O there, and decoding the
 stretches in between on their own gives the very path of the whole text.
 
-Base spans stay; a CRF span that overlaps a base span is dropped.  Offsets are
-code points, end exclusive.
+Base spans stay; a CRF span that overlaps a base span is dropped, and so is one
+that cannot be what its label says (``plausible``).  Offsets are code points,
+end exclusive.
 
 Defined cases: null and empty texts have no span; repeated rows and null ids
 are handled row by row; very long texts are read whole, in time linear in
@@ -374,6 +375,21 @@ def _runs(labels: list[int], words: list) -> Iterator[tuple[int, str, int]]:
         k = end
 
 
+def plausible(kind: str, text: str) -> bool:
+    """Whether a labelled stretch can be what its label says: a card number
+    passes Luhn, a phone number has 7 to 15 digits, an address has numbers
+    up to 255, and mail an @."""
+    digits = re.sub("[^0-9]", "", text)
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and _luhn(digits)
+    if kind == "phone":
+        return 7 <= len(digits) <= 15
+    if kind == "ip":
+        parts = re.findall("[0-9]+", text)
+        return len(parts) >= 4 and all(len(x) <= 3 and int(x) <= 255 for x in parts[:4])
+    return "@" in text
+
+
 def all_spans(part: TextSlice, model: Crf) -> Iterator[tuple[list, list]]:
     """(base spans, all spans) of each text of a slice."""
     marks = np.concatenate([[0], np.cumsum(_MARK[part.data])])
@@ -383,8 +399,10 @@ def all_spans(part: TextSlice, model: Crf) -> Iterator[tuple[list, list]]:
         if marks[a] == marks[b]:
             yield [], []
             continue
-        base = base_spans(raw[a:b].decode("utf-8", "replace"))
-        more = [s for s in added[k] if not any(s[0] < x[2] and x[0] < s[2] for x in base)]
+        text = raw[a:b].decode("utf-8", "replace")
+        base = base_spans(text)
+        more = [s for s in added[k] if plausible(s[1], text[s[0]:s[2]])
+                and not any(s[0] < x[2] and x[0] < s[2] for x in base)]
         yield base, sorted(base + more, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 
@@ -392,14 +410,21 @@ def _coded(spans: list) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, kind, b in spans)
 
 
+def _shipped(docs: DataFrame, model: Crf | None):
+    """The model as a dict and arrays: a broadcast is unpickled on workers
+    that may not have this module."""
+    model = model or train()
+    return docs.sparkSession.sparkContext.broadcast((model.names, model.emit, model.move))
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Crf | None = None) -> DataFrame:
     """One row per document: counts and digest of the base spans, all spans."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model or train())
+    shipped = _shipped(docs, model)
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            found = list(all_spans(part, shipped.value))
+            found = list(all_spans(part, Crf(*shipped.value)))
             out = {"doc_id": part.column("doc_id")}
             for kind in KINDS:
                 out[f"n_{kind}"] = pa.array([sum(s[1] == kind for s in base) for base, _ in found], pa.int64())
@@ -415,14 +440,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
 def redact(docs: DataFrame, text_col: str = "text", model: Crf | None = None) -> DataFrame:
     """The same rows and columns, each span replaced by ``<KIND>``
     (of overlapping spans, one mark for their union, named after the first)."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model or train())
+    shipped = _shipped(docs, model)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text_col):
             texts = part.texts()
             present = part.column(text_col).is_valid().to_pylist()
-            for k, (_, spans) in enumerate(all_spans(part, shipped.value)):
+            for k, (_, spans) in enumerate(all_spans(part, Crf(*shipped.value))):
                 pieces, free = [], 0
                 for a, kind, b in spans:
                     if a >= free:

@@ -12,13 +12,12 @@ and only that small table is put in order in one task.
 
 Defined cases: null and empty texts have length 0 and are counted; repeated
 rows count each; an empty table gives an empty histogram; very long texts are
-encoded whole.  Only the text column is read.
+encoded whole, white space of any length included.  Only the text column is
+read; the vocabulary file is read by the driver and shipped with the tasks.
 """
 
 from __future__ import annotations
 
-import base64
-import os
 from collections import Counter
 
 import pyarrow as pa
@@ -27,27 +26,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.arrow_text import slices
-
-TOKENIZERS = "/opt/tokenizers"
-RANKS = "byte_bpe_50k.tiktoken"
-#: Fixed value: how this vocabulary cuts a text before merging.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from tessera.llm.vocabulary import BYTE_BPE, TOKENIZERS, byte_bpe, file_bytes
 
 
 def _coder(folder: str):
     """Encoded length of a text; markers of special tokens are ordinary text."""
-    import tiktoken
+    return _length(file_bytes(folder, BYTE_BPE))
+
 
-    with open(os.path.join(folder, RANKS), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    coder = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: len(coder.encode_ordinary(text))
+def _length(vocabulary: bytes):
+    _, encode = byte_bpe(vocabulary, special_as_text=True)
+    return lambda text: len(encode([text])[0])
 
 
 def length_histogram(docs: DataFrame, text_col: str = "text", tokenizers: str = TOKENIZERS) -> DataFrame:
     """n_tokens, n_docs: one row per distinct encoded length."""
+    vocabulary = file_bytes(tokenizers, BYTE_BPE)
+
     def count(batches):
-        length = _coder(tokenizers)
+        length = _length(vocabulary)
         found: Counter = Counter()
         for part in slices(batches, text_col):
             found.update(map(length, part.texts()))

@@ -24,3 +24,11 @@ def test_histogram_answers_match_brute_force(odd_docs, no_docs):
 def test_special_markers_are_ordinary_text(spark):
     df = spark.createDataFrame([("<|endoftext|>",)], "text string")
     assert token_counts.length_histogram(df).first().n_tokens > 1
+
+
+def test_long_runs_of_white_space(spark):
+    """Longer than the pattern engine can match at once."""
+    length = token_counts._coder(token_counts.TOKENIZERS)
+    for text in (" " * 3_000_000, "a" + "\n\u3000" * 600_000 + "b"):
+        n = token_counts.length_histogram(spark.createDataFrame([(text,)], "text string")).first().n_tokens
+        assert n == length(text) > 1000
