@@ -129,7 +129,8 @@ def assign_keys(df: DataFrame, key_col: str, start_after: int | Column = 0) -> D
     base = start_after if isinstance(start_after, Column) else F.lit(start_after)
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.select(*df.columns, (base + F.col("_off") + pos + 1).cast("long").alias(key_col))
+    kept = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    return out.select(*kept, (base + F.col("_off") + pos + 1).cast("long").alias(key_col))
 
 
 # ── S8: SCD type 2 ────────────────────────────────────────────────────────
