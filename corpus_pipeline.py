@@ -4,14 +4,16 @@ Each stage takes the rows that the one before kept (written as Parquet and
 reread) and its decisions take effect on them:
 
 * quality   rows that the classifier rejects go (score below its cut);
-* dedup     of each group of near-duplicates the smallest doc_id stays;
+* dedup     of each group of near-duplicates one row stays (that of the
+            smallest doc_id, if ids are unique);
 * benchmark rows with a passage of a benchmark item go;
 * privacy   personal data in the texts is replaced by marks, n_chars follows;
 * mixing    the words that the mix takes of each document.
 
-All stages but the last return the columns of documents.  Rows with a null
-doc_id cannot be told apart by the stages that group by id; they pass quality
-and privacy, and dedup and benchmark leave them in.
+All stages but the last return the columns of documents.  Decisions are made
+and applied per row: a doc_id that occurs with several texts, or null, is
+several documents (``_keyed``); only rows equal in every column collapse, in
+dedup.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontamination, minhash, mixing, pii, quality_model
+from tessera.operators.merge import assign_keys
 from tessera.operators.sinks import materialize
 
 
@@ -31,27 +34,41 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("\nscore") >= quality_model.CUT).drop("\nscore")
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat a kept id are copies too: one of them stays (the
-    smallest by its values)."""
-    groups = minhash.near_duplicates(docs.select("doc_id", "text"), words=5)
-    gone = groups.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return _one_per_id(docs).join(gone, "doc_id", "left_anti").select(*docs.columns)
+def _columns(df: DataFrame) -> list:
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
 
+def _keyed(docs: DataFrame, collapse: bool = False) -> tuple[DataFrame, str]:
+    """``docs`` with a unique long per row, and its column's name: the doc_id
+    where it names one row; the other rows are numbered from the largest id up
+    (``collapse``: once for rows that are equal in every column)."""
+    key = "row key"
+    while key in docs.columns:
+        key += "_"
+    row_id = F.col("doc_id").cast("long")
+    ids = docs.groupBy(row_id.alias("id")).count().filter("count > 1 OR id IS NULL").select("id")
+    ids = materialize(ids, "pipeline-repeated-ids")
+    if not ids.limit(1).count():
+        return docs.withColumn(key, row_id), key
+    same = row_id.eqNullSafe(F.col("id"))
+    once = docs.join(ids, same, "left_anti").select(*_columns(docs)).withColumn(key, row_id)
+    others = docs.join(ids, same, "left_semi").select(*_columns(docs))
+    largest = once.agg(F.max(key)).first()[0] or 0
+    return once.unionByName(assign_keys(others.distinct() if collapse else others, key, max(largest, 0))), key
 
-def _one_per_id(docs: DataFrame) -> DataFrame:
-    named = docs.filter("doc_id IS NOT NULL")
-    repeated = materialize(named.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
-    once = docs.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    chosen = named.join(repeated, "doc_id").groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*")
-    return once.unionByName(chosen)
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows, key = _keyed(docs, collapse=True)
+    groups = minhash.near_duplicates(rows.select(key, "text"), words=5, id_col=key)
+    gone = groups.filter("NOT kept").select(F.col("doc_id").alias(key))
+    return rows.join(gone, key, "left_anti").select(*_columns(docs))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    found = decontamination.matches(docs.select("doc_id", "text"), items)
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows, key = _keyed(docs)
+    found = decontamination.matches(rows.select(key, "text"), items, id_col=key)
+    return rows.join(found.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*_columns(docs))
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
