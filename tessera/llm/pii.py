@@ -442,11 +442,13 @@ def redact(docs: DataFrame, text_col: str = "text", model: Crf | None = None) ->
     (of overlapping spans, one mark for their union, named after the first)."""
     shipped = _shipped(docs, model)
     at = docs.columns.index(text_col)
+    # mapInArrow can't take every column name: the columns are numbered inside.
+    names = [f"c{i}" for i in range(len(docs.columns))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text_col):
+        for part in slices(batches, names[at]):
             texts = part.texts()
-            present = part.column(text_col).is_valid().to_pylist()
+            present = part.column(names[at]).is_valid().to_pylist()
             for k, (_, spans) in enumerate(all_spans(part, Crf(*shipped.value))):
                 pieces, free = [], 0
                 for a, kind, b in spans:
@@ -454,11 +456,12 @@ def redact(docs: DataFrame, text_col: str = "text", model: Crf | None = None) ->
                         pieces += [texts[k][free:a], f"<{kind.upper()}>"]
                     free = max(free, b)
                 texts[k] = "".join(pieces) + texts[k][free:]
-            columns = [part.column(n) for n in part.batch.schema.names]
+            columns = [part.column(n) for n in names]
             columns[at] = pa.array([t if ok else None for t, ok in zip(texts, present)], pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=part.batch.schema.names)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(run, docs.schema)
+    given = docs.withColumn(text_col, F.col(text_col).cast("string")).toDF(*names)
+    return given.mapInArrow(run, given.schema).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

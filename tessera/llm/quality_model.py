@@ -135,20 +135,23 @@ def score(docs: DataFrame, model: np.ndarray, keep: list[str], text_col: str = "
           name: str = "score") -> DataFrame:
     """The ``keep`` columns and a score in [0, 1] per row, called ``name``."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    given = docs.select(*keep, F.col(text_col).cast("string").alias("\ntext"))
-    schema = docs.select(*keep).schema.add(name, "double")
+    # mapInArrow can't take every column name: the columns are numbered inside.
+    names = [f"c{i}" for i in range(len(keep))]
+    kept = [F.col("`" + c.replace("`", "``") + "`").alias(n) for c, n in zip(keep, names)]
+    given = docs.select(*kept, F.col(text_col).cast("string").alias("text"))
+    schema = docs.select(*kept).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shipped.value
-        for part in slices(batches, "\ntext"):
+        for part in slices(batches):
             buckets, first = features(part)
             sums = np.concatenate([[0.0], np.cumsum(w[buckets])])
             n = np.diff(first)
             dot = (sums[first[1:]] - sums[first[:-1]]) / np.sqrt(np.maximum(n, 1)) + w[-1]
-            out = [part.column(c) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(dot, -30, 30))), pa.float64())]
-            yield pa.RecordBatch.from_arrays(out, names=[*keep, name])
+            out = [part.column(c) for c in names] + [pa.array(1 / (1 + np.exp(-np.clip(dot, -30, 30))), pa.float64())]
+            yield pa.RecordBatch.from_arrays(out, names=[*names, "score"])
 
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(run, schema).toDF(*keep, name)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

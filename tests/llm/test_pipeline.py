@@ -70,3 +70,30 @@ def test_repeated_rows_leave_one(spark):
                                "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.dedup(spark, df, SMALL).collect()) == [1, 2]
     assert minhash.near_duplicates(df).count() == 4
+
+
+def test_repeated_ids_keep_their_unique_texts(spark):
+    """Ids with several texts, and without one: decisions are per row."""
+    rng = __import__("random").Random(3)
+    text = lambda: " ".join("".join(rng.choices("abdeklmnorstu", k=5)) for _ in range(40))
+    unique = [text() for _ in range(7)]
+    rows = [(1, unique[0]), (2, unique[1]), (2, unique[2]), (3, unique[0] + " end"), (3, unique[3]), (None, unique[4]),
+            (None, unique[5]), (None, unique[1]), (4, unique[6]), (4, unique[6]), (2**62, None), (5, ""), (5, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.dedup(spark, df, SMALL).collect()
+    assert sorted(r.text for r in out if r.text) == sorted(unique)
+    assert sum(not r.text for r in out) == 3
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    odd = spark.createDataFrame([(1, item, 0), (1, unique[0], 0), (None, item, 0), (None, unique[1], 0), (2, item, 0)],
+                                "doc_id long, text string, `a.b` int")
+    assert sorted(r.text for r in corpus_pipeline.benchmark(spark, odd, SMALL).collect()) == sorted(unique[:2])
+
+
+def test_names_with_dots(spark, odd_docs):
+    docs = odd_docs.selectExpr("doc_id", "text", "lang", "source", "cast(length(text) as long) n_chars", "a as `a.b`", "rank as `c d`",
+                               "score as `row key`")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, SMALL), f"dots-{name}")
+        assert "a.b" in docs.columns and docs.count()
+    assert corpus_pipeline.mix(spark, docs, SMALL).count()
