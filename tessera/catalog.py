@@ -316,6 +316,14 @@ def q_encounters_last_365d(spark, root):
 
 
 # ── streaming claims load (T1-T5) and JSON projection (S1-S4) ─────────────
+def _claim_dims(t: Tables) -> dict[str, DataFrame]:
+    """Stored, as a warehouse holds them: every batch joins them anew."""
+    fe = b.fact_encounter(t).select("encounter_id", "encounter_key")
+    return {"dim_patient": sinks.materialize(b.dim_patient(t).select("patient_id", "patient_key", "is_current_record"), "dim_patient"),
+            "dim_provider": b.dim_provider(t), "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
+            "fact_encounter": sinks.materialize(fe, "fact_encounter")}
+
+
 @register("claims_stream_final_state")
 def q_claims_stream_final_state(spark, root):
     """Target + landed batch files -> file stream -> foreachBatch merge;
@@ -325,9 +333,7 @@ def q_claims_stream_final_state(spark, root):
     landing = scratch_path(spark, "claims_landing")
     (sc.claim_payloads(sc.claim_batch(c), t).repartition(4, "service_year")
      .select("claim_json").write.text(landing))
-    dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
-            "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
-            "fact_encounter": b.fact_encounter(t)}
+    dims = _claim_dims(t)
     # The fact is partitioned by service month; each micro-batch rewrites
     # only the months it touches.
     parts = ["service_year", "service_month"]
@@ -347,7 +353,8 @@ def q_claim_json_projection(spark, root):
     """All claim lines -> JSON landing payload -> VARIANT -> 16 typed columns
     (a projection: no key dedup needed)."""
     t = Tables(spark, root)
-    payloads = sc.claim_payloads(sc.claim_lines_with_patient(t), t)
+    # By claim: the table is one row group, and JSON is the work here.
+    payloads = sc.claim_payloads(sc.claim_lines_with_patient(t).repartition("claim_id"), t)
     landing = payloads.select(F.parse_json("claim_json").alias("claim_json"))
     return ingest.project_claims(landing).drop("_bad_fields")
 
@@ -758,9 +765,7 @@ def q_claims_run_ledger(spark, root):
     c = sc.claims(t)
     landing = scratch_path(spark, "pipeline_landing")
     sc.claim_payloads(sc.claim_batch(c), t).select("claim_json").write.text(landing)
-    dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
-            "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
-            "fact_encounter": b.fact_encounter(t)}
+    dims = _claim_dims(t)
     fact = sinks.versioned_table(spark, "fact_claim")
     fact.commit(sc.claim_target(c))
     run_id = f"claims-{PIPELINE_RUN_AT:%Y%m%d}"
@@ -963,9 +968,7 @@ def q_claims_stream_batches(spark, root):
     batch = sinks.materialize(sc.claim_batch(c), "claim_batch")
     for step in sc.claim_adjustments(batch):
         sc.claim_payloads(step, t).select("claim_json").coalesce(2).write.mode("append").text(landing)
-    dims = {"dim_patient": b.dim_patient(t), "dim_provider": b.dim_provider(t),
-            "dim_procedure": b.dim_procedure(t), "dim_diagnosis": b.dim_diagnosis(t),
-            "fact_encounter": b.fact_encounter(t)}
+    dims = _claim_dims(t)
     target = _claims_by_month(spark, sc.claim_target(c))
     q = claims_stream.run_claims_stream(spark, landing, scratch_path(spark, "claims_ckpt"), target, dims,
                                         max_files_per_trigger=1)

@@ -126,46 +126,37 @@ def carried_forward(df: DataFrame, entity: str | Sequence[str], order_cols: Sequ
 
 def trailing_sums(df: DataFrame, entity: str | Sequence[str], day_col: str, id_col: str,
                   value_cols: Sequence[str], lo_days: int, hi_days: int = 0,
-                  prefix: str = "w_") -> DataFrame:
+                  prefix: str = "w_", seq: bool = True) -> DataFrame:
     """Per row: count and sums of ``value_cols`` over the entity's rows whose
     day lies in [day - lo_days, day - hi_days] (a RANGE frame on days, peers
-    on the same day included), without a per-entity window.
-
-    With S(x) = running total of the entity's rows up to day x (all rows of
-    day x included), the frame is S(day - hi) - S(day - lo - 1).  Each row
-    contributes two zero-weight probe rows placed after all real rows of
-    those days; running sums (``neighbors``) read S at the probes, and one
-    aggregate per (entity, day, row id) pairs them up (``<prefix>seq`` is the
-    row's running position, ROWS UNBOUNDED PRECEDING in (day, id) order).
-    Rows that repeat an entity, day and id share their frame, and get the
-    larger position."""
+    on the same day included), without a window over an entity's rows.
+
+    Rows are added up per (entity, day) first, so the frames run over at most
+    one row per calendar day of an entity; each row takes its day's frame by an
+    equi-join.  ``<prefix>seq`` (if ``seq``) is the row's running position in
+    (day, id) order: the rows of the days before, and those of the day up to
+    the id; rows that repeat entity, day and id share the larger position.
+    Rows without a day have an empty frame."""
     ents = _entity_list(entity)
-    days = F.datediff(F.col(day_col), F.lit("1970-01-01").cast("date"))
-    base = df.select(*ents, id_col, days.alias("_d"), *value_cols)
-    real = base.select(*ents, F.col("_d"), F.lit(0).alias("_kind"), id_col,
-                       F.lit(0).alias("_probe"), F.lit(1).cast("long").alias("_one"),
-                       *[F.col(v) for v in value_cols], F.col("_d").alias("_day"))
-    zeros = [F.lit(0).cast(df.schema[v].dataType).alias(v) for v in value_cols]
-    upper = base.select(*ents, (F.col("_d") - hi_days).alias("_d"), F.lit(1).alias("_kind"),
-                        id_col, F.lit(1).alias("_probe"), F.lit(0).cast("long").alias("_one"),
-                        *zeros, F.col("_d").alias("_day"))
-    lower = base.select(*ents, (F.col("_d") - lo_days - 1).alias("_d"), F.lit(1).alias("_kind"),
-                        id_col, F.lit(2).alias("_probe"), F.lit(0).cast("long").alias("_one"),
-                        *zeros, F.col("_d").alias("_day"))
-    stacked = real.unionByName(upper).unionByName(lower)
-    cums = ["_one", *value_cols]
-    seq = neighbors(stacked, ents, ["_d", "_kind", id_col, "_probe"], lead=False, running_sums=cums)
-
-    def at(p: int, c: str):
-        return F.max(F.when(F.col("_probe") == p, F.col(f"cum_{c}")))
-
-    keys = [*ents, "_day", id_col]
-    framed = seq.groupBy(*keys).agg(
-        at(0, "_one").alias(f"{prefix}seq"),
-        (at(1, "_one") - at(2, "_one")).alias(f"{prefix}count"),
-        *[(at(1, v) - at(2, v)).cast(_sum_type(df, v)).alias(f"{prefix}{v}") for v in value_cols])
-    right = framed.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
-                          *[c for c in framed.columns if c not in keys])
-    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*ents, "_day", id_col])]
-    return (df.withColumn("_day", days).join(right, functools.reduce(lambda x, y: x & y, same), "left")
-            .drop("_day", *[f"_k{i}" for i in range(len(keys))]))
+    rows = df.withColumn("_day", F.datediff(F.col(day_col), F.lit("1970-01-01").cast("date")))
+    daily = rows.groupBy(*ents, "_day").agg(F.count(F.lit(1)).alias("_n"),
+                                            *[F.sum(v).alias(f"_s{i}") for i, v in enumerate(value_cols)])
+    over = Window.partitionBy(*ents).orderBy("_day")
+    frame, before = over.rangeBetween(-lo_days, -hi_days), over.rowsBetween(Window.unboundedPreceding, -1)
+
+    def inside(c: str) -> Column:
+        return F.when(F.col("_day").isNotNull(), F.sum(c).over(frame))
+
+    keys = [*ents, "_day"]
+    days = daily.select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
+        F.coalesce(inside("_n"), F.lit(0)).alias(f"{prefix}count"),
+        *[F.coalesce(inside(f"_s{i}"), F.lit(0)).cast(_sum_type(df, v)).alias(f"{prefix}{v}") for i, v in enumerate(value_cols)],
+        *([F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier")] if seq else []))
+    if seq:
+        upto = Window.partitionBy(*keys).orderBy(id_col).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumn("_place", F.count(F.lit(1)).over(upto))
+    same = functools.reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)))
+    joined = rows.join(days, same)
+    position = [(F.col("_earlier") + F.col("_place")).alias(f"{prefix}seq")] if seq else []
+    return joined.select(*df.columns, *position, f"{prefix}count", *[f"{prefix}{v}" for v in value_cols])

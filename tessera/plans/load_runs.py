@@ -106,14 +106,10 @@ def run_claims_load(spark: SparkSession, landing_dir: str, fact_claim: Versioned
         return obs.get["rows"]
 
     def transform():
-        parsed = staged["parsed"]
-        good = parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields")
-        resolved = materialize(
-            loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
-                                        dims["dim_procedure"], dims["dim_diagnosis"],
-                                        dims["fact_encounter"]), "resolved")
+        joined = materialize(loads.join_claim_dims(staged["parsed"], dims), "claims_joined")
+        resolved = loads.resolved_claims(joined)
         if rejects_path:
-            append_log(loads.claim_rejects(staged["malformed"], parsed, dims)
+            append_log(loads.claim_rejects(staged["malformed"], joined)
                        .withColumn("run_id", F.lit(run_id)), rejects_path)
         target = fact_claim.read()
         if target is None:  # first load: an empty table with the batch's columns

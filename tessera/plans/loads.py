@@ -93,67 +93,67 @@ def merge_claims_partitions(table, batch: DataFrame, null_safe: bool = False) ->
                              update_cols=CLAIM_UPDATE_COLS, dedup_order=order)
 
 
-def resolve_claim_payload(parsed: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame,
-                          dim_procedure: DataFrame, dim_diagnosis: DataFrame,
-                          fact_encounter: DataFrame) -> DataFrame:
-    """J5 + J6: natural keys of a parsed claim payload -> surrogate keys.
-
-    Inner joins to the current patient / provider rows and to the code
-    dimensions (unmatched claims drop out, as in the source; see
-    ``unresolved_claims``), left join to the encounter."""
-    pat = dim_patient.where(F.col("is_current_record")).select("patient_id", "patient_key")
-    prov = (dim_provider.where(F.col("is_current_record"))
-            .select(F.col("npi").alias("rendering_npi"),
-                    F.col("provider_key").alias("rendering_provider_key")))
-    proc = dim_procedure.select("procedure_code", "procedure_key")
-    dx = dim_diagnosis.select(F.col("icd10_code").alias("primary_icd10"),
-                              F.col("diagnosis_key").alias("primary_diagnosis_key"))
-    enc = fact_encounter.select("encounter_id", "encounter_key")
-    j = (parsed.join(pat, "patient_id").join(prov, "rendering_npi")
-         .join(proc, "procedure_code").join(dx, "primary_icd10")
-         .join(enc, "encounter_id", "left"))
-    return j.select(
+def join_claim_dims(parsed: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """J5 + J6 in one pass of left joins: parsed payloads with the surrogate
+    keys of the current patient and provider rows, of the code dimensions and
+    of the encounter, and ``missing_dimension``: the first lookup that failed
+    (patient, provider, procedure, diagnosis; the encounter may be missing).
+    Write the result, then take ``resolved`` and ``claim_rejects`` from it."""
+    def current(df: DataFrame) -> DataFrame:
+        return df.where(F.col("is_current_record"))
+
+    pat = current(dims["dim_patient"]).select("patient_id", "patient_key")
+    prov = current(dims["dim_provider"]).select(F.col("npi").alias("rendering_npi"),
+                                                F.col("provider_key").alias("rendering_provider_key"))
+    proc = dims["dim_procedure"].select("procedure_code", "procedure_key")
+    dx = dims["dim_diagnosis"].select(F.col("icd10_code").alias("primary_icd10"),
+                                      F.col("diagnosis_key").alias("primary_diagnosis_key"))
+    joined = (parsed.join(pat, "patient_id", "left").join(prov, "rendering_npi", "left")
+              .join(proc, "procedure_code", "left").join(dx, "primary_icd10", "left"))
+    columns = [*parsed.columns, "patient_key", "rendering_provider_key", "procedure_key", "primary_diagnosis_key"]
+    if "fact_encounter" in dims:
+        joined = joined.join(dims["fact_encounter"].select("encounter_id", "encounter_key"), "encounter_id", "left")
+        columns.append("encounter_key")
+    missing = (F.when(F.col("patient_key").isNull(), "patient").when(F.col("rendering_provider_key").isNull(), "provider")
+               .when(F.col("procedure_key").isNull(), "procedure").when(F.col("primary_diagnosis_key").isNull(), "diagnosis"))
+    return joined.select(*columns, missing.alias("missing_dimension"))
+
+
+def unresolved_claims(parsed: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame,
+                      dim_procedure: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
+    """Claims without a dimension row, with the first lookup that failed."""
+    joined = join_claim_dims(parsed, {"dim_patient": dim_patient, "dim_provider": dim_provider,
+                                      "dim_procedure": dim_procedure, "dim_diagnosis": dim_diagnosis})
+    return joined.where(F.col("missing_dimension").isNotNull()).select(*parsed.columns, "missing_dimension")
+
+
+def _sound(joined: DataFrame):
+    return F.col("_bad_fields") == 0 if "_bad_fields" in joined.columns else F.lit(True)
+
+
+def resolved_claims(joined: DataFrame) -> DataFrame:
+    """The fact's columns of the claims that found every dimension row."""
+    return joined.where(_sound(joined) & F.col("missing_dimension").isNull()).select(
         "claim_id", "claim_line_number", "encounter_key", "patient_key",
         "rendering_provider_key", "service_date",
         date_key("service_date").alias("service_date_key"),
         date_key("paid_date").alias("paid_date_key"),
         "procedure_key", "primary_diagnosis_key", "billed_amount", "allowed_amount",
         "paid_amount", "patient_responsibility", "units_of_service", "claim_status",
-        "denial_reason_code", *[c for c in ("loaded_at",) if c in parsed.columns])
-
-
-def unresolved_claims(parsed: DataFrame, dim_patient: DataFrame, dim_provider: DataFrame,
-                      dim_procedure: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
-    """Claims that the inner dimension joins would silently drop, with the
-    first lookup that failed (patient, provider, procedure, diagnosis)."""
-    pat = dim_patient.where(F.col("is_current_record")).select("patient_id",
-                                                              F.lit(True).alias("_p"))
-    prov = (dim_provider.where(F.col("is_current_record"))
-            .select(F.col("npi").alias("rendering_npi"), F.lit(True).alias("_r")))
-    proc = dim_procedure.select("procedure_code", F.lit(True).alias("_c"))
-    dx = dim_diagnosis.select(F.col("icd10_code").alias("primary_icd10"), F.lit(True).alias("_d"))
-    j = (parsed.join(pat, "patient_id", "left").join(prov, "rendering_npi", "left")
-         .join(proc, "procedure_code", "left").join(dx, "primary_icd10", "left"))
-    missing = (F.when(F.col("_p").isNull(), "patient").when(F.col("_r").isNull(), "provider")
-               .when(F.col("_c").isNull(), "procedure").when(F.col("_d").isNull(), "diagnosis"))
-    return (j.select(*parsed.columns, missing.alias("missing_dimension"))
-            .where(F.col("missing_dimension").isNotNull()))
+        "denial_reason_code", *[c for c in ("loaded_at",) if c in joined.columns])
 
 
-def claim_rejects(malformed: DataFrame, parsed: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def claim_rejects(malformed: DataFrame, joined: DataFrame) -> DataFrame:
     """Everything a claims load does not merge, with the reason: lines that
     are no JSON, payloads with a bad or missing field, claims without a
     dimension row (J5)."""
     from tessera.sources import ingest
 
     raw = F.to_json(F.struct(*[c for c, _ in ingest.CLAIM_FIELDS])).alias("raw_record")
-    bad = parsed.where(F.col("_bad_fields") > 0).select(
-        raw, "file_name", "loaded_at", F.lit("uncastable_field").alias("reason"))
-    lost = unresolved_claims(
-        parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields"), dims["dim_patient"], dims["dim_provider"],
-        dims["dim_procedure"], dims["dim_diagnosis"]).select(
-        raw, "file_name", "loaded_at", F.concat(F.lit("unresolved_"), F.col("missing_dimension")).alias("reason"))
-    return malformed.unionByName(bad).unionByName(lost)
+    reason = F.when(~_sound(joined), "uncastable_field").otherwise(
+        F.concat(F.lit("unresolved_"), F.col("missing_dimension")))
+    lost = joined.where(~_sound(joined) | F.col("missing_dimension").isNotNull())
+    return malformed.unionByName(lost.select(raw, "file_name", "loaded_at", reason.alias("reason")))
 
 
 # ── M9: incremental encounter append ──────────────────────────────────────

@@ -61,8 +61,8 @@ def lace_scores(fact_encounter: DataFrame, bridge: DataFrame, dim_diagnosis: Dat
                                 "encounter_type", "admit_source", "length_of_stay_days")
     is_ed = F.when(F.col("encounter_type") == "ED", 1).otherwise(0).cast("long")
     ed = (trailing_sums(enc.withColumn("is_ed", is_ed), "patient_key", "admit_date",
-                        "encounter_id", ["is_ed"], LACE_ED_LOOKBACK_DAYS, 1)
-          .withColumnRenamed("w_is_ed", "ed_visits").drop("is_ed", "w_seq", "w_count"))
+                        "encounter_id", ["is_ed"], LACE_ED_LOOKBACK_DAYS, 1, seq=False)
+          .withColumnRenamed("w_is_ed", "ed_visits").drop("is_ed", "w_count"))
     chronic = dim_diagnosis.where(F.col("is_chronic")).select("diagnosis_key")
     comorb = (bridge.select("encounter_key", "diagnosis_key").join(chronic, "diagnosis_key")
               .groupBy("encounter_key").agg(F.countDistinct("diagnosis_key").alias("comorbidities")))

@@ -28,17 +28,9 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
 
     def process(batch: DataFrame, batch_id: int) -> None:
         landing, malformed = ingest.landing_from_text(batch)
-        # Persist the parsed batch once: the merge reads it several times,
-        # and a stored column keeps the validity filter a plain predicate.
-        parsed = materialize(ingest.project_claims(landing),
-                             f"claims_batch_{batch_id}")
-        good = parsed.where(F.col("_bad_fields") == 0).drop("_bad_fields")
-        # The resolved batch feeds three branches of the merge (touched
-        # partitions, update join, insert anti-join): resolve it once.
-        resolved = materialize(
-            loads.resolve_claim_payload(good, dims["dim_patient"], dims["dim_provider"],
-                                        dims["dim_procedure"], dims["dim_diagnosis"],
-                                        dims["fact_encounter"]), f"claims_resolved_{batch_id}")
+        # Parsed and joined once: the merge and the rejects read the result.
+        joined = materialize(loads.join_claim_dims(ingest.project_claims(landing), dims), f"claims_batch_{batch_id}")
+        resolved = loads.resolved_claims(joined)
         if isinstance(target, PartitionedTable):
             # Only the service months this batch touches are read and rewritten.
             loads.merge_claims_partitions(target, resolved)
@@ -48,7 +40,7 @@ def claims_batch_processor(target: VersionedTable, dims: dict[str, DataFrame],
                 stored = resolved.drop("loaded_at").limit(0)
             target.commit(loads.merge_claims(stored, resolved, dedup_order=["loaded_at"]))
         if rejects_path:
-            write_batch_log(loads.claim_rejects(malformed, parsed, dims), rejects_path, batch_id)
+            write_batch_log(loads.claim_rejects(malformed, joined), rejects_path, batch_id)
         if checks_path:
             from tessera.plans import quality
             state = target.read()
