@@ -35,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm import vocabulary as V
-from tessera.llm.arrow_text import mix64, slices
+from tessera.llm.arrow_text import bounded_batches, mix64, slices
 from tessera.operators.sinks import materialize
 
 #: Windows kept in a task's memory, and tokens of a window that is kept.
@@ -308,5 +308,6 @@ def alignment(docs: DataFrame, tokenizers: str = V.TOKENIZERS, id_col: str = "do
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return alignment(docs)[0].select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -21,6 +21,14 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P_INV = pow(_P, -1, 1 << 64)
 
 
+def bounded_batches(spark, rows: int = 1024) -> None:
+    """Let the session's Arrow batches hold at most ``rows`` rows: a batch of
+    whole texts lies in the memory of the executor and of its Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 class TextSlice:
     """Some rows of a batch: ``rows`` (start, stop), the texts' bytes back to
     back, and where each text starts (one more entry than texts)."""

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow_text import LOWER, Spans, TextSlice, byte_classes, mix64, slices
+from tessera.llm.arrow_text import LOWER, Spans, TextSlice, bounded_batches, byte_classes, mix64, slices
 from tessera.operators.sinks import materialize
 
 THRESHOLD = 100
@@ -354,6 +354,7 @@ def collocations(counts: DataFrame, share: int = 100) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str, top: int = 2000) -> DataFrame:
+    bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang")
     found = collocations(materialize(frequent(docs), "collocations-counts"))
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow_text import LOWER, WORDS, Spans, TextSlice, mix64, slices
+from tessera.llm.arrow_text import LOWER, Spans, TextSlice, WORDS, bounded_batches, mix64, slices
 from tessera.llm.text import total
 from tessera.operators.sinks import materialize
 
@@ -317,6 +317,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD,
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs, words=4)
 

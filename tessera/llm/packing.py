@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow_text import slices
+from tessera.llm.arrow_text import bounded_batches, slices
 from tessera.llm.vocabulary import BYTE_BPE, TOKENIZERS, byte_bpe, file_bytes
 from tessera.operators.sinks import materialize
 
@@ -199,6 +199,7 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     packed = pack(materialize(pieces(docs), "packing-pieces"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
