@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontamination, minhash, mixing, pii, quality_model
+from tessera.llm.arrow_text import bounded_batches
 from tessera.operators.merge import assign_keys
 from tessera.operators.sinks import materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels of the rows at hand."""
+    bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality_model.train(docs.select("doc_id", "text"), labels)
     scored = quality_model.score(docs, model, docs.columns, name="\nscore")
@@ -58,6 +60,7 @@ def _keyed(docs: DataFrame, collapse: bool = False) -> tuple[DataFrame, str]:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     rows, key = _keyed(docs, collapse=True)
     groups = minhash.near_duplicates(rows.select(key, "text"), words=5, id_col=key)
     gone = groups.filter("NOT kept").select(F.col("doc_id").alias(key))
@@ -72,6 +75,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
