@@ -203,7 +203,8 @@ def _models(t: Tables) -> dict[str, DataFrame]:
     ua = product.user_activity(ev, users, PRODUCT_AS_OF)
     return {
         "raw_events": b.raw_events(t), "raw_users": b.raw_users(t),
-        "raw_sessions": b.raw_sessions(t), "stg_events": ev, "stg_users": users,
+        "raw_sessions": b.raw_sessions(t), "raw_subscriptions": b.raw_subscriptions(t),
+        "stg_events": ev, "stg_users": users,
         "stg_sessions": staging.stg_sessions(b.raw_sessions(t), PRODUCT_AS_OF),
         "user_activity": ua, "dau_wau_mau": product.dau_wau_mau(ua, PRODUCT_AS_OF),
         "funnel": product.funnel(ev, users, PRODUCT_AS_OF),
@@ -331,8 +332,7 @@ def q_claims_stream_final_state(spark, root):
     t = Tables(spark, root)
     c = sc.claims(t)
     landing = scratch_path(spark, "claims_landing")
-    (sc.claim_payloads(sc.claim_batch(c), t).repartition(4, "service_year")
-     .select("claim_json").write.text(landing))
+    sc.claim_payloads(sc.claim_batch(c), t).select("claim_json").write.text(landing)
     dims = _claim_dims(t)
     # The fact is partitioned by service month; each micro-batch rewrites
     # only the months it touches.
@@ -715,6 +715,108 @@ def q_incremental_dau_model(spark, root):
     return table.read().drop("_updated_at")
 
 
+# ── calendar roles, time zones, report order, keys and macros ───────────────
+@register("encounter_calendar")
+def q_encounter_calendar(spark, root):
+    """The date dimension in two roles, admission and discharge."""
+    t = Tables(spark, root)
+    fe = b.fact_encounter(t)
+    days = fe.agg(F.least(F.min("admit_date"), F.min("discharge_date")).alias("min_date"),
+                  F.greatest(F.max("admit_date"), F.max("discharge_date")).alias("max_date"))
+    dates = sinks.materialize(calendar.date_dimension_for(days), "dim_date")
+    return clinical.by_calendar(fe, dates)
+
+
+SOURCE_ZONE = "America/New_York"
+
+
+@register("events_to_utc")
+def q_events_to_utc(spark, root):
+    """SC10: wall-clock times of a zone with daylight saving, in UTC (spread
+    over a year, the hours of both changes among them)."""
+    ev = Tables(spark, root).events.where("ts IS NOT NULL")
+    local = F.timestamp_add("HOUR", (F.col("event_id") * 7 % 8784).cast("int"), F.col("ts"))
+    return ev.select("event_id", local.alias("local_ts")).withColumn("utc_ts", exprs.to_utc("local_ts", SOURCE_ZONE))
+
+
+@register("report_heads")
+def q_report_heads(spark, root):
+    """O1: the first rows of both patient reports in their stated order, with
+    their place in it."""
+    t = Tables(spark, root)
+    fe = b.fact_encounter(t)
+    out = None
+    for name, rows, order in (
+            ("readmissions", clinical.readmission_30d(fe), clinical.READMISSION_ORDER),
+            ("progression", clinical.chronic_progression(fe, b.bridge_encounter_diagnosis(t), b.dim_diagnosis(t)),
+             clinical.PROGRESSION_ORDER)):
+        # Equal rows in the order's columns are ordered by the others shown.
+        head = clinical.in_order(rows, order).limit(200)
+        part = head.groupBy().agg(F.collect_list(F.struct(*order)).alias("rows")).select(F.posexplode("rows").alias("place", "row"))
+        shown = [F.col(f"row.{c}").cast("string").alias(k) for k, c in zip(("a", "b", "c"), [*order, *order][:3])]
+        part = part.select(F.lit(name).alias("report"), "place", *shown)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("fingerprint_keys")
+def q_fingerprint_keys(spark, root):
+    """S24 / SC8, SC9: keys by fingerprint are unique and the same on every
+    run, run ids are unique and of the right form (values differ by engine)."""
+    ids = b.fact_encounter(Tables(spark, root)).select("encounter_id")
+    keyed = ids.select("encounter_id", exprs.fingerprint_key("encounter_id").alias("k"), F.expr("uuid()").alias("u"))
+    again = ids.select(F.col("encounter_id").alias("other"), exprs.fingerprint_key("encounter_id").alias("k2"))
+    x = keyed.join(again, F.col("encounter_id") == F.col("other"))
+    form = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return x.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("k").alias("n_keys"), F.countDistinct("u").alias("n_ids"),
+                 F.bool_and(F.col("k") == F.col("k2")).alias("same_again"), F.bool_and(F.col("u").rlike(form)).alias("well_formed"))
+
+
+@register("macro_values")
+def q_macro_values(spark, root):
+    """P14, P15, SC25, UD7: both divisions and cents to dollars, per line."""
+    li = Tables(spark, root).lineitem
+    tax, off = (F.col(c).cast("decimal(4,2)") * 100 for c in ("l_tax", "l_discount"))
+    cents = (F.col("l_extendedprice").cast("decimal(14,2)") * 100).cast("long")
+    x = li.select("l_orderkey", "l_linenumber", "l_shipdate", tax.cast("int").alias("tax"), off.cast("int").alias("off"), cents.alias("cents"))
+    return x.select("l_orderkey", "l_linenumber", "cents", F.round(exprs.safe_divide("tax", "off"), 6).alias("zero_if_zero"),
+                    F.round(exprs.null_divide("tax", "off"), 6).alias("null_if_zero"),
+                    exprs.cents_to_dollars("cents").cast("decimal(18,2)").alias("dollars"),
+                    exprs.cents_to_dollars("cents", 1).cast("decimal(18,1)").alias("tens_of_cents"))
+
+
+@register("schema_synced_claims")
+def q_schema_synced_claims(spark, root):
+    """The stored table has a column that the batch lost, the batch one
+    that the table lacks."""
+    c = sc.claims(Tables(spark, root)).select("claim_id", "claim_line_number", "claim_status", "paid_amount", "service_date")
+    target = c.where(F.col("service_date") < F.lit(sc.CLAIM_TARGET_BEFORE)).drop("service_date").withColumn("legacy", F.lit("x"))
+    batch = (c.where(F.col("service_date") >= F.lit(sc.CLAIM_BATCH_FROM)).drop("service_date")
+             .withColumn("channel", F.lit("web")))
+    return merge.upsert(target, batch, ["claim_id", "claim_line_number"], allow_schema_sync=True)
+
+
+@register("claims_array_landing")
+def q_claims_array_landing(spark, root):
+    """SC36: every landed line is an array of a claim's lines."""
+    t = Tables(spark, root)
+    rows = sc.claim_payloads(sc.claim_batch(sc.claims(t)), t)
+    claim = F.get_json_object("claim_json", "$.claim_id")
+    arrays = rows.groupBy(claim.alias("c")).agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("claim_json")), F.lit("]")).alias("value"))
+    path = scratch_path(spark, "array_landing")
+    arrays.select("value").write.text(path)
+    landing, _ = ingest.read_stage(spark, path)
+    return ingest.project_claims(landing).where("_bad_fields = 0").select("claim_id", "claim_line_number", "paid_amount", "claim_status")
+
+
+@register("dq_logged_check")
+def q_dq_logged_check(spark, root):
+    """UD4: a check that was computed elsewhere, logged as a result row."""
+    n, bad = Tables(spark, root).lineitem.agg(F.count(F.lit(1)), F.count_if(F.col("l_discount") > 0.09)).first()
+    return quality.log_row(spark, "run-x", "discount_cap", "validity", "edw.fact_claim", "discount", n, bad, 15.0, None,
+                           DQ_AS_OF).drop("check_id")
+
+
 # ── message bundles (X11) ───────────────────────────────────────────────────
 def _bundles(spark, root) -> fhir.Bundles:
     """Bundles landed as text files, read with their file name."""
@@ -960,19 +1062,17 @@ def q_claims_first_load(spark, root):
 
 @register("claims_stream_batches")
 def q_claims_stream_batches(spark, root):
-    """Three landings, one file per micro-batch: the batch, late adjustments
-    of its second lines, later ones of its first lines."""
+    """Three landings, the stream drains each: the batch, late adjustments of
+    its second lines, later ones of its first lines."""
     t = Tables(spark, root)
     c = sc.claims(t)
     landing = scratch_path(spark, "claims_landing")
     batch = sinks.materialize(sc.claim_batch(c), "claim_batch")
-    for step in sc.claim_adjustments(batch):
-        sc.claim_payloads(step, t).select("claim_json").coalesce(2).write.mode("append").text(landing)
-    dims = _claim_dims(t)
+    dims, ckpt = _claim_dims(t), scratch_path(spark, "claims_ckpt")
     target = _claims_by_month(spark, sc.claim_target(c))
-    q = claims_stream.run_claims_stream(spark, landing, scratch_path(spark, "claims_ckpt"), target, dims,
-                                        max_files_per_trigger=1)
-    q.awaitTermination()
+    for step in sc.claim_adjustments(batch):
+        sc.claim_payloads(step, t).select("claim_json").write.mode("append").text(landing)
+        claims_stream.run_claims_stream(spark, landing, ckpt, target, dims).awaitTermination()
     return target.read().select(*sc.CLAIM_COLUMNS)
 
 

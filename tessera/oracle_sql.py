@@ -395,6 +395,13 @@ FROM (SELECT session_id, user_id, MIN(ts) AS started_at, MAX(ts) AS last_ts,
             FROM events)
       GROUP BY session_id, user_id)""")
 
+shape("raw_subscriptions")("""
+SELECT 'S' || IF(event_id % 97 = 0, 0, event_id) AS subscription_id,
+       IF(event_id % 333 = 0, NULL, CAST(user_id AS VARCHAR)) AS user_id,
+       IF(event_type = 'signup', 'created', ['upgraded', 'downgraded', 'cancelled', 'reactivated', 'paused'][event_id % 5 + 1])
+         AS event_type, ts AS occurred_at, ts + INTERVAL 5 MINUTE AS _loaded_at
+FROM events WHERE event_type IN ('signup', 'purchase')""")
+
 _CODES = ("event_type", "platform", "device_type", "utm_source", "utm_medium", "utm_campaign")
 shape("stg_events", ["raw_events"])(f"""
 SELECT * REPLACE ({", ".join(f"upper(trim({c})) AS {c}" for c in _CODES)}),
@@ -646,6 +653,7 @@ FROM h GROUP BY ALL""", *DQ_SHAPES),
 
 # ── declarative tests ────────────────────────────────────────────────────
 MODEL_SHAPES = {"events": "raw_events", "users": "raw_users", "sessions": "raw_sessions",
+                "subscriptions": "raw_subscriptions",
                 "stg_events": "stg_events", "stg_users": "stg_users",
                 "stg_sessions": "stg_sessions", "mart_user_activity": "user_activity",
                 "mart_dau_wau_mau": "dau_wau_mau", "mart_funnel_analysis": "funnel"}
@@ -686,6 +694,7 @@ def test_oracles(as_of_sql: str, fresh_as_of_sql: str) -> dict[str, str]:
     ALL = tuple(MODEL_SHAPES.values())
     uq = [_unique_sql("events", "event_id"), _unique_sql("users", "user_id"),
           _unique_sql("users", "email"), _unique_sql("sessions", "session_id"),
+          _unique_sql("subscriptions", "subscription_id"),
           _unique_sql("stg_events", "event_id"), _unique_sql("stg_users", "user_id"),
           _unique_sql("stg_users", "email"), _unique_sql("stg_sessions", "session_id"),
           _unique_sql("mart_user_activity", "user_id_activity_date",
@@ -694,6 +703,7 @@ def test_oracles(as_of_sql: str, fresh_as_of_sql: str) -> dict[str, str]:
     nn = [_not_null_sql("events", ["event_id", "user_id", "event_type", "occurred_at"]),
           _not_null_sql("users", ["user_id", "email"]),
           _not_null_sql("sessions", ["session_id", "user_id"]),
+          _not_null_sql("subscriptions", ["subscription_id", "user_id"]),
           _not_null_sql("stg_events", ["event_id", "user_id", "event_type", "occurred_at", "event_date"]),
           _not_null_sql("stg_users", ["user_id", "email", "plan_name", "signup_date"]),
           _not_null_sql("stg_sessions", ["session_id", "user_id", "session_duration_seconds"]),
@@ -702,6 +712,7 @@ def test_oracles(as_of_sql: str, fresh_as_of_sql: str) -> dict[str, str]:
           _not_null_sql("mart_funnel_analysis", ["user_id", "max_stage_reached"])]
     av = [_values_sql("events", "event_type", a.RAW_EVENT_TYPES),
           _values_sql("users", "plan_name", a.PLANS),
+          _values_sql("subscriptions", "event_type", a.SUBSCRIPTION_EVENTS),
           _values_sql("stg_events", "event_type", a.STG_EVENT_TYPES),
           _values_sql("stg_users", "plan_name", a.PLANS),
           _values_sql("mart_user_activity", "engagement_tier", a.TIERS),
@@ -1267,6 +1278,58 @@ SELECT * EXCLUDE (_updated_at, engagement_tier), IF(activity_date < (SELECT MAX(
   WHERE activity_date <= DATE '2024-01-15'), NULL, engagement_tier) AS engagement_tier FROM user_activity""", "user_activity")
 ORACLE["incremental_dau_model"] = with_shapes("SELECT * EXCLUDE (_updated_at) FROM dau_wau_mau", "dau_wau_mau")
 
+ORACLE["encounter_calendar"] = with_shapes(f"""
+SELECT year(admit_date)::SMALLINT AS admit_year, quarter(admit_date)::TINYINT AS admit_quarter,
+       isodow(admit_date) < 6 AS admit_weekday, {_holiday_sql('admit_date')} AS admit_holiday,
+       isodow(discharge_date) < 6 AS discharge_weekday, COUNT(*) AS stays, {avg_int('length_of_stay_days')} AS avg_los
+FROM fact_encounter GROUP BY ALL""", "fact_encounter")
+
+# Eastern time: five hours behind, four from the second Sunday of March, two
+# o'clock, to the first of November, two o'clock.  A time that the clocks skip
+# counts as the winter time it would be.
+ORACLE["events_to_utc"] = """
+WITH l AS (SELECT event_id, ts + to_hours(CAST(event_id * 7 % 8784 AS INTEGER)) AS local_ts FROM events WHERE ts IS NOT NULL),
+d AS (SELECT *, make_date(year(local_ts), 3, 1) AS m, make_date(year(local_ts), 11, 1) AS n FROM l)
+SELECT event_id, local_ts, local_ts + to_hours(IF(
+  local_ts >= CAST(m + ((7 - isodow(m) % 7) % 7 + 7)::INTEGER AS TIMESTAMP) + INTERVAL 3 HOUR
+  AND local_ts < CAST(n + ((7 - isodow(n) % 7) % 7)::INTEGER AS TIMESTAMP) + INTERVAL 2 HOUR, 4, 5)) AS utc_ts FROM d"""
+
+ORACLE["report_heads"] = f"""
+SELECT report, place::INTEGER AS place, a, b, c FROM (
+  SELECT 'readmissions' AS report, row_number() OVER (ORDER BY patient_key, admit_date) - 1 AS place, CAST(patient_key AS VARCHAR) AS a,
+         CAST(admit_date AS VARCHAR) AS b, CAST(patient_key AS VARCHAR) AS c FROM ({ORACLE["readmission_30d"]})
+  UNION ALL
+  SELECT 'progression', row_number() OVER (ORDER BY patient_key, icd10_code, encounter_date) - 1, CAST(patient_key AS VARCHAR),
+         icd10_code, CAST(encounter_date AS VARCHAR) FROM ({ORACLE["chronic_progression"]}))
+WHERE place < 200"""
+
+ORACLE["fingerprint_keys"] = with_shapes("""
+SELECT COUNT(*) AS n, COUNT(DISTINCT encounter_id) AS n_keys, COUNT(*) AS n_ids, TRUE AS same_again, TRUE AS well_formed
+FROM fact_encounter""", "fact_encounter")
+
+ORACLE["macro_values"] = """
+WITH x AS (SELECT l_orderkey, l_linenumber, CAST(round(l_tax * 100) AS INTEGER) AS tax, CAST(round(l_discount * 100) AS INTEGER) AS off,
+                  CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * 100 AS BIGINT) AS cents FROM lineitem)
+SELECT l_orderkey, l_linenumber, cents, round(IF(off = 0, 0.0, CAST(tax AS DOUBLE) / off), 6) AS zero_if_zero,
+       round(CAST(tax AS DOUBLE) / nullif(off, 0), 6) AS null_if_zero, CAST(cents / 100.0 AS DECIMAL(18,2)) AS dollars,
+       CAST(((cents + 5) // 10) / 10.0 AS DECIMAL(18,1)) AS tens_of_cents FROM x"""
+
+ORACLE["schema_synced_claims"] = with_shapes("""
+WITH b AS (SELECT claim_id, claim_line_number, claim_status, paid_amount, 'web' AS channel FROM claims WHERE service_date >= DATE '1998-10-01'),
+t AS (SELECT claim_id, claim_line_number, claim_status, paid_amount, NULL::VARCHAR AS channel FROM claims WHERE service_date < DATE '1999-01-01')
+SELECT * FROM b UNION ALL SELECT * FROM t ANTI JOIN b USING (claim_id, claim_line_number)""", "claims")
+
+ORACLE["claims_array_landing"] = with_shapes(
+    "SELECT claim_id, claim_line_number, paid_amount, claim_status FROM claim_batch", "claim_batch")
+
+ORACLE["dq_logged_check"] = f"""
+SELECT 'run-x' AS run_id, 'discount_cap' AS check_name, 'validity' AS check_category, 'edw.fact_claim' AS target_table,
+       'discount' AS target_column, n AS records_checked, bad AS records_failed, CAST({round_div('bad * 100', 'n', 4)} AS DECIMAL(8,4))
+         AS failure_rate_pct, CAST(15 AS DECIMAL(8,4)) AS threshold_pct,
+       CASE WHEN bad = 0 THEN 'PASS' WHEN {round_div('bad * 100', 'n', 4)} <= 15 THEN 'WARN' ELSE 'FAIL' END AS status,
+       NULL::VARCHAR AS sample_failures, TIMESTAMP '1998-06-30 06:00:00' AS checked_at
+FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (l_discount > 0.09) AS bad FROM lineitem)"""
+
 # ── encounter run ────────────────────────────────────────────────────────
 shape("encounter_run", ["extracted_encounters", "fact_encounter", "scd2_target", "scd2_staging"])(f"""
 WITH known AS (SELECT patient_key, patient_id, row_hash FROM scd2_target),

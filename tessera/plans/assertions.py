@@ -122,6 +122,7 @@ STG_EVENT_TYPES = ["PAGE_VIEW", "FEATURE_USED", "SESSION_START", "SESSION_END",
 PLANS = ["free", "starter", "growth", "enterprise"]
 TIERS = ["power", "engaged", "casual", "passive"]
 FUNNEL_STAGE_VALUES = [1, 2, 3, 4]
+SUBSCRIPTION_EVENTS = ["created", "upgraded", "downgraded", "cancelled", "reactivated"]
 
 
 def declared_unique(m: dict[str, DataFrame]) -> DataFrame:
@@ -130,6 +131,7 @@ def declared_unique(m: dict[str, DataFrame]) -> DataFrame:
         unique(m["raw_users"], "users", "user_id"),
         unique(m["raw_users"], "users", "email"),
         unique(m["raw_sessions"], "sessions", "session_id"),
+        unique(m["raw_subscriptions"], "subscriptions", "subscription_id"),
         unique(m["stg_events"], "stg_events", "event_id"),
         unique(m["stg_users"], "stg_users", "user_id"),
         unique(m["stg_users"], "stg_users", "email"),
@@ -145,6 +147,7 @@ def declared_not_null(m: dict[str, DataFrame]) -> DataFrame:
         not_null(m["raw_events"], "events", ["event_id", "user_id", "event_type", "occurred_at"]),
         not_null(m["raw_users"], "users", ["user_id", "email"]),
         not_null(m["raw_sessions"], "sessions", ["session_id", "user_id"]),
+        not_null(m["raw_subscriptions"], "subscriptions", ["subscription_id", "user_id"]),
         not_null(m["stg_events"], "stg_events",
                  ["event_id", "user_id", "event_type", "occurred_at", "event_date"]),
         not_null(m["stg_users"], "stg_users", ["user_id", "email", "plan_name", "signup_date"]),
@@ -160,6 +163,7 @@ def declared_accepted_values(m: dict[str, DataFrame]) -> DataFrame:
     return _union([
         accepted_values(m["raw_events"], "events", "event_type", RAW_EVENT_TYPES),
         accepted_values(m["raw_users"], "users", "plan_name", PLANS),
+        accepted_values(m["raw_subscriptions"], "subscriptions", "event_type", SUBSCRIPTION_EVENTS),
         accepted_values(m["stg_events"], "stg_events", "event_type", STG_EVENT_TYPES),
         accepted_values(m["stg_users"], "stg_users", "plan_name", PLANS),
         accepted_values(m["user_activity"], "mart_user_activity", "engagement_tier", TIERS),

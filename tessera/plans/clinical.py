@@ -58,6 +58,30 @@ def readmission_30d(fact_encounter: DataFrame) -> DataFrame:
     )
 
 
+# ── report order (O1) ─────────────────────────────────────────────────────
+READMISSION_ORDER = ["patient_key", "admit_date"]
+PROGRESSION_ORDER = ["patient_key", "icd10_code", "encounter_date"]
+
+
+def in_order(report: DataFrame, order: list[str]) -> DataFrame:
+    """A report in its final order (ascending, nulls last), for whoever reads
+    it row by row: a range-partitioned sort, not needed for further joins."""
+    return report.orderBy(*[F.col(c).asc_nulls_last() for c in order])
+
+
+# ── J1: the date dimension in two roles ───────────────────────────────────
+def by_calendar(fact_encounter: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Stays per admission year, quarter and day kind, and discharge day kind.
+    The dimension has one row per calendar day."""
+    days = dim_date.select("date_key", "year_number", "quarter_number", "is_weekday", "is_federal_holiday")
+    admit = days.toDF("admit_date_key", "admit_year", "admit_quarter", "admit_weekday", "admit_holiday")
+    leave = days.select("date_key", "is_weekday").toDF("discharge_date_key", "discharge_weekday")
+    x = (fact_encounter.select("admit_date_key", "discharge_date_key", "length_of_stay_days")
+         .join(F.broadcast(admit), "admit_date_key").join(F.broadcast(leave), "discharge_date_key"))
+    return x.groupBy("admit_year", "admit_quarter", "admit_weekday", "admit_holiday", "discharge_weekday").agg(
+        F.count(F.lit(1)).alias("stays"), avg_int_round("length_of_stay_days").alias("avg_los"))
+
+
 # ── M2: provider scorecard ────────────────────────────────────────────────
 def provider_metrics(fact_encounter: DataFrame, dim_provider: DataFrame, year: int) -> DataFrame:
     lo, hi = _year_bounds(year)

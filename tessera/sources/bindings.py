@@ -332,3 +332,15 @@ def raw_sessions(t: Tables) -> DataFrame:
         F.col("events_count").cast("int").alias("events_count"),
         F.timestamp_add("MINUTE", F.lit(5), F.col("last_ts")).alias("_loaded_at"),
     )
+
+
+def raw_subscriptions(t: Tables) -> DataFrame:
+    """Subscription lifecycle events: sign-ups and purchases of the event
+    stream, some with a repeated id, without a user, or of an unknown type."""
+    eid = F.col("event_id")
+    kinds = F.array(*[F.lit(k) for k in ("upgraded", "downgraded", "cancelled", "reactivated", "paused")])
+    return t.events.where(F.col("event_type").isin("signup", "purchase")).select(
+        F.concat(F.lit("S"), F.when(eid % 97 == 0, F.lit(0)).otherwise(eid).cast("string")).alias("subscription_id"),
+        F.when(eid % 333 != 0, F.col("user_id").cast("string")).alias("user_id"),
+        F.when(F.col("event_type") == "signup", "created").otherwise(F.get(kinds, eid % 5)).alias("event_type"),
+        F.col("ts").alias("occurred_at"), F.timestamp_add("MINUTE", F.lit(5), F.col("ts")).alias("_loaded_at"))
