@@ -11,8 +11,15 @@ item with fewer words has its whole sequence as its one shingle).
    weighing as often as it occurs.
 3. Multi-index: fingerprints are cut into ``RADIUS + 1`` blocks.  Two that differ
    in at most ``RADIUS`` bits agree in a block (there are more blocks than
-   differing bits), so the equi-join on (size, block, bits) finds every window
-   and item within the radius; the bit count of their difference keeps those.
+   differing bits).  A block has few bits, so it selects little by itself; the
+   join key is a block together with a rare shingle.  Of a window or item of n
+   shingles (equal ones told apart by number) only the n - ceil(n *
+   ``THRESHOLD`` %) + 1 rarest in the benchmark count: two texts that are
+   similar enough share one of these, in whatever order they are ranked, if it
+   is the same for both.  A window with more shingles than that outside the
+   benchmark matches nothing and goes at once.  So the equi-join on (size,
+   shingle, block, bits) finds every similar window and item within the radius;
+   the bit count of their difference keeps those.
 4. Verification: the weighted shingle similarity, sum of the smaller counts
    over the sum of the larger, must be ``THRESHOLD`` percent or more.
 
@@ -22,7 +29,7 @@ similar they are.
 
 All steps are DataFrame expressions.  The benchmark's shingles are broadcast
 if they are at most ``BROADCAST_ROWS``, counted first, and shuffled otherwise;
-the same holds for the ids of documents that share a shingle.
+the same holds for the places of windows in the documents.
 
 Defined cases: null and empty texts share nothing; items without words are
 ignored; null ids on either side are ignored; repeated rows and ids give one
@@ -88,9 +95,43 @@ def common(a: str, b: str) -> Column:
     return total(F.transform(F.array_distinct(b), lambda h: F.least(times(a, h), times(b, h))))
 
 
-def _bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a written table whose row count is within the limit."""
-    return F.broadcast(df) if df.count() <= limit else df
+def _bounded(df: DataFrame, weight: Column | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a written table whose row count (or sum of ``weight``) is
+    within the limit."""
+    total = df.agg(F.sum(F.lit(1) if weight is None else weight)).first()[0] or 0
+    return F.broadcast(df) if total <= limit else df
+
+
+def numbered(hashes: str) -> Column:
+    """array<struct<hash, nth>>: equal hashes of a list told apart."""
+    return F.transform(hashes, lambda x, i: F.struct(
+        x.alias("hash"), F.size(F.filter(F.slice(hashes, 1, i), lambda y: y == x)).alias("nth")))
+
+
+def rarest(rows: DataFrame, keys: list[str], hashes: str, seen: DataFrame, threshold: int) -> DataFrame:
+    """keys, hash, nth: of each list the shingles that a similar list must
+    share one of, without those that the benchmark does not have.  ``seen``:
+    hash, times (in the benchmark)."""
+    tokens = rows.select(*keys, F.size(hashes).alias("n"), F.explode_outer(numbered(hashes)).alias("token"))
+    tokens = tokens.select(*keys, "n", "token.hash", "token.nth").join(seen, "hash", "left")
+    ranked = F.sort_array(F.collect_list(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "hash", "nth")))
+    kept = F.expr(f"cast(n - ({threshold} * n + 99) div 100 + 1 AS int)")
+    some = tokens.groupBy(*keys, "n").agg(ranked.alias("ranked")).select(*keys, F.explode(F.slice("ranked", 1, kept)).alias("x"))
+    return some.select(*keys, "x.hash", "x.nth", "x.times").filter("times > 0").drop("times")
+
+
+def candidates(windows: DataFrame, items: DataFrame, radius: int, threshold: int) -> DataFrame:
+    """doc_id, size, start, print, item_id, item_print: windows (doc_id, size,
+    start, print, hashes) and items (item_id, size, item_print, item_hashes)
+    that agree in a rare shingle and a block."""
+    seen = items.select("item_id", F.explode(F.array_distinct("item_hashes")).alias("hash"))
+    seen = _bounded(materialize(seen.groupBy("hash").agg(F.count("*").alias("times")), "decontamination-times"))
+    left = rarest(windows, ["doc_id", "size", "start", "print"], "hashes", seen, threshold)
+    right = rarest(items, ["item_id", "size", "item_print"], "item_hashes", seen, threshold)
+    left = left.select("*", F.inline(blocks("print", radius)))
+    right = right.select("*", F.inline(blocks("item_print", radius)))
+    return left.join(right, ["size", "hash", "nth", "block", "bits"]).select(
+        "doc_id", "size", "start", "print", "item_id", "item_print").distinct()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", shingle: int = SHINGLE,
@@ -129,7 +170,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", shing
     where = where.groupBy("doc_id").agg(F.collect_set(F.struct("run", "size", "start")).alias("places"))
     where = materialize(where, "decontamination-windows")
     # Windows are cut inside the document's row; then only they travel.
-    cut = (texts.join(_bounded(where), "doc_id").select("doc_id", F.explode_outer(F.transform(
+    cut = (texts.join(_bounded(where, F.size("places")), "doc_id").select("doc_id", F.explode_outer(F.transform(
         "places", lambda p: F.struct(p["run"].alias("run"), p["size"].alias("size"), p["start"].alias("start"),
                                      F.slice("w", p["start"] + 1, p["size"]).alias("w")))).alias("p"))
            .select("doc_id", "p.*"))
@@ -138,16 +179,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", shing
     found = windows[0]
     for more in windows[1:]:
         found = found.union(more)
-    found = materialize(found.withColumn("print", simhash("hashes")), "decontamination-prints")
-    fingerprints = materialize(fingerprints.withColumn("item_print", simhash("hashes"))
-                               .withColumnRenamed("hashes", "item_hashes"), "decontamination-items")
-    left = found.select("doc_id", "size", "start", "print", F.inline(blocks("print", radius)))
-    right = fingerprints.select("item_id", "size", "item_print", F.inline(blocks("item_print", radius)))
-    near = (left.join(right, ["size", "block", "bits"])
-            .filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-            .select("doc_id", "size", "start", "item_id").distinct())
-    pairs = (near.join(found.dropDuplicates(["doc_id", "size", "start", "print"]), ["doc_id", "size", "start"])
-             .join(fingerprints.dropDuplicates(["item_id", "size", "item_print"]), ["item_id", "size"]))
+    found = materialize(found.withColumn("print", simhash("hashes")).dropDuplicates(["doc_id", "size", "start", "print"]),
+                        "decontamination-prints")
+    fingerprints = materialize(fingerprints.withColumn("item_print", simhash("hashes")).withColumnRenamed("hashes", "item_hashes")
+                               .dropDuplicates(["item_id", "size", "item_print"]), "decontamination-items")
+    near = candidates(found, fingerprints, radius, threshold).filter(
+        F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
+    pairs = (near.join(found, ["doc_id", "size", "start", "print"]).join(fingerprints, ["item_id", "size", "item_print"]))
     pairs = pairs.select("doc_id", "item_id", "size", "start", F.size("hashes").alias("n_a"),
                          F.size("item_hashes").alias("n_b"), common("hashes", "item_hashes").alias("both"))
     either = F.col("n_a") + F.col("n_b") - F.col("both")

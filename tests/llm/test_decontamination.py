@@ -69,3 +69,58 @@ def test_long_texts_and_empty_tables(spark, odd_docs, no_docs):
     assert {r.doc_id for r in found} == {6, 7}
     assert decontamination.matches(no_docs, item).collect() == []
     assert decontamination.matches(odd_docs, item.limit(0)).collect() == []
+
+
+def test_candidates_among_many_items_of_one_size(spark):
+    """A thousand items of equal length that share a phrase: candidates stay
+    few, and every similar window is one."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators.sinks import materialize
+
+    rng = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(2000)]
+    phrase = "in the middle of this sentence stands"
+    texts = []
+    for _ in range(1000):
+        words = rng.choices(vocabulary, k=33)
+        texts.append(" ".join(words[:10] + phrase.split() + words[10:]))
+    near = []
+    for t in texts[:200]:
+        words = t.split()
+        words[rng.randrange(len(words))] = "changed"
+        near.append(" ".join(words))
+
+    def lists(rows, id_col, hashes, mark):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], f"{id_col} long, text string")
+        df = df.select(id_col, decontamination.lower_words("text").alias("w"))
+        df = df.select(id_col, F.size("w").alias("size"), F.lit(0).alias("start"), decontamination.shingles("w", 5).alias(hashes))
+        return materialize(df.withColumn(mark, decontamination.simhash(hashes)), "test-lists")
+
+    windows, items = lists(near, "doc_id", "hashes", "print"), lists(texts, "item_id", "item_hashes", "item_print").drop("start")
+    found = {(r.doc_id, r.item_id) for r in decontamination.candidates(windows, items, 19, 80).collect()}
+    assert len(found) < 0.1 * 200 * 1000
+    sets = [Counter(tuple(t.split()[k:k + 5]) for k in range(36)) for t in texts]
+    for i, t in enumerate(near):
+        own = Counter(tuple(t.split()[k:k + 5]) for k in range(36))
+        low, high = sum((own & sets[i]).values()), sum((own | sets[i]).values())
+        assert (i, i) in found or 100 * low < 80 * high
+
+
+def test_rarest_shingles_lose_no_similar_pair(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        base = [rng.randint(0, 30) for _ in range(rng.randint(1, 25))]
+        other = list(base)
+        for _ in range(rng.randint(0, 3)):
+            other[rng.randrange(len(other))] = rng.randint(0, 30)
+        rows.append((i, base, other))
+    df = spark.createDataFrame(rows, "i long, a array<bigint>, b array<bigint>")
+    seen = df.selectExpr("i", "explode(array_distinct(b)) hash").groupBy("hash").count().toDF("hash", "times")
+    left = {(r.i, r.hash, r.nth) for r in decontamination.rarest(df, ["i"], "a", seen, 80).collect()}
+    right = {(r.i, r.hash, r.nth) for r in decontamination.rarest(df, ["i"], "b", seen, 80).collect()}
+    met = {x[0] for x in left & right}
+    for i, a, b in rows:
+        low, high = sum((Counter(a) & Counter(b)).values()), sum((Counter(a) | Counter(b)).values())
+        assert i in met or 100 * low < 80 * high
