@@ -20,6 +20,14 @@ from copies, and only own values count in estimates.
    for an element that the other lacks.  So no pair that a band brings together
    is lost, while the members of a large group, and texts that merely share a
    passage, are not compared with each other.
+5. Hot buckets: where more than ``HOT`` representatives of different components
+   meet, pairs are not formed by bucket.  All documents of such buckets are
+   joined by their rarest shingles instead: the smaller of two similar sets
+   shares one of its n - ceil(2t / (1 + t) * n) + 1 rarest elements with the
+   n - ceil(t * n) + 1 rarest of the larger one, and what comes after the first
+   common one must still suffice for the threshold.  Many texts that share most
+   of their words without reaching the threshold thus meet nowhere: their
+   rarest elements are their own.
 
 With ``BANDS`` bands of ``ROWS`` registers a pair at similarity 0.8 shares no
 band with probability (1 - 0.8**ROWS)**BANDS, about 1e-7.
@@ -56,6 +64,8 @@ ROWS, BANDS = 5, 40
 THRESHOLD = 80
 #: The estimate may be so many standard deviations below the threshold.
 SLACK = 5.0
+#: Representatives in a bucket that are still compared pair by pair.
+HOT = 256
 #: Ids are broadcast up to this many (8 bytes each); beyond it they are shuffled.
 BROADCAST_IDS = 2_000_000
 _SEQUENCE = np.random.default_rng(33).integers(0, 1 << BUCKET_BITS, (64, 1 << BUCKET_BITS))
@@ -228,6 +238,39 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, threshold: int, id_c
     return both.mapInArrow(compare, "a long, b long").distinct()
 
 
+def rare_pairs(ids: DataFrame, docs: DataFrame, words: int, threshold: int, id_col: str = "doc_id") -> DataFrame:
+    """(a, b) of different components that may reach the threshold, among the
+    documents in ``ids`` (doc_id, component; written): those that share a rare
+    shingle early enough.  No pair that reaches it is missing."""
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            sets = list(shingle_sets(part, words))
+            n = np.array([len(s) for s in sets])
+            key = np.array([int(mix64(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets])
+            own = np.repeat(np.arange(len(sets)), n)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").take(pa.array(own)), pa.array(key[own], pa.int64()), pa.array(n[own], pa.int64()),
+                 pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], names=["doc_id", "key", "n", "hash"])
+
+    listed = materialize(ids.select("doc_id").distinct(), "minhash-hot-ids")
+    tokens = materialize(_texts_of(listed, docs, id_col).mapInArrow(exploded, "doc_id long, key long, n long, hash long").distinct(),
+                         "minhash-hot-shingles")
+    times = tokens.groupBy("hash").agg(F.count("*").alias("times"))
+    large = F.expr(f"cast(n - ({threshold} * n + 99) div 100 + 1 AS int)")
+    small = F.expr(f"n - (2 * {threshold} * n + {99 + threshold}) div {100 + threshold} + 1")
+    first = F.slice(F.sort_array(F.collect_list(F.struct("times", "hash"))), 1, large)
+    ranked = (tokens.join(times, "hash").groupBy("doc_id", "key", "n").agg(first.alias("first"))
+              .select("doc_id", "n", F.posexplode("first").alias("pos", "x")).filter("x.times > 1")
+              .select("doc_id", "n", "pos", F.col("x.hash").alias("hash"), small.alias("small")).join(ids, "doc_id"))
+    ranked = materialize(ranked, "minhash-hot-prefixes")
+    one = ranked.filter("pos < small").select("hash", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "pos", "component")))
+    two = ranked.select("hash", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "pos", "component")))
+    enough = F.expr(f"{100 + threshold} * least(n_a - pos_a, n_b - pos_b) >= {threshold} * (n_a + n_b)")
+    smaller = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("doc_id_a") < F.col("doc_id_b")))
+    return (one.join(two, "hash").filter(smaller & (F.col("component_a") != F.col("component_b")) & _near("n_a", "n_b", threshold) & enough)
+            .select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct())
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component: the smallest node reachable, for every node with an
     edge.  Each round takes the least label among the neighbours, then the
@@ -301,9 +344,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD,
         labelled.join(split, "band").join(reps.select("doc_id", "n_shingles", "bits"), ["doc_id", "n_shingles"])
         .select("band", "doc_id", "n_shingles", "component", (F.col("n_shingles") - filled_bits).alias("crowd"),
                 *(F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(BITMAP // 64))), "minhash-open")
-    one, two = (open_rows.toDF("band", side, f"n_{side}", f"c_{side}", f"crowd_{side}",
+    hot = materialize(open_rows.groupBy("band").count().filter(F.col("count") > HOT).select("band"), "minhash-hot-bands")
+    crowded = bool(hot.limit(1).count())
+    cold_rows = open_rows.join(hot, "band", "left_anti") if crowded else open_rows
+    one, two = (cold_rows.toDF("band", side, f"n_{side}", f"c_{side}", f"crowd_{side}",
                                *(f"{side}{i}" for i in range(BITMAP // 64))) for side in "ab")
     rest = one.join(two, "band").filter(_open_pair(threshold)).select("a", "b").distinct()
+    if crowded:
+        ids = materialize(open_rows.join(hot, "band").select("doc_id", "component").distinct(), "minhash-hot")
+        rest = rest.union(rare_pairs(ids, docs, words, threshold, id_col)).distinct()
     more = check(rest, "rest")
     if more.limit(1).count():
         found = components(links.union(more))

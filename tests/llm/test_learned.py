@@ -100,3 +100,60 @@ def test_language_odd_rows(spark, odd_docs, no_docs):
     assert language_id.predict(no_docs, model, ["doc_id"]).collect() == []
     nothing = language_id.learn(no_docs)
     assert {r.lang_pred for r in language_id.predict(odd_docs, nothing, ["doc_id"]).collect()} == {"und"}
+
+
+def test_ftrl_equals_a_dictionary_version():
+    """Follow-the-regularised-leader, one coordinate at a time."""
+    import math
+
+    q = quality_model
+    rng = np.random.default_rng(4)
+    rows = [(np.append(rng.choice(40, 6, replace=False), 1 << q.BITS), np.append(rng.random(6), 1.0)) for _ in range(50)]
+    labels = (rng.random(50) < 0.5).astype(float)
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= q.L1:
+            return 0.0
+        return -(z[i] - math.copysign(q.L1, z[i])) / ((q.BETA + math.sqrt(n[i])) / q.ALPHA + q.L2)
+
+    for _ in range(q.EPOCHS):
+        for (at, x), y in zip(rows, labels):
+            w = {int(i): weight(int(i)) for i in at}
+            p = 1 / (1 + math.exp(-sum(w[int(i)] * v for i, v in zip(at, x))))
+            for i, v in zip(at.tolist(), x.tolist()):
+                g = (p - y) * v
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / q.ALPHA * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    found = q.ftrl(rows, labels)
+    assert np.allclose([found[i] for i in z], [weight(i) for i in z], atol=1e-9)
+    assert np.count_nonzero(found) <= len(z)
+
+
+def test_language_predictions_equal_bundled_documents(spark):
+    """Whole predictions against texts that are really bundled, one n-gram at
+    a time, and compared by their own cosine."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.learn(docs.filter("doc_id % 2 = 0"))
+    table, letters = language_id.symbol_table(), language_id.letter_vectors()
+    checked = 0
+    for r in language_id.predict(docs.filter("doc_id % 2 = 1"), model, ["doc_id", "text"]).collect():
+        symbols = [0]
+        for c in r.text or "":
+            s = int(table[ord(c)])
+            if s or symbols[-1]:
+                symbols.append(s)
+        symbols += [0] if symbols[-1] else []
+        bundle = np.zeros(language_id.DIMENSIONS)
+        for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+            if b:
+                bundle += np.roll(letters[a], 2).astype(int) * np.roll(letters[b], 1) * letters[c]
+        if not bundle.any():
+            assert r.lang_pred == "und"
+            continue
+        cosine = model.prototypes @ bundle / np.linalg.norm(bundle)
+        first, second = np.sort(cosine)[::-1][:2]
+        if first - second > 1e-4:
+            assert r.lang_pred == model.languages[int(cosine.argmax())]
+            checked += 1
+    assert checked > 50

@@ -53,6 +53,41 @@ def test_chains_and_groups(spark, word):
     assert sorted(tuple(r) for r in minhash.near_duplicates(df, 4).collect()) == brute(rows, 4, word)
 
 
+def drifting(n, shared, own, seed=3):
+    """Texts with a common passage: alike, but below the threshold."""
+    rng = np.random.default_rng(seed)
+    passage = [f"p{i}" for i in range(shared)]
+    return [(i, " ".join([*passage, *(f"u{i}_{k}" for k in rng.permutation(own))])) for i in range(n)]
+
+
+def test_hot_buckets_lose_no_link(spark, word, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT", 2)
+    rng = np.random.default_rng(11)
+    rows = drifting(60, 80, 24)
+    for i in range(60):  # near copies of some of them, of each other, and longer ones
+        words = rows[int(rng.integers(0, 60))][1].split()
+        for k in rng.integers(0, len(words), int(rng.integers(0, 5))):
+            words[int(k)] = f"n{i}_{k}"
+        rows.append((1000 - i, " ".join(words + [f"tail{i}_{k}" for k in range(int(rng.integers(0, 12)))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in minhash.near_duplicates(df, 4).collect()) == brute(rows, 4, word)
+
+
+def test_rare_pairs_of_texts_that_share_a_passage_are_few(spark):
+    """Four fifths in common, no pair similar: work stays linear."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators.sinks import materialize
+
+    df = materialize(spark.createDataFrame(drifting(1500, 160, 40), "doc_id long, text string"), "test-drifting")
+    ids = materialize(df.select("doc_id", F.col("doc_id").alias("component")), "test-ids")
+    assert minhash.rare_pairs(ids, df, 5, 80).count() == 0
+    near = df.withColumn("text", F.concat("text", F.lit(" and end"))).withColumn("doc_id", F.col("doc_id") + 5000)
+    both = materialize(df.union(near), "test-both")
+    ids = materialize(both.select("doc_id", F.col("doc_id").alias("component")), "test-ids")
+    assert {(r.a, r.b) for r in minhash.rare_pairs(ids, both, 5, 80).collect()} == {(i, i + 5000) for i in range(1500)}
+
+
 def test_null_ids_and_empty_table(spark, odd_docs, no_docs):
     rows = minhash.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
