@@ -419,7 +419,7 @@ def suite_history(run, as_of: _dt.datetime, days: int, log_path: str | None = No
 
 def write_results(results: DataFrame, log_path: str) -> None:
     """Append a run's rows to the results log, by check date."""
-    (results.withColumn("check_date", F.to_date("checked_at")).coalesce(1)
+    (results.withColumn("check_date", F.to_date("checked_at")).repartition(1)  # a row per check
      .write.mode("append").partitionBy("check_date").parquet(log_path))
 
 
