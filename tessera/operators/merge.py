@@ -233,10 +233,13 @@ def upsert_partitions(table, batch: DataFrame, keys: Sequence[str],
     current = table.in_partitions(target, touched)
     merged = upsert(current, batch, keys, update_cols=[c for c in update_cols if c not in pcols],
                     action_col="_action", **{k: v for k, v in upsert_args.items() if k != "allow_schema_sync"})
+    # Merged once: the keys and the rewrite read the result, and the table's
+    # files are not read any more when they are replaced.
+    merged = materialize(merged, "partition_merge")
     if surrogate_key:
         top = target.agg(F.coalesce(F.max(surrogate_key), F.lit(0))).first()[0]
         new = merged.where(F.col("_action") == "inserted").drop(surrogate_key)
         merged = (merged.where(F.col("_action") != "inserted")
                   .unionByName(assign_keys(new, surrogate_key, start_after=int(top))))
-    table.replace_partitions(merged.drop("_action"))
+    table.replace_partitions(merged.drop("_action"), stored=True)
     return len(touched)

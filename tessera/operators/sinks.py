@@ -187,26 +187,30 @@ class PartitionedTable:
     def read_partitions(self, values: list[tuple]) -> DataFrame:
         return self.in_partitions(self.read(), values)
 
-    def replace_partitions(self, rows: DataFrame) -> None:
-        # No repartition by the partition columns: a large partition would
-        # then be written by one task.  Rows stay spread over tasks (each
-        # writes its share of every partition it holds).
-        staged = materialize(rows, "partition_rewrite")
-        if self._schemas.read().schema != staged.schema:
+    def replace_partitions(self, rows: DataFrame, stored: bool = False) -> None:
+        """``stored``: the rows come from written tables other than this one,
+        so they need no staging."""
+        staged = rows if stored else materialize(rows, "partition_rewrite")
+        if self._schemas.read().schema.simpleString() != staged.schema.simpleString():
             self._schemas.commit(staged.limit(0))
-        (staged.write.mode("overwrite")
+        (self._gathered(staged).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
 
+    def _gathered(self, rows: DataFrame) -> DataFrame:
+        """Rows of a partition together, so that it gets few files; AQE splits
+        partitions that are larger than its target size over tasks."""
+        return rows.hint("rebalance", *self.partition_cols)
+
     def replace_all(self, rows: DataFrame) -> None:
         staged = materialize(rows, "partition_rewrite")
         self._schemas.commit(staged.limit(0))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (self._gathered(staged).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*self.partition_cols).parquet(self.path))
 
     def create(self, rows: DataFrame) -> None:
         self._schemas.commit(rows.limit(0))
-        rows.write.mode("errorifexists").partitionBy(*self.partition_cols).parquet(self.path)
+        self._gathered(rows).write.mode("errorifexists").partitionBy(*self.partition_cols).parquet(self.path)
 
 
 def partitioned_table(spark: SparkSession, name: str, partition_cols: list[str]) -> PartitionedTable:
