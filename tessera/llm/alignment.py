@@ -57,23 +57,32 @@ class Memo:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[tuple[bytes, bytes], tuple[int, int, int, str]] = {}
+        self.known: dict[bytes, tuple[int, int, int, str]] = {}
         self.pairs, self.filled = np.zeros(1 << 16, np.int64), 0
 
     def __call__(self, ids_a: np.ndarray, ids_b: np.ndarray, a, b) -> list[tuple[int, int, int, str]]:
         """The entries of windows (starts and stops in a and b)."""
         if len(self.known) > MEMO:
             self.clear()
-        packed_a, packed_b = ids_a.astype("<i4").tobytes(), ids_b.astype("<i4").tobytes()
-        keys = [(packed_a[p:q], packed_b[r:s]) for p, q, r, s in zip(*((4 * x).tolist() for x in (*a, *b)))]
+        # A window's key: its ids of a, then those of b (above all of a's).
+        n_a, n_b = a[1] - a[0], b[1] - b[0]
+        own_a, own_b = _picked(ids_a, *a), _picked(ids_b, *b)
+        stops = np.cumsum(n_a + n_b)
+        starts = stops - n_a - n_b
+        packed = np.zeros(len(own_a) + len(own_b), "<i4")
+        packed[np.arange(len(own_a)) + np.repeat(starts - (np.cumsum(n_a) - n_a), n_a)] = own_a
+        packed[np.arange(len(own_b)) + np.repeat(starts + n_a - (np.cumsum(n_b) - n_b), n_b)] = own_b + len(self.a)
+        raw = packed.tobytes()
+        keys = [raw[p:q] for p, q in zip((4 * starts).tolist(), (4 * stops).tolist())]
         found = list(map(self.known.get, keys))
         new = [k for k, entry in enumerate(found) if entry is None]
         if new:
             at = np.array(new)
-            for k, entry in zip(new, self.align(_picked(ids_a, a[0][at], a[1][at]), _picked(ids_b, b[0][at], b[1][at]),
-                                                (a[1] - a[0])[at], (b[1] - b[0])[at])):
+            first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+            for k, entry in zip(new, self.align(_picked(own_a, first_a[at], (first_a + n_a)[at]),
+                                                _picked(own_b, first_b[at], (first_b + n_b)[at]), n_a[at], n_b[at])):
                 found[k] = entry
-                if len(keys[k][0]) + len(keys[k][1]) <= 4 * REMEMBERED:
+                if len(keys[k]) <= 4 * REMEMBERED:
                     self.known[keys[k]] = entry
         return found
 
@@ -174,17 +183,19 @@ def aligned(docs: DataFrame, tokenizers: str = V.TOKENIZERS, id_col: str = "doc_
         for part in slices(batches, text_col, SLICE_BYTES):
             texts = part.texts()
             spaced = [" " + t if t else "" for t in texts]
-            a_ids, b_ids = ids_of_a(spaced), ids_of_b(spaced)
+            a_ids, b_ids = [np.array(x, np.int64) for x in ids_of_a(spaced)], ids_of_b(spaced)
             whole = [t.encode() for t in spaced]
-            valid = [k for k, t in enumerate(texts) if t and b"".join(map(bytes_a.__getitem__, a_ids[k])) == whole[k]
-                     and b"".join(map(bytes_b.__getitem__, b_ids[k])) == whole[k]]
+            # Byte-level tokens are the text's own bytes, whatever the text (the
+            # length confirms it); the other vocabulary may change characters.
+            valid = [k for k, t in enumerate(texts) if t and b"".join(map(bytes_b.__getitem__, b_ids[k])) == whole[k]
+                     and int(tables[0][0][a_ids[k]].sum()) == len(whole[k])]
             n = len(texts)
             n_a, n_b, n_groups, n_links = (np.zeros(n, np.int64) for _ in range(4))
             groups, digests = [""] * n, [""] * n
             kept_pairs, kept_counts, sizes = [], [], np.zeros(n, np.int64)
             if valid:
                 n_a[valid], n_b[valid] = [len(a_ids[k]) for k in valid], [len(b_ids[k]) for k in valid]
-                ids_a = np.concatenate([np.array(a_ids[k], np.int64) for k in valid])
+                ids_a = np.concatenate([a_ids[k] for k in valid])
                 ids_b = np.concatenate([np.array(b_ids[k], np.int64) for k in valid])
                 ends = np.cumsum([len(whole[k]) for k in valid])
                 a, b, window_ends = _windows(ids_a, ids_b, tables, ends)
