@@ -10,8 +10,7 @@ of children.
    ``CONSTANT`` of those with its path (the labels from the root) have it there.
    Of the pages with a common text the one with the smallest hash of its html
    is a reference, for that text; so a host has as many as its layouts need,
-   and none is empty.  Hosts whose pages all have an ``article`` or ``main``
-   element need none.
+   and none is empty.
 2. Evidence: for every node of a reference that holds a text it stands for,
    over all pages of the host that have its path, how many matched it and how
    many had the very same text there; summed in each task and then by (host,
@@ -28,13 +27,16 @@ of children.
    links and more than one block a page: menus are nearly all links, adverts
    and notices few words.  What it ends at is the content; a page's text is
    what lies in the part matched to it.
-4. Extraction: a page is aligned again; text matched to constant nodes is
-   dropped, as is all outside the content part, as is every part whose role is not content, by element (nav,
-   header, footer, aside, form, script, ...), ARIA role or class and id words
-   (ad, menu, sidebar, cookie, comments, ...): such slots vary from page to
-   page and alignment alone cannot tell them from the article.  A page with an
-   ``article`` or ``main`` element gives the text of that element, where
-   constant nodes are kept (copies of a page must not lose their text).
+4. Extraction: a page is aligned again; text outside the part matched to the
+   content is dropped, as is text matched to constant nodes and every part whose
+   role is not content, by element (nav, header, footer, aside, form, script,
+   ...), ARIA role or class and id words (ad, menu, sidebar, cookie, comments,
+   ...): such slots vary from page to page and alignment alone cannot tell them
+   from the article.  Where ``article`` or ``main`` elements hold the part or lie
+   in it they are its bounds (a title beside the part belongs to it), and
+   constant nodes are kept (copies of a page must not lose their text); where
+   they are elsewhere, as teasers are, the part stands.  On pages without a part
+   (hosts or layouts too small to learn from) those elements are the content.
 
 A block is a block element's own text: references decoded, white space
 collapsed, trimmed; blocks follow in page order, one line each.
@@ -62,6 +64,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType
 
 MIN_PAGES = 4
 CONSTANT = 0.8
@@ -383,21 +386,41 @@ def main_text(page: str, references: list[tuple] = (), slot: tuple | None = None
     (skeleton, paths it was chosen for, constant nodes), ``slot`` the layout's
     (skeleton, number of its content part)."""
     root = parse(page)
-    starts = _containers(root)
-    if not starts:
+    part = None
+    if slot and slot[1]:
+        part = next((node for node, number in match(root, slot[0]) if number == slot[1]), None)
+    starts, whole = _content(root, part)
+    if not whole:
         mark_constant(root, references)
-    if slot and slot[1] and not starts:
-        starts = [node for node, number in match(root, slot[0]) if number == slot[1]]
-        if starts:
-            blocks: list[str] = []
-            _blocks(starts[0], False, blocks)
-            return "\n".join(blocks)
-    blocks = []
-    for start in starts or [root]:
-        _blocks(start, bool(starts), blocks)
+    blocks: list[str] = []
+    for start in starts:
+        _blocks(start, whole, blocks)
     return "\n".join(blocks)
 
 
+def _content(root: Node, part: Node | None) -> tuple[list[Node], bool]:
+    """Where the page's text is, from the part matched to the layout's content,
+    and whether constant nodes in it stay.  Article and main elements that hold
+    the part or lie in it give its bounds; if the page has them elsewhere only,
+    the part stands.  They stand for the content of a page without a part."""
+    marked = _containers(root)
+    if part is None:
+        return marked or [root], bool(marked)
+    bounds = any(_holds(node, {id(part)}) for node in marked) or _holds(part, {id(node) for node in marked})
+    return (marked, True) if bounds else ([part], False)
+
+
+def _holds(top: Node, wanted: set[int]) -> bool:
+    """Whether a node or one below it is wanted (by id)."""
+    todo = [top] if wanted else []
+    while todo:
+        node = todo.pop()
+        if id(node) in wanted:
+            return True
+        todo += [c for c in node.children if not isinstance(c, str)]
+    return False
+
+
 def mark_constant(root: Node, references: list[tuple]) -> None:
     for tree, constant in _near(root, references):
         for node, number in match(root, tree):
@@ -559,52 +582,43 @@ class _Held(dict):
         return self[coded]
 
 
-def unmarked_hosts(pages: DataFrame) -> DataFrame:
-    """Hosts with a page that has neither article nor main (written)."""
+def laid_out(pages: DataFrame) -> DataFrame:
+    """The pages (page_id, url, html, host) with their layout and the texts at
+    each path (path and digest; the path alone says that there is one), from
+    one parse (written)."""
     from tessera.operators.sinks import materialize
 
-    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts = {h for h, page in zip(*(c.to_pylist() for c in batch.columns)) if page and not _containers(parse(page))}
-            yield pa.RecordBatch.from_pydict({"host": pa.array(sorted(hosts), pa.string())})
+            layouts, texts = [], []
+            for page in batch.column(batch.schema.get_field_index("html")).to_pylist():
+                root = parse(page or "")
+                labels, digests, kids = skeleton(root)
+                found = {(p, d) for p, d in zip(paths(labels, kids), digests) if d}
+                layouts.append(layout(root))
+                texts.append([p + d for p, d in found | {(p, b"") for p, _ in found}])
+            yield (batch.append_column("layout", pa.array(layouts, pa.binary()))
+                   .append_column("texts", pa.array(texts, pa.list_(pa.binary()))))
 
-    hosts = pages.select("host", "html").mapInArrow(plain, "host string").distinct()
-    return materialize(hosts.withColumn("bytes", F.octet_length("host") + 16), "html-hosts")
+    return materialize(pages.mapInArrow(lay, pages.select("*").schema.add("layout", "binary").add("texts", ArrayType(BinaryType()))), "html-pages")
 
 
 def induce(pages: DataFrame) -> DataFrame:
     """host, references (pickled skeleton, paths, constant nodes) and their
-    bytes, from pages (host, html)."""
+    bytes, from pages (host, html, texts)."""
     from tessera.operators.sinks import materialize
 
-    given = pages.select("host", "html").filter("html <> ''").withColumn("spread", F.xxhash64("html"))
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(out: list[tuple]) -> pa.RecordBatch:
-            kinds = (pa.string(), pa.binary(), pa.binary(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)],
-                                              names=["host", "path", "digest", "spread"])
-
-        for batch in batches:
-            out = []
-            for host, page, spread in zip(*(c.to_pylist() for c in batch.columns)):
-                labels, digests, kids = skeleton(parse(page))
-                found = {(p, d) for p, d in zip(paths(labels, kids), digests) if d}
-                out += [(host, p, d, spread) for p, d in found | {(p, b"") for p, _ in found}]
-                if len(out) > 20_000:
-                    yield rows(out)
-                    out = []
-            yield rows(out)
-
+    given = pages.select("host", "html", "texts").filter("html <> ''").withColumn("spread", F.xxhash64("html"))
     # Pages with a text at a path; the empty digest counts those with any.
+    at = given.select("host", "spread", F.explode("texts").alias("at"))
     counted = materialize(
-        given.select("host", "html", "spread").mapInArrow(texts, "host string, path binary, digest binary, spread long")
+        at.select("host", F.substring("at", 1, 8).alias("path"), F.substring("at", 9, 8).alias("digest"), "spread")
         .groupBy("host", "path", "digest").agg(F.count("*").alias("n"), F.min("spread").alias("spread"))
         .filter(F.col("n") >= MIN_PAGES), "html-texts")
     whole = counted.filter("digest = X''").select("host", "path", F.col("n").alias("whole"))
     chosen = (counted.filter("digest <> X''").join(whole, ["host", "path"]).filter(F.col("n") >= CONSTANT * F.col("whole"))
               .groupBy("host", "spread").agg(F.sort_array(F.collect_list(F.concat("path", "digest"))).alias("texts")))
-    sample = (given.join(chosen, ["host", "spread"]).groupBy("host", "spread")
+    sample = (given.drop("texts").join(chosen, ["host", "spread"]).groupBy("host", "spread")
               .agg(F.min("html").alias("html"), F.first("texts").alias("texts")))
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -741,31 +755,17 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             col = {n: c for n, c in zip(batch.schema.names, batch.columns)}
             pages = zip(col["host"].to_pylist(), col["html"].to_pylist())
-            if "slot" in col:
-                texts = [main_text(page or "", held.of(host, coded), held.tree(slot)) for (host, page), coded, slot
-                         in zip(pages, col["references"], col["slot"].to_pylist())]
-            else:
-                texts = [main_text(page or "") for _, page in pages]
+            texts = [main_text(page or "", held.of(host, coded), held.tree(slot)) for (host, page), coded, slot
+                     in zip(pages, col["references"], col["slot"].to_pylist())]
             yield pa.RecordBatch.from_pydict({
                 "page_id": col["page_id"], "url": col["url"], "text": pa.array(texts, pa.string()),
                 "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
-    needed = unmarked_hosts(given)
-    if not needed.limit(1).count():
-        return given.mapInArrow(run, schema)
-    # Pages of the hosts that need a wrapper go through it, the others do not.
-    rest = _joined(given, needed, "bytes", ["host"], "left_anti").mapInArrow(run, schema)
-    own = _joined(given, needed, "bytes", ["host"], "left_semi")
-    own = _joined(own, induce(own), "bytes", ["host"], "left").drop("bytes")
-
-    def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [layout(parse(page or "")) for page in batch.column(batch.schema.get_field_index("html")).to_pylist()]
-            yield batch.append_column("layout", pa.array(found, pa.binary()))
-
-    own = materialize(own.mapInArrow(laid_out, own.select("*").schema.add("layout", "binary")), "html-laid-out")
+    # Layouts first: references are joined to the pages, never written with them.
+    own = laid_out(given)
+    own = _joined(own.drop("texts"), induce(own), "bytes", ["host"], "left").drop("bytes")
     own = _joined(own, slots(own), "slot_bytes", ["host", "layout"], "left")
-    return own.select("page_id", "url", "host", "html", "references", "slot").mapInArrow(run, schema).unionByName(rest)
+    return own.select("page_id", "url", "host", "html", "references", "slot").mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
