@@ -70,6 +70,8 @@ MIN_PAGES = 4
 CONSTANT = 0.8
 #: Weights held at once while two lists of siblings are matched.
 HELD_CELLS = 4_000_000
+#: Lists of so many siblings are matched without arrays.
+SHORT = 64
 #: A part is the content's if it has this share of the words outside links.
 HEAVY = 0.6
 #: References are broadcast if they have at most so many bytes in all.
@@ -112,14 +114,17 @@ class Node:
     __slots__ = ("tag", "label", "drop", "children", "constant")
 
     def __init__(self, tag: str, attributes: dict[str, str]):
-        names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
         self.tag = tag
+        self.children: list = []
+        self.constant = False
+        if not attributes:
+            self.label, self.drop = f"{tag} ", tag in DROPPED
+            return
+        names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
         self.label = f"{tag} {names.strip().lower()}"
         words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", names).lower())) if names != " " else set()
         self.drop = (tag in DROPPED or bool(words & DROPPED_WORDS) or "hidden" in attributes
                      or attributes.get("role", "").lower() in DROPPED_ROLES or attributes.get("aria-hidden") == "true")
-        self.children: list = []
-        self.constant = False
 
 
 def parse(page: str) -> Node:
@@ -325,9 +330,18 @@ def match(page: Node, tree: tuple) -> Iterator[tuple[Node, int]]:
         rows_of = [i for i, x in enumerate(xs) if forms[x][0] in where]
         if not rows_of:
             return [] if paired else 0
-        gains: dict[int, tuple] = {}
+        gains: dict[int, tuple | dict] = {}
 
-        def step(last: np.ndarray, x: int) -> np.ndarray:
+        def short_step(last: list[int], x: int) -> list[int]:
+            if x not in gains:
+                gains[x] = {j: simple(x, ys[j]) for j in where[forms[x][0]]}
+            gain, best, row = gains[x], 0, [0]
+            for j in range(len(ys)):
+                best = max(best, last[j + 1], last[j] + gain[j] if j in gain else 0)
+                row.append(best)
+            return row
+
+        def long_step(last: np.ndarray, x: int) -> np.ndarray:
             if x not in gains:
                 if len(gains) * len(ys) > HELD_CELLS:
                     gains.clear()
@@ -339,7 +353,9 @@ def match(page: Node, tree: tuple) -> Iterator[tuple[Node, int]]:
             return np.maximum.accumulate(row)
 
         every = math.isqrt(len(rows_of)) + 1
-        row = np.zeros(len(ys) + 1, np.int64)
+        short = len(ys) <= SHORT
+        step = short_step if short else long_step
+        row = [0] * (len(ys) + 1) if short else np.zeros(len(ys) + 1, np.int64)
         saved = [row]
         for n, i in enumerate(rows_of, 1):
             row = step(row, xs[i])
@@ -439,23 +455,25 @@ def layout(root: Node) -> bytes:
     return _hash("\n".join(x for k, x in enumerate(labels) if k == 0 or x != labels[k - 1]).encode("utf-8", "replace"))
 
 
-def weights(root: Node) -> tuple[list[Node], np.ndarray]:
+def weights(root: Node) -> tuple[list[Node], list[list[int]]]:
     """The nodes in page order and, of each with all below it, the words
     outside links, the words in links and the blocks with words of their own."""
     nodes, kids = _flat(root)
-    sums = np.zeros((len(nodes), 3), np.int64)
+    sums = [[0, 0, 0] for _ in nodes]
     linked = [False] * len(nodes)
     for k, node in enumerate(nodes):
         linked[k] = linked[k] or node.tag == "a"
         for c in kids[k]:
             linked[c] = linked[k]
-        if not node.constant:
-            n = sum(len(c.split()) for c in node.children if isinstance(c, str))
-            sums[k, 1 if linked[k] else 0] = n
-        sums[k, 2] = node.tag in BLOCK and not node.constant and bool(_inline_text(node))
+        if node.constant:
+            continue
+        own = [c for c in node.children if isinstance(c, str)]
+        sums[k][1 if linked[k] else 0] = sum(len(c.split()) for c in own)
+        if node.tag in BLOCK:  # a reference alone may stand for white space
+            sums[k][2] = int(any("&" not in c and c.strip() for c in own) or bool(_inline_text(node)))
     for k in range(len(nodes) - 1, -1, -1):
         for c in kids[k]:
-            sums[k] += sums[c]
+            sums[k] = [a + b for a, b in zip(sums[k], sums[c])]
     return nodes, sums
 
 
@@ -476,6 +494,8 @@ def content_part(kids: list[list[int]], found: dict[int, tuple[int, int, int, in
 
 def _near(root: Node, references: list[tuple]) -> Iterator[tuple]:
     """The references chosen for a path that the page has."""
+    if not references:
+        return
     nodes, kids = _flat(root)
     held = set(paths([n.label for n in nodes], kids))
     for tree, chosen, rest in references:
@@ -707,9 +727,8 @@ def slots(pages: DataFrame) -> DataFrame:
                 tree = held.tree(tree)
                 for node, number in match(root, tree):
                     if tree[2][number]:
-                        entry = sums.setdefault((host, place, number), np.zeros(4, np.int64))
-                        entry[0] += 1
-                        entry[1:] += own[number_of[id(node)]]
+                        entry = sums.setdefault((host, place, number), [0, 0, 0, 0])
+                        entry[:] = [a + b for a, b in zip(entry, (1, *own[number_of[id(node)]]))]
             if len(sums) > 200_000:
                 yield rows(sums)
                 sums = {}
