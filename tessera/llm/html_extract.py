@@ -42,8 +42,11 @@ A block is a block element's own text: references decoded, white space
 collapsed, trimmed; blocks follow in page order, one line each.
 
 Of a host only the references are gathered; they meet the pages in an
-equi-join, evidence is counted.  Sibling lists of any length are matched
-exactly, pages of any depth are parsed and aligned whole.
+equi-join, evidence is counted.  Pages are not shuffled: which of them are
+references is broadcast by their hashes, and hosts are taken in parts, each
+with few enough references to broadcast (a part with more bytes of them than
+``BROADCAST_BYTES`` is joined by shuffle).  Sibling lists of any length are
+matched exactly, pages of any depth are parsed and aligned whole.
 
 Defined cases: null or empty html gives the empty text; a null url is a host of
 its own; broken, cut-off or nested markup is closed as browsers do; pages alone
@@ -66,6 +69,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType
 
+from tessera.session import scratch_path
+
 MIN_PAGES = 4
 CONSTANT = 0.8
 #: Weights held at once while two lists of siblings are matched.
@@ -76,6 +81,8 @@ SHORT = 64
 HEAVY = 0.6
 #: References are broadcast if they have at most so many bytes in all.
 BROADCAST_BYTES = 16 << 20
+#: Hosts to learn from in a part, and the most parts (folders that a task writes).
+PART_HOSTS, PARTS = 512, 64
 
 # Fixed values of HTML: how elements nest and which carry no text of the page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -578,6 +585,12 @@ def _joined(pages: DataFrame, table: DataFrame, size: str, on: list[str], how: s
     return pages.join(F.broadcast(table) if total <= BROADCAST_BYTES else table, on, how)
 
 
+def _parts(pages: DataFrame) -> int:
+    """In how many parts the hosts of the pages are taken."""
+    hosts = pages.groupBy("host").count().filter(F.col("count") >= MIN_PAGES).count()
+    return min(PARTS, max(1, -(-hosts // PART_HOSTS)))
+
+
 def _loaded(coded: list[dict] | None) -> list[tuple]:
     return [(*pickle.loads(r["tree"])[:2], frozenset(r["constant"])) for r in coded or ()]
 
@@ -602,10 +615,10 @@ class _Held(dict):
         return self[coded]
 
 
-def laid_out(pages: DataFrame) -> DataFrame:
+def laid_out(pages: DataFrame, parts: int = 1) -> DataFrame:
     """The pages (page_id, url, html, host) with their layout and the texts at
     each path (path and digest; the path alone says that there is one), from
-    one parse (written)."""
+    one parse (written, a folder a part of the hosts if they have several)."""
     from tessera.operators.sinks import materialize
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -620,7 +633,10 @@ def laid_out(pages: DataFrame) -> DataFrame:
             yield (batch.append_column("layout", pa.array(layouts, pa.binary()))
                    .append_column("texts", pa.array(texts, pa.list_(pa.binary()))))
 
-    return materialize(pages.mapInArrow(lay, pages.select("*").schema.add("layout", "binary").add("texts", ArrayType(BinaryType()))), "html-pages")
+    laid = pages.mapInArrow(lay, pages.select("*").schema.add("layout", "binary").add("texts", ArrayType(BinaryType())))
+    if parts == 1:
+        return materialize(laid, "html-pages")
+    return materialize(laid.withColumn("part", F.pmod(F.xxhash64("host"), F.lit(parts)).cast("int")), "html-pages", ["part"])
 
 
 def induce(pages: DataFrame) -> DataFrame:
@@ -636,9 +652,11 @@ def induce(pages: DataFrame) -> DataFrame:
         .groupBy("host", "path", "digest").agg(F.count("*").alias("n"), F.min("spread").alias("spread"))
         .filter(F.col("n") >= MIN_PAGES), "html-texts")
     whole = counted.filter("digest = X''").select("host", "path", F.col("n").alias("whole"))
-    chosen = (counted.filter("digest <> X''").join(whole, ["host", "path"]).filter(F.col("n") >= CONSTANT * F.col("whole"))
-              .groupBy("host", "spread").agg(F.sort_array(F.collect_list(F.concat("path", "digest"))).alias("texts")))
-    sample = (given.drop("texts").join(chosen, ["host", "spread"]).groupBy("host", "spread")
+    chosen = materialize(
+        counted.filter("digest <> X''").join(whole, ["host", "path"]).filter(F.col("n") >= CONSTANT * F.col("whole"))
+        .groupBy("host", "spread").agg(F.sort_array(F.collect_list(F.concat("path", "digest"))).alias("texts"))
+        .withColumn("bytes", F.octet_length("host") + 16 * F.size("texts")), "html-chosen")
+    sample = (_joined(given.drop("texts"), chosen, "bytes", ["host", "spread"]).groupBy("host", "spread")
               .agg(F.min("html").alias("html"), F.first("texts").alias("texts")))
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -695,16 +713,19 @@ def induce(pages: DataFrame) -> DataFrame:
     return materialize(together(references.join(constant, ["host", "spread"])), "html-wrappers")
 
 
-def slots(pages: DataFrame) -> DataFrame:
+def slots(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
     """host, layout, slot (pickled skeleton and content part) and its bytes,
-    from pages (host, html, layout, references): one reference a layout, so a
-    page is aligned once."""
+    from pages (host, html, layout) and their hosts' references: one reference
+    a layout, so a page is aligned once."""
     from tessera.operators.sinks import materialize
 
-    given = pages.select("host", "layout", "html", "references").filter("html <> ''").withColumn("spread", F.xxhash64("html"))
-    chosen = (given.groupBy("host", "layout").agg(F.count("*").alias("n"), F.min("spread").alias("spread"))
-              .filter(F.col("n") >= MIN_PAGES).drop("n"))
-    sample = given.join(chosen, ["host", "layout", "spread"]).groupBy("host", "layout").agg(F.min("html").alias("html"))
+    given = pages.select("host", "layout", "html").filter("html <> ''")
+    keyed = given.withColumn("spread", F.xxhash64("html"))
+    chosen = materialize(
+        keyed.groupBy("host", "layout").agg(F.count("*").alias("n"), F.min("spread").alias("spread"))
+        .filter(F.col("n") >= MIN_PAGES).drop("n")
+        .withColumn("bytes", F.octet_length("host") + F.octet_length("layout") + 8), "html-chosen-layouts")
+    sample = _joined(keyed, chosen, "bytes", ["host", "layout", "spread"]).groupBy("host", "layout").agg(F.min("html").alias("html"))
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -741,7 +762,7 @@ def slots(pages: DataFrame) -> DataFrame:
             "node": pa.array([k[2] for k in sums], pa.int64()),
             **{name: pa.array(values[:, k]) for k, name in enumerate(("pages", "text", "links", "blocks"))}})
 
-    aligned = _joined(given.select("host", "layout", "html", "references"), trees_of, "bytes", ["host", "layout"])
+    aligned = _joined(_joined(given, wrappers, "bytes", ["host"], "left").drop("bytes"), trees_of, "bytes", ["host", "layout"])
     names = ("pages", "text", "links", "blocks")
     found = (aligned.select("host", "layout", "html", "references", "tree")
              .mapInArrow(weigh, "host string, layout binary, node long, pages long, text long, links long, blocks long")
@@ -764,10 +785,23 @@ def slots(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row per row of ``pages``."""
-    from tessera.operators.sinks import materialize
+    from tessera.operators.sinks import append
 
     given = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_key("url").alias("host"))
-    schema = given.select("page_id", "url").schema.add("text", "string").add("n_chars", "long")
+    parts = _parts(given)
+    own = laid_out(given, parts)
+    if parts == 1:
+        return texts_of(own)
+    # One part after another: only one part's references are broadcast.
+    path = scratch_path(pages.sparkSession, "html-main-texts")
+    for part in range(parts):
+        append(texts_of(own.filter(F.col("part") == part)), path)
+    return pages.sparkSession.read.parquet(path)
+
+
+def texts_of(own: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars of pages as ``laid_out``; whole hosts."""
+    schema = own.select("page_id", "url").schema.add("text", "string").add("n_chars", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held()
@@ -780,10 +814,11 @@ def extract(pages: DataFrame) -> DataFrame:
                 "page_id": col["page_id"], "url": col["url"], "text": pa.array(texts, pa.string()),
                 "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
-    # Layouts first: references are joined to the pages, never written with them.
-    own = laid_out(given)
-    own = _joined(own.drop("texts"), induce(own), "bytes", ["host"], "left").drop("bytes")
-    own = _joined(own, slots(own), "slot_bytes", ["host", "layout"], "left")
+    # References are joined to the pages, never written with them.
+    wrappers = induce(own)
+    found = slots(own, wrappers)
+    own = _joined(own.drop("texts"), wrappers, "bytes", ["host"], "left").drop("bytes")
+    own = _joined(own, found, "slot_bytes", ["host", "layout"], "left")
     return own.select("page_id", "url", "host", "html", "references", "slot").mapInArrow(run, schema)
 
 
